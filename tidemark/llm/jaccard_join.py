@@ -6,9 +6,10 @@ shingles from rare to frequent; two sets of Jaccard similarity 3/4 or more must
 links are found. Prefix shingles go to buckets by hash, where equal ones meet. Links need length, positional and suffix
 filters to hold and are then verified once per pair on the whole sets.
 
-Groups of copies. All pairs of a group are never made. A first round pairs each document with the smallest id of every
-posting list (a star) and merges what is verified into components; a second takes other pivots, drawn by shingle, for
-posting lists that still span components; a last round pairs what is left, members of different components only. Pairs
+Groups of copies. All pairs of a group are never made. The smallest id of a posting list is its pivot; a first round pairs each
+document with the one pivot that it shares most lists with, and merges what is verified into components. For posting lists that
+still span components, a second round pairs members outside the list's first component with a pivot inside it, drawn by
+shingle; a last round pairs what is left, members of different components only, with all filters in the join's condition. Pairs
 within a component add nothing to the components, so no link between components is lost.
 
 Cases. Null or wordless texts have no shingles and are alone. One to four words are one shingle, the whole sequence. A
@@ -200,9 +201,9 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column("doc_id")
         for lo, sets in shingle_sets(batch.column("text")):
-            yield pa.record_batch({"doc": ids.slice(lo, len(sets)).cast(pa.int64()), "shingles": pa.array([x.tobytes() for x in sets], pa.binary())})
+            a, b = (batch.column(c).slice(lo, len(sets)).cast(pa.int64()) for c in "ab")
+            yield pa.record_batch({"a": a, "b": b, "shingles": pa.array([x.tobytes() for x in sets], pa.binary())})
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,6 +229,13 @@ def _can_link(n1: str, n2: str, p1: str | None = None, p2: str | None = None):
     return fits
 
 
+def _may_overlap(n1: str, n2: str, sig1: str, sig2: str):
+    """The suffix filter: shingle sets whose signatures differ in more places than their sizes allow can't link."""
+    apart = sum((F.bit_count(F.col(sig1)[i].bitwiseXOR(F.col(sig2)[i])) for i in range(SIGNATURE_WORDS)), F.lit(0))
+    need = F.ceil((F.col(n1) + F.col(n2)) * NUMERATOR / (NUMERATOR + DENOMINATOR))  # least overlap
+    return apart <= F.col(n1) + F.col(n2) - 2 * need
+
+
 class JaccardJoin:
     """Finds the links of one table of documents; see the module's text."""
 
@@ -248,17 +256,24 @@ class JaccardJoin:
         facts = self.facts
         for side in ("a", "b"):
             pairs = pairs.join(facts.select(F.col("doc").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "h1", "h2", "sig"))), side)
-        apart = sum((F.bit_count(F.col("sig_a")[i].bitwiseXOR(F.col("sig_b")[i])) for i in range(SIGNATURE_WORDS)), F.lit(0))
-        need = F.ceil((F.col("n_a") + F.col("n_b")) * NUMERATOR / (NUMERATOR + DENOMINATOR))  # least overlap
-        pairs = pairs.where(_can_link("n_a", "n_b")).select("a", "b", (F.expr("n_a = n_b and h1_a = h1_b and h2_a = h2_b")).alias("equal"), (apart <= F.col("n_a") + F.col("n_b") - 2 * need).alias("near"))
-        pairs = self.scratch.keep(pairs.where("equal or near"), "filtered")
-        equal, rest = pairs.where("equal").select("a", "b"), pairs.where("not equal").select("a", "b")
-        ids = rest.select(F.col("a").alias("doc_id")).union(rest.select("b")).distinct()
-        few = ids.count() <= BROADCAST_IDS
-        texts = self.with_id.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-        sets = texts.mapInArrow(_sets, "doc long, shingles binary")
-        ready = rest.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("y")), "b")
-        return self.scratch.keep(ready.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long").union(equal).distinct(), "links")
+        equal = F.expr("n_a = n_b and h1_a = h1_b and h2_a = h2_b").alias("equal")
+        pairs = pairs.where(_can_link("n_a", "n_b") & _may_overlap("n_a", "n_b", "sig_a", "sig_b")).select("a", "b", equal)
+        pairs = self.scratch.keep(pairs, "filtered")
+        sure, rest = pairs.where("equal").select("a", "b"), pairs.where("not equal").select("a", "b")
+        few = rest.count() <= BROADCAST_IDS
+        hint = F.broadcast if few else lambda df: df
+        firsts = rest.select(F.col("a").alias("doc_id")).distinct()
+        x = self.with_id.join(hint(firsts), "doc_id", "left_semi").select(F.lit(None).cast("long").alias("a"), F.col("doc_id").alias("b"), "text")
+        y = self.with_id.withColumnRenamed("doc_id", "b").join(hint(rest), "b").select("a", "b", "text")
+        shape = "a long, b long, shingles binary"
+        ready = x.mapInArrow(_sets, shape).select(F.col("b").alias("a"), F.col("shingles").alias("x")).join(y.mapInArrow(_sets, shape).withColumnRenamed("shingles", "y"), "a")
+        return self.scratch.keep(ready.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long").union(sure).distinct(), "links")
+
+    @staticmethod
+    def _spanning(placed: DataFrame) -> DataFrame:
+        """Postings (token, ..., c) of shingles whose documents are in two components or more."""
+        spans = placed.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("token")
+        return placed.join(spans, "token")
 
     def components(self) -> tuple[DataFrame, DataFrame]:
         """facts(doc, n) and component(doc, component) of the documents that are linked with a smaller id."""
@@ -269,20 +284,21 @@ class JaccardJoin:
         # First round: every posting list's smallest id is its pivot.
         pivot = posts.groupBy("token").agg(F.min(F.struct("doc", "n", "pos")).alias("p"))
         star = posts.join(pivot, "token").where("doc <> p.doc").select(F.col("p.doc").alias("a"), F.col("doc").alias("b"), F.col("p.n").alias("n1"), F.col("n").alias("n2"), F.col("p.pos").alias("p1"), F.col("pos").alias("p2"))
-        tried = self.scratch.keep(star.where(_can_link("n1", "n2", "p1", "p2")).select("a", "b").distinct(), "star")
+        most = star.where(_can_link("n1", "n2", "p1", "p2")).groupBy("a", "b").count().groupBy("b").agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("m"))
+        tried = self.scratch.keep(most.select((-F.col("m.a")).alias("a"), "b"), "star")  # at most one pair a document
         links = self._checked(tried)
         component = self.scratch.keep(connected_components(links, self.scratch), "component")
+        placed = posts.join(component, posts["doc"] == component["node"], "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("c"))
+        open_ = self.scratch.keep(self._spanning(placed).join(self.facts.select("doc", "sig"), "doc"), "open")
         for last in (False, True):
-            # Posting lists that still span components.
-            placed = posts.join(component, posts["doc"] == component["node"], "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("c"))
-            spans = placed.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("token")
-            open_ = self.scratch.keep(placed.join(spans, "token"), "open")
             if last:
-                other = open_.toDF("token", "doc2", "n2", "pos2", "c2")
-                pairs = open_.join(other, "token").where((F.col("c") < F.col("c2")) & _can_link("n", "n2", "pos", "pos2")).select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b"))
+                other = open_.select("token", *(F.col(x).alias(f"{x}2") for x in ("doc", "n", "pos", "c", "sig")))
+                pairs = open_.join(other, "token").where(F.col("c") < F.col("c2"))
             else:
-                drawn = open_.groupBy("token").agg(F.min(F.struct(F.xxhash64("doc", "token").alias("h"), "doc", "n", "pos", "c")).alias("p"))
-                pairs = open_.join(drawn, "token").select("*", F.col("p.n").alias("n1"), F.col("p.pos").alias("p1")).where("c <> p.c").where(_can_link("n1", "n", "p1", "pos")).select(F.least("doc", "p.doc").alias("a"), F.greatest("doc", "p.doc").alias("b"))
+                inside = open_.groupBy("token", "c").agg(F.min(F.struct(F.xxhash64("doc", "token").alias("h"), "doc", "n", "pos", "sig")).alias("p")).groupBy("token").agg(F.min(F.struct("c", "p")).alias("f"))
+                drawn = inside.select("token", F.col("f.p.doc").alias("doc2"), F.col("f.p.n").alias("n2"), F.col("f.p.pos").alias("pos2"), F.col("f.c").alias("c2"), F.col("f.p.sig").alias("sig2"))
+                pairs = open_.join(drawn, "token").where(F.col("c") != F.col("c2"))
+            pairs = pairs.where(_can_link("n", "n2", "pos", "pos2") & _may_overlap("n", "n2", "sig", "sig2")).select(F.least("doc", "doc2").alias("a"), F.greatest("doc", "doc2").alias("b"))
             fresh = self.scratch.keep(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "fresh")
             if fresh.isEmpty():
                 continue
@@ -296,6 +312,9 @@ class JaccardJoin:
             through = component.join(merged.toDF("component", "to"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
             roots = merged.join(component.select("node"), "node", "left_anti")
             component = self.scratch.keep(through.union(roots), "component")
+            if not last:
+                moved = open_.join(merged.toDF("c", "to"), "c", "left").withColumn("c", F.coalesce("to", "c")).drop("to")
+                open_ = self.scratch.keep(self._spanning(moved), "open")
         return self.facts.select("doc", "n"), component
 
 
