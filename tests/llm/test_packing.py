@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm.packing import hilbert_key, pack
-from tidemark.llm.tokens import ChunkTokenizer
+from tidemark.llm.tokens import PieceTokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -18,13 +18,18 @@ def plain(text):
     return t.encode(text, add_special_tokens=False).ids
 
 
-def test_chunks_encode_as_whole_texts():
+def test_pieces_encode_as_whole_texts():
     rnd = random.Random(3)
     chars = "aAbé É́   \x0b\x0c\x1c\t\n.,!'’s7٣<|endoftext|>İßſΣς漢한\U0001f600 "
-    encode = ChunkTokenizer(PATH)
+    encode = PieceTokenizer(PATH)
     for _ in range(300):
         text = "".join(rnd.choice(chars) for _ in range(rnd.randint(0, 150)))
         assert encode.ids(text.encode()).tolist() == plain(text)
+    plain_chars = "aAbCéÉßöÿ .,!-1290(\n\t\"&"
+    assert encode.plain
+    for _ in range(300):
+        text = "".join(rnd.choice(plain_chars) for _ in range(rnd.randint(0, 150)))
+        assert encode.ids(text.encode()).tolist() == plain(text)
     assert encode.ids(("x" * 300 + " don't <|startoftext|> stop").encode()).tolist() == plain("x" * 300 + " don't <|startoftext|> stop")
 
 

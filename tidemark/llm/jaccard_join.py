@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.shared import Scratch, shuffle_partitions
+from tidemark.llm.shared import Scratch, shuffle_partitions, small_batches
 from tidemark.llm.textops import SPACED_LOWER, Words, mix, ngrams, sequence_hash, signed, utf8_parts
 
 SHINGLE = 5
@@ -37,7 +37,7 @@ NUMERATOR, DENOMINATOR = 3, 4
 SKETCH_BITS, BLOCKS = 20, 64
 #: Bits of the set signature of the suffix filter, in 64-bit words.
 SIGNATURE_WORDS = 8
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 #: Prefix shingles that one bucket is planned to hold.
 BUCKET_SHINGLES = 1_500_000
 #: Ids (8 bytes each) up to which the documents to verify are picked by a broadcast; beyond it by a shuffle join.
@@ -99,9 +99,10 @@ def frequency_sketch(docs: DataFrame) -> np.ndarray:
 
 
 def _signature(shingles: np.ndarray) -> np.ndarray:
-    bits = np.zeros(SIGNATURE_WORDS * 64, bool)
-    bits[(shingles % np.uint64(SIGNATURE_WORDS * 64)).astype(np.int64)] = True
-    return np.packbits(bits).view("<i8")
+    """Whether an odd number of shingles falls into each of some parts of the hash space. Where two signatures differ, at least one
+    shingle is in one set only, however many both share."""
+    counts = np.bincount((shingles % np.uint64(SIGNATURE_WORDS * 64)).astype(np.int64), minlength=SIGNATURE_WORDS * 64)
+    return np.packbits((counts & 1).astype(np.uint8)).view("<i8")
 
 
 def _prefixes(ranks, buckets: int):
@@ -241,6 +242,7 @@ class JaccardJoin:
 
     def __init__(self, spark: SparkSession, docs: DataFrame):
         self.spark, self.scratch = spark, Scratch(spark, "jaccard")
+        small_batches(spark)
         self.docs = docs.select("doc_id", "text")
         self.with_id = self.docs.where("doc_id is not null")
 

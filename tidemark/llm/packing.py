@@ -2,7 +2,7 @@
 
 Method. A document's hashed bag of words is projected onto four dimensions by a fixed random table; the Hilbert key of the
 quantised point, with a few bits of the id's hash below it, orders the corpus. Split points of that order come from
-approximate percentiles of all keys (a sketch of bounded size), each range is one task, and a task packs its documents in curve
+approximate percentiles of a sample's keys (a sketch of bounded size; range partitioning does likewise), each range is one task, and a task packs its documents in curve
 order, cutting where a sequence is full. What remains at a range's end is cut at powers of two, so nothing is padded.
 Texts are shuffled once and tokenised once, after the shuffle; copies share a key but for the id's bits, so that a group
 of copies of any size is dealt over many ranges.
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import shuffle_partitions
+from tidemark.llm.shared import shuffle_partitions, small_batches
 from tidemark.llm.textops import SPACED_LOWER, Words, mix, utf8_parts
 from tidemark.llm.tokens import tokenizer
 
@@ -29,7 +29,9 @@ DIMENSIONS, DIMENSION_BITS, TIE_BITS = 4, 12, 15
 #: Slots of the hashed bag of words, and the seed of their random directions.
 SLOTS, SEED = 4096, 20240
 END_ID, LENGTH = 1, 2048
-PART_BYTES = 2 << 20
+#: Share of the documents whose keys set the split points; a range's size depends on it, nothing else.
+SPLIT_SHARE = 0.05
+PART_BYTES = 1 << 20
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -131,12 +133,12 @@ def _packer(vocabulary: str, length: int, with_ids: bool):
         held: list[tuple] = []  # the pieces of the sequence that is open
         filled, sequence, owner, tokens_out = 0, 0, None, 0
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary())
-            for owner_now, doc, text in zip(batch.column("range").to_pylist(), batch.column("doc_id").to_pylist(), texts):
+            flat, at_text = encode.many([t.as_py() or b"" for t in batch.column("text").cast(pa.large_binary())])
+            for k, (owner_now, doc) in enumerate(zip(batch.column("range").to_pylist(), batch.column("doc_id").to_pylist())):
                 if owner_now != owner:
                     rows += cut(held, sequence)
                     owner, held, filled, sequence = owner_now, [], 0, owner_now << 32
-                ids = np.concatenate((encode.ids(text.as_py() or b""), end))
+                ids = np.concatenate((flat[at_text[k] : at_text[k + 1]], end))
                 done = 0
                 while done < len(ids):
                     take = min(len(ids) - done, length - filled)
@@ -163,10 +165,10 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, with_ids: bool
     """docs(doc_id, text, ...) to one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and
     the piece's ids if asked for. ``vocabulary`` is a tokenizer file that every executor has; ``length`` a power of two."""
     spark = docs.sparkSession
+    small_batches(spark)
     ranges = shuffle_partitions(spark)
-    keyed = docs.select("doc_id", "text").withColumn("key", curve_key("text", "doc_id"))
     shares = [i / ranges for i in range(1, ranges)]
-    bounds = (keyed.agg(F.percentile_approx("key", shares, 20_000)).first()[0] if shares else None) or []
+    bounds = (docs.select("doc_id", "text").sample(SPLIT_SHARE, seed=7).withColumn("key", curve_key("text", "doc_id")).agg(F.percentile_approx("key", shares, 20_000)).first()[0] if shares else None) or []
     splits = np.array(sorted(bounds), np.int64)
 
     @F.arrow_udf("struct<range int, key long>")

@@ -26,7 +26,7 @@ SLOTS = 1 << 18
 #: Labelled documents that training uses at most, and how often it passes over them.
 TRAIN_ROWS, EPOCHS = 8_000, 3
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 _REPEAT = 1  # slot 0 is the intercept
 PUNCTUATION = Alphabet(bytes(b for b in range(256) if b >= 0x7F or b <= 0x20 or chr(b).isalnum()), lower=False)
 

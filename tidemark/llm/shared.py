@@ -44,6 +44,11 @@ class Scratch:
             fs.delete(p, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows that go to a Python worker at once: whole texts are long, so the session's Arrow batches shrink to 1,000 rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -49,7 +49,7 @@ class _Powers:
     @classmethod
     def at_least(cls, n: int) -> None:
         if len(cls.up) < n:
-            n = 1 << (n - 1).bit_length()
+            n += n // 16
             cls.up, cls.down = _powers(_BASE, n), _powers(_INVERSE, n)
 
 

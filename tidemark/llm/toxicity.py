@@ -35,7 +35,7 @@ RARELY = 400
 #: Beginnings of words, in bytes.
 BEGINNINGS = (4, 5, 6, 7, 8)
 FOLDS, HELD_OUT, THRESHOLD = 3, 1, 0.7
-PART_BYTES = 2 << 20
+PART_BYTES = 1 << 20
 
 #: Insults, a voter each.
 LEXICON = (
