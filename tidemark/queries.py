@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import slice0
+from tidemark.plans import gate, slice0
 
 FLAGSHIP = "slice0_verdict_rollup"
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {FLAGSHIP: slice0.verdict_rollup}
-ORACLE_SQL: dict[str, str] = {FLAGSHIP: slice0.SQL}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {FLAGSHIP: slice0.verdict_rollup, **gate.QUERIES}
+ORACLE_SQL: dict[str, str] = {FLAGSHIP: slice0.SQL, **gate.ORACLE_SQL}
