@@ -1,6 +1,6 @@
 """Operator 2: benchmark decontamination with an FM-index for each shard of the training texts.
 
-Method. A shard is some 2 MB of documents (or one longer document, whole). Its words become symbols: words that no benchmark
+Method. A shard is some 1 MB of documents (or one longer document, whole). Its words become symbols: words that no benchmark
 phrase holds are one symbol, and stretches of them count once, as no occurrence can reach into them. An FM-index of the
 shard answers all phrases at once by backward search through wavelet ranks; rows are located by sampled suffix positions, every
 32nd word of a document. Overlapping occurrences merge into removal spans.
@@ -28,7 +28,7 @@ from tidemark.llm.shared import small_batches
 from tidemark.llm.textops import ALNUM_LOWER, Words, utf8_parts
 
 WINDOW, SAMPLE = 10, 32
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Characters of benchmark text whose phrases are sent to every task at once.
 BLOCK_CHARS = 8_000_000
 
