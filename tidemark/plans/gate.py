@@ -98,14 +98,14 @@ l AS (SELECT *, greatest(1, least(10, greatest(1, n // 4))) AS l FROM n),
 b AS (SELECT l.*, r, b FROM l, unnest(range(0, 50)) AS x(r), unnest(range(0, CAST(ceil(n / l) AS BIGINT))) AS y(b)),
 st AS (SELECT *, ('0x' || substr(sha256(concat_ws('|', 7, user_id, r, b)), 1, 8))::BIGINT % (n - l + 1) AS st FROM b),
 m AS (SELECT st.user_id, st.r, avg(k.v) AS m FROM st JOIN k ON k.user_id = st.user_id AND k.k BETWEEN st.st AND least(st.st + l - 1, st.st + n - 1 - b * l) GROUP BY 1, 2)
-SELECT m.user_id, round(any_value(n.point), 5) AS point, round(quantile_cont(m, 0.025), 5) AS low, round(quantile_cont(m, 0.975), 5) AS high FROM m JOIN n USING (user_id) GROUP BY m.user_id"""
+SELECT m.user_id, round(any_value(n.point), 8) AS point, round(quantile_cont(m, 0.025), 8) AS low, round(quantile_cont(m, 0.975), 8) AS high FROM m JOIN n USING (user_id) GROUP BY m.user_id"""
 
 
 @query(_BOOT)
 def a04_block_bootstrap_by_hash(spark, sf_dir):
     s = _clips(spark, sf_dir).withColumn("v", F.when(F.col("event_type") != "error", F.col("value")))
     out = statistics.bootstrap_by_hash(s, "user_id", "v", 2.0, RATE, 50, 7)
-    return out.select("user_id", *(F.round(c, 5).alias(c) for c in ("point", "low", "high")))
+    return out.select("user_id", *(F.round(c, 8).alias(c) for c in ("point", "low", "high")))
 
 
 @query(None)
