@@ -6,7 +6,8 @@ shingles from rare to frequent; two sets of Jaccard similarity 3/4 or more must
 links are found. Prefix shingles go to buckets by hash, where equal ones meet. Links need length, positional and suffix
 filters to hold and are then verified once per pair on the whole sets.
 
-Groups of copies. All pairs of a group are never made. The smallest id of a posting list is its pivot; a first round pairs each
+Groups of copies. All pairs of a group are never made. Documents of equal sets are linked to the smallest id among them, which alone
+goes on. The smallest id of a posting list is its pivot; a first round pairs each
 document with the one pivot that it shares most lists with, and merges what is verified into components. For posting lists that
 still span components, a second round pairs members outside the list's first component with a pivot inside it, drawn by
 shingle; a last round pairs what is left, members of different components only, with all filters in the join's condition. Pairs
@@ -35,15 +36,17 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 3, 4
 #: Counters of the frequency sketch (4 bytes each, 4 MB in all) and the blocks they travel in.
 SKETCH_BITS, BLOCKS = 20, 64
-#: Bits of the set signature of the suffix filter, in 64-bit words.
+#: Bits of the set signature of the suffix filter, in 64-bit words; sets of more than WIDE_FROM shingles have a second signature of
+#: a power of two bits, WIDE_BITS or more for each shingle, which is looked at once a pair.
 SIGNATURE_WORDS = 8
+WIDE_FROM, WIDE_BITS = 256, 2
 PART_BYTES = 1 << 20
 #: Prefix shingles that one bucket is planned to hold.
 BUCKET_SHINGLES = 1_500_000
 #: Ids (8 bytes each) up to which the documents to verify are picked by a broadcast; beyond it by a shuffle join.
 BROADCAST_IDS = 250_000
 
-_META = np.dtype([("doc", "<i8"), ("n", "<i4"), ("h1", "<i8"), ("h2", "<i8"), ("sig", "<i8", SIGNATURE_WORDS)])
+_META = np.dtype([("doc", "<i8"), ("n", "<i4"), ("h1", "<i8"), ("h2", "<i8"), ("sig", "<i8", SIGNATURE_WORDS), ("wide", "<i4")])
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -98,17 +101,23 @@ def frequency_sketch(docs: DataFrame) -> np.ndarray:
     return sketch.ravel()
 
 
-def _signature(shingles: np.ndarray) -> np.ndarray:
+def _signature(shingles: np.ndarray, words: int = SIGNATURE_WORDS) -> np.ndarray:
     """Whether an odd number of shingles falls into each of some parts of the hash space. Where two signatures differ, at least one
-    shingle is in one set only, however many both share."""
-    counts = np.bincount((shingles % np.uint64(SIGNATURE_WORDS * 64)).astype(np.int64), minlength=SIGNATURE_WORDS * 64)
+    shingle is in one set only, however many both share. Halves of a signature, combined by XOR, are the one of half the size."""
+    counts = np.bincount((shingles % np.uint64(words * 64)).astype(np.int64), minlength=words * 64)
     return np.packbits((counts & 1).astype(np.uint8)).view("<i8")
 
 
+def _wide_signature(shingles: np.ndarray) -> np.ndarray:
+    if len(shingles) <= WIDE_FROM:
+        return np.empty(0, "<i8")
+    return _signature(shingles, 1 << ((WIDE_BITS * len(shingles) - 1) >> 6).bit_length())
+
+
 def _prefixes(ranks, buckets: int):
     """Blobs of prefix shingles and of document facts, by bucket."""
 
-    def flush(tokens, docs, sizes, places, facts) -> Iterator[tuple[int, int, bytes]]:
+    def flush(tokens, docs, sizes, places, facts, wides) -> Iterator[tuple[int, int, bytes]]:
         if tokens:
             tok = np.concatenate(tokens)
             index = np.repeat(np.arange(len(docs), dtype=np.uint32), [len(t) for t in tokens])
@@ -125,20 +134,22 @@ def _prefixes(ranks, buckets: int):
         facts = np.array(facts, _META)
         to = (mix(facts["doc"].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         for b in np.unique(to):
-            yield int(b), 0, facts[to == b].tobytes()
+            mine = np.flatnonzero(to == b)
+            yield int(b), 0, b"".join((np.array([len(mine)], "<i8").tobytes(), facts[mine].tobytes(), *(wides[i].tobytes() for i in mine)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = ranks.value
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            tokens, docs, sizes, places, facts = [], [], [], [], []
+            tokens, docs, sizes, places, facts, wides = [], [], [], [], [], []
             for lo, sets in shingle_sets(batch.column("text")):
                 for doc, x in zip(ids[lo : lo + len(sets)], sets):
                     n = len(x)
                     if doc is None:
                         continue
                     h1, h2 = (int(x.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(mix(x ^ np.uint64(0x5BD1E995))).view(np.int64))) if n else (0, 0)
-                    facts.append((doc, n, h1, h2, _signature(x)))
+                    wides.append(_wide_signature(x))
+                    facts.append((doc, n, h1, h2, _signature(x), len(wides[-1])))
                     if n:
                         take = n - (NUMERATOR * n + DENOMINATOR - 1) // DENOMINATOR + 1
                         order = np.argsort(rank[_slot(x)], kind="stable")[:take]  # ties keep the order of the hashes
@@ -147,10 +158,10 @@ def _prefixes(ranks, buckets: int):
                         sizes.append(n)
                         places.append(np.arange(take, dtype="<u4"))
                 if sum(map(len, tokens)) > 400_000:
-                    yield _blobs(flush(tokens, docs, sizes, places, facts))
-                    tokens, docs, sizes, places, facts = [], [], [], [], []
+                    yield _blobs(flush(tokens, docs, sizes, places, facts, wides))
+                    tokens, docs, sizes, places, facts, wides = [], [], [], [], [], []
             if facts:
-                yield _blobs(flush(tokens, docs, sizes, places, facts))
+                yield _blobs(flush(tokens, docs, sizes, places, facts, wides))
 
     return run
 
@@ -160,8 +171,8 @@ def _blobs(rows: Iterator[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.record_batch({"bucket": pa.array([r[0] for r in rows], pa.int32()), "kind": pa.array([r[1] for r in rows], pa.int32()), "blob": pa.array([r[2] for r in rows], pa.large_binary()).cast(pa.binary())})
 
 
-_MET = "kind int, token long, doc long, n int, pos int, h1 long, h2 long, sig array<long>"
-_MET_ARROW = pa.schema([("kind", pa.int32()), ("token", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("sig", pa.list_(pa.int64()))])
+_MET = "kind int, token long, doc long, n int, pos int, h1 long, h2 long, sig array<long>, wide array<long>"
+_MET_ARROW = pa.schema([("kind", pa.int32()), ("token", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("sig", pa.list_(pa.int64())), ("wide", pa.list_(pa.int64()))])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +190,12 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("blob")):
             blob = blob.as_buffer()
             if kind == 0:
-                facts = np.frombuffer(blob, _META)
+                facts = np.frombuffer(blob, _META, int(np.frombuffer(blob, "<i8", 1)[0]), 8)
                 sig = np.ascontiguousarray(facts["sig"]).ravel()
-                yield from out(len(facts), kind=np.zeros(len(facts), np.int32), doc=facts["doc"].copy(), n=facts["n"].copy(), h1=facts["h1"].copy(), h2=facts["h2"].copy(), sig=pa.ListArray.from_arrays(pa.array(np.arange(0, len(sig) + 1, SIGNATURE_WORDS), pa.int32()), pa.array(sig)))
+                wide, cuts = np.frombuffer(blob, "<i8", offset=8 + facts.nbytes), np.concatenate(([0], np.cumsum(facts["wide"])))
+                lists = {"sig": (sig, np.arange(0, len(sig) + 1, SIGNATURE_WORDS)), "wide": (wide, cuts)}
+                lists = {k: pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x)) for k, (x, at) in lists.items()}
+                yield from out(len(facts), kind=np.zeros(len(facts), np.int32), **{c: facts[c].copy() for c in ("doc", "n", "h1", "h2")}, **lists)
                 continue
             m, k = np.frombuffer(blob, "<i8", 2)
             tok.append(np.frombuffer(blob, "<u8", m, 16))
@@ -230,11 +244,26 @@ def _can_link(n1: str, n2: str, p1: str | None = None, p2: str | None = None):
     return fits
 
 
+def _fits_apart(apart, n1: str, n2: str):
+    need = F.ceil((F.col(n1) + F.col(n2)) * NUMERATOR / (NUMERATOR + DENOMINATOR))  # least overlap
+    return apart <= F.col(n1) + F.col(n2) - 2 * need
+
+
 def _may_overlap(n1: str, n2: str, sig1: str, sig2: str):
     """The suffix filter: shingle sets whose signatures differ in more places than their sizes allow can't link."""
     apart = sum((F.bit_count(F.col(sig1)[i].bitwiseXOR(F.col(sig2)[i])) for i in range(SIGNATURE_WORDS)), F.lit(0))
-    need = F.ceil((F.col(n1) + F.col(n2)) * NUMERATOR / (NUMERATOR + DENOMINATOR))  # least overlap
-    return apart <= F.col(n1) + F.col(n2) - 2 * need
+    return F.coalesce(_fits_apart(apart, n1, n2), F.lit(True))
+
+
+def _may_overlap_wide(n1: str, n2: str, wide1: str, wide2: str):
+    """The suffix filter on wide signatures. Sizes that can link differ by less than a factor of two, so signatures do by two at most."""
+    x, y = F.col(wide1), F.col(wide2)
+    k1, k2 = F.size(x), F.size(y)
+    xor = lambda u, v: F.zip_with(u, v, lambda i, j: i.bitwiseXOR(j))
+    half = lambda u, k: xor(F.slice(u, 1, k), F.slice(u, k + 1, k))
+    between = F.when(k1 == k2, xor(x, y)).when(k1 == 2 * k2, xor(half(x, k2), y)).when(k2 == 2 * k1, xor(x, half(y, k1)))
+    apart = F.aggregate(between, F.lit(0), lambda acc, i: acc + F.bit_count(i))
+    return F.coalesce((k1 == 0) | (k2 == 0), F.lit(True)) | F.coalesce(_fits_apart(apart, n1, n2), F.lit(True))
 
 
 class JaccardJoin:
@@ -254,22 +283,30 @@ class JaccardJoin:
         return self.scratch.keep(blobs.repartitionById(buckets, F.col("bucket")).mapInArrow(_meet, _MET), "met", ["kind"])
 
     def _checked(self, pairs: DataFrame) -> DataFrame:
-        """pairs(a, b), distinct, to those that are links."""
-        facts = self.facts
-        for side in ("a", "b"):
-            pairs = pairs.join(facts.select(F.col("doc").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", "h1", "h2", "sig"))), side)
-        equal = F.expr("n_a = n_b and h1_a = h1_b and h2_a = h2_b").alias("equal")
-        pairs = pairs.where(_can_link("n_a", "n_b") & _may_overlap("n_a", "n_b", "sig_a", "sig_b")).select("a", "b", equal)
-        pairs = self.scratch.keep(pairs, "filtered")
-        sure, rest = pairs.where("equal").select("a", "b"), pairs.where("not equal").select("a", "b")
-        few = rest.count() <= BROADCAST_IDS
-        hint = F.broadcast if few else lambda df: df
+        """pairs(a, b), distinct and of different sets, to those that are links."""
+        pairs = self._facts_to(pairs, ["n", "sig"]).where(_may_overlap("n_a", "n_b", "sig_a", "sig_b")).select("a", "b")
+        near = self.scratch.keep(pairs, "near")
+        pairs = self._facts_to(near, ["n", "wide"]).where(_may_overlap_wide("n_a", "n_b", "wide_a", "wide_b")).select("a", "b")
+        rest = self.scratch.keep(pairs, "filtered")
+        hint = self._hint(rest)
         firsts = rest.select(F.col("a").alias("doc_id")).distinct()
         x = self.with_id.join(hint(firsts), "doc_id", "left_semi").select(F.lit(None).cast("long").alias("a"), F.col("doc_id").alias("b"), "text")
         y = self.with_id.withColumnRenamed("doc_id", "b").join(hint(rest), "b").select("a", "b", "text")
         shape = "a long, b long, shingles binary"
         ready = x.mapInArrow(_sets, shape).select(F.col("b").alias("a"), F.col("shingles").alias("x")).join(y.mapInArrow(_sets, shape).withColumnRenamed("shingles", "y"), "a")
-        return self.scratch.keep(ready.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long").union(sure).distinct(), "links")
+        return self.scratch.keep(ready.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long").distinct(), "links")
+
+    @staticmethod
+    def _hint(ids: DataFrame):
+        """Broadcasts a table of ids where it is small, by a count of its rows."""
+        return F.broadcast if ids.count() <= BROADCAST_IDS else lambda df: df
+
+    def _facts_to(self, pairs: DataFrame, columns: list[str]) -> DataFrame:
+        """pairs(a, b), a kept table, with the columns of both documents."""
+        hint = self._hint(pairs)
+        of = lambda side: self.facts.select(F.col("doc").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in columns))
+        seconds = of("b").join(hint(pairs.select("b").distinct()), "b", "left_semi")
+        return of("a").join(hint(pairs), "a").join(seconds, "b")
 
     @staticmethod
     def _spanning(placed: DataFrame) -> DataFrame:
@@ -280,15 +317,21 @@ class JaccardJoin:
     def components(self) -> tuple[DataFrame, DataFrame]:
         """facts(doc, n) and component(doc, component) of the documents that are linked with a smaller id."""
         met = self._met()
-        self.facts = met.where("kind = 0").select("doc", "n", "h1", "h2", "sig")
-        self.facts = self.facts.groupBy("doc").agg(*(F.max_by(c, F.struct("n", "h1", "h2")).alias(c) for c in ("n", "h1", "h2", "sig")))
+        facts = met.where("kind = 0").groupBy("doc").agg(*(F.max_by(c, F.struct("n", "h1", "h2")).alias(c) for c in ("n", "h1", "h2", "sig", "wide")), F.count("*").alias("times"))
+        # An id of several rows has several sets: it has no signatures, so that no filter dismisses it, and keeps its postings.
+        single = facts.withColumn("once", F.col("times") == 1).drop("times")
+        self.facts = self.scratch.keep(single.withColumns({c: F.when(F.col("once"), F.col(c)) for c in ("sig", "wide")}), "facts")
+        sets = self.facts.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc").alias("a"), F.count("*").alias("copies")).where("copies > 1")
+        copies = self.facts.join(sets, ["n", "h1", "h2"]).where("doc <> a").select("a", F.col("doc").alias("b"), "once")
+        copies = self.scratch.keep(copies, "copies")
         posts = met.where("kind = 1").select("token", "doc", "n", "pos")
+        posts = posts.join(self._hint(copies)(copies.where("once").select(F.col("b").alias("doc"))), "doc", "left_anti")
         # First round: every posting list's smallest id is its pivot.
         pivot = posts.groupBy("token").agg(F.min(F.struct("doc", "n", "pos")).alias("p"))
         star = posts.join(pivot, "token").where("doc <> p.doc").select(F.col("p.doc").alias("a"), F.col("doc").alias("b"), F.col("p.n").alias("n1"), F.col("n").alias("n2"), F.col("p.pos").alias("p1"), F.col("pos").alias("p2"))
         most = star.where(_can_link("n1", "n2", "p1", "p2")).groupBy("a", "b").count().groupBy("b").agg(F.max(F.struct("count", (-F.col("a")).alias("a"))).alias("m"))
         tried = self.scratch.keep(most.select((-F.col("m.a")).alias("a"), "b"), "star")  # at most one pair a document
-        links = self._checked(tried)
+        links = self._checked(tried).union(copies.select("a", "b"))
         component = self.scratch.keep(connected_components(links, self.scratch), "component")
         placed = posts.join(component, posts["doc"] == component["node"], "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("c"))
         open_ = self.scratch.keep(self._spanning(placed).join(self.facts.select("doc", "sig"), "doc"), "open")
