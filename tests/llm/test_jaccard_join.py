@@ -74,3 +74,25 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_components(df).collect() == []
     assert keep_one_of_each(df).collect() == []
+
+
+def test_long_texts_on_both_sides_of_the_limit(spark):
+    """Sets of some 600 shingles, whose wide signatures have different sizes, with similarities around 0.75."""
+    rnd = random.Random(9)
+    rows = []
+    for g in range(12):
+        base = [f"g{g}w{i}" for i in range(500 + 15 * g)]
+        for k in range(4):
+            words = list(base[: len(base) - rnd.randint(0, 60)])
+            for _ in range(rnd.randint(0, 24)):
+                words[rnd.randrange(len(words))] = f"y{rnd.random()}"
+            rows.append((10 * g + k, " ".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+
+
+def test_an_id_of_two_rows_links_through_both_texts(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(30)) for c in "pq")
+    rows = [(7, one), (7, two), (3, one), (9, two), (5, "alone")]
+    got = {r.doc_id: r.component_id for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {3: 3, 7: 3, 9: 3, 5: 5}
