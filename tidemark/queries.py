@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import gate, slice0
+from tidemark.plans import detections, gate, slice0  # noqa: F401  (detections adds its queries to those of gate)
 
 FLAGSHIP = "slice0_verdict_rollup"
 
