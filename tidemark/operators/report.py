@@ -29,3 +29,23 @@ def throughput(results: DataFrame, corpus_hours: float) -> DataFrame:
     sums = results.agg(F.sum("duration_seconds").alias("d"), F.sum("elapsed_seconds").alias("e"))
     xrt = F.coalesce(F.try_divide(F.col("d"), F.when(F.col("e") > 0, F.col("e"))), F.lit(0.0))
     return sums.select(xrt.alias("source_xrt"), F.try_divide(F.lit(float(corpus_hours)), F.nullif(xrt, F.lit(0.0))).alias("projected_hours"))
+
+
+def good_probability(samples: DataFrame, clip: str, hand: str, idle: str, eligible: str, least_hand: float, most_idle: float) -> DataFrame:
+    """Share of a clip's replicates that meet both bounds; 0 where the other rules fail or a replicate lacks a value. NaN meets none."""
+    both = (F.col(hand) >= least_hand) & ~F.isnan(hand) & (F.col(idle) <= most_idle) & ~F.isnan(idle)
+    share = F.avg(F.coalesce(both, F.lit(False)).cast("double"))
+    return samples.groupBy(clip).agg(F.when(F.bool_and(eligible), share).otherwise(0.0).alias("probability"))
+
+
+def good_hours(items: DataFrame, item: str, probability: str, hours: str, replicates: int, seed: int, confidence: float = 0.95) -> DataFrame:
+    """Interval of the hours that are good: in each replicate an item counts with its probability, by a draw from its hash.
+
+    Draws are summed by replicate before the shuffle, so only ``replicates`` rows leave a task.
+    """
+    draw = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(seed), F.col(item), F.col("r")), 256), 1, 8), 16, 10).cast("long") / float(1 << 32)
+    drawn = items.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("r"))
+    counted = F.when(draw < F.coalesce(F.col(probability), F.lit(0.0)), F.col(hours)).otherwise(0.0)
+    totals = drawn.groupBy("r").agg(F.sum(counted).alias("h"))
+    tail = (1.0 - confidence) / 2.0
+    return totals.agg(F.percentile("h", F.lit(tail)).alias("low"), F.percentile("h", F.lit(1.0 - tail)).alias("high"))
