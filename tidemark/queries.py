@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import detections, gate, good_hours, slice0  # noqa: F401  (the first and third add to the queries of gate)
+from tidemark.plans import detections, gate, good_hours, slice0, storage  # noqa: F401  (all but the second and fourth add to the queries of gate)
 
 FLAGSHIP = "slice0_verdict_rollup"
 
