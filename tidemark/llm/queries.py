@@ -78,4 +78,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Where SQL can express the whole result on whole tables; the other queries are tested against brute force (tests/llm).
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') AS g FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS x(k) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM p),
+g AS (SELECT doc_id, k, n, array_to_string(w[k : k + n - 1], ' ') AS g FROM d, sizes, unnest(range(1, len(w) - n + 2)) AS x(k)),
+hit AS (SELECT doc_id, k, n, item_id FROM g JOIN p USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT DISTINCT doc_id, k, n FROM hit), unnest(range(k, k + n)) AS x(i) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+}
