@@ -206,6 +206,13 @@ def w10_cohorts(spark, sf_dir):
     return journal.cohorts(items, "job", "k", "size", 100_000_000).select("job", "k", "cohort")
 
 
+@query(None)
+def w10_cohorts_all(spark, sf_dir):
+    """All jobs; w10_cohorts is the tenth of them that its recursive SQL is compared on."""
+    items = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("job"), F.col("o_orderkey").alias("k"), F.round(F.col("o_totalprice") * 100).cast("long").alias("size"))
+    return journal.cohorts(items, "job", "k", "size", 100_000_000).select("job", "k", "cohort")
+
+
 @query(_S + """, c AS (SELECT user_id, event_type, t, value FROM s), f AS (SELECT user_id, event_type, min(t) AS ft, max(t) AS lt, max(value) AS wv FROM c GROUP BY 1, 2),
 w AS (SELECT c.user_id, c.event_type, min(c.t) AS wt FROM c JOIN f ON f.user_id = c.user_id AND f.event_type = c.event_type AND c.value = f.wv GROUP BY 1, 2),
 u AS (SELECT user_id, event_type, '0-first' AS slot, ft AS t FROM f UNION ALL SELECT user_id, event_type, '1-worst', wt FROM w UNION ALL SELECT user_id, event_type, '2-last', lt FROM f)
