@@ -1,9 +1,9 @@
 """Operator 6: license scans, in DataFrame functions only.
 
-Method. A text's words become five-word shingles, cut into overlapping windows of WINDOW shingles every STEP of them. BANDS MinHash values
-of a window, one row a band, retrieve templates that have a window with an equal value: a window that holds a single template
-shingle in WINDOW meets it with probability 1 - (1 - 1/WINDOW)**BANDS, 0.90, and each shingle lies in two windows, so
-that 0.99 of even the shortest notices are met; windows within a longer template equal one of its windows. Texts that meet a
+Method. A text's words become five-word shingles, and every two neighbours are a window, besides the first and the last shingle alone.
+BANDS MinHash values of a window, one row a band, retrieve texts that have a value of a template's shingle. A single template
+shingle amid other words is missed by a band only if both its neighbours hash below it, 1/3, and so by all with
+probability 3**-BANDS, 0.00015; at a text's start or end it is a window of its own and always met. Texts that meet a
 template are then verified: a template matches where 0.75 or more of its shingles are in the text.
 
 Scale. One pass over the texts, no shuffle; the templates' values are constants. Windows stay in the row of their text, and
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.secret_scan import let
 
-SHINGLE, WINDOW, STEP, BANDS = 5, 4, 2, 8
+SHINGLE, BANDS = 5, 8
 #: Least share of a template's shingles that the text holds.
 NUMERATOR, DENOMINATOR = 3, 4
 #: Public license notices.
@@ -27,13 +27,16 @@ TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "BSD-3-Clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "MIT": "Released under the MIT License.",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 
 
@@ -51,18 +54,22 @@ def shingles(text: Column) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), joined)
 
 
-def band_values(s: Column, band: int, step: int) -> Column:
-    """A band's MinHash value of each window."""
-    ranked = F.transform(s, lambda x: F.xxhash64(x, F.lit(band)))
-    starts = F.sequence(F.lit(1), F.greatest(F.size(s), F.lit(1)), F.lit(step))
-    return let(ranked, lambda v: F.transform(starts, lambda i: F.array_min(F.slice(v, i, F.lit(WINDOW)))))
+def ranked(s: Column, band: int) -> Column:
+    """A band's values of the shingles."""
+    return F.transform(s, lambda x: F.xxhash64(x, F.lit(band)))
+
+
+def band_values(s: Column, band: int) -> Column:
+    """A band's MinHash value of each window of two neighbours, and of the first and the last shingle alone."""
+    none = F.array(F.lit(None).cast("long"))
+    return let(ranked(s, band), lambda v: F.zip_with(F.concat(none, v), v, lambda x, y: F.least(x, y)))  # null counts as absent
 
 
 def _constants(spark: SparkSession, templates: dict[str, str]) -> tuple[list[tuple[str, list[int]]], list[list[int]]]:
-    """Each template's distinct shingles, and each band's values of all templates' windows."""
+    """Each template's distinct shingles, and each band's values of all templates' shingles."""
     df = spark.createDataFrame(sorted(templates.items()), "name string, text string").withColumn("s", shingles(F.col("text")))
-    rows = df.select("name", F.array_distinct("s").alias("s"), *(band_values(F.col("s"), b, 1).alias(f"b{b}") for b in range(BANDS))).collect()  # as many as templates
-    return [(r["name"], r["s"]) for r in rows], [sorted({v for r in rows for v in r[f"b{b}"] if v is not None}) for b in range(BANDS)]
+    rows = df.select("name", F.array_distinct("s").alias("s"), *(ranked(F.col("s"), b).alias(f"b{b}") for b in range(BANDS))).collect()  # as many as templates
+    return [(r["name"], r["s"]) for r in rows], [sorted({v for r in rows for v in r[f"b{b}"]}) for b in range(BANDS)]
 
 
 def _longs(values: list[int]) -> Column:
@@ -76,7 +83,7 @@ def scan(docs: DataFrame, keep: list[str], templates: dict[str, str] = TEMPLATES
     cut = docs.select(*dict.fromkeys([*keep, "text"])).withColumn("shingles", shingles(F.col("text")))
     meets = F.lit(False)
     for b, values in enumerate(bands):
-        meets |= F.arrays_overlap(band_values(F.col("shingles"), b, STEP), _longs(values)) if values else F.lit(False)
+        meets |= F.arrays_overlap(band_values(F.col("shingles"), b), _longs(values)) if values else F.lit(False)
     names = [F.when(F.size(F.array_intersect("shingles", _longs(s))) * DENOMINATOR >= NUMERATOR * len(s), F.lit(name)) for name, s in known]
     none = F.array().cast("array<string>")
     matched = F.array_compact(F.array(*names)) if names else none
