@@ -1,9 +1,10 @@
 """Operator 4: quotation linking of conversations, in DataFrame functions only.
 
 Method. A message's lines carry a quote level, their leading ``>`` marks. Lines of one level in a row are a passage; it is
-normalised (lower case, letters and digits only, one space between words) and hashed. A quoted passage is joined with the
-earliest message of its conversation whose own words (level 0) hold it as a line or as a whole passage; a message answers the
-latest message before it that it quotes at its lowest level. Root and depth of each message come from pointer doubling over the answers, one
+normalised (lower case, letters and digits only, one space between words; a whole message of neither, as it stands) and hashed. A passage
+of the least quote level that its message has, be it ``>`` or ``>>``, is joined with the earliest message of its conversation whose own
+words (level 0) hold it as a line, a paragraph or the whole message; one below LEAST_CHARS only as the whole message. A message
+answers the latest message before it that it quotes so. Root and depth of each message come from pointer doubling over the answers, one
 join of unique keys a round. The result orders a conversation's messages by root, depth and turn, so that each
 follows what it answers, with quotes taken out of the text.
 
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import Scratch
 
-#: Shortest normalised passage (characters) that links, so that "ok" or "thanks" don't.
+#: Shortest normalised passage (characters) that links to a part of a message; a shorter one links to a whole message only, so
+#: that "ok" or "thanks" as one line of many don't.
 LEAST_CHARS = 12
 _QUOTE = r"^(?:[ \t]*>)+[ \t]?"
 
@@ -49,21 +51,25 @@ def _passages(lines: Column) -> Column:
     return F.aggregate(lines, F.array().cast("array<struct<level int, text string>>"), add)
 
 
-def _hashes(texts: Column) -> Column:
-    long_enough = F.filter(F.transform(texts, normalised), lambda x: F.length(x) >= LEAST_CHARS)
-    return F.array_distinct(F.transform(long_enough, lambda x: F.sha2(x, 256)))
+def _hashes(parts: Column, wholes: Column) -> Column:
+    """Hashes of ``parts`` that are long enough to link, and of ``wholes`` of any length."""
+    long_enough = F.filter(F.transform(parts, normalised), lambda x: F.length(x) >= LEAST_CHARS)
+    as_is = F.transform(wholes, lambda x: F.when(normalised(x) == "", F.trim(x)).otherwise(normalised(x)))
+    texts = F.concat(long_enough, F.filter(as_is, lambda x: F.length(x) > 0))
+    return F.transform(F.array_distinct(texts), lambda x: F.sha2(x, 256))
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, own (text without quotes), own_hashes, quoted_hashes (of the lowest quote level), n_quotes."""
+    """conv_id, turn, role, own (text without quotes), own_hashes, quoted_hashes (of the least quote level it has), n_quotes."""
     quotes = F.col("text").rlike("(?m)^[ \\t]*>")
     lined = messages.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("lines", F.when(quotes, _lines(F.col("text")))).withColumn("passages", F.when(quotes, _passages(F.col("lines"))))
     own = F.when(F.col("passages").isNull(), F.col("text")).otherwise(F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["line"]), "\n"))
-    quoted = F.filter("passages", lambda p: p["level"] == 1)
-    own_texts = F.concat(F.split("own", "\n"), F.split("own", "\n\\s*\n"), F.array("own"))
-    quoted_texts = F.concat(F.transform(quoted, lambda p: p["text"]), F.flatten(F.transform(quoted, lambda p: F.split(p["text"], "\n"))))
-    return lined.withColumn("own", F.trim(own)).select(
-        "conv_id", "turn", "role", "own", _hashes(own_texts).alias("own_hashes"), F.when(F.size(quoted) > 0, _hashes(quoted_texts)).alias("quoted_hashes"),
+    least = F.array_min(F.transform(F.filter("passages", lambda p: p["level"] > 0), lambda p: p["level"]))
+    quoted = F.transform(F.filter("passages", lambda p: p["level"] == F.col("least")), lambda p: p["text"])
+    own_hashes = _hashes(F.concat(F.split("own", "\n"), F.split("own", "\n\\s*\n")), F.array("own"))
+    quoted_hashes = _hashes(F.flatten(F.transform(quoted, lambda p: F.split(p, "\n"))), quoted)
+    return lined.withColumn("own", F.trim(own)).withColumn("least", least).select(
+        "conv_id", "turn", "role", "own", own_hashes.alias("own_hashes"), F.when(F.size(quoted) > 0, quoted_hashes).alias("quoted_hashes"),
         F.coalesce(F.size(F.filter("passages", lambda p: p["level"] > 0)), F.lit(0)).cast("long").alias("n_quotes"),
     )
 
