@@ -34,3 +34,22 @@ def test_operator(spark):
     assert len(got) == 4 and all(r.n_chars == len(r.text) for r in got)
     assert {r.page_id: r.text for r in got}[None].startswith("é漢\U0001f600\n\nx")
     assert extract_main_text(df.limit(0), ["page_id", "url"]).collect() == []
+
+
+LONG = ("Words of the main text that are long enough to count as content here. " * 3).strip()
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<body><article><h2>A</h2><p>{LONG}</p></article><article><h2>B</h2><p>{LONG} {LONG}</p></article></body>", ["A", LONG, "B", f"{LONG} {LONG}"]),
+        (f"<body><div><h1>Headline</h1><p>Lead. {LONG}</p></div><div>" + f"<p>{LONG}</p>" * 12 + "</div><div><a>x</a> <a>y</a></div></body>", ["Headline", f"Lead. {LONG}", *[LONG] * 12]),
+        (f"<body><h1>Title</h1><p>By me</p><article><p>{LONG}</p></article></body>", ["Title", "By me", LONG]),
+        (f"<body><article><p>{LONG}</p><ul><li><a>More one</a></li><li><a>More two</a></li><li><a>More three</a></li><li><a>More four</a></li></ul><p>{LONG}</p><p><a>Source</a></p></article></body>", [LONG, LONG, "Source"]),
+        (f'<body><article class="post related"><p>{LONG}</p><section class="comments"><article class="comment"><p>{LONG}</p></article></section></article></body>', [LONG]),
+        (f'<body><div class="login page"><p>{LONG}</p><p>{LONG}</p></div><div class=promo><p>Buy now.</p></div></body>', [LONG, LONG]),
+        (f"<body><main><h1>M</h1><p>{LONG}</p><article><p>{LONG}</p></article></main></body>", ["M", LONG, LONG]),
+    ],
+)
+def test_regions_and_clusters(html, want):
+    assert main_text(html) == "\n\n".join(want)

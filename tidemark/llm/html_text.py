@@ -1,11 +1,16 @@
 """Operator 7: main text of web pages, from streaming parser events and text-to-tag ratios.
 
 Method. The standard library's parser streams a page's events; each block of text becomes a line, with its number of tags.
-Elements that never hold main text (menus, headers, footers, sidebars, forms, scripts, styles, notices, adverts, reader
-comments, by element or by words in class, id or role) are left out with all they hold. Over the rest, the ratio of text to
-tags by line is smoothed with a Gaussian and a threshold clusters the lines into content and other. The region is the article (or main
-element) with the most content text, or else the deepest element that holds nearly all of it; every line of the region is
-returned, however short.
+Elements that never hold main text (menus, footers, sidebars, forms, scripts, styles; headers outside articles; hidden ones and some
+roles) are left out with all they hold. So are elements whose class or id has a word of NAMES (adverts, reader comments, notices),
+but for outermost article and main elements and, on a page without these, elements with most of the page's text. Over the rest, the
+ratio of text to tags by line is smoothed with a Gaussian and a threshold clusters the lines into content and other.
+
+The regions are all outermost article and main elements with content, or else the deepest element that holds nearly all of it.
+Within them, lines of a cluster and those beside one, however short, are returned, but for mostly linked lines under the
+threshold: LINKS of them in a row, by their own ratios, are a list of links and left out. From outside them come lines
+that reach the threshold by themselves (without article and main), and headings at most NEAR lines before a returned line with
+what lies between. All are joined in page order.
 
 Cases. A null or empty page has an empty text. Malformed and cut-off pages are parsed as far as they go. Repeated rows each
 keep their row. One task handles a page at a time; pages are neither shuffled nor cut.
@@ -37,32 +42,32 @@ NAMES = frozenset(
 )
 ROLES = frozenset("banner navigation complementary contentinfo search alert dialog menu form".split())
 
-SIGMA, SHARE, COVER = 1.5, 0.5, 0.85
+SIGMA, SHARE, COVER, NEAR, LINKS = 1.5, 0.5, 0.85, 3, 3
 
 
 class _Element:
-    __slots__ = ("tag", "left_out", "parent", "article", "in_header")
+    __slots__ = ("tag", "left_out", "parent", "article", "in_header", "named", "linked")
 
-    def __init__(self, tag: str, left_out: bool, parent: _Element | None, article: bool, in_header: bool):
-        self.tag, self.left_out, self.parent, self.article, self.in_header = tag, left_out, parent, article, in_header
+    def __init__(self, tag: str, left_out: bool, parent: _Element | None, article: bool, in_header: bool, named: bool = False, linked: bool = False):
+        self.tag, self.left_out, self.parent, self.article, self.in_header, self.named, self.linked = tag, left_out, parent, article, in_header, named, linked
 
 
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags, element)."""
+    """Lines of a page: (text, tags, element, linked characters)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.top = _Element("", False, None, False, False)
-        self.lines: list[tuple[str, int, _Element]] = []
+        self.lines: list[tuple[str, int, _Element, int]] = []
         self.held: list[str] = []
-        self.tags, self.within = 1, self.root
+        self.tags, self.within, self.n_linked = 1, self.root, 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.held).split())
         if text:
-            self.lines.append((text, self.tags, self.within))
+            self.lines.append((text, self.tags, self.within, self.n_linked))
             self.tags = 1
-        self.held = []
+        self.held, self.n_linked = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if not self.top.left_out:
@@ -77,23 +82,17 @@ class Lines(HTMLParser):
         top = self.top
         article = top.article or tag in CONTAINERS
         in_header = top.in_header or tag == "header"
-        left_out = top.left_out or tag in NEVER or tag == "header" and not top.article or in_header and top.in_header and tag in BLOCKS and tag not in HEADINGS and tag not in ("div", "hgroup", "section") or self._named(tag, attrs)
-        self.top = _Element(tag, left_out, top, article, in_header)
+        left_out = top.left_out or tag in NEVER or tag == "header" and not top.article or in_header and top.in_header and tag in BLOCKS and tag not in HEADINGS and tag not in ("div", "hgroup", "section") or self._hidden(attrs)
+        named = self._named(tag, attrs) and not (tag in CONTAINERS and not top.article)
+        self.top = _Element(tag, left_out, top, article, in_header, named, top.linked or tag == "a")
+
+    @staticmethod
+    def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
+        return any(name == "hidden" and not value or value and (name == "role" and value.lower() in ROLES or name == "aria-hidden" and value.lower() == "true") for name, value in attrs)
 
     @staticmethod
     def _named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in ("html", "body"):
-            return False
-        for name, value in attrs:
-            if not value:
-                if name == "hidden":
-                    return True
-            elif name in ("class", "id"):
-                if not NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value.lower())):
-                    return True
-            elif name == "role" and value.lower() in ROLES or name == "aria-hidden" and value.lower() == "true":
-                return True
-        return False
+        return tag not in ("html", "body") and any(value and name in ("class", "id") and not NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value.lower())) for name, value in attrs)
 
     def _close_open(self, tag: str) -> None:
         """A block ends an open paragraph; an item or cell ends the one before it."""
@@ -130,14 +129,50 @@ class Lines(HTMLParser):
         if not self.held:
             self.within = top
         self.held.append(data)
+        if top.linked:
+            self.n_linked += len(data.strip())
 
 
-def content(ratios: np.ndarray) -> np.ndarray:
-    """Which lines are content: smoothed ratios at a share of their mean or above."""
+def content(ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which lines are content: those whose smoothed ratio, and those whose own, is a share of the mean or above."""
     reach = int(3 * SIGMA)
     kernel = np.exp(-np.square(np.arange(-reach, reach + 1)) / (2 * SIGMA * SIGMA))
     smooth = np.convolve(ratios, kernel / kernel.sum(), "full")[reach : reach + len(ratios)]
-    return np.maximum(smooth, ratios) >= SHARE * smooth.mean()
+    own = ratios >= SHARE * smooth.mean()
+    return own | (smooth >= SHARE * smooth.mean()), own
+
+
+def _chain(element: _Element | None) -> Iterator[_Element]:
+    while element is not None:
+        yield element
+        element = element.parent
+
+
+def _outermost(element: _Element) -> _Element | None:
+    """The outermost article or main around an element."""
+    return next((e for e in _chain(element) if e.tag in CONTAINERS and not e.parent.article), None) if element.article else None
+
+
+def _masses(lines: list, which: list[bool]) -> dict[_Element, int]:
+    """Characters by element, over the lines that count."""
+    mass: dict[_Element, int] = {}
+    for (text, _, element, _), ok in zip(lines, which):
+        if ok:
+            for e in _chain(element):
+                mass[e] = mass.get(e, 0) + len(text)
+    return mass
+
+
+def _without_named(lines: list) -> list:
+    """Lines but those in elements left out by name."""
+    named = {e for x in lines for e in _chain(x[2]) if e.named}
+    if not named:
+        return lines
+    if not any(x[2].article for x in lines):
+        mass = _masses(lines, [True] * len(lines))
+        total = sum(len(x[0]) for x in lines)
+        named = {e for e in named if 2 * mass[e] <= total}
+    return [x for x in lines if named.isdisjoint(_chain(x[2]))]
 
 
 def main_text(html: str | None) -> str:
@@ -147,33 +182,35 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.end_line()
-    lines = page.lines
+    lines = _without_named(page.lines)
     if not lines:
         return ""
-    sizes = np.array([len(t) for t, _, _ in lines])
-    good = content(sizes / np.array([n for _, n, _ in lines]))
-    mass: dict[_Element, int] = {}
-    total = 0
-    for (_, _, element), n, ok in zip(lines, sizes.tolist(), good.tolist()):
-        if ok:
-            total += n
-            while element is not None:
-                mass[element] = mass.get(element, 0) + n
-                element = element.parent
-    articles = [e for e in mass if e.tag in CONTAINERS]
-    if articles:
-        inner = [e for e in articles if e.tag == "article"] or articles
-        region = max(inner, key=mass.__getitem__)  # the first of equals
+    sizes = np.array([len(x[0]) for x in lines])
+    good, own = (x.tolist() for x in content(sizes / np.array([x[1] for x in lines])))
+    mass = _masses(lines, good)
+    articles = [_outermost(x[2]) for x in lines]
+    if any(a in mass for a in articles if a is not None):
+        inside = [a is not None and a in mass for a in articles]
+        lone = False
     else:
-        depth = lambda e: 0 if e.parent is None else 1 + depth(e.parent)
+        total = mass[page.root]
+        depth = lambda e: sum(1 for _ in _chain(e))
         region = max((e for e in mass if mass[e] >= COVER * total and (e.tag in BLOCKS and e.tag != "p" and e.tag not in HEADINGS or e is page.root)), key=depth)
-    out = []
-    for text, _, element in lines:
-        while element is not None and element is not region:
-            element = element.parent
-        if element is region:
-            out.append(text)
-    return "\n\n".join(out)
+        inside = [region in _chain(x[2]) for x in lines]
+        lone = True
+    heading = [any(e.tag in HEADINGS for e in _chain(x[2])) for x in lines]
+    links = [2 * x[3] >= len(x[0]) and not o and not h for x, o, h in zip(lines, own, heading)]
+    keep = [i or lone and o and 2 * x[3] < len(x[0]) for i, o, x in zip(inside, own, lines)]
+    start = 0
+    for k in range(1, len(lines) + 1):  # lists of links
+        if k == len(lines) or links[k] != links[start]:
+            if links[start] and k - start >= LINKS:
+                keep[start:k] = [False] * (k - start)
+            start = k
+    for k in [k for k in range(len(lines)) if heading[k] and not keep[k]][::-1]:
+        upto = next((j for j in range(k + 1, min(k + 1 + NEAR, len(lines))) if keep[j]), k)
+        keep[k:upto] = [not x for x in links[k:upto]]
+    return "\n\n".join(x[0] for x, ok in zip(lines, keep) if ok)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
