@@ -40,3 +40,11 @@ def test_verdict_and_empty_tables(spark):
     assert all(r.kept == (r.doc_id < 200) for r in Q.rate(docs, labels, ["doc_id"]).collect())
     assert all(r.kept and r.log_ratio == 0 for r in Q.rate(docs, labels.limit(0), ["doc_id"]).collect())
     assert Q.rate(docs.limit(0), labels, ["doc_id"]).collect() == []
+
+
+def test_target_counts_every_good_document(spark):
+    docs = spark.range(9_000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.hex("id"), F.hex(F.col("id") * 7919)).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert set(Q.log_ratios(docs, labels)) == {0.0}  # the target is the corpus
+    few = Q.log_ratios(docs, labels.where("doc_id < 100").union(labels.where("doc_id < 50")))
+    assert max(few) > 0 > min(few)

@@ -2,11 +2,11 @@
 
 Method. Base rules count a text's words, symbols, repeated lines and repeated three-word windows. The verdict is a ratio of two
 multinomials over SLOTS hashed n-grams (of word endings, alone and in pairs, so that unseen words still count): the raw corpus,
-counted over every document, and a trusted target, counted over a bounded sample of documents labelled good. A text's mean log
+counted over every document, and a trusted target, counted over every document labelled good. A text's mean log
 ratio per n-gram is compared with a fixed threshold, so the same text always gets the same verdict from the same corpus.
 
 Scale. Counting explodes n-grams into a partial aggregate of at most SLOTS groups a task; what is shuffled is SLOTS counts a
-task. Scoring looks the SLOTS log ratios up in an array of fixed size, in each row; texts are never shuffled.
+task. Ids labelled good are broadcast up to BROADCAST_IDS; above that texts are shuffled once to meet them. Scoring looks the SLOTS log ratios up in an array of fixed size, in each row.
 
 Cases. A null or empty text has no words and fails the base rules. Repeated rows each keep theirs. Without labels or documents
 every ratio is 0, which is kept.
@@ -18,11 +18,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.linear import labelled_sample
+from tidemark.llm.jaccard_join import BROADCAST_IDS
 
 SLOTS = 1 << 14
-#: Documents labelled good that the target is counted on, at most; pseudo-counts a slot; least mean log ratio.
-TARGET_ROWS, SMOOTHING, THRESHOLD = 8_000, 0.5, -0.15
+#: Pseudo-counts a slot; least mean log ratio.
+SMOOTHING, THRESHOLD = 0.5, -0.15
 LEAST_WORDS, REPEATED_PERCENT = 50, 50
 _WHITE = " \t\n\x0b\x0c\r"
 
@@ -46,16 +46,18 @@ def slots(words: Column) -> Column:
     return F.transform(F.array(own), lambda h: F.concat(F.transform(h, lambda x: F.pmod(x, F.lit(SLOTS)).cast("int")), F.zip_with(F.slice(h, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(h, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(SLOTS)).cast("int"))))[0]
 
 
-def slot_counts(docs: DataFrame) -> DataFrame:
-    return with_words(docs.select("text")).where("n_words > 0").select(F.explode(slots(F.col("words"))).alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
+def slot_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(slot, raw, target): n-grams of all documents, and of all that are labelled good, in one pass."""
+    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("good", F.lit(True))
+    good = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
+    worded = with_words(docs.select("doc_id", "text").join(good, "doc_id", "left")).where("n_words > 0")
+    return worded.select("good", F.explode(slots(F.col("words"))).alias("slot")).groupBy("slot").agg(F.count("*").alias("raw"), F.count("good").alias("target"))
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     """Of each slot, the target's log share less the raw corpus'. SLOTS numbers, whatever the input."""
-    good = labelled_sample(docs, labels.where("quality = 1"), "quality", F.lit(True), TARGET_ROWS)
-    spark = docs.sparkSession
-    raw, target = slot_counts(docs).withColumnRenamed("n", "raw"), slot_counts(good).withColumnRenamed("n", "target")
-    both = spark.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(raw, "slot", "left").join(target, "slot", "left").na.fill(0)
+    counts = slot_counts(docs, labels)
+    both = docs.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot")).join(counts, "slot", "left").na.fill(0)
     rows = sorted(both.select("slot", "raw", "target").collect())  # SLOTS rows
     raw, target = (np.array([r[c] for r in rows], float) for c in ("raw", "target"))
     if not raw.sum() or not target.sum():
