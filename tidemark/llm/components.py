@@ -34,6 +34,7 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             .distinct()
         )
         large = scratch.keep(large, "large")
+        scratch.drop(now)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.alias("e").join(low.alias("l"), F.col("e.u") == F.col("l.u"))
@@ -42,6 +43,7 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             .distinct()
         )
         now = scratch.keep(small, "small")
+        scratch.drop(large)
         after = _state(now)
         if after == before:
             break

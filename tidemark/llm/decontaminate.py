@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.fm_index import FMIndex, occurrences
-from tidemark.llm.shared import small_batches
 from tidemark.llm.textops import ALNUM_LOWER, Words, utf8_parts
 
 WINDOW, SAMPLE = 10, 32
@@ -147,7 +146,6 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str], w
     """docs(text, ...) to its columns ``keep`` and ``hits``: n_words, runs of hit words and their spans in code points (ends
     exclusive), and the ids of the items found."""
     spark = docs.sparkSession
-    small_batches(spark)
     shared = [spark.sparkContext.broadcast(p) for p in phrase_blocks(benchmark, window)]
     columns = list(dict.fromkeys([*keep, "text"]))
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("hits", HITS)])

@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import small_batches
 
 #: A part of a column of texts to each row's slots and values: (slots, values, index of each row's first one).
 Features = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]]
@@ -74,7 +73,6 @@ def train(rows: DataFrame, slots: int, epochs: int, alpha: float = 0.3, beta: fl
 
 def scored(docs: DataFrame, features: Features, weights: np.ndarray, keep: list[str]) -> DataFrame:
     """docs(text, ...) to its columns ``keep`` and a score of each whole text."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
@@ -101,7 +99,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, trainable, m
 
 
 def _drawn(rows: DataFrame, most: int) -> DataFrame:
-    small_batches(rows.sparkSession)
     share = min(1.0, most / max(1, rows.count()))
     placed = rows.withColumn("place", F.xxhash64("doc_id", F.lit(17)))
     return placed.where(F.pmod("place", F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else placed

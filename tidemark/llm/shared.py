@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder, from ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The cluster's checkpoint folder, from ``spark.checkpoint.dir``. Where that is unset, a temporary one in local mode (tests),
+    where driver and executors are one process; on a cluster, whose machines wouldn't see it, an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that every executor reaches")
         root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -25,6 +28,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        self._kept: list[tuple[DataFrame, str]] = []
 
     def keep(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         path = f"{self.root}/{self._n:03d}-{name}"
@@ -33,20 +37,17 @@ class Scratch:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, df: DataFrame) -> None:
-        """Deletes a table that ``keep`` wrote and that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            fs.delete(p, True)
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Rows that go to a Python worker at once: whole texts are long, so the session's Arrow batches shrink to 1,000 rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._kept.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that ``keep`` returned and that nothing reads any more; others are left alone."""
+        context = self.spark.sparkContext
+        for path in [p for df, p in self._kept if any(df is t for t in tables)]:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        self._kept = [(df, p) for df, p in self._kept if not any(df is t for t in tables)]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
