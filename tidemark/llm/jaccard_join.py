@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.shared import Scratch, shuffle_partitions
+from tidemark.llm.shared import Scratch, shuffle_partitions, small_batches
 from tidemark.llm.textops import SPACED_LOWER, Words, mix, ngrams, sequence_hash, signed, utf8_parts
 
 SHINGLE = 5
@@ -110,8 +110,9 @@ def frequency_sketch(docs: DataFrame, bits: int) -> np.ndarray:
     tasks = COUNT_TASKS * docs.sparkSession.sparkContext.defaultParallelism
     partial = docs.select("text").coalesce(tasks).mapInArrow(_count(bits), schema)
     sketch = np.zeros((BLOCKS, (1 << bits) // BLOCKS), np.uint32)
-    for row in partial.repartition(16, "block").mapInArrow(_add_blocks, schema).toLocalIterator():
-        sketch[row["block"]] = np.frombuffer(row["counts"], np.uint32)
+    with small_batches(docs.sparkSession):
+        for row in partial.repartition(16, "block").mapInArrow(_add_blocks, schema).toLocalIterator():
+            sketch[row["block"]] = np.frombuffer(row["counts"], np.uint32)
     return sketch.ravel()
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,18 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, 1,000 rows at most go to a Python worker at once, as whole texts are long; then the session is as it was."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(1000, int(before)) if int(before) > 0 else 1000)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """A fresh folder below the shared one; ``keep`` writes a table there and reads it back, which cuts the lineage."""
 
@@ -36,7 +50,8 @@ class Scratch:
         writer = df.write
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        with small_batches(self.spark):
+            writer.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._kept.append((out, path))
         return out
@@ -61,3 +76,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fold_of(column: str, folds: int):
     """crc32 of the id's text modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def without(columns: list[str], *own: str) -> list[str]:
+    """``columns`` but those named like an operator's own result columns, which win."""
+    return [c for c in columns if c.lower() not in own]
