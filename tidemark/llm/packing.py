@@ -2,10 +2,12 @@
 
 Method. A document's hashed bag of words is projected onto four dimensions by a fixed random table; the Hilbert key of the
 quantised point, with a few bits of the id's hash below it, orders the corpus. Split points of that order come from
-approximate percentiles of a sample's keys (a sketch of bounded size; range partitioning does likewise), each range is one task, and a task packs its documents in curve
+approximate percentiles of all keys (a sketch of bounded size), each range is one task, and a task packs its documents in curve
 order, cutting where a sequence is full. What remains at a range's end is cut at powers of two, so nothing is padded.
-Texts are shuffled once and tokenised once, after the shuffle; copies share a key but for the id's bits, so that a group
-of copies of any size is dealt over many ranges.
+
+Scale. Texts are shuffled once and tokenised once, after the shuffle. The number of ranges follows the bytes of text; copies share a
+key but for the id's bits, so that a group of copies of any size is dealt over many ranges. A task holds the pieces of one open
+sequence, the ids of some PART_BYTES of text or of one document, and a cache of bounded size.
 
 Cases. A null or empty text is its end token alone. Null ids are packed as well. Repeated rows are packed as often as they
 occur. Extra columns are ignored. An empty table has no pieces.
@@ -21,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import shuffle_partitions
+from tidemark.llm.shared import shuffle_partitions, small_batches
 from tidemark.llm.textops import SPACED_LOWER, Words, mix, utf8_parts
 from tidemark.llm.tokens import tokenizer
 
@@ -29,8 +31,8 @@ DIMENSIONS, DIMENSION_BITS, TIE_BITS = 4, 12, 15
 #: Slots of the hashed bag of words, and the seed of their random directions.
 SLOTS, SEED = 4096, 20240
 END_ID, LENGTH = 1, 2048
-#: Share of the documents whose keys set the split points; a range's size depends on it, nothing else.
-SPLIT_SHARE = 0.05
+#: Bytes of text that a range has at most on average, pieces and tokens that leave a task at once.
+RANGE_BYTES, BATCH_PIECES, BATCH_TOKENS = 128 << 20, 10_000, 200_000
 PART_BYTES = 1 << 20
 
 
@@ -133,27 +135,29 @@ def _packer(vocabulary: str, length: int, with_ids: bool):
         held: list[tuple] = []  # the pieces of the sequence that is open
         filled, sequence, owner, tokens_out = 0, 0, None, 0
         for batch in batches:
-            flat, at_text = encode.many([t.as_py() or b"" for t in batch.column("text").cast(pa.large_binary())])
-            for k, (owner_now, doc) in enumerate(zip(batch.column("range").to_pylist(), batch.column("doc_id").to_pylist())):
-                if owner_now != owner:
-                    rows += cut(held, sequence)
-                    owner, held, filled, sequence = owner_now, [], 0, owner_now << 32
-                ids = np.concatenate((flat[at_text[k] : at_text[k + 1]], end))
-                done = 0
-                while done < len(ids):
-                    take = min(len(ids) - done, length - filled)
-                    held.append((doc, done, ids[done : done + take], len(ids)))
-                    done, filled = done + take, filled + take
-                    if filled == length:
-                        at = 0
-                        for d, start, x, n in held:
-                            rows.append((d, start, x, n, sequence, at))
-                            at += len(x)
-                        held, filled, sequence = [], 0, sequence + 1
-                tokens_out += len(ids)
-                if len(rows) >= 10_000 or tokens_out >= 2_000_000 and rows:
-                    yield batch_of(rows)
-                    rows, tokens_out = [], 0
+            ranges, docs = batch.column("range").to_pylist(), batch.column("doc_id").to_pylist()
+            for lo, hi, data, offsets in utf8_parts(batch.column("text"), PART_BYTES):
+                flat, at_text = encode.many([data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])])
+                for k in range(lo, hi):
+                    if ranges[k] != owner:
+                        rows += cut(held, sequence)
+                        owner, held, filled, sequence = ranges[k], [], 0, ranges[k] << 32
+                    ids = np.concatenate((flat[at_text[k - lo] : at_text[k - lo + 1]], end))
+                    done = 0
+                    while done < len(ids):
+                        take = min(len(ids) - done, length - filled)
+                        held.append((docs[k], done, ids[done : done + take], len(ids)))
+                        done, filled = done + take, filled + take
+                        if filled == length:
+                            at = 0
+                            for d, start, x, n in held:
+                                rows.append((d, start, x, n, sequence, at))
+                                at += len(x)
+                            held, filled, sequence = [], 0, sequence + 1
+                    tokens_out += len(ids)
+                    if rows and (len(rows) >= BATCH_PIECES or tokens_out >= BATCH_TOKENS):
+                        yield batch_of(rows)
+                        rows, tokens_out = [], 0
         rows += cut(held, sequence)
         if rows:
             yield batch_of(rows)
@@ -165,10 +169,13 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH, with_ids: bool
     """docs(doc_id, text, ...) to one row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and
     the piece's ids if asked for. ``vocabulary`` is a tokenizer file that every executor has; ``length`` a power of two."""
     spark = docs.sparkSession
-    ranges = shuffle_partitions(spark)
+    text_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    ranges = max(shuffle_partitions(spark), -(-text_bytes // RANGE_BYTES))
     shares = [i / ranges for i in range(1, ranges)]
-    bounds = (docs.select("doc_id", "text").sample(SPLIT_SHARE, seed=7).withColumn("key", curve_key("text", "doc_id")).agg(F.percentile_approx("key", shares, 20_000)).first()[0] if shares else None) or []
-    splits = np.array(sorted(bounds), np.int64)
+    keys = docs.select(curve_key("text", "doc_id").alias("key")).agg(F.percentile_approx("key", shares or [0.5], max(20_000, 4 * ranges)))
+    with small_batches(spark):
+        bounds = keys.first()[0] if shares else None
+    splits = np.array(sorted(bounds or []), np.int64)
 
     @F.arrow_udf("struct<range int, key long>")
     def place(texts: pa.Array, ids: pa.Array) -> pa.Array:

@@ -43,14 +43,20 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class _Powers:
+    """Powers of the base and of its inverse; a worker keeps those for buffers up to MOST bytes, longer ones are worked out anew."""
+
+    MOST = 1 << 22
     up = _powers(_BASE, 2)
     down = _powers(_INVERSE, 2)
 
     @classmethod
-    def at_least(cls, n: int) -> None:
-        if len(cls.up) < n:
-            n += n // 16
-            cls.up, cls.down = _powers(_BASE, n), _powers(_INVERSE, n)
+    def at_least(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) >= n:
+            return cls.up, cls.down
+        made = _powers(_BASE, n + n // 16), _powers(_INVERSE, n + n // 16)
+        if n <= cls.MOST:
+            cls.up, cls.down = made
+        return made
 
 
 class Alphabet:
@@ -74,7 +80,7 @@ ALNUM_LOWER = Alphabet(NOT_ALNUM, lower=True)
 class Words:
     """Words of some texts: ``start`` and ``end`` (bytes), ``hash``, and ``first`` (index of each text's first word, then their number)."""
 
-    __slots__ = ("start", "end", "hash", "first", "buffer", "text_at", "running")
+    __slots__ = ("start", "end", "hash", "first", "buffer", "text_at", "running", "down")
 
     def __init__(self, buffer: np.ndarray, text_at: np.ndarray, alphabet: Alphabet):
         n = len(buffer)
@@ -88,13 +94,13 @@ class Words:
             after[-1], after[:-1] = False, inside[1:]
         self.start = np.flatnonzero(inside & (~before | breaks[:-1]))
         self.end = np.flatnonzero(inside & (~after | breaks[1:])) + 1
-        _Powers.at_least(n + 1)
+        up, self.down = _Powers.at_least(n + 1)
         running = np.zeros(n + 1, _U)
         values = alphabet.value[buffer]
-        values *= _Powers.up[:n]
+        values *= up[:n]
         np.cumsum(values, out=running[1:])
         self.running = running
-        self.hash = mix((running[self.end] - running[self.start]) * _Powers.down[self.start])
+        self.hash = mix((running[self.end] - running[self.start]) * self.down[self.start])
         self.first = np.searchsorted(self.start, text_at)
 
     def counts(self) -> np.ndarray:
@@ -104,7 +110,7 @@ class Words:
         """Hashes of the first ``size`` bytes of words that have more, and which words those are."""
         which = np.flatnonzero(self.end - self.start > size)
         at = self.start[which]
-        return mix((self.running[at + size] - self.running[at]) * _Powers.down[at] + _U(size)), which
+        return mix((self.running[at + size] - self.running[at]) * self.down[at] + _U(size)), which
 
 
 _STEP = _U(0xD1342543DE82EF95)

@@ -17,7 +17,10 @@ from itertools import chain
 import numpy as np
 
 #: Distinct pieces a worker remembers, and the longest piece (characters) that it does.
-CACHE_PIECES, CACHE_PIECE_CHARS = 400_000, 48
+CACHE_PIECES, CACHE_PIECE_CHARS = 120_000, 48
+#: Bytes of text whose pieces are held at once; a longer text is cut at white space.
+HELD_BYTES = 1 << 18
+_SPACE = re.compile(rb"[\t-\r ]")
 _PLAIN_TEXT = re.compile("[\t\n\r\x20-\x26\x28-\x7eÀ-ÖØ-öø-ÿ]*")
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
 _PIECES = re.compile("[a-zß-öø-ÿ]+|[^\\sa-zß-öø-ÿ]+")
@@ -26,6 +29,15 @@ _STAND_INS = {b: 290 + b - 128 for b in range(128, 161)} | {173: 323}
 _PROBES = ("hello", "WORLD.", "Straße,", "àÖþ. ,(x1y)22", "q - r", "a..b!?C")
 
 
+def _parts(text: bytes) -> Iterable[bytes]:
+    """The text in parts of HELD_BYTES or somewhat more, cut before white space."""
+    at = 0
+    while len(text) - at > HELD_BYTES and (space := _SPACE.search(text, at + HELD_BYTES)):
+        yield text[at : space.start()]
+        at = space.start()
+    yield text[at:]
+
+
 class _Index(dict):
     """Piece to its number; a new piece gets the next number and waits in ``new``."""
 
@@ -104,6 +116,27 @@ class PieceTokenizer:
 
     def many(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of whole texts, one after the other, and where each text's begin (then their number)."""
+        out, sizes = [np.empty(0, np.uint32)], np.zeros(len(texts), np.int64)
+        group, owners, held = [], [], 0
+
+        def encode() -> None:
+            ids, at = self._group(group)
+            out.append(ids)
+            np.add.at(sizes, owners, np.diff(at))
+
+        for i, text in enumerate(texts):
+            for part in _parts(text):
+                group.append(part)
+                owners.append(i)
+                held += len(part)
+                if held >= HELD_BYTES:
+                    encode()
+                    group, owners, held = [], [], 0
+        if group:
+            encode()
+        return np.concatenate(out), np.concatenate(([0], np.cumsum(sizes)))
+
+    def _group(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         cut = [self._pieces(t) for t in texts]
         if max((max(map(len, c), default=0) for c in cut), default=0) > CACHE_PIECE_CHARS:
             parts = [self._with_long(c) for c in cut]
