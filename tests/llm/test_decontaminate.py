@@ -28,7 +28,7 @@ def brute(docs, bench):
                 if (own := wins.get(tuple(x[0] for x in w[k : k + n]))):
                     hit.update(range(k, k + n))
                     items |= own
-        out[d] = (len(w), len(hit), sorted(items), hit)
+        out[d] = (len(w), len(hit), sorted(map(str, items)), hit)
     return out
 
 

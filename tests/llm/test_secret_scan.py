@@ -57,3 +57,23 @@ def test_redact(spark):
     assert got == {1: ('a [SECRET]" z', 13), 2: ("plain", 5), 3: (None, None), 4: ("[SECRET] [SECRET]", 17)}
     assert S.redact(df.limit(0)).collect() == []
     assert hashlib.sha256(b"").hexdigest() == S.scan(df.where("doc_id = 2")).select(F.sha2(S.spelled(F.col("spans")), 256)).first()[0]
+
+
+def test_names_that_clash(spark):
+    df = spark.createDataFrame([(1, "token=abcdefgh!", 3, 4, 5)], "doc_id long, text string, base long, runs long, spans long")
+    assert S.scan(df).columns == ["doc_id", "text", "base", "runs", "spans"] and S.scan(df).first().spans[0][:] == (0, 0, 14)
+    assert S.redact(df).collect() == [(1, "[SECRET]!", 3, 4, 5)]
+
+
+def test_very_many_matches_in_one_text(spark):
+    text = "\n".join(f"token=value{i:06d}" if i % 2 else f"{'0123456789abcdef' * 2}" for i in range(32_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [tuple(s) for s in S.scan(df).first().spans] == base(text)
+    assert S.redact(df).first().text == "\n".join(["[SECRET]"] * 32_000)
+
+
+def test_overlapping_spans_are_masked_once(spark):
+    text = "x password=token=" + "0a1b" * 10 + "zz 0a"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [tuple(s) for s in S.scan(df).first().spans] == base(text) == [(2, 0, 59), (17, 2, 57)]
+    assert S.redact(df).first().text == "x [SECRET] 0a"

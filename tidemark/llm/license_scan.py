@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.secret_scan import let
+from tidemark.llm.folds import let
 
 SHINGLE, BANDS = 5, 8
 #: Least share of a template's shingles that the text holds.

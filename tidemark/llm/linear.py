@@ -54,7 +54,8 @@ def featurised(rows: DataFrame, features: Features, target: str, order: str) ->
 
 def train(rows: DataFrame, slots: int, epochs: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.02, l2: float = 0.02, balance: float = 0.5) -> np.ndarray:
     """Weights from featurised rows, a bounded sample, passed over ``epochs`` times in the order of ``place`` by one task.
-    The rarer class counts as ``balance`` of the whole at most."""
+    The rarer class counts as ``balance`` of the whole at most. ``rows`` must be a kept table, so that the one task reads the sample
+    only: the scan that draws it and the featurising come before and are spread over all tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [(p, t, np.frombuffer(s, "<i4"), np.frombuffer(v, "<f4").astype(float)) for b in batches for p, t, s, v in zip(*(b.column(i).to_pylist() for i in range(4)))]
@@ -71,8 +72,8 @@ def train(rows: DataFrame, slots: int, epochs: int, alpha: float = 0.3, beta: fl
     return np.frombuffer(out[0]["w"], "<f4") if out else np.zeros(slots, np.float32)
 
 
-def scored(docs: DataFrame, features: Features, weights: np.ndarray, keep: list[str]) -> DataFrame:
-    """docs(text, ...) to its columns ``keep`` and a score of each whole text."""
+def scored(docs: DataFrame, features: Features, weights: np.ndarray, keep: list[str], name: str = "score") -> DataFrame:
+    """docs(text, ...) to its columns ``keep`` and a score of each whole text, in column ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
@@ -83,9 +84,9 @@ def scored(docs: DataFrame, features: Features, weights: np.ndarray, keep: list[
             for lo, hi, slots, values, first in features(batch.column("text")):
                 sums = np.concatenate(([0.0], np.cumsum(w[slots] * values)))
                 scores[lo:hi] = sigmoid(sums[first[1:]] - sums[first[:-1]])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(scores)], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(scores)], names=[*keep, name])
 
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{types}, score double")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{types}, `{name}` double")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, trainable, most: int) -> DataFrame:
@@ -102,8 +103,3 @@ def _drawn(rows: DataFrame, most: int) -> DataFrame:
     share = min(1.0, most / max(1, rows.count()))
     placed = rows.withColumn("place", F.xxhash64("doc_id", F.lit(17)))
     return placed.where(F.pmod("place", F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else placed
-
-
-def drawn_sample(docs: DataFrame, trainable, most: int) -> DataFrame:
-    """(text, place) of about ``most`` documents, labelled or not."""
-    return _drawn(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & trainable), most)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.linear import featurised, labelled_sample, scored, train
-from tidemark.llm.shared import fold_of
+from tidemark.llm.shared import Scratch, fold_of, without
 from tidemark.llm.textops import SPACED_LOWER, Alphabet, Words, ngrams, utf8_parts
 
 SLOTS = 1 << 18
@@ -55,14 +55,21 @@ def features(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     sample = labelled_sample(docs, labels, "quality", fold_of("doc_id", FOLDS) != HELD_OUT, TRAIN_ROWS)
-    return train(featurised(sample, features, "quality", "place"), SLOTS, EPOCHS)
+    scratch = Scratch(docs.sparkSession, "quality")
+    rows = scratch.keep(featurised(sample, features, "quality", "place"), "sample")
+    weights = train(rows, SLOTS, EPOCHS)
+    scratch.drop(rows)
+    return weights
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
-    """docs(doc_id, text, ...) and labels(doc_id, quality) to docs' columns ``keep``, ``score`` and ``predicted``."""
-    return scored(docs, features, fit(docs, labels), keep).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    """docs(doc_id, text, ...) and labels(doc_id, quality) to docs' columns ``keep``, ``score`` and ``predicted``, which win over kept
+    columns of these names."""
+    kept = without(keep, "score", "predicted")
+    return scored(docs, features, fit(docs, labels), kept).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier doesn't reject, with their columns."""
-    return score_quality(docs, labels, docs.columns).where("predicted = 1").select(*docs.columns)
+    """The documents that the classifier doesn't reject, with their columns, whatever their names."""
+    own = "__quality_score"
+    return scored(docs, features, fit(docs, labels), docs.columns, own).where(F.col(own) >= THRESHOLD).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -28,7 +28,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     hit = F.aggregate("hits.words", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])
-    ids = F.array_join(F.array_sort(F.transform("hits.items", lambda x: x.cast("string"))), ",")
+    ids = F.array_join(F.array_sort("hits.items"), ",")
     return found.select("doc_id", F.col("hits.n_words").alias("n_words"), hit.alias("n_hit"), F.size("hits.items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 

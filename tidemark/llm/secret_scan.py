@@ -8,9 +8,10 @@ class; in each length class the share of random strings follows from the upper h
 threshold whose estimated share of false discoveries is at most FALSE_SHARE applies. Classes where no threshold does add nothing.
 
 Scale. Two passes over the texts and no shuffle but that of the class counts, whose number is fixed. A document's spans
-stay in its row.
+stay in its row, and the work on them is near their number, as positions come from sums by block (``folds``).
 
-Cases. A null or empty text has no spans. Repeated rows each keep theirs. Positions are code points, ends exclusive.
+Cases. A null or empty text has no spans. Repeated rows each keep theirs. Positions are code points, ends exclusive. Extra columns pass
+through, but for one named like the result column, which wins; ``redact`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.folds import before, let
+from tidemark.llm.shared import without
+
 #: The base patterns, which group of each counts how many characters at least.
 ASSIGN = r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
@@ -50,11 +54,6 @@ _OTHER = _UPPER + _LOWER + _DIGITS + "-_+/"
 _MARK, _MASK = "", ""
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of a value that is worked out once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _no_spans(kind: str = "start int, end int, part string") -> Column:
     return F.lit(None).cast(f"array<struct<{kind}>>")
 
@@ -65,14 +64,9 @@ def matches(text: str, pattern: str) -> Column:
     clean = F.when(F.contains(t, F.lit(_MARK)), F.translate(t, _MARK, _MASK)).otherwise(t)
     parts = F.split(F.regexp_replace(clean, f"(?:{pattern})", f"{_MARK}$0{_MARK}"), _MARK)
 
-    def add(acc: Column, part: Column) -> Column:
-        end = acc["at"] + F.length(part)
-        span = F.struct(acc["at"].alias("start"), end.alias("end"), part.alias("part"))
-        return F.struct(end.alias("at"), (~acc["inside"]).alias("inside"), F.when(acc["inside"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
-
-    empty = F.array().cast("array<struct<start int, end int, part string>>")
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), empty.alias("out"))
-    return F.when(t.rlike(pattern), F.aggregate(parts, start, add, lambda acc: acc["out"])).otherwise(_no_spans())
+    spans = lambda p, at: F.zip_with(p, at, lambda part, a: F.struct(a.alias("start"), (a + F.length(part)).alias("end"), part.alias("part")))
+    found = let(parts, lambda p: F.filter(spans(p, before(F.transform(p, lambda x: F.length(x)), F.lit(0), lambda x, y: x + y)), lambda _, i: i % 2 == 1))
+    return F.when(t.rlike(pattern), found).otherwise(_no_spans())
 
 
 def _tail(z: Column) -> Column:
@@ -129,16 +123,15 @@ def _length_class(n: Column) -> Column:
     return F.least(F.lit(LENGTH_CLASSES - 1), F.floor(2 * F.log2(n / LEAST_RUN))).cast("int")
 
 
-def with_candidates(docs: DataFrame) -> DataFrame:
-    """``runs``: (start, end, p, class) of each long run of encoding characters; null where there are none."""
-    found = matches("text", RUN)
-    return docs.withColumn("runs", F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), randomness(x["part"]).alias("p"), _length_class(x["end"] - x["start"]).alias("class"))))
+def candidates(text: str) -> Column:
+    """(start, end, p, class) of each long run of encoding characters; null where there are none."""
+    return F.transform(matches(text, RUN), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), randomness(x["part"]).alias("p"), _length_class(x["end"] - x["start"]).alias("class")))
 
 
 def thresholds(docs: DataFrame) -> list[float]:
     """The least p-value that counts as random, by length class; above 1 where none does."""
     grade = sum((F.when(F.col("r.p") > t, 1).otherwise(0) for t in THRESHOLDS), F.lit(0))
-    rows = with_candidates(docs.select("text")).where("runs is not null").select(F.explode("runs").alias("r")).groupBy(F.col("r.class").alias("class"), grade.alias("grade")).count().collect()  # LENGTH_CLASSES * (THRESHOLDS + 1) rows at most
+    rows = docs.select(F.explode(candidates("text")).alias("r")).groupBy(F.col("r.class").alias("class"), grade.alias("grade")).count().collect()  # LENGTH_CLASSES * (THRESHOLDS + 1) rows at most
     out = []
     for c in range(LENGTH_CLASSES):
         above = [sum(r["count"] for r in rows if r["class"] == c and r["grade"] > i) for i in range(len(THRESHOLDS))]
@@ -148,22 +141,26 @@ def thresholds(docs: DataFrame) -> list[float]:
     return out
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """docs(text, ...) with ``spans``: (start, kind, end) in order, kinds numbered as KINDS; the base ones and those added."""
+def scan(docs: DataFrame, own: str = "spans") -> DataFrame:
+    """docs(text, ...) with ``own``: (start, kind, end) in order, kinds numbered as KINDS; the base ones and those added."""
     least = F.array(*map(F.lit, thresholds(docs)))
     assign = F.filter(matches("text", ASSIGN), lambda x: F.length(F.regexp_extract(x["part"], ASSIGN, 2)) >= LEAST_ASSIGNED)
-    kinds = [assign, matches("text", ACCESS), matches("text", HEX)]
+    random = F.filter(candidates("text"), lambda r: r["p"] >= F.get(least, r["class"]))
     empty = F.array().cast("array<struct<start int, kind int, end int>>")
 
-
     def of_kind(found: Column, kind: int) -> Column:
         return F.coalesce(F.transform(found, lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"))), empty)
 
-    base = F.concat(*(of_kind(m, i) for i, m in enumerate(kinds)))
-    found = with_candidates(docs).withColumn("base", base)
-    apart = lambda r: ~F.exists("base", lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"]))
-    added = F.filter("runs", lambda r: (r["p"] >= F.get(least, r["class"])) & apart(r))
-    return found.withColumn("spans", F.sort_array(F.concat("base", of_kind(added, len(KINDS) - 1)))).drop("base", "runs")
+    added = len(KINDS) - 1
+
+    def outside(spans: Column) -> Column:
+        """Without random runs within a base span: those whose end a base span that begins no later reaches."""
+        reached = before(F.transform(spans, lambda x: F.when(x["kind"] < added, x["end"]).otherwise(0)), F.lit(0), lambda x, y: F.greatest(x, y))
+        kept = lambda r: F.filter(spans, lambda x, i: (x["kind"] < added) | (F.get(r, i) < x["end"]))
+        return F.when(F.exists(spans, lambda x: x["kind"] == added), let(reached, kept)).otherwise(spans)
+
+    found = F.sort_array(F.concat(of_kind(assign, 0), of_kind(matches("text", ACCESS), 1), of_kind(matches("text", HEX), 2), of_kind(random, added)))
+    return docs.select(*(F.col(f"`{c}`") for c in without(docs.columns, own)), let(found, outside).alias(own))
 
 
 def spelled(spans: Column) -> Column:
@@ -172,18 +169,26 @@ def spelled(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _merged(spans: Column) -> Column:
+    """(start, end) of spans in order, overlapping ones as one; ``spans`` has one or more."""
+
+    def of(reached: Column) -> Column:
+        opens = F.filter(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: (i == 0) | (F.get(spans, i)["start"] >= F.get(reached, i)))
+        last = F.array_max(F.transform(spans, lambda x: x["end"]))
+        end = lambda o, k: F.coalesce(F.get(reached, F.get(o, k + 1)), last)
+        return let(opens, lambda o: F.transform(o, lambda i, k: F.struct(F.get(spans, i)["start"].alias("start"), end(o, k).alias("end"))))
+
+    return let(before(F.transform(spans, lambda x: x["end"]), F.lit(0), lambda x, y: F.greatest(x, y)), of)
+
+
 def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """The documents with every span replaced by ``mask``, overlapping ones by one; n_chars follows. Others stay as they are."""
-
-    def join(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        own = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        return F.when(F.size(acc) == 0, F.array(own)).when(s["start"] < last["end"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(own)))
-
-    merged = F.aggregate("spans", F.array().cast("array<struct<start int, end int>>"), join)
-    t = F.col("text")
-    parts = let(merged, lambda m: F.zip_with(F.concat(F.array(F.lit(0)), F.transform(m, lambda x: x["end"])), F.concat(F.transform(m, lambda x: x["start"]), F.array(F.length(t))), lambda a, b: F.substring(t, a + 1, b - a)))
-    hit = F.size("spans") > 0
-    cut = scan(docs).withColumn("text", F.when(hit, F.array_join(parts, mask)).otherwise(t))
-    return cut.select(*(F.when(hit, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    own, t = "__secret_spans", F.col("text")
+    hit = F.size(own) > 0
+    froms = lambda m: F.concat(F.array(F.lit(0)), F.transform(m, lambda x: x["end"]))
+    tos = lambda m: F.concat(F.transform(m, lambda x: x["start"]), F.array(F.length(t)))
+    parts = lambda m: F.zip_with(froms(m), tos(m), lambda a, b: F.substring(t, a + 1, b - a))
+    masked = F.array_join(let(let(F.col(own), _merged), parts), mask)
+    cut = scan(docs, own).withColumn("text", F.when(hit, masked).otherwise(t))
+    length = lambda c: F.when(hit, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+    return cut.select(*(length(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))

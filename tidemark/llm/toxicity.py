@@ -3,10 +3,13 @@
 Method. Voters look at a text: a fixed lexicon of insults, one voter a word, and patterns (words and beginnings of words) that
 mark toxic rows among the labelled documents that may be learned from. A voter says "toxic" where its term
 is frequent enough, and else abstains; one more says "clean"
-where none of the others fires. A generative label model, fitted by expectation maximisation on the votes of a bounded sample
-of documents, estimates how often each voter fires in either class and how far voters fire together within a class; correlated
-voters share their weight. A linear classifier over hashed words and beginnings of words is trained on the posterior labels
-and scores every whole text.
+where none of the others fires. A generative label model, fitted by expectation maximisation on the votes of the bounded sample
+of labelled documents (their labels are not looked at here), estimates how often each voter fires in either class, its accuracy, and how far
+voters fire together within each class; correlated voters share their weight. A linear classifier over hashed words and
+beginnings of words is trained on the posterior labels of that sample and scores every whole text.
+
+Scale. One scan draws the sample, which is kept as a table; patterns, votes and training read that only. Scoring is one more scan
+without a shuffle.
 
 Cases. A null or empty text has the intercept only. Without labels the lexicon alone votes. Repeated rows each get a score.
 Labels of the held-out fold, language, source and id are never looked at.
@@ -21,14 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.linear import drawn_sample, featurised, labelled_sample, scored, sigmoid, train
-from tidemark.llm.shared import fold_of
+from tidemark.llm.linear import featurised, labelled_sample, scored, sigmoid, train
+from tidemark.llm.shared import Scratch, fold_of, without
 from tidemark.llm.textops import ALNUM_LOWER, Words, utf8_parts
 
 SLOTS = 1 << 18
-#: Labelled rows to take patterns from, and documents to fit the label model and the classifier on, at most.
-LABELLED_ROWS, SAMPLE_ROWS, EPOCHS = 12_000, 12_000, 4
-#: A pattern's least number of toxic rows, least odds between toxic and clean rows, and how many are used.
+#: Labelled rows to take patterns from and to fit the label model and the classifier on, at most.
+LABELLED_ROWS, EPOCHS = 12_000, 4
+#: A pattern's least number of toxic rows, least odds between toxic and clean rows, and how many are used: the label model's
+#: correlations are a matrix of that size squared.
 LEAST_ROWS, LEAST_ODDS, MOST_PATTERNS = 5, 8.0, 150
 #: A voter fires where its term is at least one in so many words.
 RARELY = 400
@@ -112,7 +116,8 @@ def votes(texts: pa.Array, voters: np.ndarray) -> np.ndarray:
 
 
 class LabelModel:
-    """Voters fire independently given the class, but for the weight that correlated ones share."""
+    """How often voters fire in either class, and how much weight each has: one that fires together with others within a class says
+    less than one that fires by itself, and their common evidence counts about once."""
 
     def __init__(self, fired: np.ndarray, rounds: int = 40):
         x = fired.astype(float)
@@ -130,11 +135,14 @@ class LabelModel:
             self.weight = 1 / self._shared(x, p)
 
     def _shared(self, x: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """1 and more: with how many others each voter fires together within the toxic class."""
-        d = (x - self.rate[1]) * np.sqrt(p)[:, None]
-        c = d.T @ d
-        s = np.sqrt(np.maximum(np.diag(c), 1e-9))
-        return np.maximum(np.square(np.clip(c / np.outer(s, s), 0, 1)).sum(axis=1), 1)
+        """1 and more: with how many others each voter fires together, in the class where that is more."""
+        most = np.ones(x.shape[1])
+        for rate, q in zip(self.rate, (1 - p, p)):
+            d = (x - rate) * np.sqrt(q)[:, None]
+            c = d.T @ d
+            s = np.sqrt(np.maximum(np.diag(c), 1e-9))
+            most = np.maximum(most, np.square(np.clip(c / np.outer(s, s), 0, 1)).sum(axis=1))
+        return most
 
     def posterior(self, fired: np.ndarray) -> np.ndarray:
         x = fired.astype(float)
@@ -142,10 +150,10 @@ class LabelModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    spark = docs.sparkSession
-    may = fold_of("doc_id", FOLDS) != HELD_OUT
-    voters = np.unique(np.concatenate((_lexicon(), patterns(labelled_sample(docs, labels, "toxic", may, LABELLED_ROWS)))))
-    sample = drawn_sample(docs, may, SAMPLE_ROWS)
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    drawn = labelled_sample(docs, labels, "toxic", fold_of("doc_id", FOLDS) != HELD_OUT, LABELLED_ROWS)
+    sample = scratch.keep(drawn.select("text", F.col("toxic").cast("int").alias("toxic"), "place"), "sample")
+    voters = np.unique(np.concatenate((_lexicon(), patterns(sample))))
 
     def fire(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,8 +161,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
             yield pa.record_batch({"v": pa.array([r.tobytes() for r in rows], pa.binary())})
 
     kinds = sample.select("text").mapInArrow(fire, "v binary").groupBy("v").count().collect()  # of a bounded sample
-    unpacked = lambda raw: np.unpackbits(np.frombuffer(raw, np.uint8))[: len(voters) + 1]
-    fired = np.repeat(np.array([unpacked(k["v"]) for k in sorted(kinds, key=lambda k: bytes(k["v"]))], np.uint8).reshape(-1, len(voters) + 1), [k["count"] for k in sorted(kinds, key=lambda k: bytes(k["v"]))], axis=0)
+    kinds = sorted((bytes(k["v"]), k["count"]) for k in kinds)
+    unpacked = [np.unpackbits(np.frombuffer(raw, np.uint8))[: len(voters) + 1] for raw, _ in kinds]
+    fired = np.repeat(np.array(unpacked, np.uint8).reshape(-1, len(voters) + 1), [n for _, n in kinds], axis=0)
     model = LabelModel(fired)
 
     def believe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,9 +172,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([batch.column("text"), pa.array(p), batch.column("place")], names=["text", "toxic", "place"])
 
     posterior = sample.select("text", "place").mapInArrow(believe, "text string, toxic double, place long")
-    return train(featurised(posterior, features, "toxic", "place"), SLOTS, EPOCHS, l1=0.05)
+    rows = scratch.keep(featurised(posterior, features, "toxic", "place"), "posterior")
+    weights = train(rows, SLOTS, EPOCHS, l1=0.05)
+    scratch.drop(sample, rows)
+    return weights
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
-    """docs(doc_id, text, ...) and labels(doc_id, toxic) to docs' columns ``keep``, ``score`` and ``predicted``."""
-    return scored(docs, features, fit(docs, labels), keep).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    """docs(doc_id, text, ...) and labels(doc_id, toxic) to docs' columns ``keep``, ``score`` and ``predicted``, which win over kept
+    columns of these names."""
+    kept = without(keep, "score", "predicted")
+    return scored(docs, features, fit(docs, labels), kept).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
