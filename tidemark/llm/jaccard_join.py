@@ -38,7 +38,7 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 3, 4
 #: Bits of the frequency sketch's slots: one counter (4 bytes) for each BYTES_A_COUNTER bytes of text, between these bounds, and the
 #: blocks that it travels in. Tasks that count are joined to COUNT_TASKS a core, so that what they send doesn't grow with their number.
-LEAST_BITS, MOST_BITS, BYTES_A_COUNTER, BLOCKS, COUNT_TASKS = 16, 24, 384, 64, 4
+LEAST_BITS, MOST_BITS, BYTES_A_COUNTER, BLOCKS, COUNT_TASKS = 16, 24, 768, 256, 4
 #: Bits of the set signature of the suffix filter, in 64-bit words; sets of more than WIDE_FROM shingles have a second signature of
 #: a power of two bits, WIDE_BITS or more for each shingle, which is looked at once a pair.
 SIGNATURE_WORDS = 8
@@ -84,20 +84,27 @@ def _count(bits: int):
             for _, sets in shingle_sets(batch.column("text")):
                 np.add.at(sketch, _slot(np.concatenate(sets), bits), np.uint32(1))
         for i, block in enumerate(sketch.reshape(BLOCKS, -1)):
-            if block.any():
-                yield pa.record_batch({"block": pa.array([i], pa.int32()), "counts": pa.array([block.tobytes()], pa.binary())})
+            if block.any():  # in as few bytes as its counts need
+                narrow = block.astype(np.min_scalar_type(block.max()))
+                yield pa.record_batch({"block": pa.array([i], pa.int32()), "counts": pa.array([narrow.tobytes()], pa.binary())})
 
     return run
 
 
-def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
-            counts = np.frombuffer(counts.as_buffer(), np.uint32)
-            sums[block] = np.minimum(sums.get(block, np.uint64(0)) + counts.astype(np.uint64), 0xFFFFFFFF)
-    for block, counts in sums.items():
-        yield pa.record_batch({"block": pa.array([block], pa.int32()), "counts": pa.array([counts.astype(np.uint32).tobytes()], pa.binary())})
+def _add_blocks(bits: int):
+    size = (1 << bits) // BLOCKS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
+                raw = counts.as_buffer()
+                narrow = np.frombuffer(raw, f"u{len(raw) // size}")
+                sums[block] = np.minimum(sums.get(block, np.uint64(0)) + narrow.astype(np.uint64), 0xFFFFFFFF)
+        for block, counts in sums.items():
+            yield pa.record_batch({"block": pa.array([block], pa.int32()), "counts": pa.array([counts.astype(np.uint32).tobytes()], pa.binary())})
+
+    return run
 
 
 def sketch_bits(text_bytes: int) -> int:
@@ -111,7 +118,7 @@ def frequency_sketch(docs: DataFrame, bits: int) -> np.ndarray:
     partial = docs.select("text").coalesce(tasks).mapInArrow(_count(bits), schema)
     sketch = np.zeros((BLOCKS, (1 << bits) // BLOCKS), np.uint32)
     with small_batches(docs.sparkSession):
-        for row in partial.repartition(16, "block").mapInArrow(_add_blocks, schema).toLocalIterator():
+        for row in partial.repartition(16, "block").mapInArrow(_add_blocks(bits), schema).toLocalIterator():
             sketch[row["block"]] = np.frombuffer(row["counts"], np.uint32)
     return sketch.ravel()
 
@@ -359,11 +366,18 @@ class JaccardJoin:
         hidden = copies.select("b").join(several, "b", "left_anti").select(F.col("b").alias("doc"))
         return copies, posts.join(self._hint(copies)(hidden), "doc", "left_anti")
 
+    @staticmethod
+    def _able(posts: DataFrame) -> DataFrame:
+        """Postings that may meet another at their shingle: by the smallest set and the largest reach there."""
+        ends = posts.groupBy("token").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max("reach").alias("most")).where("k > 1")
+        return posts.join(ends, "token").where("reach >= least and n <= most").select(*posts.columns)
+
     @staticmethod
     def _star(posts: DataFrame) -> DataFrame:
         """(a, b, lists): documents with the pivots of their shingles, by size class, where the filters hold."""
         best = F.max(F.struct("reach", (-F.col("doc")).alias("minus"), "n"))
-        pivots = posts.groupBy("token", "size").agg(best.alias("p")).select("token", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)).alias("size"), (-F.col("p.minus")).alias("pivot"), F.col("p.n").alias("n2"), F.col("p.reach").alias("reach2"))
+        reached = F.sequence(F.col("size") - 1, F.least(F.col("size") + 1, _size_class(F.col("p.reach"))))  # classes of sets that the pivot reaches
+        pivots = posts.groupBy("token", "size").agg(best.alias("p")).select("token", F.explode(F.filter(reached, lambda c: c <= _size_class(F.col("p.reach")))).alias("size"), (-F.col("p.minus")).alias("pivot"), F.col("p.n").alias("n2"), F.col("p.reach").alias("reach2"))
         met = posts.join(pivots, ["token", "size"]).where((F.col("doc") != F.col("pivot")) & _can_link("n", "n2", "reach", "reach2"))
         return met.groupBy(F.col("pivot").alias("a"), F.col("doc").alias("b")).agg(F.count("*").alias("lists"))
 
@@ -379,7 +393,8 @@ class JaccardJoin:
 
     def _open(self, posts: DataFrame, component: DataFrame) -> DataFrame:
         """Postings that may still link with one of another component at their shingle."""
-        placed = posts.join(component, posts["doc"] == component["node"], "left").select("token", "doc", "n", "reach", "size", F.coalesce("component", "doc").alias("c"))
+        placed = posts.join(self._hint(component)(component), posts["doc"] == component["node"], "left").select("token", "doc", "n", "reach", "size", F.coalesce("component", "doc").alias("c"))
+        placed = self.scratch.keep(placed, "placed")
         ends = placed.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min("n").alias("least"), F.max("reach").alias("most")).where("c0 < c1").select("token", "least", "most")
         return placed.join(ends, "token").where("reach >= least and n <= most").drop("least", "most").join(self.facts.select("doc", "sig"), "doc")
 
@@ -406,8 +421,10 @@ class JaccardJoin:
     def components(self) -> tuple[DataFrame, DataFrame]:
         """facts(doc, n) and component(doc, component) of the documents that are linked with a smaller id."""
         copies, posts = self._postings()
-        posts = self.scratch.keep(posts, "posts")
+        every = self.scratch.keep(posts, "postings")
         self.scratch.drop(self.met)
+        posts = self.scratch.keep(self._able(every), "able")
+        self.scratch.drop(every)
         star = self.scratch.keep(self._star(posts), "star")
         most = star.groupBy("b").agg(F.max(F.struct("lists", (-F.col("a")).alias("a"))).alias("m"))
         first = self.scratch.keep(most.select((-F.col("m.a")).alias("a"), "b"), "first")  # one pair a document
