@@ -1,3 +1,4 @@
+import random
 import pytest
 
 from tidemark.llm.html_text import extract_main_text, main_text
@@ -53,3 +54,36 @@ LONG = ("Words of the main text that are long enough to count as content here. "
 )
 def test_regions_and_clusters(html, want):
     assert main_text(html) == "\n\n".join(want)
+
+
+def test_deep_and_odd_markup(spark):
+    deep = "<div>" * 20_000 + "<p>" + "A long paragraph of text that counts as content here. " * 4 + "</p>" + "</div>" * 20_000
+    odd = "<article><p>" + "Words of the article before it. " * 5 + "</p><![foo[ bar ]]><!weird><p>" + "And words of the article after it. " * 5 + "</p></article>"
+    stray = "</b></i></q>" * 20_000 + "<p>" + "Text after very many stray end tags stays. " * 4
+    rows = [(1, deep), (2, odd), (3, stray), (4, "<![CDATA[" * 500), (5, "<" * 1000), (6, "<!--")]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    got = {r.page_id: r.text for r in extract_main_text(df, ["page_id"]).collect()}
+    assert got[1] == ("A long paragraph of text that counts as content here. " * 4).strip()
+    assert got[2] == ("Words of the article before it. " * 5).strip() + "\n\n" + ("And words of the article after it. " * 5).strip()
+    assert got[3] == ("Text after very many stray end tags stays. " * 4).strip()
+    assert len(got) == 6
+
+
+def test_names_within_an_article():
+    para = lambda c, t: f"<p class='{c}'>{t * 4}</p>"
+    html = "<article>" + para("share-price", "The price of the share rose again today. ") + para("search-results-study", "The study of results goes on and on. ") + "<div class='site-comments'>" + para("x", "I agree with all of this, says a reader. ") + "</div>" + para("ad", "Buy this now and save a lot of money. ") + "</article>"
+    assert main_text(html) == ("The price of the share rose again today. " * 4).strip() + "\n\n" + ("The study of results goes on and on. " * 4).strip()
+
+
+def test_random_pages_against_what_was_planted():
+    rnd = random.Random(3)
+    sentence = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(n)).capitalize() + "."
+    for _ in range(60):
+        title, paragraphs = sentence(6), [sentence(rnd.randint(1, 60)) for _ in range(rnd.randint(1, 12))]
+        main = f"<h1>{title}</h1>" + "".join(f"<p>{'<b>' + p + '</b>' if rnd.random() < 0.2 else p}{'</p>' if rnd.random() < 0.8 else ''}" for p in paragraphs)
+        links = "".join(f"<li><a href='/x'>{sentence(1)}</a></li>" for _ in range(rnd.randint(3, 20)))
+        around = [f"<nav><ul>{links}</ul></nav>", f"<div class='ad'>{sentence(8)}</div>", f"<header><p>{sentence(5)}</p></header>", f"<aside><p>{sentence(30)}</p></aside>", f"<form><p>{sentence(9)}</p></form>"]
+        rnd.shuffle(around)
+        cut = rnd.randint(0, len(around))
+        html = f"<html><head><title>{title}</title><style>p{{}}</style></head><body>{''.join(around[:cut])}<article>{main}</article><div id='comments'><p>{sentence(40)}</p></div>{''.join(around[cut:])}<footer><p>{sentence(20)}</p></footer></body></html>"
+        assert main_text(html) == "\n\n".join([title, *paragraphs])

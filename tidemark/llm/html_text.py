@@ -2,8 +2,9 @@
 
 Method. The standard library's parser streams a page's events; each block of text becomes a line, with its number of tags.
 Elements that never hold main text (menus, footers, sidebars, forms, scripts, styles; headers outside articles; hidden ones and some
-roles) are left out with all they hold. So are elements whose class or id has a word of NAMES (adverts, reader comments, notices),
-but for outermost article and main elements and, on a page without these, elements with most of the page's text. Over the rest, the
+roles) are left out with all they hold. So are elements whose class or id is one of NAMES (adverts, reader comments, notices) or, but for
+paragraphs and headings, has a word of TELLING; not outermost article and main elements nor, on a page without these, elements with most of
+the page's text. Over the rest, the
 ratio of text to tags by line is smoothed with a Gaussian and a threshold clusters the lines into content and other.
 
 The regions are all outermost article and main elements with content, or else the deepest element that holds nearly all of it.
@@ -12,8 +13,9 @@ threshold: LINKS of them in a row, by their own ratios, are a list of links and
 that reach the threshold by themselves (without article and main), and headings at most NEAR lines before a returned line with
 what lies between. All are joined in page order.
 
-Cases. A null or empty page has an empty text. Malformed and cut-off pages are parsed as far as they go. Repeated rows each
-keep their row. One task handles a page at a time; pages are neither shuffled nor cut.
+Cases. A null or empty page has an empty text. Malformed and cut-off pages are parsed as far as they go, unknown declarations count as
+comments, and elements may be nested to any depth. Repeated rows each keep their row. Kept columns named like the result's (text, n_chars)
+are left out. One task handles a page at a time, in time near its length; pages are neither shuffled nor cut.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidemark.llm.shared import without
+
 #: Fixed values of the markup language, and of names that pages use for what isn't main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -40,28 +44,44 @@ NAMES = frozenset(
     " footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices outbrain paywall popup promo promoted promotion"
     " related responses search share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar widget".split()
 )
+TELLING = frozenset(
+    "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr masthead menu"
+    " nav navbar navigation newsletter outbrain paywall popup promo promoted promotion sidebar sponsor sponsored subscribe subscription taboola toolbar widget".split()
+)
 ROLES = frozenset("banner navigation complementary contentinfo search alert dialog menu form".split())
 
 SIGMA, SHARE, COVER, NEAR, LINKS = 1.5, 0.5, 0.85, 3, 3
 
 
 class _Element:
-    __slots__ = ("tag", "left_out", "parent", "article", "in_header", "named", "linked")
+    """An open or closed element; what holds for all within it is inherited when it opens."""
+
+    __slots__ = ("tag", "left_out", "parent", "place", "depth", "outer", "in_header", "named", "linked", "heading")
 
-    def __init__(self, tag: str, left_out: bool, parent: _Element | None, article: bool, in_header: bool, named: bool = False, linked: bool = False):
-        self.tag, self.left_out, self.parent, self.article, self.in_header, self.named, self.linked = tag, left_out, parent, article, in_header, named, linked
+    def __init__(self, tag: str, parent: _Element | None, place: int, left_out: bool = False, named: bool = False):
+        self.tag, self.parent, self.place, self.left_out, self.named = tag, parent, place, left_out, named
+        self.depth = parent.depth + 1 if parent else 0
+        self.outer = parent.outer if parent and parent.outer else self if tag in CONTAINERS else None  # the outermost article or main
+        self.in_header = tag == "header" or bool(parent and parent.in_header)
+        self.linked = tag == "a" or bool(parent and parent.linked)
+        self.heading = tag in HEADINGS or bool(parent and parent.heading)
 
 
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags, element, linked characters)."""
+    """Lines of a page: (text, tags, element, linked characters). ``elements`` are in the order in which they open."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.top = _Element("", False, None, False, False)
+        self.root = self.top = _Element("", None, 0)
+        self.elements = [self.root]
+        self.open: dict[str, int] = {}
         self.lines: list[tuple[str, int, _Element, int]] = []
         self.held: list[str] = []
         self.tags, self.within, self.n_linked = 1, self.root, 0
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        return self.parse_bogus_comment(i, report)
+
     def end_line(self) -> None:
         text = " ".join("".join(self.held).split())
         if text:
@@ -80,11 +100,13 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         top = self.top
-        article = top.article or tag in CONTAINERS
-        in_header = top.in_header or tag == "header"
-        left_out = top.left_out or tag in NEVER or tag == "header" and not top.article or in_header and top.in_header and tag in BLOCKS and tag not in HEADINGS and tag not in ("div", "hgroup", "section") or self._hidden(attrs)
-        named = self._named(tag, attrs) and not (tag in CONTAINERS and not top.article)
-        self.top = _Element(tag, left_out, top, article, in_header, named, top.linked or tag == "a")
+        in_article = top.outer is not None
+        of_header = top.in_header and tag in BLOCKS and tag not in HEADINGS and tag not in ("div", "hgroup", "section")
+        left_out = top.left_out or tag in NEVER or tag == "header" and not in_article or of_header or self._hidden(attrs)
+        named = self._named(tag, attrs) and not (tag in CONTAINERS and not in_article)
+        self.top = _Element(tag, top, len(self.elements), left_out, named)
+        self.elements.append(self.top)
+        self.open[tag] = self.open.get(tag, 0) + 1
 
     @staticmethod
     def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
@@ -92,7 +114,17 @@ class Lines(HTMLParser):
 
     @staticmethod
     def _named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        return tag not in ("html", "body") and any(value and name in ("class", "id") and not NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value.lower())) for name, value in attrs)
+        if tag in ("html", "body"):
+            return False
+        names = [x for name, value in attrs if value and name in ("class", "id") for x in value.lower().split()]
+        plain = tag == "p" or tag in HEADINGS
+        return any(x in NAMES or not plain and not TELLING.isdisjoint(re.split(r"[^a-z0-9]+", x)) for x in names)
+
+    def _pop(self, upto: _Element) -> None:
+        """Closes all that is open within ``upto``."""
+        while self.top is not upto:
+            self.open[self.top.tag] -= 1
+            self.top = self.top.parent
 
     def _close_open(self, tag: str) -> None:
         """A block ends an open paragraph; an item or cell ends the one before it."""
@@ -106,7 +138,7 @@ class Lines(HTMLParser):
                 break
             at = at.parent
         if last is not None:
-            self.top = last.parent
+            self._pop(last.parent)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -116,11 +148,11 @@ class Lines(HTMLParser):
             self.tags += 1
         if tag in BLOCKS:
             self.end_line()
-        at = self.top
-        while at is not self.root and at.tag != tag:
-            at = at.parent
-        if at is not self.root:
-            self.top = at.parent
+        if self.open.get(tag):
+            at = self.top
+            while at.tag != tag:
+                at = at.parent
+            self._pop(at.parent)
 
     def handle_data(self, data: str) -> None:
         top = self.top
@@ -142,63 +174,69 @@ def content(ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own | (smooth >= SHARE * smooth.mean()), own
 
 
-def _chain(element: _Element | None) -> Iterator[_Element]:
-    while element is not None:
-        yield element
-        element = element.parent
-
-
-def _outermost(element: _Element) -> _Element | None:
-    """The outermost article or main around an element."""
-    return next((e for e in _chain(element) if e.tag in CONTAINERS and not e.parent.article), None) if element.article else None
-
-
-def _masses(lines: list, which: list[bool]) -> dict[_Element, int]:
-    """Characters by element, over the lines that count."""
-    mass: dict[_Element, int] = {}
+def _masses(page: Lines, lines: list, which: list[bool]) -> list[int]:
+    """Characters within each element, over the lines that count."""
+    mass = [0] * len(page.elements)
     for (text, _, element, _), ok in zip(lines, which):
         if ok:
-            for e in _chain(element):
-                mass[e] = mass.get(e, 0) + len(text)
+            mass[element.place] += len(text)
+    for e in page.elements[:0:-1]:  # parents open before what they hold
+        mass[e.parent.place] += mass[e.place]
     return mass
 
 
-def _without_named(lines: list) -> list:
+def _within(page: Lines, which: list[bool]) -> list[bool]:
+    """Of each element, whether it or one around it is among ``which``."""
+    out = which[:1]
+    for e in page.elements[1:]:
+        out.append(which[e.place] or out[e.parent.place])
+    return out
+
+
+def _without_named(page: Lines) -> list:
     """Lines but those in elements left out by name."""
-    named = {e for x in lines for e in _chain(x[2]) if e.named}
-    if not named:
-        return lines
-    if not any(x[2].article for x in lines):
-        mass = _masses(lines, [True] * len(lines))
-        total = sum(len(x[0]) for x in lines)
-        named = {e for e in named if 2 * mass[e] <= total}
-    return [x for x in lines if named.isdisjoint(_chain(x[2]))]
+    lines = page.lines
+    named = [e.named for e in page.elements]
+    if not any(x[2].outer for x in lines):
+        mass = _masses(page, lines, [True] * len(lines))
+        named = [n and 2 * m <= mass[0] for n, m in zip(named, mass)]
+    out = _within(page, named)
+    return [x for x in lines if not out[x[2].place]]
+
+
+def parsed(html: str) -> Lines:
+    """The lines of a page, as far as its markup can be read."""
+    page = Lines()
+    try:
+        page.feed(html)
+        page.close()
+    except AssertionError:  # the parser's own, at markup that it doesn't know
+        pass
+    page.end_line()
+    return page
 
 
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    page = Lines()
-    page.feed(html)
-    page.close()
-    page.end_line()
-    lines = _without_named(page.lines)
+    page = parsed(html)
+    lines = _without_named(page)
     if not lines:
         return ""
     sizes = np.array([len(x[0]) for x in lines])
     good, own = (x.tolist() for x in content(sizes / np.array([x[1] for x in lines])))
-    mass = _masses(lines, good)
-    articles = [_outermost(x[2]) for x in lines]
-    if any(a in mass for a in articles if a is not None):
-        inside = [a is not None and a in mass for a in articles]
+    mass = _masses(page, lines, good)
+    outer = [x[2].outer for x in lines]
+    if any(o and mass[o.place] for o in outer):
+        inside = [bool(o and mass[o.place]) for o in outer]
         lone = False
     else:
-        total = mass[page.root]
-        depth = lambda e: sum(1 for _ in _chain(e))
-        region = max((e for e in mass if mass[e] >= COVER * total and (e.tag in BLOCKS and e.tag != "p" and e.tag not in HEADINGS or e is page.root)), key=depth)
-        inside = [region in _chain(x[2]) for x in lines]
+        holds = [e for e in page.elements if mass[e.place] and mass[e.place] >= COVER * mass[0] and (e.tag in BLOCKS and e.tag != "p" and e.tag not in HEADINGS or e is page.root)]
+        region = max(holds, key=lambda e: e.depth)
+        within = _within(page, [e is region for e in page.elements])
+        inside = [within[x[2].place] for x in lines]
         lone = True
-    heading = [any(e.tag in HEADINGS for e in _chain(x[2])) for x in lines]
+    heading = [x[2].heading for x in lines]
     links = [2 * x[3] >= len(x[0]) and not o and not h for x, o, h in zip(lines, own, heading)]
     keep = [i or lone and o and 2 * x[3] < len(x[0]) for i, o, x in zip(inside, own, lines)]
     start = 0
@@ -223,5 +261,6 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract_main_text(pages: DataFrame, keep: list[str]) -> DataFrame:
     """pages(html, ...) to its columns ``keep``, ``text`` and ``n_chars``."""
-    types = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
-    return pages.select(*keep, "html").mapInArrow(_extract, f"{types}, text string, n_chars long")
+    keep = without(keep, "text", "n_chars", "html")
+    types = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in keep)
+    return pages.select(*keep, "html").mapInArrow(_extract, f"{types}text string, n_chars long")
