@@ -45,12 +45,14 @@ def black_deficit(mean: Column, entropy: Column, most_mean: float, most_entropy:
     return F.greatest((most_mean - mean) / max(most_mean, 1), (most_entropy - entropy) / max(most_entropy, 1))
 
 
-def iou(a: Column, b: Column) -> Column:
-    """Intersection over union of boxes (x1, y1, x2, y2)."""
+def iou(a: Column, b: Column, epsilon: float = 1e-9) -> Column:
+    """Intersection over union of boxes (x1, y1, x2, y2). ``epsilon`` is added to the union, as suppression does; with 0, as matching has
+    it, boxes without area have 0."""
     side = lambda lo, hi: F.greatest(F.lit(0.0), hi - lo)
     area = lambda x: side(x["x1"], x["x2"]) * side(x["y1"], x["y2"])
     shared = side(F.greatest(a["x1"], b["x1"]), F.least(a["x2"], b["x2"])) * side(F.greatest(a["y1"], b["y1"]), F.least(a["y2"], b["y2"]))
-    return shared / (area(a) + area(b) - shared + F.lit(1e-9))
+    union = area(a) + area(b) - shared
+    return shared / (union + F.lit(epsilon)) if epsilon else F.when(union > 0, shared / union).otherwise(0.0)
 
 
 def suppressed(boxes: Column, threshold: float) -> Column:
@@ -60,8 +62,23 @@ def suppressed(boxes: Column, threshold: float) -> Column:
     return F.aggregate(F.transform(F.array_sort(placed), lambda x: x["b"]), empty, lambda kept, b: F.when(F.exists(kept, lambda k: iou(k, b) > threshold), kept).otherwise(F.concat(kept, F.array(b))))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space at its ends."""
+    return F.regexp_replace(text, r"^\s+|\s+\z", "")
+
+
 def normalised_key(key: Column) -> Column:
-    return F.ltrim(F.trim(key), F.lit("/"))
+    return F.ltrim(stripped(key), F.lit("/"))
+
+
+def normalised_etag(etag: Column) -> Column:
+    return F.trim(stripped(etag), F.lit('"'))
+
+
+def safe_prefix(prefix: Column) -> tuple[Column, Column]:
+    """The prefix with one slash at its end, and whether it is safe: not empty, without a segment that leads upwards."""
+    bare = normalised_key(prefix)
+    return F.concat(F.rtrim(bare, F.lit("/")), F.lit("/")), (bare != "") & ~F.array_contains(F.split(bare, "/"), "..")
 
 
 def valid_key(key: Column) -> Column:
@@ -77,5 +94,39 @@ def https_host(url: Column) -> Column:
     return F.coalesce((F.try_parse_url(url, F.lit("PROTOCOL")) == "https") & (F.try_parse_url(url, F.lit("HOST")) != ""), F.lit(False))
 
 
+#: IPv4 networks that aren't public (first address, bits of the network).
+PRIVATE_NETWORKS = (
+    ("0.0.0.0", 8), ("10.0.0.0", 8), ("100.64.0.0", 10), ("127.0.0.0", 8), ("169.254.0.0", 16), ("172.16.0.0", 12), ("192.0.0.0", 24), ("192.0.2.0", 24),
+    ("192.168.0.0", 16), ("198.18.0.0", 15), ("198.51.100.0", 24), ("203.0.113.0", 24), ("240.0.0.0", 4),
+)
+
+
+def ipv4_number(address: Column) -> Column:
+    """A dotted address as a number; null for anything else."""
+    parts = F.transform(F.split(address, r"\."), lambda x: x.cast("long"))
+    ok = address.rlike(r"^(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\z")
+    return F.when(ok, F.aggregate(parts, F.lit(0).cast("long"), lambda acc, x: acc * 256 + x))
+
+
+def public_ipv4(address: Column) -> Column:
+    """Whether a dotted address lies in none of the networks above; null for anything else, as a name must be resolved first."""
+    n = ipv4_number(address)
+    number = lambda a: sum(int(x) << s for x, s in zip(a.split("."), (24, 16, 8, 0)))
+    private = F.lit(False)
+    for first, bits in PRIVATE_NETWORKS:
+        private |= n.between(number(first), number(first) + (1 << (32 - bits)) - 1)
+    return F.when(n.isNotNull(), ~private)
+
+
 def evidence_name(index: Column, reason: Column, t: Column) -> Column:
-    return F.format_string("%02d-%s-%.3f.jpg", index, F.regexp_replace(reason, "[^A-Za-z0-9._-]", "-"), t)
+    """The file name of a piece of evidence: its place, its reason with safe characters only, its time."""
+    return F.format_string("%02d-%s-%.3f.jpg", index, F.regexp_replace(reason, r"[^\p{L}\p{N}_-]", "-"), t)
+
+
+def safe_artifact_id(name: Column) -> Column:
+    """Whether a name stays a direct child of the folder that it is looked up in."""
+    return F.coalesce((name != "") & ~name.contains("/") & ~name.isin(".", ".."), F.lit(False))
+
+
+def object_key(prefix: Column, job: Column, item: Column, *rest: Column) -> Column:
+    return F.concat(prefix, F.concat_ws("/", job, F.lit("items"), item, *rest))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,68 @@ def evidence(candidates: DataFrame, keys: list[str], t: str = "t", score: str =
     return slots.groupBy(*keys, t).agg(F.min(F.struct("slot", score)).alias("e")).select(*keys, "e.slot", t, f"e.{score}")
 
 
+def evidence_by_image(candidates: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
+    """First, worst (the earliest of equals) and last candidate of each key in the order of ``order``, a piece (time, hash of the image) once:
+    candidates(keys, order, t, score, image, ...) to (keys, slot, t, score, sha256, size_bytes). Images are hashed after the selection."""
+    own = F.struct("t", "score", "image")
+    agg = candidates.groupBy(*keys).agg(
+        F.min_by(own, order).alias("first"), F.max_by(own, F.struct("score", (-F.col(order)).alias("o"))).alias("worst"), F.max_by(own, order).alias("last")
+    )
+    slots = agg.select(*keys, F.posexplode(F.array("first", "worst", "last")).alias("slot", "e"))
+    hashed = slots.select(*keys, "slot", "e.t", "e.score", F.sha2("e.image", 256).alias("sha256"), F.octet_length("e.image").cast("long").alias("size_bytes"))
+    return hashed.groupBy(*keys, "t", "sha256").agg(F.min(F.struct("slot", "score", "size_bytes")).alias("e")).select(*keys, "e.slot", "t", "e.score", "sha256", "e.size_bytes")
+
+
+def kept_evidence(evidence: DataFrame, results: DataFrame, clip: str, reason: str = "reason") -> DataFrame:
+    """Evidence whose reason is a rule that didn't pass for its clip."""
+    return evidence.join(results.where("outcome <> 'pass'").select(clip, F.col("rule_id").alias(reason)).distinct(), [clip, reason], "left_semi")
+
+
+def totals(items: DataFrame, results: DataFrame, item: str) -> DataFrame:
+    """One row: clips and hours of the manifest and of what was processed. A clip's duration is the manifest's, else (null or 0) its result's."""
+    of_result = results.select(item, F.col("duration_seconds").alias("_result"))
+    planned = items.select(item, "duration_seconds").join(of_result, item, "left")
+    duration = F.coalesce(F.nullif("duration_seconds", F.lit(0.0)), "_result", F.lit(0.0))
+    captured = planned.agg(F.count("*").alias("captured_clips"), (F.coalesce(F.sum(duration), F.lit(0.0)) / 3600).alias("captured_hours"))
+    processed = results.agg(F.count("*").alias("processed_clips"), (F.coalesce(F.sum("duration_seconds"), F.lit(0.0)) / 3600).alias("processed_hours"))
+    return captured.withColumn("_", F.lit(1)).join(processed.withColumn("_", F.lit(1)), "_").drop("_")  # one row each
+
+
+def good_hours_of_samples(samples: DataFrame, hours: str, replicate: str, good: str, confidence: float = 0.95) -> DataFrame:
+    """Interval of the good hours from verdict samples (one row a clip and replicate): (low, high)."""
+    by_replicate = samples.groupBy(replicate).agg(F.sum(F.when(F.col(good), F.col(hours)).otherwise(0.0)).alias("h"))
+    tail = (1.0 - confidence) / 2.0
+    return by_replicate.agg(F.percentile("h", F.lit(tail)).alias("low"), F.percentile("h", F.lit(1.0 - tail)).alias("high"))
+
+
+def ordered_items(results: DataFrame, item: str = "item_id", *then: str) -> DataFrame:
+    return results.orderBy(item, *then)
+
+
+def status(processed: Column, complete: Column) -> Column:
+    return F.when(complete, "complete").when(processed > 0, "partial").otherwise("error")
+
+
+def compared(results: DataFrame, baseline: DataFrame, item: str) -> DataFrame:
+    """Results beside an older run's of the same item: baseline_verdict, baseline_xrt (null where there is none), ``changed`` and ``speedup``."""
+    old = baseline.select(item, F.col("verdict").alias("baseline_verdict"), F.col("source_xrt").alias("baseline_xrt"))
+    joined = results.join(old, item, "left")
+    return joined.withColumns({"changed": F.col("verdict") != F.col("baseline_verdict"), "speedup": F.try_divide("source_xrt", "baseline_xrt")})
+
+
+def canonical_hash(fields: dict[str, Column]) -> Column:
+    """SHA-256 of a flat document as compact JSON with sorted keys. Values are texts, whole numbers or booleans; null is kept."""
+    spelled = lambda c: F.coalesce(F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r'^\{"v":([\s\S]*)\}\z', 1), F.lit("null"))
+    value = lambda c: F.when(c.isNull(), "null").otherwise(spelled(c))
+    pairs = [F.concat(F.lit(f'"{k}":'), value(fields[k])) for k in sorted(fields)]
+    return F.sha2(F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}")), 256)
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """One JSON document at ``path``, which must not exist; the commit of the write makes it visible as a whole."""
+    report.coalesce(1).write.mode("errorifexists").json(path)
+
+
 def rollup(results: DataFrame, by: list[str]) -> DataFrame:
     """Clips, hours and shares by verdict; a verdict outside good, bad and uncertain counts as error."""
     verdict = F.when(F.col("verdict").isin("good", "bad", "uncertain"), F.col("verdict")).otherwise("error")
@@ -38,6 +100,15 @@ def good_probability(samples: DataFrame, clip: str, hand: str, idle: str, eligib
     return samples.groupBy(clip).agg(F.when(F.bool_and(eligible), share).otherwise(0.0).alias("probability"))
 
 
+def good_probability_of_samples(hand: Column, idle: Column, eligible: Column, least_hand: float, most_idle: float) -> Column:
+    """The same from two arrays of bootstrap samples of one clip, as far as both go; 0 without samples."""
+    n = F.least(F.size(hand), F.size(idle))
+    meets = lambda h, i: F.when((h >= least_hand) & ~F.isnan(h) & (i <= most_idle) & ~F.isnan(i), 1.0).otherwise(0.0)
+    pairs = F.zip_with(F.slice(hand, F.lit(1), n), F.slice(idle, F.lit(1), n), meets)
+    share = F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x) / n
+    return F.when(F.coalesce(eligible, F.lit(False)) & (n > 0), share).otherwise(0.0)
+
+
 def good_hours(items: DataFrame, item: str, probability: str, hours: str, replicates: int, seed: int, confidence: float = 0.95) -> DataFrame:
     """Interval of the hours that are good: in each replicate an item counts with its probability, by a draw from its hash.
 

@@ -23,11 +23,40 @@ DEFAULT_RULES = (
 RULE_SCHEMA = "ord int, rule_id string, signal string, operator string, threshold double, is_bool boolean, severity string"
 
 
-def rule_results(signals: DataFrame, rules: DataFrame, clip: str) -> DataFrame:
-    """signals(clip, signal, value, low, high) by rules (few, checked by the caller): one row for each clip and rule, with its outcome."""
-    joined = signals.join(F.broadcast(rules), "signal")
-    outcome = rule_outcome(F.col("value"), F.col("is_bool"), F.col("operator"), F.col("threshold"), F.col("low"), F.col("high"))
-    return joined.select(clip, "ord", "rule_id", "severity", "value", outcome.alias("outcome"))
+def rule_array(rules=DEFAULT_RULES) -> Column:
+    """Rules (order, id, signal, operator, threshold, boolean, severity), a list of a configuration, as one constant."""
+    names = ("ord", "rule_id", "signal", "operator", "threshold", "is_bool", "severity")
+    return F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, r))) for r in rules))
+
+
+def rule_results(signals: DataFrame, rules, clip: str) -> DataFrame:
+    """signals(clip, signal, value, is_bool, low, high) by rules (a list, see ``rule_array``): one row for each clip and rule, with its outcome.
+
+    A clip's signals, a closed vocabulary, become one map, so one shuffle serves all rules. A rule whose signal a clip lacks fails the
+    query. Whether a value is a boolean, to which no interval applies, is the signal's affair (``is_bool``), not the rule's.
+    """
+    flag = F.col("is_bool") if "is_bool" in signals.columns else F.lit(False)
+    entry = F.struct("signal", F.struct(F.col("value").cast("double").alias("value"), flag.alias("is_bool"), F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high")).alias("s"))
+    held = signals.groupBy(clip).agg(F.map_from_entries(F.collect_list(entry)).alias("held"))
+
+    def result(r: Column) -> Column:
+        s = F.try_element_at("held", r["signal"])
+        value = F.coalesce(s["value"], F.raise_error(F.concat(F.lit("no signal "), r["signal"])).cast("double"))
+        outcome = rule_outcome(value, s["is_bool"], r["operator"], r["threshold"], s["low"], s["high"])
+        return F.struct(r["ord"].alias("ord"), r["rule_id"].alias("rule_id"), r["signal"].alias("signal"), r["severity"].alias("severity"), value.alias("value"), outcome.alias("outcome"))
+
+    return held.select(clip, F.explode(F.transform(rule_array(rules), result)).alias("r")).select(clip, "r.*")
+
+
+#: Signals that the probability of a good clip draws from replicates, not from their points.
+SAMPLED = ("hand.visibility_fraction", "idle.fraction")
+
+
+def other_rejects_pass(signals: DataFrame, rules, clip: str) -> DataFrame:
+    """(clip, eligible): whether all reject rules but those on sampled signals pass by their point values, intervals or not."""
+    own = [r for r in rules if r[6] == "reject" and r[2] not in SAMPLED]
+    points = signals.withColumns({c: F.lit(None).cast("double") for c in ("low", "high")})
+    return rule_results(points, own, clip).groupBy(clip).agg(F.bool_and(F.col("outcome") == "pass").alias("eligible"))
 
 
 def verdicts(results: DataFrame, clip: str) -> DataFrame:

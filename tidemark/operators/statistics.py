@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.timeline import differences, longest_run
+from tidemark.functions.arrays import before
+from tidemark.operators.timeline import longest_run
 
 
 def known_fraction(flag: Column) -> Column:
@@ -19,68 +22,108 @@ def block_length(n: Column, block_seconds: float, rate: float) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(int(round(block_seconds * rate))), F.greatest(F.lit(1), F.floor(n / 4)))).cast("long")
 
 
-def bootstrap_by_hash(samples: DataFrame, clip: str, value: str, block_seconds: float, rate: float, replicates: int, seed: int) -> DataFrame:
-    """Interval of the mean by moving blocks whose starts are drawn from a hash: (clip, point, low, high).
+def bootstrap_by_hash(samples: DataFrame, clip: str, value: str, block_seconds: float, rate: float, replicates: int, seed: int, statistic: str = "mean") -> DataFrame:
+    """Interval of the mean or the p95 by moving blocks whose starts are drawn from a hash: (clip, point, low, high).
 
-    Prefix sums turn a block's sum into a difference of two looked-up values, so a clip's replicates cost blocks, not samples,
-    and no sample is copied.
+    A clip's known values, in order, are one array in one row; its replicates are folded over in that row, so nothing is copied by
+    replicate and no draw is shuffled. For the mean a block's sum is a difference of two prefix sums; for the p95 a replicate's sample is
+    put together and sorted. A clip is as long as a recording: its array is a bounded number of samples.
     """
-    from pyspark.sql import Window
+    held = samples.where(F.col(value).isNotNull()).groupBy(clip).agg(F.array_sort(F.collect_list(F.struct("i", F.col(value).cast("double").alias("v")))).alias("held"))
+    values = held.select(clip, F.transform("held", lambda x: x["v"]).alias("x")).withColumn("n", F.size("x")).withColumn("l", block_length(F.col("n"), block_seconds, rate).cast("int"))
+    last = (F.ceil(F.col("n") / F.col("l")) - 1).cast("int")
+
+    def start(r: Column, b: Column) -> Column:
+        digest = F.sha2(F.concat_ws("|", F.lit(seed), F.col(clip), r, b), 256)
+        return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % (F.col("n") - F.col("l") + 1)).cast("int")
+
+    size = lambda b: F.least(F.col("l"), F.col("n") - b * F.col("l"))
+    draws, blocks = F.sequence(F.lit(0), F.lit(replicates - 1)), F.sequence(F.lit(0), last)
+    if statistic == "mean":
+        sums = before(F.concat("x", F.array(F.lit(0.0))), F.lit(0.0), lambda acc, v: acc + v)
+        values = values.withColumn("ps", sums)
+        block = lambda r, b: F.transform(F.array(start(r, b)), lambda s: F.get("ps", s + size(b)) - F.get("ps", s))[0]
+        one = lambda r: F.aggregate(F.transform(blocks, lambda b: block(r, b)), F.lit(0.0), lambda acc, v: acc + v) / F.col("n")
+        point = F.get("ps", F.col("n")) / F.col("n")
+    else:
+        sample = lambda r: F.flatten(F.transform(blocks, lambda b: F.slice("x", start(r, b) + 1, size(b))))
+        one = lambda r: _p95(sample(r))
+        point = _p95(F.col("x"))
+    drawn = values.select(clip, point.alias("point"), F.transform(draws, one).alias("m"))
+    return drawn.select(clip, "point", _quantile(F.col("m"), 0.025).alias("low"), _quantile(F.col("m"), 0.975).alias("high"))
+
+
+def _quantile(values: Column, p: float) -> Column:
+    """Of an array, between neighbours by linear interpolation."""
+
+    def of(s: Column) -> Column:
+        at = (F.size(s) - 1) * F.lit(p)
+        low, part = F.floor(at).cast("int"), at - F.floor(at)
+        return F.get(s, low) + part * (F.coalesce(F.get(s, low + 1), F.get(s, low)) - F.get(s, low))
+
+    return F.transform(F.array(F.array_sort(values)), of)[0]
+
+
+def _p95(values: Column) -> Column:
+    return _quantile(values, 0.95)
+
 
-    w = Window.partitionBy(clip).orderBy("i")
-    known = samples.where(F.col(value).isNotNull()).withColumn("k", F.row_number().over(w) - 1)
-    sums = known.withColumn("s", F.sum(F.col(value).cast("double")).over(w))
-    clips = sums.groupBy(clip).agg(F.count("*").alias("n"), F.avg(F.col(value).cast("double")).alias("point"), F.array_sort(F.collect_list(F.struct("k", "s"))).alias("ps"))
-    sized = clips.withColumn("l", block_length(F.col("n"), block_seconds, rate))
-    draws = sized.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    blocks = F.sequence(F.lit(0).cast("long"), (F.ceil(F.col("n") / F.col("l")) - 1).cast("long"))
+#: What a clip's seed is combined with for each metric.
+SALTS = {"hand": 0, "idle": 0xA71A5, "speed": 0x5EED5}
+#: Replicates that are held as samples at once.
+CHUNK = 64
 
-    def one(b: Column) -> Column:
-        digest = F.sha2(F.concat_ws("|", F.lit(seed), F.col(clip), F.col("r"), b), 256)
-        start = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % (F.col("n") - F.col("l") + 1)
-        size = F.least(F.col("l"), F.col("n") - b * F.col("l"))
-        at = lambda i: F.when(i < 0, 0.0).otherwise(F.get("ps", i.cast("int"))["s"])
-        return F.transform(F.array(start), lambda st: at(st + size - 1) - at(st - 1))[0]
 
-    means = draws.select(clip, "point", (F.aggregate(F.transform(blocks, one), F.lit(0.0), lambda acc, x: acc + x) / F.col("n")).alias("m"))
-    return means.groupBy(clip).agg(F.first("point").alias("point"), F.percentile("m", F.lit(0.025)).alias("low"), F.percentile("m", F.lit(0.975)).alias("high"))
+def clip_seed(job: str, clip: str) -> int:
+    """The first eight bytes of the SHA-256 of both, joined by a zero byte."""
+    return int.from_bytes(hashlib.sha256(f"{job}\0{clip}".encode()).digest()[:8], "big")
 
 
-def bootstrap(samples: DataFrame, clip: str, value: str, statistic: str, block_seconds: float, rate: float, replicates: int = 1000, confidence: float = 0.95, seed: int = 0) -> DataFrame:
-    """Seeded moving-block bootstrap of a clip's mean or p95 with NumPy's generator: (clip, point, low, high).
+def bootstrap(samples: DataFrame, clip: str, value: str, statistic: str, block_seconds: float, rate: float, replicates: int = 1000, confidence: float = 0.95, job: str = "", salt: int = 0) -> DataFrame:
+    """Moving-block bootstrap of a clip's mean or p95 with NumPy's generator, seeded by job, clip and salt: (clip, point, low, high, samples).
 
-    No known value: point 0 and interval [0, 1]; one: the value itself.
+    No known value: point 0, interval [0, 1] and null samples; one: the value itself. One task handles a clip, CHUNK replicates at
+    a time; the draws are those of one generator in order, so that seeds give the same numbers everywhere.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf.sort_values("i")[value].dropna().astype(float).to_numpy()
         of = (lambda a: a.mean(-1)) if statistic == "mean" else (lambda a: np.quantile(a, 0.95, axis=-1))
-        n = len(x)
+        n, name = len(x), pdf[clip].iloc[0]
         if n < 2:
             point, low, high = (0.0, 0.0, 1.0) if not n else (x[0], x[0], x[0])
+            drawn = np.full(replicates, x[0] if n else np.nan)
         else:
-            size = max(1, min(round(block_seconds * rate), max(1, n // 4)))
-            rng = np.random.default_rng([seed, *str(pdf[clip].iloc[0]).encode()])
-            starts = rng.integers(0, n - size + 1, (replicates, -(-n // size)))
-            taken = (starts[:, :, None] + np.arange(size)).reshape(replicates, -1)[:, :n]
-            point = of(x)
-            low, high = np.quantile(of(x[taken]), [(1 - confidence) / 2, (1 + confidence) / 2])
-        return pd.DataFrame({clip: [pdf[clip].iloc[0]], "point": [point], "low": [low], "high": [high]})
+            size = max(1, min(max(1, round(block_seconds * rate)), max(1, n // 4)))
+            rng = np.random.default_rng(clip_seed(job, str(name)) ^ salt)
+            parts = []
+            for at in range(0, replicates, CHUNK):
+                starts = rng.integers(0, n - size + 1, (min(CHUNK, replicates - at), -(-n // size)))
+                taken = (starts[:, :, None] + np.arange(size)).reshape(len(starts), -1)[:, :n]
+                parts.append(of(x[taken]))
+            drawn, point = np.concatenate(parts), of(x)
+            low, high = np.quantile(drawn, [(1 - confidence) / 2, 1 - (1 - confidence) / 2])
+        return pd.DataFrame({clip: [name], "point": [point], "low": [low], "high": [high], "samples": [drawn]})
 
     kind = samples.schema[clip].dataType.simpleString()
-    return samples.select(clip, "i", F.col(value).cast("double").alias(value)).groupBy(clip).applyInPandas(run, f"{clip} {kind}, point double, low double, high double")
+    return samples.select(clip, "i", F.col(value).cast("double").alias(value)).groupBy(clip).applyInPandas(run, f"{clip} {kind}, point double, low double, high double, samples array<double>")
 
 
 def repetition(samples: DataFrame, clip: str, value: str, rate: float, least_period: float, most_period: float, least_seconds: float) -> DataFrame:
-    """(clip, score): the largest lagged correlation of the differences of the longest known run, cut to [0, 1]."""
-    run = longest_run(samples, clip, value).select(clip, F.col("k").alias("i"), value)
-    d = differences(run, clip, value).where("d is not null").select(clip, F.col("i").alias("k"), "d")
-    per_clip = d.groupBy(clip).agg(F.avg("d").alias("m"), F.stddev_pop("d").alias("sd"), F.count("*").alias("n"))
-    z = d.join(per_clip, clip).where((F.col("sd") > 1e-9) & (F.col("n") + 1 >= least_seconds * rate)).select(clip, "k", "n", ((F.col("d") - F.col("m")) / F.col("sd")).alias("z"))
-    lags = F.explode(F.sequence(F.lit(max(1, round(least_period * rate))), F.lit(round(most_period * rate)))).alias("lag")
-    left = z.select(clip, "n", F.col("z").alias("za"), "k", lags).withColumn("k2", F.col("k") + F.col("lag"))
-    right = z.select(F.col(clip).alias("c2"), F.col("k").alias("kb"), F.col("z").alias("zb"))
-    pairs = left.join(right, (F.col(clip) == F.col("c2")) & (F.col("k2") == F.col("kb")))
-    by_lag = pairs.groupBy(clip, "lag").agg(F.avg(F.col("za") * F.col("zb")).alias("r"), F.count("*").alias("overlap")).where(F.col("overlap") >= F.greatest(F.lit(12), F.col("lag")))
-    scores = by_lag.groupBy(clip).agg(F.max("r").alias("r"))
+    """(clip, score): the largest lagged correlation of the differences of the longest known run, cut to [0, 1]. The run is one array in one row,
+    and lags are slices of it."""
+    run = longest_run(samples, clip, value).groupBy(clip).agg(F.array_sort(F.collect_list(F.struct("k", F.col(value).cast("double").alias("v")))).alias("held"))
+    steps = run.select(clip, F.transform("held", lambda x: x["v"]).alias("v")).select(clip, F.zip_with(F.slice("v", F.lit(2), F.greatest(F.size("v") - 1, F.lit(0))), F.slice("v", F.lit(1), F.greatest(F.size("v") - 1, F.lit(0))), lambda b, a: b - a).alias("d"))
+    total = lambda a, f: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + f(x))
+    n = F.size("d")
+    sized = steps.where((n > 0) & (n + 1 >= least_seconds * rate)).withColumn("m", total("d", lambda x: x) / n).withColumn("sd", F.sqrt(total("d", lambda x: (x - F.col("m")) * (x - F.col("m"))) / n))
+    z = sized.where("sd > 1e-9").select(clip, F.transform("d", lambda x: (x - F.col("m")) / F.col("sd")).alias("z"))
+    lags = F.array(*(F.lit(k) for k in range(max(1, round(least_period * rate)), round(most_period * rate) + 1)))
+
+    def correlation(lag: Column) -> Column:
+        overlap = F.size("z") - lag
+        products = F.zip_with(F.slice("z", F.lit(1), F.greatest(overlap, F.lit(0))), F.slice("z", lag + 1, F.greatest(overlap, F.lit(0))), lambda a, b: a * b)
+        return F.when(overlap >= F.greatest(F.lit(12), lag), total(products, lambda x: x) / overlap)
+
+    scores = z.select(clip, F.array_max(F.transform(lags, correlation)).alias("r"))
     return samples.select(clip).distinct().join(scores, clip, "left").select(clip, F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), "r")), F.lit(0.0)).alias("score"))

@@ -1,11 +1,9 @@
-"""What a create-only upload does with each object, and which frames of a clip are looked at.
-
-    storage.py     K-03, K-06, S-15
-"""
+"""Object inventories, create-only uploads, guarded reads, and which frames of a clip are looked at."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,3 +28,43 @@ def sampled_indices(clips: DataFrame, count: str, n: int) -> DataFrame:
     k = F.col("k")
     frame = F.when((k == n - 1) & (k > 0), last).otherwise(F.floor(k * (last / F.lit(float(max(n - 1, 1))))))
     return clips.where(F.col(count) > 0).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("frame", frame.cast("long"))
+
+
+def inventory(spark: SparkSession, folder: str) -> DataFrame:
+    """(key, size_bytes, modified) of the files below a folder, from their listing; contents aren't read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    key = F.regexp_replace(F.col("path"), "^.*?" + folder.rstrip("/").split("://")[-1] + "/+", "")
+    return files.select(key.alias("key"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
+
+
+def guarded_read(spark: SparkSession, folder: str, expected: DataFrame) -> DataFrame:
+    """(key, content) of expected(key, size_bytes, sha256) below a folder. A file that is absent or whose size or hash differs fails the query."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    key = F.regexp_replace(F.col("path"), "^.*?" + folder.rstrip("/").split("://")[-1] + "/+", "")
+    joined = expected.join(files.select(key.alias("key"), "content"), "key", "left")
+    return joined.select("key", F.coalesce(F.when(verified(F.col("content"), F.col("size_bytes"), F.col("sha256")), F.col("content")), F.raise_error(F.concat(F.lit("not as expected: "), "key")).cast("binary")).alias("content"))
+
+
+def upload(objects: DataFrame, target: str) -> DataFrame:
+    """Adds objects(key, content, ...) to the table at ``target`` where it has no such key. An object that is there with the same size and hash is
+    left alone; one that differs fails before anything is written. Returns (action, objects), after what was written was read back and verified."""
+    spark = objects.sparkSession
+    rows = objects.select("key", "content", F.octet_length("content").cast("long").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    schema = "key string, content binary, size_bytes long, sha256 string"
+    there = lambda: spark.read.schema(schema).parquet(target)
+    try:
+        held = there().select("key", "size_bytes", "sha256")
+        held.isEmpty()
+    except AnalysisException:
+        held = spark.createDataFrame([], schema).select("key", "size_bytes", "sha256")
+    actions = upload_actions(rows.drop("content"), held, "key").select("key", "action")
+    conflict = actions.where("action = 'conflict'").first()
+    if conflict:
+        raise ValueError(f"{conflict['key']} is there with another size or hash")
+    fresh = actions.where("action = 'write'").select("key")
+    planned = actions.groupBy("action").count().collect()  # three rows at most
+    rows.join(fresh, "key", "left_semi").write.mode("append").parquet(target)
+    checked = upload_actions(rows.drop("content"), there().select("key", "size_bytes", "sha256"), "key")
+    if not checked.where("action <> 'noop'").isEmpty():
+        raise ValueError(f"{target} doesn't hold what was written")
+    return spark.createDataFrame(planned, "action string, objects long")

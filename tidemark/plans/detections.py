@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import boxes, telemetry
-from tidemark.plans.gate import query
+from tidemark.plans.gate import iou_sql, query, suppression_sql
 from tidemark.plans.tables import read
 
 SHARE, SCALE, RATIO, OVERLAP = 0.25, 0.5, 0.4, 0.15
@@ -48,14 +48,71 @@ def _matched(spark, sf_dir):
     return frames.select("l_orderkey", (F.size("old") == F.size("new")).alias("count_match"), boxes.greedy_matches(F.col("old"), F.col("new")).alias("matches"))
 
 
-@query(None)
+_IOU = iou_sql("c", "o.b", "0")
+_MATCH = f"""WITH RECURSIVE b AS (SELECT l_orderkey, l_linenumber, {{'x1': l_quantity * 10, 'y1': l_discount * 1000, 'x2': l_quantity * 10 + (l_linenumber * 7 + 50), 'y2': l_discount * 1000 + (l_tax * 1000 + 30), 'score': 1 - l_discount}} AS b FROM lineitem),
+o AS (SELECT l_orderkey, b, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, b) AS n FROM b WHERE l_linenumber % 2 = 1), w AS (SELECT l_orderkey, list(b ORDER BY l_linenumber, b) AS new FROM b WHERE l_linenumber % 2 = 0 GROUP BY 1),
+s AS (SELECT l_orderkey, count(*) FILTER (WHERE l_linenumber % 2 = 1) AS n_old, count(*) FILTER (WHERE l_linenumber % 2 = 0) AS n_new FROM b GROUP BY 1),
+f AS (SELECT s.l_orderkey, 0 AS n, coalesce(new, []) AS "left", CAST([] AS STRUCT(iou DOUBLE, delta DOUBLE)[]) AS matches FROM s LEFT JOIN w USING (l_orderkey) UNION ALL
+SELECT q.l_orderkey, q.n, CASE WHEN spot IS NULL THEN q."left" ELSE list_filter(q."left", lambda x, i: i <> spot) END, CASE WHEN spot IS NULL THEN q.matches ELSE list_append(q.matches, {{'iou': ious[spot], 'delta': abs(q.b.score - q."left"[spot].score)}}) END
+FROM (SELECT *, list_position(ious, list_max(ious)) AS spot FROM (SELECT o.l_orderkey, o.n, o.b, f."left", f.matches, list_transform(f."left", lambda c: {_IOU}) AS ious FROM f JOIN o ON o.l_orderkey = f.l_orderkey AND o.n = f.n + 1)) q),
+m AS (SELECT l_orderkey, arg_max(matches, n) AS matches FROM f GROUP BY 1)"""
+
+
+@query(_MATCH + " SELECT s.l_orderkey, n_old = n_new AS count_match, len(matches)::INT AS matched, round(coalesce(list_sum(list_transform(matches, lambda x: sqrt(x.iou))), 0e0), 6) AS root_iou, round(coalesce(list_sum(list_transform(matches, lambda x: x.delta)), 0e0), 6) AS score_delta FROM s JOIN m USING (l_orderkey)")
 def j07_greedy_matching(spark, sf_dir):
-    return _matched(spark, sf_dir)
+    total = lambda f: F.round(F.aggregate("matches", F.lit(0.0), lambda acc, m: acc + f(m)), 6)
+    return _matched(spark, sf_dir).select("l_orderkey", "count_match", F.size("matches").alias("matched"), total(lambda m: F.sqrt(m["iou"])).alias("root_iou"), total(lambda m: m["score_delta"]).alias("score_delta"))
+
+
+@query(_MATCH + """, x AS (SELECT l_orderkey, unnest(matches, recursive := true) FROM m), y AS (SELECT coalesce(min(iou), 1e0) AS lo, coalesce(avg(iou), 1e0) AS mean, coalesce(max(delta), 0e0) AS d, count(*) AS k FROM x), z AS (SELECT count(*) AS frames, avg(CASE WHEN n_old = n_new THEN 1e0 ELSE 0e0 END) AS same FROM s)
+SELECT frames, round(same, 6) AS count_match_fraction, k AS matched_boxes, round(lo, 6) AS min_iou, round(mean, 6) AS mean_iou, round(d, 6) AS max_score_delta, same = 1 AND lo >= 9e-1 AND d <= 3e-2 AS passed FROM y, z""")
+def a26_f15_detector_parity(spark, sf_dir):
+    out = boxes.parity(_matched(spark, sf_dir), 0.90, 0.03)
+    return out.withColumns({c: F.round(c, 6) for c in ("count_match_fraction", "min_iou", "mean_iou", "max_score_delta")})
+
+
+def _classed(spark, sf_dir):
+    box = F.struct("l_linenumber", (F.col("l_partkey") % 60).cast("double").alias("x1"), (F.col("l_suppkey") % 60).cast("double").alias("y1"), ((F.col("l_partkey") % 60) + F.col("l_quantity") + 30).alias("x2"), ((F.col("l_suppkey") % 60) + F.col("l_quantity") + 30).alias("y2"), (1 - F.col("l_discount") * 8).alias("score"), (F.col("l_linenumber") % 2).alias("class_id"))
+    return read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(box)).alias("d"))
+
+
+_CLASSED = "WITH RECURSIVE d AS (SELECT l_orderkey AS frame, l_linenumber, {'n': l_linenumber, 'x1': (l_partkey % 60)::DOUBLE, 'y1': (l_suppkey % 60)::DOUBLE, 'x2': (l_partkey % 60) + l_quantity + 30, 'y2': (l_suppkey % 60) + l_quantity + 30, 'score': 1 - l_discount * 8, 'class_id': l_linenumber % 2} AS b FROM lineitem)"
+
+
+@query(_CLASSED + " SELECT frame AS l_orderkey, count(*) FILTER (WHERE b.score >= 3e-1) AS kept FROM d GROUP BY 1")
+def f09_confident_detections(spark, sf_dir):
+    return _classed(spark, sf_dir).select("l_orderkey", F.size(boxes.confident(F.col("d"), 0.3)).cast("long").alias("kept"))
+
+
+@query(_CLASSED + f", x AS (SELECT frame, b, row_number() OVER (PARTITION BY frame ORDER BY b.score DESC, b DESC) AS place FROM d), {suppression_sql('x', '45e-2', True)} SELECT frame AS l_orderkey, array_to_string(list_transform(kept, lambda k: k.n), ',') AS kept FROM kept")
+def t04_suppression_by_class(spark, sf_dir):
+    kept = boxes.suppressed_by_class(F.col("d"), 0.45)
+    return _classed(spark, sf_dir).select("l_orderkey", F.array_join(F.transform(kept, lambda k: k["l_linenumber"]), ",").alias("kept"))
+
+
+@query(_CLASSED + f""", u AS (SELECT frame, count(*) FILTER (WHERE l_linenumber = 1 AND b.score >= 5e-1) AS n FROM d GROUP BY 1), t AS (SELECT d.frame, d.l_linenumber, d.b FROM d JOIN u USING (frame) WHERE n = 0 AND l_linenumber > 1),
+x AS (SELECT frame, b, row_number() OVER (PARTITION BY frame ORDER BY b.score DESC, b DESC) AS place FROM t), {suppression_sql('x', '45e-2', False)}
+SELECT u.frame AS l_orderkey, CASE WHEN n > 0 THEN repeat('1,', (n - 1)::INT) || '1' ELSE coalesce(array_to_string(list_transform(kept, lambda k: k.n), ','), '') END AS kept FROM u LEFT JOIN kept USING (frame)""")
+def u03_v08_tile_fallback(spark, sf_dir):
+    """A frame's first box, if it is confident, stands in for its own detections; the others for those of its tiles."""
+    full = F.filter("d", lambda b: (b["l_linenumber"] == 1) & (b["score"] >= 0.5))
+    merged = boxes.merged_with_tiles(full, F.filter("d", lambda b: b["l_linenumber"] > 1), 0.45)
+    return _classed(spark, sf_dir).select("l_orderkey", F.array_join(F.transform(merged, lambda k: k["l_linenumber"]), ",").alias("kept"))
+
+
+_STRIDES = (4, 8)
 
 
-@query(None)
-def a26_detector_parity(spark, sf_dir):
-    return boxes.parity(_matched(spark, sf_dir), 0.90, 0.03)
+@query("""WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), c AS (SELECT row_number() OVER (ORDER BY s, y, x) - 1 AS k, x, y, s FROM (SELECT 4 AS s, x, y FROM unnest(range(0, 4)) a(x), unnest(range(0, 2)) b(y) UNION ALL SELECT 8, x, y FROM unnest(range(0, 2)) a(x), unnest(range(0, 1)) b(y))),
+d AS (SELECT vec_id, k, (e[k * 6 + 1] + x) * s AS cx, (e[k * 6 + 2] + y) * s AS cy, exp(e[k * 6 + 3]) * s AS w, exp(e[k * 6 + 4]) * s AS h, e[k * 6 + 5] * e[k * 6 + 6] AS a, e[k * 6 + 5] * (1 - e[k * 6 + 6]) AS b FROM p, c)
+SELECT vec_id, k::INT AS k, round((cx - w / 2) / 5e-1, 5) AS x1, round((cy - h / 2) / 5e-1, 5) AS y1, round((cx + w / 2) / 5e-1, 5) AS x2, round((cy + h / 2) / 5e-1, 5) AS y2, round(greatest(a, b), 6) AS score, CASE WHEN a >= b THEN 0 ELSE 1 END AS class_id FROM d""")
+def p15_j14_v06_decoded_boxes(spark, sf_dir):
+    """A vector's first 60 numbers are ten output rows of a detector for 16 by 8 pixels: a box, an objectness, and a share of the first class."""
+    e = F.transform("embedding", lambda v: v.cast("double"))
+    row = lambda k: F.array(*(F.get("e", k * 6 + j) for j in range(5)), F.get("e", k * 6 + 5), 1 - F.get("e", k * 6 + 5))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", e.alias("e")).select("vec_id", F.transform(F.sequence(F.lit(0), F.lit(9)), row).alias("rows"))
+    out = rows.select("vec_id", F.posexplode(boxes.decoded(F.col("rows"), boxes.anchors(16, 8, _STRIDES), F.lit(0.5))).alias("k", "b")).select("vec_id", "k", "b.*")
+    return out.withColumns({c: F.round(c, 6 if c == "score" else 5) for c in ("x1", "y1", "x2", "y2", "score")})
 
 
 @query("SELECT event_type, round(sum(greatest(value - 50e0, 0e0)), 4) AS seconds, count(*) AS calls FROM events GROUP BY event_type")

@@ -95,23 +95,31 @@ def a01_a02_a03_fractions_and_p95(spark, sf_dir):
 _BOOT = _S + """, k AS (SELECT user_id, CASE WHEN event_type <> 'error' THEN value END AS v, row_number() OVER (PARTITION BY user_id ORDER BY i) - 1 AS k FROM s WHERE event_type <> 'error'),
 n AS (SELECT user_id, count(*) AS n, avg(v) AS point FROM k GROUP BY user_id),
 l AS (SELECT *, greatest(1, least(10, greatest(1, n // 4))) AS l FROM n),
-b AS (SELECT l.*, r, b FROM l, unnest(range(0, 50)) AS x(r), unnest(range(0, CAST(ceil(n / l) AS BIGINT))) AS y(b)),
+b AS (SELECT l.*, r, b FROM l, unnest(range(0, 1000)) AS x(r), unnest(range(0, CAST(ceil(n / l) AS BIGINT))) AS y(b)),
 st AS (SELECT *, ('0x' || substr(sha256(concat_ws('|', 7, user_id, r, b)), 1, 8))::BIGINT % (n - l + 1) AS st FROM b),
 m AS (SELECT st.user_id, st.r, avg(k.v) AS m FROM st JOIN k ON k.user_id = st.user_id AND k.k BETWEEN st.st AND least(st.st + l - 1, st.st + n - 1 - b * l) GROUP BY 1, 2)
-SELECT m.user_id, round(any_value(n.point), 8) AS point, round(quantile_cont(m, 0.025), 8) AS low, round(quantile_cont(m, 0.975), 8) AS high FROM m JOIN n USING (user_id) GROUP BY m.user_id"""
+SELECT m.user_id, round(any_value(n.point), 6) AS point, round(quantile_cont(m, 0.025), 6) AS low, round(quantile_cont(m, 0.975), 6) AS high FROM m JOIN n USING (user_id) GROUP BY m.user_id"""
 
 
 @query(_BOOT)
 def a04_block_bootstrap_by_hash(spark, sf_dir):
     s = _clips(spark, sf_dir).withColumn("v", F.when(F.col("event_type") != "error", F.col("value")))
-    out = statistics.bootstrap_by_hash(s, "user_id", "v", 2.0, RATE, 50, 7)
-    return out.select("user_id", *(F.round(c, 8).alias(c) for c in ("point", "low", "high")))
+    out = statistics.bootstrap_by_hash(s, "user_id", "v", 2.0, RATE, 1000, 7)
+    return out.select("user_id", *(F.round(c, 6).alias(c) for c in ("point", "low", "high")))
+
+
+@query(_BOOT.replace("avg(v) AS point", "quantile_cont(v, 0.95) AS point").replace("avg(k.v) AS m", "quantile_cont(k.v, 0.95) AS m"))
+def a04_block_bootstrap_p95(spark, sf_dir):
+    s = _clips(spark, sf_dir).withColumn("v", F.when(F.col("event_type") != "error", F.col("value")))
+    out = statistics.bootstrap_by_hash(s, "user_id", "v", 2.0, RATE, 1000, 7, "p95")
+    return out.select("user_id", *(F.round(c, 6).alias(c) for c in ("point", "low", "high")))
 
 
 @query(None)
 def a04_block_bootstrap_seeded(spark, sf_dir):
+    """NumPy's generator can't be written in SQL; tests/test_statistics.py compares with a plain loop."""
     s = _clips(spark, sf_dir).withColumn("v", F.when(F.col("event_type") != "error", F.col("value")))
-    return statistics.bootstrap(s, "user_id", "v", "p95", 2.0, RATE, 200)
+    return statistics.bootstrap(s, "user_id", "v", "p95", 2.0, RATE, 1000, job="job").drop("samples")
 
 
 @query(_S + """, d AS (SELECT user_id, i - 1 AS k, value - lag(value) OVER (PARTITION BY user_id ORDER BY i) AS d FROM s), e AS (SELECT * FROM d WHERE d IS NOT NULL),
@@ -123,28 +131,6 @@ def a05_w06_j11_repetition(spark, sf_dir):
     return statistics.repetition(_clips(spark, sf_dir), "user_id", "value", RATE, 1.6, 6.0, 8.0).select("user_id", F.round("score", 6).alias("score"))
 
 
-def _signals(spark, sf_dir):
-    s = _clips(spark, sf_dir)
-    visible = F.avg((F.col("event_type") != "error").cast("double"))
-    idle = F.avg(F.when(F.col("event_type") != "error", F.col("event_type").isin("view").cast("double")))
-    wide = s.groupBy("user_id").agg(visible.alias("v"), idle.alias("idle"), (F.percentile("value", F.lit(0.95)) / 250).alias("speed"))
-    low = lambda c, on: F.col(c) - 0.05 if on else F.lit(None).cast("double")
-    high = lambda c, on: F.col(c) + 0.05 if on else F.lit(None).cast("double")
-    named = (("hand.visibility_fraction", "v", True), ("idle.fraction", "idle", True), ("hand.motion_speed_p95", "speed", False))
-    rows = F.explode(F.array(*(F.struct(F.lit(n).alias("signal"), F.col(c).alias("value"), low(c, on).alias("low"), high(c, on).alias("high")) for n, c, on in named)))
-    return wide.select("user_id", rows.alias("x")).select("user_id", "x.*")
-
-
-@query(_S + """, w AS (SELECT user_id, avg(CASE WHEN event_type <> 'error' THEN 1e0 ELSE 0e0 END) AS v, avg(CASE WHEN event_type <> 'error' THEN CASE WHEN event_type = 'view' THEN 1e0 ELSE 0e0 END END) AS idle, quantile_cont(value, 0.95) / 250 AS speed FROM s GROUP BY user_id),
-o AS (SELECT user_id, CASE WHEN v - 5e-2 >= 6e-1 THEN 'pass' WHEN v + 5e-2 < 6e-1 THEN 'fail' ELSE 'uncertain' END AS a, CASE WHEN idle + 5e-2 <= 5e-1 THEN 'pass' WHEN idle - 5e-2 > 5e-1 THEN 'fail' ELSE 'uncertain' END AS b, CASE WHEN speed <= 75e-2 THEN 'pass' ELSE 'fail' END AS c FROM w),
-q AS (SELECT *, a = 'fail' OR b = 'fail' OR c = 'fail' AS f, a = 'uncertain' OR b = 'uncertain' AS u FROM o)
-SELECT user_id, CASE WHEN f THEN 'bad' WHEN u THEN 'uncertain' ELSE 'good' END AS verdict,
-concat_ws(',', CASE WHEN a = 'fail' OR (NOT f AND a = 'uncertain') THEN 'hands-visible' END, CASE WHEN b = 'fail' OR (NOT f AND b = 'uncertain') THEN 'extended-idle' END, CASE WHEN c = 'fail' THEN 'hand-speed' END) AS reasons FROM q""")
-def f02_f07_j03_a14_a15_rules(spark, sf_dir):
-    named = spark.createDataFrame(list(rules.DEFAULT_RULES), rules.RULE_SCHEMA)
-    return rules.verdicts(rules.rule_results(_signals(spark, sf_dir), named, "user_id"), "user_id")
-
-
 _CTX = "SELECT user_id, count(*) FILTER (WHERE event_type = 'error') * 4 > count(*) AS cov, 100 * avg(CASE WHEN event_type <> 'error' THEN 1e0 ELSE 0e0 END) - 20 AS hands, 100 * avg(CASE WHEN event_type = 'view' THEN 1e0 ELSE 0e0 END) AS idle, avg(value) / 50 AS tr, max(value) / 90 AS rot, least(1e0, avg(value) / 60) AS rep FROM events GROUP BY user_id"
 
 
@@ -192,23 +178,16 @@ def f06_u05_j01_remaining_work(spark, sf_dir):
 
 @query("""WITH i AS (SELECT o_orderkey AS k, CAST(o_totalprice AS BIGINT) AS size, o_orderpriority AS etag FROM orders), v AS (SELECT o_orderkey AS k, CAST(o_totalprice AS BIGINT) + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS size, o_orderpriority AS etag FROM orders WHERE o_orderkey % 5 <> 0)
 SELECT CASE WHEN v.k IS NULL THEN 'missing' WHEN i.size = v.size AND i.etag = v.etag THEN 'same' ELSE 'conflict' END AS state, count(*) AS items FROM i LEFT JOIN v USING (k) GROUP BY 1""")
-def f04_j02_k03_inventory_drift(spark, sf_dir):
+def f04_j02_inventory_drift(spark, sf_dir):
     o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").cast("long").alias("size_bytes"), F.col("o_orderpriority").alias("etag"))
     there = o.where("key % 5 <> 0").select("key", (F.col("size_bytes") + (F.col("key") % 7 == 0).cast("int")).alias("size_bytes"), F.concat(F.lit('"'), "etag", F.lit('"')).alias("etag"))
     return journal.drift(o, there, "key").groupBy("state").agg(F.count("*").alias("items"))
 
 
-@query("""WITH RECURSIVE o AS (SELECT o_custkey AS job, o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS size, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders WHERE o_custkey % 10 = 1),
+@query("""WITH RECURSIVE o AS (SELECT o_custkey AS job, o_orderkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS size, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n FROM orders),
 f AS (SELECT job, k, n, size, 0 AS cohort, size AS held FROM o WHERE n = 1 UNION ALL SELECT o.job, o.k, o.n, o.size, CASE WHEN held + o.size > 100000000 THEN cohort + 1 ELSE cohort END, CASE WHEN held + o.size > 100000000 THEN o.size ELSE held + o.size END FROM f JOIN o ON o.job = f.job AND o.n = f.n + 1)
 SELECT job, k, CAST(cohort AS BIGINT) AS cohort FROM f""")
 def w10_cohorts(spark, sf_dir):
-    items = read(spark, sf_dir, "orders").where("o_custkey % 10 = 1").select(F.col("o_custkey").alias("job"), F.col("o_orderkey").alias("k"), F.round(F.col("o_totalprice") * 100).cast("long").alias("size"))
-    return journal.cohorts(items, "job", "k", "size", 100_000_000).select("job", "k", "cohort")
-
-
-@query(None)
-def w10_cohorts_all(spark, sf_dir):
-    """All jobs; w10_cohorts is the tenth of them that its recursive SQL is compared on."""
     items = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("job"), F.col("o_orderkey").alias("k"), F.round(F.col("o_totalprice") * 100).cast("long").alias("size"))
     return journal.cohorts(items, "job", "k", "size", 100_000_000).select("job", "k", "cohort")
 
@@ -224,7 +203,7 @@ def w08_t05_evidence(spark, sf_dir):
 
 @query("""SELECT n_name AS site, CASE o_orderstatus WHEN 'O' THEN 'good' WHEN 'F' THEN 'bad' WHEN 'P' THEN 'uncertain' ELSE 'error' END AS verdict, count(*) AS clips, round(sum(o_totalprice) / 3600, 4) AS hours
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""")
-def a09_a10_j09_corpus_rollup(spark, sf_dir):
+def a09_corpus_rollup(spark, sf_dir):
     o, c, n = (read(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
     verdict = F.when(F.col("o_orderstatus") == "O", "good").when(F.col("o_orderstatus") == "F", "bad").when(F.col("o_orderstatus") == "P", "uncertain").otherwise("corrupt")
     r = o.join(c, o["o_custkey"] == c["c_custkey"]).join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"]).select(F.col("n_name").alias("site"), verdict.alias("verdict"), F.col("o_totalprice").alias("duration_seconds"))
@@ -237,19 +216,6 @@ def a11_p16_throughput(spark, sf_dir):
     return report.throughput(r, 7500.0).select(F.round("source_xrt", 6).alias("source_xrt"), F.round("projected_hours", 6).alias("projected_hours"))
 
 
-_GRID = "WITH g AS (SELECT vec_id, least(255, greatest(0, floor((unnest(embedding)::DOUBLE + 55e-2) * 231)))::INT AS g FROM embeddings), h AS (SELECT vec_id, g, count(*) AS c FROM g GROUP BY 1, 2), e AS (SELECT vec_id, -sum(c / 64e0 * log2(c / 64e0)) AS entropy FROM h GROUP BY 1), m AS (SELECT vec_id, avg(g) AS mean, avg(CASE WHEN g <= 5 OR g >= 250 THEN 1e0 ELSE 0e0 END) AS clipped FROM g GROUP BY 1)"
-
-
-@query(_GRID + " SELECT vec_id, round(mean, 6) AS mean, round(entropy, 6) AS entropy, round(clipped, 6) AS clipped, mean <= 8 OR entropy <= 1 AS blackish FROM m JOIN e USING (vec_id)")
-def a21_a22_a24_f03_frame_quality(spark, sf_dir):
-    grid = F.transform("embedding", lambda v: F.least(F.lit(255), F.greatest(F.lit(0), F.floor((v.cast("double") + 0.55) * 231))).cast("int"))
-    g = read(spark, sf_dir, "embeddings").select("vec_id", grid.alias("g"))
-    pixels = g.select("vec_id", F.explode("g").alias("g")).groupBy("vec_id", "g").count()
-    p, c = F.col("count") / 64.0, F.col("count")
-    out = pixels.groupBy("vec_id").agg((F.sum(F.col("g") * c) / 64.0).alias("mean"), (-F.sum(p * F.log2(p))).alias("entropy"), (F.sum(F.when((F.col("g") <= 5) | (F.col("g") >= 250), c).otherwise(0)) / 64.0).alias("clipped"))
-    return out.select("vec_id", *(F.round(x, 6).alias(x) for x in ("mean", "entropy", "clipped")), ((F.col("mean") <= 8) | (F.col("entropy") <= 1)).alias("blackish"))
-
-
 @query("SELECT doc_id, source AS item, regexp_full_match(source, '[A-Za-z0-9][A-Za-z0-9._:-]{0,127}') AS id_ok FROM documents")
 def f01_manifest_ids(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("item"), C.valid_id(F.col("source")).alias("id_ok"))
@@ -266,9 +232,31 @@ def p02_scaled_dimensions(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", w.cast("int").alias("w"), h.alias("h"))
 
 
-@query(None)
+def iou_sql(a: str, b: str, epsilon: str) -> str:
+    """Intersection over union in SQL; ``epsilon`` is added to the union."""
+    side = lambda v, i, j: f"greatest(0e0, {v}.{j} - {v}.{i})"
+    area = lambda v: f"{side(v, 'x1', 'x2')} * {side(v, 'y1', 'y2')}"
+    both = " * ".join(f"greatest(0e0, least({a}.{j}, {b}.{j}) - greatest({a}.{i}, {b}.{i}))" for i, j in (("x1", "x2"), ("y1", "y2")))
+    return f"coalesce({both} / nullif({area(a)} + {area(b)} - {both} + {epsilon}, 0), 0e0)"
+
+
+def suppression_sql(boxes: str, threshold: str, same_class: bool) -> str:
+    """Tables that follow boxes (frame, b struct, place in order): kept(frame, kept list), one recursion a box."""
+    rival = f"{'k.class_id = o.b.class_id AND ' if same_class else ''}{iou_sql('k', 'o.b', '1e-9')} > {threshold}"
+    return f"""f AS (SELECT frame, 1 AS place, [b] AS kept FROM {boxes} WHERE place = 1 UNION ALL
+SELECT o.frame, o.place, CASE WHEN len(list_filter(f.kept, lambda k: {rival})) > 0 THEN f.kept ELSE list_append(f.kept, o.b) END FROM f JOIN {boxes} o ON o.frame = f.frame AND o.place = f.place + 1),
+kept AS (SELECT frame, arg_max(kept, place) AS kept FROM f GROUP BY frame)"""
+
+
+_T03 = f"""WITH RECURSIVE d AS (SELECT l_orderkey AS frame, l_linenumber, {{'n': l_linenumber, 'x1': (l_partkey % 100)::DOUBLE, 'y1': (l_suppkey % 100)::DOUBLE, 'x2': (l_partkey % 100)::DOUBLE + (l_quantity + 20), 'y2': (l_suppkey % 100)::DOUBLE + (l_quantity + 20), 'score': l_discount + l_linenumber / 1000e0}} AS b FROM lineitem),
+x AS (SELECT frame, b, row_number() OVER (PARTITION BY frame ORDER BY b.score DESC, b DESC) AS place FROM d), {suppression_sql("x", "45e-2", False)}
+SELECT frame AS l_orderkey, array_to_string(list_transform(kept, lambda k: k.n), ',') AS kept FROM kept"""
+
+
+@query(_T03)
 def t03_j13_suppression(spark, sf_dir):
     b = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", (F.col("l_partkey") % 100).cast("double").alias("x"), (F.col("l_suppkey") % 100).cast("double").alias("y"), (F.col("l_quantity") + 20).alias("s"), (F.col("l_discount") + F.col("l_linenumber") / 1000).alias("score"))
     boxes = b.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("x").alias("x1"), F.col("y").alias("y1"), (F.col("x") + F.col("s")).alias("x2"), (F.col("y") + F.col("s")).alias("y2"), "score"))).alias("boxes"))
-    return boxes.select("l_orderkey", F.transform(C.suppressed(F.col("boxes"), 0.45), lambda k: k["l_linenumber"]).alias("kept"))
+    kept = F.transform(C.suppressed(F.col("boxes"), 0.45), lambda k: k["l_linenumber"])
+    return boxes.select("l_orderkey", F.array_join(kept, ",").alias("kept"))
