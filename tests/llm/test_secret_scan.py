@@ -66,10 +66,10 @@ def test_names_that_clash(spark):
 
 
 def test_very_many_matches_in_one_text(spark):
-    text = "\n".join(f"token=value{i:06d}" if i % 2 else f"{'0123456789abcdef' * 2}" for i in range(32_000))
+    text = "\n".join(f"token=value{i:06d}" if i % 2 else f"{'0123456789abcdef' * 2}" for i in range(6_000))
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert [tuple(s) for s in S.scan(df).first().spans] == base(text)
-    assert S.redact(df).first().text == "\n".join(["[SECRET]"] * 32_000)
+    assert S.redact(df).first().text == "\n".join(["[SECRET]"] * 6_000)
 
 
 def test_overlapping_spans_are_masked_once(spark):

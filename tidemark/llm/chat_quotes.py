@@ -2,9 +2,9 @@
 
 Method. A message's lines carry a quote level, their leading ``>`` marks. Lines of one level in a row are a passage; it is
 normalised (lower case, letters and digits only, one space between words; a whole message of neither, as it stands) and hashed. A passage
-of the least quote level that its message has, be it ``>`` or ``>>``, is joined with the earliest message of its conversation whose own
-words (level 0) hold it as a line, a paragraph or the whole message; one below LEAST_CHARS only as the whole message. A message
-answers the latest message before it that it quotes so. Root and depth of each message come from pointer doubling over the answers, one
+of any level is joined with the earliest message of its conversation whose own words (level 0) hold it as a line, a paragraph or the
+whole message; one below LEAST_CHARS only as the whole message. Of the messages before it that a message quotes so at the least level
+that links to any, it answers the latest; those of deeper levels are returned beside it. Root and depth of each message come from pointer doubling over the answers, one
 join of unique keys a round. The result orders a conversation's messages by root, depth and turn, so that each
 follows what it answers, with quotes taken out of the text.
 
@@ -21,11 +21,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.folds import let
 from tidemark.llm.shared import Scratch
 
 #: Shortest normalised passage (characters) that links to a part of a message; a shorter one links to a whole message only, so
 #: that "ok" or "thanks" as one line of many don't.
 LEAST_CHARS = 12
+#: Answers (four numbers each) up to which they are broadcast to each other.
+BROADCAST_ROWS = 200_000
 _QUOTE = r"^(?:[ \t]*>)+[ \t]?"
 
 
@@ -42,13 +45,13 @@ def _lines(text: Column) -> Column:
 def _passages(lines: Column) -> Column:
     """(level, text) of runs of lines of one level."""
 
-    def add(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        grown = F.struct(last["level"].alias("level"), F.concat(last["text"], F.lit("\n"), x["line"]).alias("text"))
-        own = F.struct(x["level"].alias("level"), x["line"].alias("text"))
-        return F.when(F.size(acc) == 0, F.array(own)).when(last["level"] == x["level"], F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(own)))
+    def of(x: Column) -> Column:
+        opens = F.filter(F.sequence(F.lit(1), F.size(x)), lambda i: (i == 1) | (F.get(x, i - 1)["level"] != F.get(x, i - 2)["level"]))
+        upto = lambda o, k: F.coalesce(F.get(o, k + 1), F.size(x) + 1)
+        text = lambda o, i, k: F.array_join(F.transform(F.slice(x, i, upto(o, k) - i), lambda y: y["line"]), "\n")
+        return let(opens, lambda o: F.transform(o, lambda i, k: F.struct(F.get(x, i - 1)["level"].alias("level"), text(o, i, k).alias("text"))))
 
-    return F.aggregate(lines, F.array().cast("array<struct<level int, text string>>"), add)
+    return let(lines, of)
 
 
 def _hashes(parts: Column, wholes: Column) -> Column:
@@ -60,43 +63,48 @@ def _hashes(parts: Column, wholes: Column) -> Column:
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, own (text without quotes), own_hashes, quoted_hashes (of the least quote level it has), n_quotes."""
+    """conv_id, turn, role, own (text without quotes), own_hashes, quoted (level, hash), n_quotes."""
     quotes = F.col("text").rlike("(?m)^[ \\t]*>")
     lined = messages.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).withColumn("lines", F.when(quotes, _lines(F.col("text")))).withColumn("passages", F.when(quotes, _passages(F.col("lines"))))
     own = F.when(F.col("passages").isNull(), F.col("text")).otherwise(F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["line"]), "\n"))
-    least = F.array_min(F.transform(F.filter("passages", lambda p: p["level"] > 0), lambda p: p["level"]))
-    quoted = F.transform(F.filter("passages", lambda p: p["level"] == F.col("least")), lambda p: p["text"])
     own_hashes = _hashes(F.concat(F.split("own", "\n"), F.split("own", "\n\\s*\n")), F.array("own"))
-    quoted_hashes = _hashes(F.flatten(F.transform(quoted, lambda p: F.split(p, "\n"))), quoted)
-    return lined.withColumn("own", F.trim(own)).withColumn("least", least).select(
-        "conv_id", "turn", "role", "own", own_hashes.alias("own_hashes"), F.when(F.size(quoted) > 0, quoted_hashes).alias("quoted_hashes"),
-        F.coalesce(F.size(F.filter("passages", lambda p: p["level"] > 0)), F.lit(0)).cast("long").alias("n_quotes"),
+    of_passage = lambda p: F.transform(_hashes(F.split(p["text"], "\n"), F.array(p["text"])), lambda h: F.struct(p["level"].alias("level"), h.alias("hash")))
+    quoted = F.filter("passages", lambda p: p["level"] > 0)
+    return lined.withColumn("own", F.trim(own)).select(
+        "conv_id", "turn", "role", "own", own_hashes.alias("own_hashes"), F.when(F.size(quoted) > 0, F.array_distinct(F.flatten(F.transform(quoted, of_passage)))).alias("quoted"),
+        F.coalesce(F.size(quoted), F.lit(0)).cast("long").alias("n_quotes"),
     )
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
-    """conversations(conv_id, turn, role, text) to conv_id, turn, role, text (without quotes), n_quotes, reply_to (turn or null),
-    root (turn), depth and position (from 0, within the conversation)."""
+    """conversations(conv_id, turn, role, text) to conv_id, turn, role, text (without quotes), n_quotes, quoted_turns (level and turn of all
+    that it quotes), reply_to (turn or null), root (turn), depth and position (from 0, within the conversation)."""
     spark = messages.sparkSession
     scratch = Scratch(spark, "quotes")
     rows = scratch.keep(parsed(messages), "parsed")
     placed = rows.where("conv_id is not null and turn is not null")
-    quoted = placed.where("quoted_hashes is not null").select("conv_id", "turn", F.explode("quoted_hashes").alias("hash")).distinct()
+    quoted = placed.where("quoted is not null").select("conv_id", "turn", F.explode("quoted").alias("q")).select("conv_id", "turn", "q.level", "q.hash").distinct()
     wanted = quoted.select("conv_id", "hash").distinct()
     held = placed.select("conv_id", "turn", F.explode("own_hashes").alias("hash")).join(wanted, ["conv_id", "hash"], "left_semi").groupBy("conv_id", "hash").agg(F.min("turn").alias("first"))
-    answers = scratch.keep(quoted.join(held, ["conv_id", "hash"]).where("first < turn").groupBy("conv_id", "turn").agg(F.max("first").alias("to")), "answers")
-    # Pointer doubling: every message that answers knows an ancestor and how far up it is.
+    met = quoted.join(held, ["conv_id", "hash"]).where("first < turn").groupBy("conv_id", "turn", "level", "first").count()
+    nearest = F.max(F.struct((-F.col("level")).alias("above"), F.col("first").alias("to")))
+    turns = F.array_sort(F.collect_list(F.struct("level", F.col("first").alias("turn"))))  # as many as the message quotes
+    answers = scratch.keep(met.groupBy("conv_id", "turn").agg(nearest.alias("n"), turns.alias("quoted_turns")).select("conv_id", "turn", F.col("n.to").alias("to"), "quoted_turns"), "answers")
+    # Pointer doubling: every message that answers knows an ancestor and how far up it is. Many may share an ancestor; the other side is unique,
+    # and small ones are broadcast by a count of their rows.
     now = answers.select("conv_id", "turn", F.col("to").alias("root"), F.lit(1).cast("long").alias("depth"))
+    hint = F.broadcast if answers.count() <= BROADCAST_ROWS else lambda df: df
     while True:
         up = now.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("root2"), F.col("depth").alias("depth2"))
-        joined = now.join(up, ["conv_id", "root"], "left")
-        now = scratch.keep(joined.select("conv_id", "turn", F.coalesce("root2", "root").alias("root"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"), F.col("root2").isNotNull().alias("moved")), "pointers")
-        moved = not now.where("moved").isEmpty()
-        now = now.drop("moved")
-        if not moved:
+        joined = now.join(hint(up), ["conv_id", "root"], "left")
+        before, now = now, scratch.keep(joined.select("conv_id", "turn", F.coalesce("root2", "root").alias("root"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"), F.col("root2").isNotNull().alias("moved")), "pointers")
+        scratch.drop(before)
+        if now.where("moved").isEmpty():
             break
+    now = now.drop("moved")
     linked = rows.join(answers, ["conv_id", "turn"], "left").join(now, ["conv_id", "turn"], "left")
-    out = linked.select("conv_id", "turn", "role", F.col("own").alias("text"), "n_quotes", F.col("to").alias("reply_to"), F.coalesce("root", "turn").alias("root"), F.coalesce("depth", F.lit(0)).cast("long").alias("depth"))
+    none = F.array().cast("array<struct<level int, turn bigint>>")
+    out = linked.select("conv_id", "turn", "role", F.col("own").alias("text"), "n_quotes", F.coalesce(F.col("quoted_turns").cast("array<struct<level int, turn bigint>>"), none).alias("quoted_turns"), F.col("to").alias("reply_to"), F.coalesce("root", "turn").alias("root"), F.coalesce("depth", F.lit(0)).cast("long").alias("depth"))
     return _with_positions(out, scratch)
 
 

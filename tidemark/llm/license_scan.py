@@ -10,6 +10,7 @@ Scale. One pass over the texts, no shuffle; the templates' values are constants.
 only rows that meet a template are verified.
 
 Cases. A null or empty text, or one of fewer than five words, has no shingles and no license. Repeated rows each keep theirs.
+Kept columns named like the result's (licenses, n_licenses) are left out.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.folds import let
+from tidemark.llm.shared import without
 
 SHINGLE, BANDS = 5, 8
 #: Least share of a template's shingles that the text holds.
@@ -80,12 +82,13 @@ def scan(docs: DataFrame, keep: list[str], templates: dict[str, str] = TEMPLATES
     """docs(text, ...) to its columns ``keep``, ``licenses`` (names of matched templates, sorted) and ``n_licenses``."""
     known, bands = _constants(docs.sparkSession, templates)
     known = [(name, s) for name, s in known if s]
-    cut = docs.select(*dict.fromkeys([*keep, "text"])).withColumn("shingles", shingles(F.col("text")))
+    keep = without(keep, "licenses", "n_licenses")
+    cut = docs.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"]))).withColumn("__shingles", shingles(F.col("text")))
     meets = F.lit(False)
     for b, values in enumerate(bands):
-        meets |= F.arrays_overlap(band_values(F.col("shingles"), b), _longs(values)) if values else F.lit(False)
-    names = [F.when(F.size(F.array_intersect("shingles", _longs(s))) * DENOMINATOR >= NUMERATOR * len(s), F.lit(name)) for name, s in known]
+        meets |= F.arrays_overlap(band_values(F.col("__shingles"), b), _longs(values)) if values else F.lit(False)
+    names = [F.when(F.size(F.array_intersect("__shingles", _longs(s))) * DENOMINATOR >= NUMERATOR * len(s), F.lit(name)) for name, s in known]
     none = F.array().cast("array<string>")
     matched = F.array_compact(F.array(*names)) if names else none
-    found = F.when((F.size("shingles") > 0) & F.coalesce(meets, F.lit(False)), matched).otherwise(none)
-    return cut.select(*keep, found.alias("licenses")).withColumn("n_licenses", F.size("licenses").cast("long"))
+    found = F.when((F.size("__shingles") > 0) & F.coalesce(meets, F.lit(False)), matched).otherwise(none)
+    return cut.select(*(F.col(f"`{c}`") for c in keep), found.alias("licenses")).withColumn("n_licenses", F.size("licenses").cast("long"))

@@ -19,11 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.jaccard_join import BROADCAST_IDS
+from tidemark.llm.shared import without
 
 SLOTS = 1 << 14
 #: Pseudo-counts a slot; least mean log ratio.
 SMOOTHING, THRESHOLD = 0.5, -0.15
 LEAST_WORDS, REPEATED_PERCENT = 50, 50
+RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ratio")
 _WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -33,10 +35,10 @@ def words_of(text: Column) -> Column:
 
 
 def with_words(docs: DataFrame) -> DataFrame:
-    """``t`` (the text, null as empty), ``words`` and ``n_words``."""
-    split = docs.withColumn("t", F.coalesce(F.col("text"), F.lit(""))).withColumn("words", words_of(F.col("t")))
+    """``__t`` (the text, null as empty), ``__words`` and ``__n``, their number."""
+    split = docs.withColumn("__t", F.coalesce(F.col("text"), F.lit(""))).withColumn("__words", words_of(F.col("__t")))
     none = F.array().cast("array<string>")
-    return split.withColumn("words", F.when(F.get("words", F.lit(0)) == "", none).otherwise(F.col("words"))).withColumn("n_words", F.size("words").cast("long"))
+    return split.withColumn("__words", F.when(F.get("__words", F.lit(0)) == "", none).otherwise(F.col("__words"))).withColumn("__n", F.size("__words").cast("long"))
 
 
 def slots(words: Column) -> Column:
@@ -50,8 +52,8 @@ def slot_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(slot, raw, target): n-grams of all documents, and of all that are labelled good, in one pass."""
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().withColumn("good", F.lit(True))
     good = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
-    worded = with_words(docs.select("doc_id", "text").join(good, "doc_id", "left")).where("n_words > 0")
-    return worded.select("good", F.explode(slots(F.col("words"))).alias("slot")).groupBy("slot").agg(F.count("*").alias("raw"), F.count("good").alias("target"))
+    worded = with_words(docs.select("doc_id", "text").join(good, "doc_id", "left")).where("__n > 0")
+    return worded.select("good", F.explode(slots(F.col("__words"))).alias("slot")).groupBy("slot").agg(F.count("*").alias("raw"), F.count("good").alias("target"))
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
@@ -85,21 +87,20 @@ def _repeated(words: Column, n: Column) -> Column:
 
 
 def rate(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
-    """docs(doc_id, text, ...) and labels(doc_id, quality) to docs' columns ``keep`` and n_words, word_chars, n_symbols,
+    """docs(doc_id, text, ...) and labels(doc_id, quality) to docs' columns ``keep`` (but for those named like a result column) and n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, log_ratio (mean per n-gram; null without words) and kept."""
     ratios = F.split(F.lit(",".join(map(repr, log_ratios(docs, labels)))), ",").cast("array<double>")  # folded into one constant
-    worded = with_words(docs.select(*dict.fromkeys([*keep, "text"])))
-    lines = F.filter(F.split("t", "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
-    n = F.col("n_words")
-    counted = worded.withColumns(
-        {
-            "word_chars": F.aggregate("words", F.lit(0).cast("long"), lambda acc, w: acc + F.length(w)),
-            "n_symbols": (F.length("t") - F.length(F.regexp_replace("t", "[#*$%&|<>]+", ""))).cast("long"),
-            "n_dup_lines": F.when(F.contains("t", F.lit("\n")), F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0]).otherwise(0).cast("long"),
-            "n_repeat_words": _repeated(F.col("words"), F.size("words")),
-            "log_ratio": F.when(n > 0, F.transform(F.array(slots(F.col("words"))), lambda s: F.aggregate(s, F.lit(0.0), lambda acc, x: acc + F.get(ratios, x)) / F.size(s))[0]),
-        }
-    )
-    failed = (n < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * n)
+    keep = without(keep, *RESULT)
+    worded = with_words(docs.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"]))))
+    lines = F.filter(F.split("__t", "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
+    n, t, words = F.col("__n"), F.col("__t"), F.col("__words")
+    counted = worded.select(
+        *(F.col(f"`{c}`") for c in keep), n.alias("n_words"), F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc + F.length(w)).alias("word_chars"),
+        (F.length(t) - F.length(F.regexp_replace(t, "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
+        F.when(F.contains(t, F.lit("\n")), F.transform(F.array(lines), lambda x: F.size(x) - F.size(F.array_distinct(x)))[0]).otherwise(0).cast("long").alias("n_dup_lines"),
+        _repeated(words, F.size(words)).alias("n_repeat_words"),
+        F.when(n > 0, F.transform(F.array(slots(words)), lambda s: F.aggregate(s, F.lit(0.0), lambda acc, x: acc + F.get(ratios, x)) / F.size(s))[0]).alias("log_ratio"),
+    )
+    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))
     rated = counted.withColumn("base_failed", failed).withColumn("kept", ~failed & F.coalesce(F.col("log_ratio") >= THRESHOLD, F.lit(False)))
-    return rated.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "log_ratio")
+    return rated.select(*(F.col(f"`{c}`") for c in keep), *RESULT)
