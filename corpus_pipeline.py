@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; what it returns is written as Parquet in the
 shared folder and read again. All stages but the last return the columns of ``documents``.
+
+The pipeline is an application: it sets how many rows go to a Python worker at once (BATCH_ROWS), which the operators leave alone.
+
+Cases. A null text is scored by the intercept, has no shingles, passages or secrets, and is packed as its end token; a null id is no
+near duplicate of any. Repeated rows are each scored; of rows that repeat an id all stay or go together. Extra columns, whatever their names,
+pass through all stages but the last. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -14,18 +20,29 @@ from tidemark.llm.queries import VOCABULARY
 from tidemark.llm.shared import Scratch, table
 
 
+#: Rows of whole texts in an Arrow batch.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    small_batches(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    small_batches(spark)
     return jaccard_join.keep_one_of_each(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages shared with the benchmark are cut out."""
+    small_batches(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -36,6 +53,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences, one row per piece of a document, with its ids."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path(VOCABULARY), with_ids=True)
 
 
