@@ -30,3 +30,9 @@ def k06_verified_artifacts(spark, sf_dir):
 def s15_sampled_frames(spark, sf_dir):
     clips = read(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
     return storage.sampled_indices(clips, "n", 16).select("user_id", "k", "frame")
+
+
+@query(None)
+def s06_object_inventory(spark, sf_dir):
+    """Of the folder of tables itself; what it lists differs by machine, so there is no SQL. tests/test_gate_fixtures.py has a folder of known files."""
+    return storage.inventory(spark, sf_dir).select("key", "size_bytes")
