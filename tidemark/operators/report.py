@@ -40,9 +40,11 @@ def totals(items: DataFrame, results: DataFrame, item: str) -> DataFrame:
     of_result = results.select(item, F.col("duration_seconds").alias("_result"))
     planned = items.select(item, "duration_seconds").join(of_result, item, "left")
     duration = F.coalesce(F.nullif("duration_seconds", F.lit(0.0)), "_result", F.lit(0.0))
-    captured = planned.agg(F.count("*").alias("captured_clips"), (F.coalesce(F.sum(duration), F.lit(0.0)) / 3600).alias("captured_hours"))
-    processed = results.agg(F.count("*").alias("processed_clips"), (F.coalesce(F.sum("duration_seconds"), F.lit(0.0)) / 3600).alias("processed_hours"))
-    return captured.withColumn("_", F.lit(1)).join(processed.withColumn("_", F.lit(1)), "_").drop("_")  # one row each
+    none, zero = F.lit(0).cast("long"), F.lit(0.0)
+    rows = planned.select(F.lit(1).cast("long").alias("c"), duration.alias("ch"), none.alias("p"), zero.alias("ph"))
+    rows = rows.union(results.select(none, zero, F.lit(1).cast("long"), F.coalesce("duration_seconds", zero)))
+    total = lambda c, by, zero: F.coalesce(F.sum(c) / by if by else F.sum(c), zero)
+    return rows.agg(total("c", 0, none).alias("captured_clips"), total("ch", 3600, zero).alias("captured_hours"), total("p", 0, none).alias("processed_clips"), total("ph", 3600, zero).alias("processed_hours"))
 
 
 def good_hours_of_samples(samples: DataFrame, hours: str, replicate: str, good: str, confidence: float = 0.95) -> DataFrame:
