@@ -30,7 +30,7 @@ from tidemark.llm.textops import ALNUM_LOWER, Words, utf8_parts
 
 SLOTS = 1 << 18
 #: Labelled rows to take patterns from and to fit the label model and the classifier on, at most.
-LABELLED_ROWS, EPOCHS = 12_000, 4
+LABELLED_ROWS, EPOCHS = 20_000, 4
 #: A pattern's least number of toxic rows, least odds between toxic and clean rows, and how many are used: the label model's
 #: correlations are a matrix of that size squared.
 LEAST_ROWS, LEAST_ODDS, MOST_PATTERNS = 5, 8.0, 150
@@ -135,14 +135,14 @@ class LabelModel:
             self.weight = 1 / self._shared(x, p)
 
     def _shared(self, x: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """1 and more: with how many others each voter fires together, in the class where that is more."""
-        most = np.ones(x.shape[1])
-        for rate, q in zip(self.rate, (1 - p, p)):
+        """1 and more: with how many others each voter fires together within a class, on average over both classes by their shares."""
+        total = np.zeros(x.shape[1])
+        for rate, q, share in zip(self.rate, (1 - p, p), (1 - self.share, self.share)):
             d = (x - rate) * np.sqrt(q)[:, None]
             c = d.T @ d
             s = np.sqrt(np.maximum(np.diag(c), 1e-9))
-            most = np.maximum(most, np.square(np.clip(c / np.outer(s, s), 0, 1)).sum(axis=1))
-        return most
+            total += share * np.maximum(np.square(np.clip(c / np.outer(s, s), 0, 1)).sum(axis=1), 1)
+        return total
 
     def posterior(self, fired: np.ndarray) -> np.ndarray:
         x = fired.astype(float)
