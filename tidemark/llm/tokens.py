@@ -17,7 +17,7 @@ from itertools import chain
 import numpy as np
 
 #: Distinct pieces a worker remembers, and the longest piece (characters) that it does.
-CACHE_PIECES, CACHE_PIECE_CHARS = 120_000, 48
+CACHE_PIECES, CACHE_PIECE_CHARS = 300_000, 48
 #: Bytes of text whose pieces are held at once; a longer text is cut at white space.
 HELD_BYTES = 1 << 18
 _SPACE = re.compile(rb"[\t-\r ]")
