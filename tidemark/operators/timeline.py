@@ -29,6 +29,12 @@ def effective_step(samples: DataFrame, clip: str, rate: float) -> DataFrame:
     return samples.withColumn("dt", F.greatest(F.col("t") - F.lag("t").over(w), F.lit(1.0 / rate)))
 
 
+def with_previous_selected(samples: DataFrame, clip: str, selected: str, columns: list[str]) -> DataFrame:
+    """Every sample with ``previous``: ``columns`` of the last selected sample before it; null where there is none."""
+    before = Window.partitionBy(clip).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    return samples.withColumn("previous", F.last(F.when(F.col(selected), F.struct(*columns)), ignorenulls=True).over(before))
+
+
 def differences(samples: DataFrame, clip: str, value: str) -> DataFrame:
     """``d``, the value less the one before."""
     return samples.withColumn("d", F.col(value) - F.lag(value).over(Window.partitionBy(clip).orderBy("i")))

@@ -131,6 +131,25 @@ def a05_w06_j11_repetition(spark, sf_dir):
     return statistics.repetition(_clips(spark, sf_dir), "user_id", "value", RATE, 1.6, 6.0, 8.0).select("user_id", F.round("score", 6).alias("score"))
 
 
+@query("""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount AS v, l_discount - l_tax AS lo, l_discount + l_tax AS hi, l_partkey % 6 = 0 AS b, (l_linenumber + l_partkey) % 5 AS op, l_suppkey % 4 = 0 AS none FROM lineitem),
+p AS (SELECT *, CASE op WHEN 0 THEN v >= 5e-2 WHEN 1 THEN v <= 5e-2 WHEN 2 THEN v > 5e-2 WHEN 3 THEN v < 5e-2 ELSE v = 5e-2 END AS point,
+CASE op WHEN 0 THEN lo >= 5e-2 WHEN 1 THEN hi <= 5e-2 WHEN 2 THEN lo > 5e-2 ELSE hi < 5e-2 END AS sure, CASE op WHEN 0 THEN hi < 5e-2 WHEN 1 THEN lo > 5e-2 WHEN 2 THEN hi <= 5e-2 ELSE lo >= 5e-2 END AS never FROM x)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN b OR op = 4 OR none THEN CASE WHEN point THEN 'pass' ELSE 'fail' END WHEN sure THEN 'pass' WHEN never THEN 'fail' ELSE 'uncertain' END AS outcome FROM p""")
+def f02_f07_all_operators(spark, sf_dir):
+    op = F.get(F.array(*map(F.lit, (">=", "<=", ">", "<", "=="))), ((F.col("l_linenumber") + F.col("l_partkey")) % 5).cast("int"))
+    v, none = F.col("l_discount"), F.col("l_suppkey") % 4 == 0
+    low, high = F.when(~none, v - F.col("l_tax")), F.when(~none, v + F.col("l_tax"))
+    outcome = C.rule_outcome(v, F.col("l_partkey") % 6 == 0, op, F.lit(0.05), low, high)
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", outcome.alias("outcome"))
+
+
+@query(_S + """, d AS (SELECT user_id, i, t, value, floor((t + 1e-6) * 2) AS q, lag(floor((t + 1e-6) * 2)) OVER (PARTITION BY user_id ORDER BY i) AS q0 FROM s), h AS (SELECT *, q0 IS NULL OR q > q0 AS sel FROM d)
+SELECT a.user_id, CAST(a.i AS BIGINT) AS i, round(max(b.t), 6) AS previous_t, arg_max(b.value, b.i) AS previous_value FROM h a LEFT JOIN h b ON b.user_id = a.user_id AND b.i < a.i AND b.sel GROUP BY 1, 2""")
+def j10_previous_hand_frame(spark, sf_dir):
+    out = timeline.with_previous_selected(timeline.decimated(_clips(spark, sf_dir), "user_id", 2.0), "user_id", "selected", ["t", "value"])
+    return out.select("user_id", F.col("i").cast("long").alias("i"), F.round("previous.t", 6).alias("previous_t"), F.col("previous.value").alias("previous_value"))
+
+
 _CTX = "SELECT user_id, count(*) FILTER (WHERE event_type = 'error') * 4 > count(*) AS cov, 100 * avg(CASE WHEN event_type <> 'error' THEN 1e0 ELSE 0e0 END) - 20 AS hands, 100 * avg(CASE WHEN event_type = 'view' THEN 1e0 ELSE 0e0 END) AS idle, avg(value) / 50 AS tr, max(value) / 90 AS rot, least(1e0, avg(value) / 60) AS rep FROM events GROUP BY user_id"
 
 

@@ -49,16 +49,16 @@ def f01_manifest_item_checks(spark, sf_dir):
 
 @query("""WITH j AS (SELECT c_custkey, c_nationkey::DOUBLE AS hand_fps, c_custkey % 50 AS optimal, CASE c_custkey % 4 WHEN 0 THEN ' /a/b ' WHEN 1 THEN 'a/../b' WHEN 2 THEN '/' ELSE 'reports//' END AS raw FROM customer),
 p AS (SELECT *, ltrim(trim(raw), '/') AS bare FROM j)
-SELECT c_custkey, 'job-' || c_custkey AS job_id, hand_fps, 5e0 AS camera_fps, 32 AS max_batch_size, concat_ws(',', CASE WHEN optimal > 32 OR optimal < 1 THEN 'detector.optimal_batch_size' END, CASE WHEN hand_fps <= 0 THEN 'sampling.hand_fps' END) AS invalid,
+SELECT c_custkey, 'job-' || c_custkey AS job_id, hand_fps, 5e0 AS camera_fps, greatest(hand_fps, 5e0) AS analysis_rate, 32 AS max_batch_size, concat_ws(',', CASE WHEN optimal > 32 OR optimal < 1 THEN 'detector.optimal_batch_size' END, CASE WHEN hand_fps <= 0 THEN 'sampling.hand_fps' END) AS invalid,
 concat_ws(',', CASE WHEN c_custkey % 10 = 0 THEN 'notes' END, CASE WHEN c_custkey % 9 = 0 THEN 'sampling.extra' END) AS unknown, rtrim(bare, '/') || '/' AS prefix, bare <> '' AND NOT list_contains(string_split(bare, '/'), '..') AS prefix_ok, false AS items_ok FROM p""")
-def s01_f01_manifest_settings(spark, sf_dir):
+def s01_f01_p01_manifest_settings(spark, sf_dir):
     k = F.col("c_custkey")
     raw = F.when(k % 4 == 0, " /a/b ").when(k % 4 == 1, "a/../b").when(k % 4 == 2, "/").otherwise("reports//")
     form = '{"schema_version":"qc-job-v1","job_id":"job-%d",%s"source":{"bucket":"b","items":[]},"target":{"bucket":"t","prefix":"%s"},"sampling":{"hand_fps":%d%s},"detector":{"optimal_batch_size":%d}}'
     text = F.format_string(form, k, F.when(k % 10 == 0, '"notes":1,').otherwise(""), raw, F.col("c_nationkey"), F.when(k % 9 == 0, ',"extra":{}').otherwise(""), k % 50)
     jobs = manifest.job_checks(manifest.settings(manifest.parsed(read(spark, sf_dir, "customer").select("c_custkey", text.alias("text")))))
     invalid, unknown = (F.array_join(c, ",") for c in ("invalid_settings", "unknown_keys"))
-    return jobs.select("c_custkey", "job.job_id", "settings.sampling.hand_fps", "settings.sampling.camera_fps", "settings.detector.max_batch_size", invalid.alias("invalid"), unknown.alias("unknown"), "prefix", "prefix_ok", "items_ok")
+    return jobs.select("c_custkey", "job.job_id", "settings.sampling.hand_fps", "settings.sampling.camera_fps", manifest.analysis_rate().alias("analysis_rate"), "settings.detector.max_batch_size", invalid.alias("invalid"), unknown.alias("unknown"), "prefix", "prefix_ok", "items_ok")
 
 
 @query("SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_size * 1000 / (p_partkey % 3 + 1)::DOUBLE WHEN 1 THEN p_size::DOUBLE ELSE 0e0 END AS rate FROM part")

@@ -105,6 +105,11 @@ def settings(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("settings", filled).withColumn("invalid_settings", F.array_sort(F.array_distinct(broken)))
 
 
+def analysis_rate() -> Column:
+    """Frames a second that a clip is read at, of rows with ``settings``: the faster of its two samplings."""
+    return F.greatest("settings.sampling.hand_fps", "settings.sampling.camera_fps")
+
+
 def items(jobs: DataFrame, *keep: str) -> DataFrame:
     """One row an item, in the manifest's order: ``keep``, ``position`` and the item's fields, key and etag normalised."""
     cut = jobs.select(*keep, F.posexplode("job.source.items").alias("position", "item")).select(*keep, "position", "item.*")
