@@ -1,6 +1,7 @@
 import random
 import re
 
+from tidemark.llm import jaccard_join
 from tidemark.llm.jaccard_join import jaccard_components, keep_one_of_each
 
 
@@ -96,3 +97,23 @@ def test_an_id_of_two_rows_links_through_both_texts(spark):
     rows = [(7, one), (7, two), (3, one), (9, two), (5, "alone")]
     got = {r.doc_id: r.component_id for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {3: 3, 7: 3, 9: 3, 5: 5}
+
+
+def test_hot_shingles_and_forgotten_sets_change_nothing(spark, monkeypatch):
+    """Postings of hot shingles go to many buckets, and tasks that forget sets emit some again."""
+    monkeypatch.setattr(jaccard_join, "HOT", 3)
+    monkeypatch.setattr(jaccard_join, "SEEN", 4)
+    rows = corpus(7)
+    rows += [(20_000 + i, rows[i % 9][1]) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df).collect() if r.doc_id is not None}
+    assert got == brute(rows)
+
+
+def test_passages_that_fill_most_of_many_texts(spark):
+    """Texts that share one passage and differ in up to a third: some link through others only, some not at all."""
+    rnd = random.Random(11)
+    passages = [[f"p{g}w{i}" for i in range(60)] for g in range(3)]
+    rows = [(i, " ".join((passages[i % 3] if rnd.random() < 0.8 else passages[i % 3][: rnd.randint(30, 60)]) + [f"u{i}x{k}" for k in range(rnd.randint(0, 30))])) for i in range(250)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and len({c for _, c in got.values()}) > 3

@@ -403,12 +403,13 @@ class JaccardJoin:
         up = lambda c: links.join(component.toDF(c, f"c_{c}"), c, "left").select(F.col("a"), F.col("b"), F.coalesce(f"c_{c}", c).alias(f"to_{c}"))
         joined = up("a").join(up("b").select("a", "b", "to_b"), ["a", "b"]).select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
         merged = self.scratch.keep(connected_components(joined, self.scratch), "merged")
+        self.scratch.drop(links)
         if merged.isEmpty():
             return component
         through = component.join(merged.toDF("component", "to"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
         roots = merged.join(component.select("node"), "node", "left_anti")
         out = self.scratch.keep(through.union(roots), "component")
-        self.scratch.drop(component)
+        self.scratch.drop(component, merged)
         return out
 
     @staticmethod
@@ -428,8 +429,9 @@ class JaccardJoin:
         star = self.scratch.keep(self._star(posts), "star")
         most = star.groupBy("b").agg(F.max(F.struct("lists", (-F.col("a")).alias("a"))).alias("m"))
         first = self.scratch.keep(most.select((-F.col("m.a")).alias("a"), "b"), "first")  # one pair a document
-        links = self._checked(first).union(copies)
-        component = self.scratch.keep(connected_components(links, self.scratch), "component")
+        links = self._checked(first)
+        component = self.scratch.keep(connected_components(links.union(copies), self.scratch), "component")
+        self.scratch.drop(links, copies)
         second = self._across(star.select("a", "b").join(first, ["a", "b"], "left_anti"), component)
         second = self.scratch.keep(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "second")
         if not second.isEmpty():
@@ -440,6 +442,7 @@ class JaccardJoin:
         self.scratch.drop(posts, star, open_)
         if not last.isEmpty():
             component = self._merged(self._checked(last), component)
+        self.scratch.drop(first, second, last)
         return self.facts.select("doc", "n"), component
 
 

@@ -1,4 +1,9 @@
-"""A sparse logistic regression trained with follow-the-regularised-leader updates, and its scoring by sparse dot products."""
+"""A sparse logistic regression trained with follow-the-regularised-leader updates, and its scoring by sparse dot products.
+
+Cases. A null or empty text has the intercept only. Null labels and ids don't count; ids that are labelled more than once count once, with the
+larger label; documents that repeat an id are each a row of the sample. Without rows all weights are 0. Ties in the order of training are
+broken by label and features, so that equal tables give equal weights. Columns pass through whatever their names.
+"""
 
 from __future__ import annotations
 
