@@ -30,18 +30,22 @@ def sampled_indices(clips: DataFrame, count: str, n: int) -> DataFrame:
     return clips.where(F.col(count) > 0).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).withColumn("frame", frame.cast("long"))
 
 
+def _below(folder: str) -> Column:
+    """The part of ``path`` below a folder."""
+    root = folder.rstrip("/").split("://")[-1]
+    return F.regexp_replace(F.col("path"), rf"^.*?\Q{root}\E/+", "")
+
+
 def inventory(spark: SparkSession, folder: str) -> DataFrame:
     """(key, size_bytes, modified) of the files below a folder, from their listing; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    key = F.regexp_replace(F.col("path"), "^.*?" + folder.rstrip("/").split("://")[-1] + "/+", "")
-    return files.select(key.alias("key"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
+    return files.select(_below(folder).alias("key"), F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
 
 
 def guarded_read(spark: SparkSession, folder: str, expected: DataFrame) -> DataFrame:
     """(key, content) of expected(key, size_bytes, sha256) below a folder. A file that is absent or whose size or hash differs fails the query."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    key = F.regexp_replace(F.col("path"), "^.*?" + folder.rstrip("/").split("://")[-1] + "/+", "")
-    joined = expected.join(files.select(key.alias("key"), "content"), "key", "left")
+    joined = expected.join(files.select(_below(folder).alias("key"), "content"), "key", "left")
     return joined.select("key", F.coalesce(F.when(verified(F.col("content"), F.col("size_bytes"), F.col("sha256")), F.col("content")), F.raise_error(F.concat(F.lit("not as expected: "), "key")).cast("binary")).alias("content"))
 
 
