@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,20 +67,26 @@ def retried(events: DataFrame, most: int, item: str = "item_id", seq: str = "seq
 def cohorts(items: DataFrame, job: str, order: str, size: str, most: int) -> DataFrame:
     """Next-fit packing of each job's items in order into cohorts of ``most`` bytes; an item above that fails the query.
 
-    The fold depends on all items before, so it runs once a job; a manifest is one document and fits a task.
+    The fold depends on all items before, so a job is one stream: items are sorted by job and order and read batch by batch, with one cohort's
+    number and bytes carried on. A job of any length takes no more memory than a batch.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        at, held, out = 0, 0, []
-        for n in pdf[size]:
-            if n > most:
-                raise ValueError(f"an item of {n} bytes exceeds the cohort's {most}")
-            if held and held + n > most:
-                at, held = at + 1, 0
-            held += n
-            out.append(at)
-        return pdf.assign(cohort=out)
+    columns = items.columns
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        owner, at, held = None, 0, 0
+        for pdf in frames:
+            out = []
+            for name, n in zip(pdf[job].tolist(), pdf[size].tolist()):
+                if n > most:
+                    raise ValueError(f"an item of {n} bytes exceeds the cohort's {most}")
+                if name != owner:
+                    owner, at, held = name, 0, 0
+                elif held and held + n > most:
+                    at, held = at + 1, 0
+                held += n
+                out.append(at)
+            yield pdf[columns].assign(cohort=out)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
-    return items.groupBy(job).applyInPandas(run, f"{fields}, cohort long")
+    return items.repartition(job).sortWithinPartitions(job, order).mapInPandas(run, f"{fields}, cohort long")
+
