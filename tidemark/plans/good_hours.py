@@ -21,9 +21,9 @@ def a06_good_probability(spark, sf_dir):
     return _probabilities(spark, sf_dir).select("user_id", F.round("probability", 8).alias("probability"))
 
 
-@query(_P + """, d AS (SELECT r, CASE WHEN ('0x' || substr(sha256(concat_ws('|', 11, user_id, r)), 1, 8))::BIGINT / 4294967296e0 < probability THEN hours ELSE 0e0 END AS h FROM p, unnest(range(0, 200)) AS x(r)),
+@query(_P + """, d AS (SELECT r, CASE WHEN ('0x' || substr(sha256(concat_ws('|', 11, user_id, r)), 1, 8))::BIGINT / 4294967296e0 < probability THEN hours ELSE 0e0 END AS h FROM p, unnest(range(0, 1000)) AS x(r)),
 t AS (SELECT r, sum(h) AS h FROM d GROUP BY r) SELECT round(quantile_cont(h, 0.025), 6) AS low, round(quantile_cont(h, 0.975), 6) AS high FROM t""")
 def a07_good_hours(spark, sf_dir):
     hours = read(spark, sf_dir, "events").groupBy("user_id").agg((F.count("*") / 4.0).alias("hours"))
     items = _probabilities(spark, sf_dir).join(hours, "user_id")
-    return report.good_hours(items, "user_id", "probability", "hours", 200, 11).select(F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
+    return report.good_hours(items, "user_id", "probability", "hours", 1000, 11).select(F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
