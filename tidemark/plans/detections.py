@@ -115,6 +115,25 @@ def p15_j14_v06_decoded_boxes(spark, sf_dir):
     return out.withColumns({c: F.round(c, 6 if c == "score" else 5) for c in ("x1", "y1", "x2", "y2", "score")})
 
 
+_END = "WITH RECURSIVE p AS (SELECT vec_id AS frame, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), r AS (SELECT frame, k, 60 + 100 * e[k * 5 + 1] AS x1, 60 + 100 * e[k * 5 + 2] AS y1, 40 + 20 * e[k * 5 + 3] AS w, 40 + 20 * e[k * 5 + 4] AS h, e[k * 5 + 5] + 55e-2 AS s FROM p, unnest(range(0, 12)) AS t(k)),"
+_END += " d AS (SELECT frame, k, {'x1': x1 / 5e-1, 'y1': y1 / 5e-1, 'x2': (x1 + w) / 5e-1, 'y2': (y1 + h) / 5e-1, 'score': s, 'class_id': 0} AS b FROM r WHERE s >= 3e-1), x AS (SELECT frame, b, row_number() OVER (PARTITION BY frame ORDER BY b.score DESC, k DESC) AS place FROM d)"
+
+
+@query(_END + f", {suppression_sql('x', '45e-2', True)}, u AS (SELECT frame, unnest(kept, recursive := true) FROM kept) SELECT frame AS vec_id, round(least(greatest(x1, 0e0), 200e0), 5) AS x1, round(least(greatest(y1, 0e0), 150e0), 5) AS y1, round(least(greatest(x2, 0e0), 200e0), 5) AS x2, round(least(greatest(y2, 0e0), 150e0), 5) AS y2, round(score, 6) AS score FROM u")
+def v06_end_to_end_detections(spark, sf_dir):
+    """A vector's first 60 numbers are twelve output rows of a detector that decodes by itself."""
+    e = F.transform("embedding", lambda v: v.cast("double"))
+
+    def row(k):
+        x, y = F.get("e", k * 5) * 100 + 60, F.get("e", k * 5 + 1) * 100 + 60
+        return F.array(x, y, x + (F.get("e", k * 5 + 2) * 20 + 40), y + (F.get("e", k * 5 + 3) * 20 + 40), F.get("e", k * 5 + 4) + 0.55)
+
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", e.alias("e")).select("vec_id", F.transform(F.sequence(F.lit(0), F.lit(11)), row).alias("rows"))
+    found = rows.select("vec_id", boxes.suppressed_by_class(boxes.confident(boxes.end_to_end(F.col("rows"), F.lit(0.5)), 0.3), 0.45).alias("d"))
+    out = found.select("vec_id", F.explode(boxes.clipped_detections(F.col("d"), F.lit(200), F.lit(150))).alias("b")).select("vec_id", "b.*").drop("class_id")
+    return out.withColumns({c: F.round(c, 6 if c == "score" else 5) for c in ("x1", "y1", "x2", "y2", "score")})
+
+
 @query("SELECT event_type, round(sum(greatest(value - 50e0, 0e0)), 4) AS seconds, count(*) AS calls FROM events GROUP BY event_type")
 def a17_stage_times(spark, sf_dir):
     calls = read(spark, sf_dir, "events").withColumn("s", F.col("value") - 50.0)

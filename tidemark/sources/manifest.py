@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import normalised_etag, normalised_key, safe_prefix, valid_id, valid_key
+from tidemark.functions.columns import OPERATORS, normalised_etag, normalised_key, safe_prefix, valid_id, valid_key
 
 #: Every setting by section, its type, its default and what must hold of it.
 SETTINGS = {
@@ -136,7 +136,7 @@ def job_checks(jobs: DataFrame) -> DataFrame:
     """jobs(job, unknown_keys, ...) of ``settings`` with one boolean for each constraint on the document, and ``prefix`` normalised."""
     rules = F.coalesce(F.col("job.rules"), F.array().cast(f"array<{_RULE}>"))
     is_bool = lambda r: r["threshold"].isin("true", "false")
-    rule_ok = lambda r: valid_id(r["id"]) & r["signal"].isin(*SIGNALS) & r["operator"].isin(">=", "<=", ">", "<", "==") & r["severity"].isin("reject", "warn") & (~is_bool(r) | (r["operator"] == "=="))
+    rule_ok = lambda r: valid_id(r["id"]) & r["signal"].isin(*SIGNALS) & r["operator"].isin(*OPERATORS) & r["severity"].isin("reject", "warn") & (~is_bool(r) | (r["operator"] == "=="))
     prefix, ok = safe_prefix(F.coalesce(F.col("job.target.prefix"), F.lit("qc/")))
     return jobs.withColumns({
         "version_ok": F.coalesce(F.col("job.schema_version"), F.lit(VERSION)) == VERSION, "job_id_ok": F.coalesce(valid_id(F.col("job.job_id")), F.lit(False)),
