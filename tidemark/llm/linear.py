@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import small_batches
+
 
 #: A part of a column of texts to each row's slots and values: (slots, values, index of each row's first one).
 Features = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]]
@@ -63,17 +65,18 @@ def train(rows: DataFrame, slots: int, epochs: int, alpha: float = 0.3, beta: fl
     only: the scan that draws it and the featurising come before and are spread over all tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(p, t, np.frombuffer(s, "<i4"), np.frombuffer(v, "<f4").astype(float)) for b in batches for p, t, s, v in zip(*(b.column(i).to_pylist() for i in range(4)))]
+        held = [(p, t, np.frombuffer(s, "<i4"), np.frombuffer(v, "<f4")) for b in batches for p, t, s, v in zip(*(b.column(i).to_pylist() for i in range(4)))]
         held.sort(key=lambda x: (x[0], x[1], x[2].tobytes()))
         model = Ftrl(slots, alpha, beta, l1, l2)
         share = min(max(sum(x[1] for x in held) / max(1, len(held)), 1e-3), 1 - 1e-3)
         up = max(1.0, balance * (1 - share) / share), max(1.0, balance * share / (1 - share))  # of class 1, of class 0
         for _ in range(epochs):
             for _, target, at, value in held:
-                model.update(at, value, target, target * up[0] + (1 - target) * up[1])
+                model.update(at, value.astype(float), target, target * up[0] + (1 - target) * up[1])
         yield pa.record_batch({"w": pa.array([model.weights(np.arange(slots)).astype("<f4").tobytes()], pa.binary())})
 
-    out = rows.coalesce(1).mapInArrow(run, "w binary").collect()
+    with small_batches(rows.sparkSession):
+        out = rows.coalesce(1).mapInArrow(run, "w binary").collect()
     return np.frombuffer(out[0]["w"], "<f4") if out else np.zeros(slots, np.float32)
 
 
