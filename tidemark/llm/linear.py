@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import small_batches
 
-
 #: A part of a column of texts to each row's slots and values: (slots, values, index of each row's first one).
 Features = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]]
 
