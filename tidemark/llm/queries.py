@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_quotes, decontaminate, html_text, jaccard_join, license_scan, packing, quality, quality_rules, secret_scan, toxicity
+from tidemark.llm import chat_quotes, decontaminate, html_text, jaccard_join, license_scan, packing, quality, quality_rules, secret_scan, spelling, toxicity
 from tidemark.llm.shared import fold_of, table
 
 #: The tokenizer file that packing uses unless told otherwise.
@@ -69,11 +69,15 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_decontamination, op3_secret_scan, op4_chat_quotes, op5_packing, op6_license_scan, op7_html_text,
-        op8_toxicity, op9_quality_rules, op10_jaccard_join,
+        op8_toxicity, op9_quality_rules, op10_jaccard_join, op11_spelling_variants,
     )
 }
 
@@ -90,4 +94,21 @@ words AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT DISTINCT doc_id
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_spelling_variants": r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+each_run AS (SELECT doc_id, run, count(*) AS k, hex(encode(doc_id || ':' || run)) AS h FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM each_run, crc),
+damaged AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+less AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS rest FROM v, unnest(range(length(word))) AS x(i)),
+one AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM less a JOIN less b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, a.n, v.word, v.n FROM less a JOIN v ON a.rest = v.word),
+pairs AS (FROM one UNION SELECT near, near_n, word, n FROM one),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS form, max(near_n) AS form_n, any_value(n) AS n FROM pairs GROUP BY word),
+forms AS (SELECT word, form, form_n FROM best WHERE form_n >= 5 * n),
+path AS (SELECT word, form AS root FROM forms UNION ALL SELECT p.word, f.form FROM path p JOIN forms f ON p.root = f.word),
+ends AS (SELECT word, root FROM path WHERE root NOT IN (SELECT word FROM forms))
+SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, forms.form, forms.form_n, coalesce(root, v.word) AS root
+FROM v LEFT JOIN best USING (word) LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)""",
 }
