@@ -59,7 +59,7 @@ def test_equals_brute_force(spark):
                 w = rnd.choice((w[:at] + w[at + 1 :], w[:at] + c + w[at + 1 :], w[:at] + c + w[at:]))
             words.append(w.upper() if rnd.random() < 0.1 and w.isascii() else w)
         rows.append((i, rnd.choice((" ", "-", "œ", "\n")).join(words)))
-    rows += [(None, "Ærostat " * 7), (7, None), (8, ""), (9, "abcdef" * 40_000), (9, rows[9][1]), (10, " 1 漢字 "), *[(11, "abcdef" * 40_000)] * 4]
+    rows += [(None, "Ærostat " * 7), (7, None), (8, ""), (9, "abcdef" * 40_000), (9, rows[9][1]), (10, " 1 漢字 "), *[(11, "abcdef" * 40_000)] * 4, (12, "wirfena " * 6 + "wirfen " * 31 + "wirden " * 200)]
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, n int, word string").repartition(5)
     got = result(spelling_groups(df))
     want = brute(rows)

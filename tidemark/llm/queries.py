@@ -7,17 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_quotes, decontaminate, html_text, jaccard_join, license_scan, packing, quality, quality_rules, secret_scan, spelling, toxicity
+from tidemark.llm import align, chat_quotes, decontaminate, html_text, jaccard_join, license_scan, packing, quality, quality_rules, secret_scan, spelling, toxicity
 from tidemark.llm.shared import fold_of, table
 
 #: The tokenizer file that packing uses unless told otherwise.
 VOCABULARY = "word_bpe_49k.json"
+#: The two sides that are aligned unless told otherwise.
+SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def _vocabulary() -> str:
+def _vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,11 +75,16 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_tokens(table(spark, sf_dir, "documents"), _vocabulary(SIDE_A), _vocabulary(SIDE_B))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_decontamination, op3_secret_scan, op4_chat_quotes, op5_packing, op6_license_scan, op7_html_text,
         op8_toxicity, op9_quality_rules, op10_jaccard_join, op11_spelling_variants,
+        op13_token_alignment,
     )
 }
 
