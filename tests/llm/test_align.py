@@ -124,7 +124,7 @@ def test_small_parts_forgetting_and_large_groups_change_nothing(sides, monkeypat
     rows = list(enumerate(texts(7))) + [(900, "é🙂" * 50)]
     plain = in_one_process(rows)
     align.aligner.cache_clear()
-    for name, value in {"PART_LINKS": 50, "HELD_PAIRS": 40, "CACHE_STRETCHES": 30, "CACHE_CHARS": 9, "LARGE_GROUP": 1}.items():
+    for name, value in {"PART_LINKS": 50, "HELD_PAIRS": 40, "CACHE_STRETCHES": 30, "CACHE_CHARS": 900, "LARGE_GROUP": 1, "RUN": 3, "PART_CHARS": 100}.items():
         monkeypatch.setattr(align, name, value)
     small = in_one_process(rows)
     assert plain[0] == small[0] == brute(sides, rows)

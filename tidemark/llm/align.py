@@ -40,8 +40,8 @@ STRIPES, GROUPS, BLOCK_BYTES = 1024, 16, 1 << 30
 PAIR = 1 << 16
 #: Pairs whose counts a task holds before it sends them; links of a batch part.
 HELD_PAIRS, PART_LINKS = 2_000_000, 1_000_000
-#: Stretches a worker remembers, and the longest it does.
-CACHE_STRETCHES, CACHE_CHARS = 200_000, 64
+#: Stretches a worker remembers and their characters; stretches that are encoded in one text; characters of texts aligned at once.
+CACHE_STRETCHES, CACHE_CHARS, RUN, PART_CHARS = 300_000, 8_000_000, 64, 1 << 18
 #: Token pairs of a group from which equal ids are counted first.
 LARGE_GROUP = 4096
 _STRETCH = re.compile(r"\s*\S+(?:[^\S \n]\s*\S*)*|\s+")
@@ -82,96 +82,127 @@ class Aligner:
             and not any("\n" in p or re.search("[^\\s▁][▁ ]", p) for p in pieces)
             and self.b.encode("\nq", out_type=str) == ["▁", "<0x0A>", "q"] and self.b.encode(" q") == [self.b.piece_to_id("▁"), self.b.piece_to_id("▁q")]
         )
+        self.space = self.b.piece_to_id("▁")
+        top = max(self.bytes_a) + 1
+        self.size_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(top)])
+        self.size_b = np.array([len(b) for b in self.bytes_b])
+        # Ids as text with what follows them: another of the same side and group, the other side, the next group.
+        self.text_a = np.array([f"{i}{c}" for c in ",|" for i in range(top)], object).reshape(2, top)
+        self.text_b = np.array([f"{i}{c}" for c in ",;" for i in range(len(pieces))], object).reshape(2, len(pieces))
         self._forget()
 
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.spelled: list[str] = []
+        self.chars = 0
         self.facts = np.empty((1 << 14, 5), np.int64)  # tokens of A, of B, groups, links; whether bytes agree
-        self.pairs, self.mults, self.filled = np.empty(1 << 18, np.uint32), np.empty(1 << 18, np.uint32), 0
-        self.ends = np.zeros((1 << 14) + 1, np.int64)
-
-    def _aligned(self, text: str, ids_a: list[int], ids_b: list[int]) -> tuple[str, tuple[int, int, int, int, int], dict[int, int]]:
-        """One stretch: its groups as text, its facts, and its linked pairs with how often each is linked."""
-        raw = text.encode()
-        if b"".join([self.bytes_a[i] for i in ids_a]) != raw or b"".join([self.bytes_b[i] for i in ids_b]) != raw:
-            return "", (0, 0, 0, 0, 0), {}
-        groups, links, pairs = [], 0, {}
-        i = j = from_a = from_b = at_a = at_b = 0
-        while i < len(ids_a) or j < len(ids_b):
-            if j == len(ids_b) or at_a <= at_b and i < len(ids_a):
-                at_a += len(self.bytes_a[ids_a[i]])
-                i += 1
-            else:
-                at_b += len(self.bytes_b[ids_b[j]])
-                j += 1
-            if at_a == at_b:
-                mine, other = ids_a[from_a:i], ids_b[from_b:j]
-                groups.append(f"{','.join(map(str, mine))}|{','.join(map(str, other))}")
-                links += len(mine) * len(other)
-                if len(mine) * len(other) > LARGE_GROUP:
-                    (mine, k), (other, m) = np.unique(mine, return_counts=True), np.unique(other, return_counts=True)
-                    times = np.outer(k, m).ravel().tolist()
-                    codes = np.add.outer(mine * PAIR, other).ravel().tolist()
-                else:
-                    codes, times = [x * PAIR + y for x in mine for y in other], None
-                for n, code in enumerate(codes):
-                    pairs[code] = pairs.get(code, 0) + (times[n] if times else 1)
-                from_a, from_b = i, j
-        return ";".join(groups), (len(ids_a), len(ids_b), len(groups), links, 1), pairs
-
-    def _encoded(self, stretches: list[str]) -> Iterator[tuple[str, tuple[int, int, int, int, int], dict[int, int]]]:
-        ids_a = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
-        # B adds a space itself: it stands for the stretch's own, or, before a line feed, is the first token, which isn't the stretch's.
-        own = [s[0] == " " for s in stretches]
-        ids_b = self.b.encode([s[1:] if o else s for s, o in zip(stretches, own)], num_threads=1)
-        space = [self.b.piece_to_id("▁")]  # an empty text gets no space
-        for s, o, x, y in zip(stretches, own, ids_a, ids_b):
-            yield self._aligned(s, x, space if s == " " else y if o else y[1:])
+        self.pairs, self.times, self.ends = np.empty(1 << 18, np.uint32), np.empty(1 << 18, np.int64), np.zeros(1, np.int64)
+
+    def _ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of texts that begin with a space or line feed. B adds a space itself: it stands for the text's own, or, before a line
+        feed, is the first token, which isn't the text's; an empty text gets none."""
+        ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        ids_b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        return ids_a, [[self.space] if t == " " else x if t[0] == " " else x[1:] for t, x in zip(texts, ids_b)]
+
+    def _bytes(self, ids_a: list[int], ids_b: list[int]) -> tuple[bytes, bytes]:
+        return b"".join(map(self.bytes_a.__getitem__, ids_a)), b"".join(map(self.bytes_b.__getitem__, ids_b))
+
+    def _encoded(self, new: list[str]) -> tuple[list[int], list[int], np.ndarray]:
+        """Ids of some stretches one after the other, and which stretches' bytes agree (others give none). Those that end in no white space
+        are encoded in runs, as nothing crosses from one to the next."""
+        runs, open_ = [], False
+        for n, s in enumerate(new):
+            if not open_ or len(runs[-1]) == RUN:
+                runs.append([])
+            runs[-1].append(n)
+            open_ = self.apart and not s[-1].isspace()
+        ids_a, ids_b, agree = [], [], np.ones(len(new), np.int64)
+        for run, x, y in zip(runs, *self._ids(["".join(new[n] for n in run) for run in runs])):
+            raw = "".join(new[n] for n in run).encode()
+            if self._bytes(x, y) != (raw, raw):
+                x, y = [], []
+                for n, p, q in zip(run, *self._ids([new[n] for n in run])):
+                    raw = new[n].encode()
+                    agree[n] = self._bytes(p, q) == (raw, raw)
+                    if agree[n]:
+                        x += p
+                        y += q
+            ids_a += x
+            ids_b += y
+        return ids_a, ids_b, agree
 
     def _learn(self, new: list[str]) -> None:
-        for s, (spelled, facts, pairs) in zip(new, self._encoded(new)):
-            n = len(self.spelled)
-            self.index[s] = n
-            self.spelled.append(spelled)
-            if n >= len(self.facts):
-                self.facts = np.concatenate((self.facts, np.empty_like(self.facts)))
-                self.ends = np.concatenate((self.ends, np.zeros(len(self.facts) + 1 - len(self.ends), np.int64)))
-            self.facts[n] = facts
-            to = self.filled + len(pairs)
-            if to > len(self.pairs):
-                grow = np.empty(max(to, 2 * len(self.pairs)) - len(self.pairs), np.uint32)
-                self.pairs, self.mults = np.concatenate((self.pairs, grow)), np.concatenate((self.mults, grow))
-            self.pairs[self.filled : to] = np.fromiter(pairs.keys(), np.uint32, len(pairs))
-            self.mults[self.filled : to] = np.fromiter(pairs.values(), np.uint32, len(pairs))
-            self.filled = self.ends[n + 1] = to
-
-    def align(self, text: str) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
-        """(groups, facts, pairs, times) of one text that isn't empty; the pairs may repeat. Zeros and '' where the bytes differ."""
-        text = " " + text
-        cut = _STRETCH.findall(text) if self.apart else [text]
-        short = [s for s in cut if len(s) <= CACHE_CHARS]
-        if len(self.index) > CACHE_STRETCHES:
+        ids_a, ids_b, agree = self._encoded(new)
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        size = np.array([len(s.encode()) for s in new]) * agree
+        until, end_a, end_b = np.cumsum(size), np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        cut = np.intersect1d(end_a, end_b, assume_unique=True)  # where groups end
+        owner = np.searchsorted(until, cut, "left")
+        group_a, group_b = np.searchsorted(cut, end_a), np.searchsorted(cut, end_b)
+        n_a, n_b = np.bincount(group_a, minlength=len(cut)), np.bincount(group_b, minlength=len(cut))
+        facts = np.empty((len(new), 5), np.int64)
+        for k, x in enumerate((n_a, n_b, np.ones(len(cut), np.int64), n_a * n_b)):
+            facts[:, k] = np.bincount(owner, x, len(new))
+        facts[:, 4] = agree
+        # Texts: tokens of A, then of B, group by group.
+        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a[np.cumsum(n_a) - 1] = last_b[np.cumsum(n_b) - 1] = 1
+        at_a, at_b = np.arange(len(a)) + (np.cumsum(n_b) - n_b)[group_a], np.arange(len(b)) + np.cumsum(n_a)[group_b]
+        words = np.empty(len(a) + len(b), object)
+        words[at_a], words[at_b] = self.text_a[last_a, a], self.text_b[last_b, b]
+        words, to = words.tolist(), np.cumsum(facts[:, 0] + facts[:, 1]).tolist()
+        base = len(self.spelled)
+        self.index |= {s: base + n for n, s in enumerate(new)}
+        self.chars += sum(map(len, new))
+        self.spelled += ["".join(words[x:y])[:-1] for x, y in zip([0, *to], to)]
+        # Pairs: each A token by all B tokens of its group; of large groups, each id by each with both numbers.
+        links = n_a * n_b
+        small = np.where(links > LARGE_GROUP, 0, n_b)[group_a]
+        start = np.cumsum(n_b) - n_b
+        other = np.arange(int(small.sum())) + np.repeat(start[group_a] - np.cumsum(small) + small, small)
+        pairs, times, whose = [np.repeat(a, small) * PAIR + b[other]], [np.ones(len(other), np.int64)], [np.repeat(owner[group_a], small)]
+        for g in np.flatnonzero(links > LARGE_GROUP).tolist():
+            (x, k), (y, m) = (np.unique(ids[group == g], return_counts=True) for ids, group in ((a, group_a), (b, group_b)))
+            pairs.append(np.add.outer(x * PAIR, y).ravel())
+            times.append(np.outer(k, m).ravel())
+            whose.append(np.full(len(x) * len(y), owner[g]))
+        pairs, times, whose = np.concatenate(pairs), np.concatenate(times), np.concatenate(whose)
+        if (links > LARGE_GROUP).any():
+            order = np.argsort(whose, kind="stable")
+            pairs, times, whose = pairs[order], times[order], whose[order]
+        filled, base = int(self.ends[-1]), len(self.ends) - 1
+        if filled + len(pairs) > len(self.pairs):
+            more = filled + 2 * len(pairs) - len(self.pairs) + len(self.pairs)
+            self.pairs, self.times = (np.concatenate((x[:filled], np.empty(more - filled, x.dtype))) for x in (self.pairs, self.times))
+        self.pairs[filled : filled + len(pairs)], self.times[filled : filled + len(pairs)] = pairs, times
+        self.ends = np.concatenate((self.ends, filled + np.cumsum(np.bincount(whose, minlength=len(new)))))
+        if base + len(new) > len(self.facts):
+            self.facts = np.concatenate((self.facts[:base], np.empty((base + 2 * len(new), 5), np.int64)))
+        self.facts[base : base + len(new)] = facts
+
+    def align(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of some texts: groups as text, facts (tokens of A, of B, groups, links), and linked pairs, which may repeat, with their text's
+        number and the times they are linked. A text that is empty or whose bytes differ has none."""
+        cut = [(_STRETCH.findall(" " + t) if self.apart else [" " + t]) if t else [] for t in texts]
+        if len(self.index) > CACHE_STRETCHES or self.chars > CACHE_CHARS:
             self._forget()
-        if new := list(dict.fromkeys(s for s in short if s not in self.index)):
+        index = self.index
+        if new := list(dict.fromkeys(s for c in cut for s in c if s not in index)):
             self._learn(new)
-        which = np.fromiter(map(self.index.__getitem__, short), np.int64, len(short))
-        facts = self.facts[which].sum(0)
-        agree, size = facts[4] == len(short), self.ends[which + 1] - self.ends[which]
+        which = np.fromiter(map(self.index.__getitem__, chain.from_iterable(cut)), np.int64)
+        ends = np.cumsum([len(c) for c in cut])
+        facts = np.diff(np.concatenate((np.zeros((1, 5), np.int64), np.cumsum(self.facts[which], 0)))[np.concatenate(([0], ends))], axis=0)
+        bad = facts[:, 4] < [len(c) for c in cut]
+        facts[bad] = 0
+        spelled, known = [], self.spelled
+        for n, (x, y) in enumerate(zip([0, *ends.tolist()], ends.tolist())):
+            spelled.append("" if bad[n] else ";".join([known[i] for i in which[x:y].tolist()]))
+        text = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
+        which, text = which[~bad[text]], text[~bad[text]]
+        size = self.ends[which + 1] - self.ends[which]
         at = np.arange(int(size.sum())) + np.repeat(self.ends[which] - np.cumsum(size) + size, size)
-        pairs, times = [self.pairs[at]], [self.mults[at].astype(np.int64)]
-        spelled = [self.spelled[i] for i in which.tolist()]
-        if len(short) < len(cut):
-            long = [(i, s) for i, s in enumerate(cut) if len(s) > CACHE_CHARS]
-            for i, s in long:
-                words, more, found = next(iter(self._encoded([s])))
-                spelled.insert(i, words)
-                facts, agree = facts + more, agree and more[4]
-                pairs.append(np.fromiter(found.keys(), np.uint32, len(found)))
-                times.append(np.fromiter(found.values(), np.int64, len(found)))
-        if not agree:
-            return "", np.zeros(4, np.int64), np.empty(0, np.uint32), np.empty(0, np.int64)
-        return ";".join(spelled), facts[:4], np.concatenate(pairs), np.concatenate(times)
+        return spelled, facts[:, :4], self.pairs[at], np.repeat(text, size), self.times[at]
 
 
 @lru_cache(maxsize=2)
@@ -209,6 +240,17 @@ def _rows(kind: int, n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.nulls(n, f.type) if (x := columns.get(f.name)) is None else x if isinstance(x, pa.Array) else pa.array(x, f.type) for f in _PASS_ARROW], schema=_PASS_ARROW)
 
 
+def _parts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+    """Rows of up to PART_CHARS characters or one longer text: (from, to, texts)."""
+    texts, lo, held = [], 0, 0
+    for n, text in enumerate(column):
+        texts.append(text.as_py() or "")
+        held += len(texts[-1])
+        if held >= PART_CHARS or n + 1 == len(column):
+            yield lo, n + 1, texts
+            texts, lo, held = [], n + 1, 0
+
+
 def _pass(path_a: str, path_b: str):
     """Of texts: a row of facts for each, its links by group of stripes, and partial counts by stripe."""
 
@@ -228,45 +270,50 @@ def _pass(path_a: str, path_b: str):
             blobs = [_packed(codes[o := order[cuts[s] : cuts[s + 1]]], counts[o]) for s in mine]
             return _rows(_COUNTS, len(mine), stripe=mine, blob=blobs)
 
-        def linked(rows: list[int], pairs: list[np.ndarray], times: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        def linked(rows: list[int], pairs: list[np.ndarray], docs: list[np.ndarray], times: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             """Links of some documents: distinct pairs, how many documents each has, and those with the times it is linked."""
-            code = np.concatenate(pairs).astype(np.int64) * len(rows) + np.repeat(np.arange(len(rows)), [len(p) for p in pairs])
-            order = np.argsort(code)  # by pair, then document
-            code = code[order]
-            first = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
-            time = np.add.reduceat(np.concatenate(times)[order], first)
-            pair, doc = np.divmod(code[first], len(rows))
+            code, time = np.concatenate(pairs).astype(np.int64) * len(rows) + np.concatenate(docs), np.concatenate(times)
+            once, often = np.unique(code[time == 1], return_counts=True)  # by pair, then document
+            if len(more := np.flatnonzero(time > 1)):
+                code, time = np.concatenate((once, code[more])), np.concatenate((often, time[more]))
+                once, back = np.unique(code, return_inverse=True)
+                often = np.zeros(len(once), np.int64)
+                np.add.at(often, back, time)
+            pair, doc = np.divmod(once, len(rows))
             start = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
-            docs = np.diff(np.concatenate((start, [len(pair)])))
-            add(pair[start].astype(np.uint32), docs)
+            counted = np.diff(np.concatenate((start, [len(pair)])))
+            add(pair[start].astype(np.uint32), counted)
             group = pair // PAIR % GROUPS
             by_pair = group[start]
             mine = np.unique(by_pair)
-            blobs = [_packed(pair[start][by_pair == g], docs[by_pair == g], doc[group == g], time[group == g], np.array(rows)) for g in mine]
+            blobs = [_packed(pair[start][by_pair == g], counted[by_pair == g], doc[group == g], often[group == g], np.array(rows)) for g in mine]
             yield _rows(_LINKS, len(mine), stripe=mine, blob=blobs)
 
+        rows, pairs, docs, times = [], [], [], []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            nonlocal rows, pairs, docs, times, codes, counts
+            if sum(map(len, pairs)):
+                yield from linked(rows, pairs, docs, times)
+            rows, pairs, docs, times = [], [], [], []
+            if len(codes) > HELD_PAIRS:
+                yield sent()
+                codes, counts = codes[:0], counts[:0]
+
         for batch in batches:
-            facts, digests, rows, pairs, times, held = [], [], [], [], [], 0
-            for row, text in zip(batch.column("row").to_pylist(), batch.column("text")):
-                text = text.as_py()
-                spelled, found, pair, time = both.align(text) if text else ("", np.zeros(4, np.int64), (), ())
-                facts.append(found)
-                digests.append(hashlib.sha256(spelled.encode()).hexdigest() if found[0] else "")
-                if len(pair):
-                    rows.append(row)
-                    pairs.append(pair)
-                    times.append(time)
-                    held += len(pair)
-                    if held > PART_LINKS:
-                        yield from linked(rows, pairs, times)
-                        rows, pairs, times, held = [], [], [], 0
-                        if len(codes) > HELD_PAIRS:
-                            yield sent()
-                            codes, counts = codes[:0], counts[:0]
-            if rows:
-                yield from linked(rows, pairs, times)
-            n_a, n_b, n_groups, n_links = np.array(facts, np.int64).reshape(-1, 4).T
-            yield _rows(_FACTS, len(facts), row=batch.column("row"), doc_id=batch.column("doc_id").cast(pa.int64()), n_a=n_a, n_b=n_b, n_groups=n_groups, n_links=n_links, groups_sha256=digests)
+            ids = batch.column("doc_id").cast(pa.int64())
+            for lo, hi, texts in _parts(batch.column("text")):
+                spelled, facts, pair, doc, time = both.align(texts)
+                digests = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in spelled]
+                n_a, n_b, n_groups, n_links = facts.T
+                yield _rows(_FACTS, hi - lo, row=batch.column("row").slice(lo, hi - lo), doc_id=ids.slice(lo, hi - lo), n_a=n_a, n_b=n_b, n_groups=n_groups, n_links=n_links, groups_sha256=digests)
+                pairs.append(pair)
+                docs.append(doc + len(rows))
+                times.append(time)
+                rows += batch.column("row").slice(lo, hi - lo).to_pylist()
+                if sum(map(len, pairs)) > PART_LINKS:
+                    yield from flush()
+        yield from flush()
         if len(codes):
             yield sent()
 
