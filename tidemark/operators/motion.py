@@ -39,6 +39,18 @@ def _sampled(image: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return upper * (1 - fy) + (flat[at + down] * (1 - fx) + flat[at + down + right] * fx) * fy
 
 
+def _windows(image: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """WINDOW by WINDOW values around each point, one row a point. A window's places share their fractions, so whole pixels are taken once."""
+    h, w = image.shape
+    low = np.floor(at)
+    fx, fy = ((at - low).astype(np.float32).T)[:, :, None, None]
+    reach = np.arange(WINDOW + 1) - WINDOW // 2
+    x, y = (np.clip(low[:, k, None].astype(np.intp) + reach, 0, n - 1) for k, n in ((0, w), (1, h)))
+    taken = image[y[:, :, None], x[:, None, :]]
+    across = taken[:, :, :-1] * (1 - fx) + taken[:, :, 1:] * fx
+    return (across[:, :-1] * (1 - fy) + across[:, 1:] * fy).reshape(len(at), -1)
+
+
 def _smoothed(image: np.ndarray, taps: tuple[float, ...]) -> np.ndarray:
     """Both ways by the same odd filter; edges mirror without their own pixel."""
     for axis in (0, 1):
@@ -83,17 +95,13 @@ def tracked(previous: np.ndarray, current: np.ndarray, points: np.ndarray) -> tu
     pyramid = [(previous, current)]
     while len(pyramid) <= LEVELS and min(pyramid[-1][0].shape) >= 2 * WINDOW:
         pyramid.append(tuple(_smoothed(i, (0.0625, 0.25, 0.375, 0.25, 0.0625))[::2, ::2] for i in pyramid[-1]))
-    reach = np.arange(WINDOW) - WINDOW // 2
-    wx, wy = np.tile(reach, WINDOW), np.repeat(reach, WINDOW)
     moved, good = np.zeros_like(points), np.ones(len(points), bool)
     for level in range(len(pyramid) - 1, -1, -1):
         before, after = pyramid[level]
         at = points / 2**level
         moved *= 2 if level < len(pyramid) - 1 else 1
-        x, y = at[:, :1] + wx, at[:, 1:] + wy
-        gx, gy = _gradients(before)
-        window, gx, gy = _sampled(before, x, y), _sampled(gx, x, y), _sampled(gy, x, y)
-        xx, yy, xy = (gx * gx).sum(1), (gy * gy).sum(1), (gx * gy).sum(1)
+        window, gx, gy = (_windows(i, at) for i in (before, *_gradients(before)))
+        xx, yy, xy = (np.einsum("ij,ij->i", u, v, dtype=float) for u, v in ((gx, gx), (gy, gy), (gx, gy)))
         flat = (xx + yy) / 2 - np.sqrt(((xx - yy) / 2) ** 2 + xy * xy) < 1e-4 * WINDOW**2
         if level == 0:
             good &= ~flat
@@ -102,8 +110,8 @@ def tracked(previous: np.ndarray, current: np.ndarray, points: np.ndarray) -> tu
         for _ in range(STEPS):
             if not len(open_):
                 break
-            differ = window[open_] - _sampled(after, x[open_] + moved[open_, :1], y[open_] + moved[open_, 1:])
-            ex, ey = (differ * gx[open_]).sum(1), (differ * gy[open_]).sum(1)
+            differ = window[open_] - _windows(after, at[open_] + moved[open_])
+            ex, ey = (np.einsum("ij,ij->i", differ, g[open_], dtype=float) for g in (gx, gy))
             step = np.stack((yy[open_] * ex - xy[open_] * ey, xx[open_] * ey - xy[open_] * ex), 1) / det[open_, None]
             moved[open_] += np.clip(step, -WINDOW, WINDOW)
             open_ = open_[np.hypot(*step.T) >= LEAST_STEP]
@@ -161,7 +169,7 @@ def measured(previous: np.ndarray, current: np.ndarray, dt: float) -> dict:
         (h, w), (ch, cw) = previous.shape, current.shape
         y, x = (np.arange(h) + 0.5) * ch / h - 0.5, (np.arange(w) + 0.5) * cw / w - 0.5
         current = np.rint(_sampled(current.astype(float), *np.meshgrid(x, y))).astype(np.uint8)
-    a, b = previous.astype(float), current.astype(float)
+    a, b = previous.astype(np.float32), current.astype(np.float32)
     points, found, at, speed = corners(a), None, np.empty((0, 2)), np.empty(0)
     diagonal = float(np.hypot(*b.shape))
     if len(points) >= LEAST_TRACKED:
@@ -171,7 +179,7 @@ def measured(previous: np.ndarray, current: np.ndarray, dt: float) -> dict:
             found = agreed_motion(points, at)
             if found and abs(found[0] - 1) > LEAST_TURN:  # windows that turned are followed once more from where the motion puts them
                 placed = found[0] * (points @ (1, 1j)) + found[1]
-                to, good = tracked(warped(a, *found, b.shape).astype(float), b, np.stack((placed.real, placed.imag), 1))
+                to, good = tracked(warped(a, *found, b.shape).astype(np.float32), b, np.stack((placed.real, placed.imag), 1))
                 if good.sum() >= LEAST_TRACKED:
                     points, at = points[good], to[good]
                     found = agreed_motion(points, at) or found

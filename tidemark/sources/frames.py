@@ -1,43 +1,41 @@
-"""Clips of raw video (``.y4m``): what a file holds, and its frames at a fixed rate, as a Spark data source.
+"""Clips of raw video (``.y4m``): what a file holds, and its frames at a fixed rate.
 
-A file's header and its length say all that a probe needs. The source makes a task of every RANGE frames, so that one long clip is read by
-many; a task seeks to the frames that it returns and reads nothing else. Other containers need a decoder that isn't here: a table of
-frames (clip, sample, t, width, height, bgr) from elsewhere takes the source's place.
+A probe reads a file's first line. Frames are dealt out in ranges of RANGE, each planned from the probe and read by whichever task gets it, so that one
+long clip is read by many; a task seeks to the frames that it returns and reads nothing else. Frames of other containers need a decoder that isn't
+here: a table of frames (path, sample, t, width, height, luma) from elsewhere takes the place of these.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
 
 from tidemark.functions.columns import ratio
+from tidemark.sources.media import MARK, Ranges, frame_bytes, probed_clips
 
 RANGE = 256
 SCHEMA = "path string, sample int, t double, width int, height int, luma binary"
-_HEADER = re.compile(rb"YUV4MPEG2((?: [A-Z][^ \n]*)*)\n")
-_MARK = b"FRAME\n"
+_COLOUR = f"{SCHEMA}, bgr binary"
 
 
 def probe(spark: SparkSession, path: str) -> DataFrame:
-    """(path, width, height, fps, frame_count, duration_seconds, valid) of files; one without dimensions, rate or a whole frame isn't valid."""
+    """Files below a path with what their index or header says (``media.INFO``) and ``valid``. The listing is all that Spark reads of them."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    head = F.decode(F.substring(F.col("content"), 1, 256), "ISO-8859-1")
-    return probed(files.select("path", "length", head.alias("head")))
+    return probed_clips(files.select("path", "length"))
 
 
 def probed(files: DataFrame) -> DataFrame:
-    """files(path, length, head) by the text of their first bytes and their lengths."""
+    """files(path, length, head) of raw video by the text of their first bytes and their lengths."""
     line = F.regexp_extract("head", r"^(YUV4MPEG2[^\n]*)\n", 1)
     part = lambda letter: F.regexp_extract(line, rf" {letter}([^ \n]+)", 1)
     number = lambda c: F.coalesce(c.try_cast("int"), F.lit(0))
     out = files.select("path", "length", line.alias("line"), number(part("W")).alias("width"), number(part("H")).alias("height"), ratio(F.replace(part("F"), F.lit(":"), F.lit("/"))).alias("fps"))
     body = F.col("length") - F.length("line") - 1
-    count = F.when((F.col("width") > 0) & (F.col("height") > 0), F.floor(body / (len(_MARK) + _frame_bytes(F.col("width"), F.col("height"))))).otherwise(0)
+    count = F.when((F.col("width") > 0) & (F.col("height") > 0), F.floor(body / (len(MARK) + _frame_bytes(F.col("width"), F.col("height"))))).otherwise(0)
     out = out.withColumn("frame_count", count.cast("long")).withColumn("duration_seconds", F.coalesce(F.try_divide("frame_count", "fps"), F.lit(0.0)))
     return out.withColumn("valid", (F.col("width") > 0) & (F.col("height") > 0) & (F.col("duration_seconds") > 0)).drop("length", "line")
 
@@ -47,71 +45,74 @@ def _frame_bytes(width: Column, height: Column) -> Column:
     return width * height + 2 * half(width) * half(height)
 
 
-class _Range(InputPartition):
-    def __init__(self, path: str, first: int, last: int):
-        self.path, self.first, self.last = path, first, last
-
-
-def _opened(path: str):
-    """(file, offset of the first frame, width, height, frames a second, frames)."""
-    import pyarrow.fs as pafs
-
-    fs, at = pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:/") else (pafs.LocalFileSystem(), path)
-    file = fs.open_input_file(at)
-    found = _HEADER.match(file.read(1024))
-    tags = {x[:1]: x[1:] for x in (found[1].decode("latin-1").split() if found else ())}
-    width, height = (int(tags.get(k, "0")) for k in "WH")
-    top, _, bottom = tags.get("F", "0:1").partition(":")
-    fps = float(top) / float(bottom or 1) if float(bottom or 1) else 0.0
-    if not found or width <= 0 or height <= 0 or fps <= 0:
-        raise ValueError(f"{path} isn't a clip of raw frames")
-    size = width * height + 2 * ((width + 1) // 2) * ((height + 1) // 2)
-    body = file.size() - found.end()
-    if body <= 0 or body % (len(_MARK) + size):
-        raise ValueError(f"{path} has no frames or ends within one")
-    return file, found.end(), width, height, fps, body // (len(_MARK) + size)
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, paths: list[str], fps: float):
-        self.paths, self.fps = paths, fps
-
-    def partitions(self) -> list[InputPartition]:
-        out = []
-        for path in self.paths:
-            file, _, _, _, fps, frames = _opened(path)
-            file.close()
-            samples = max(1, -(-int(frames * min(self.fps, fps) * 1000) // int(fps * 1000)))
-            out += [_Range(path, a, min(a + RANGE, samples)) for a in range(0, samples, RANGE)]
-        return out
-
-    def read(self, part: _Range) -> Iterator[tuple]:
-        file, start, width, height, fps, frames = _opened(part.path)
-        rate = min(self.fps, fps)
-        size = width * height + 2 * ((width + 1) // 2) * ((height + 1) // 2)
-        with file:
-            for k in range(part.first, part.last):
-                at = min(frames - 1, round(k * fps / rate))
-                file.seek(start + at * (len(_MARK) + size))
-                if file.read(len(_MARK)) != _MARK:
-                    raise ValueError(f"{part.path}: no frame {at}")
-                yield part.path, k, k / rate, width, height, file.read(width * height)
-
-
-class RawFrames(DataSource):
-    """``spark.read.format("raw_frames").option("fps", 5).option("paths", "a.y4m,b.y4m").load()``: the brightness of frames at a fixed rate."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "raw_frames"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader([p for p in self.options.get("paths", self.options.get("path", "")).split(",") if p], float(self.options["fps"]))
-
-
-def read_frames(spark: SparkSession, paths: list[str], fps: float) -> DataFrame:
-    spark.dataSource.register(RawFrames)
-    return spark.read.format("raw_frames").option("fps", fps).option("paths", ",".join(paths)).load()
+def area_weights(n: int, m: int) -> np.ndarray:
+    """m by n: the share that each of n pixels has in each of m means over equal areas."""
+    edges = np.linspace(0, n, m + 1)
+    cover = np.minimum(edges[1:, None], np.arange(1, n + 1)) - np.maximum(edges[:-1, None], np.arange(n))
+    return np.clip(cover, 0, None) * m / n
+
+
+def _colour(luma: np.ndarray, chroma: bytes) -> np.ndarray:
+    """Blue, green, red of studio-range BT.601 with chroma of half the size."""
+    height, width = luma.shape
+    half_h, half_w = (height + 1) // 2, (width + 1) // 2
+    u, v = (np.repeat(np.repeat(p, 2, 0), 2, 1)[:height, :width] - 128.0 for p in np.frombuffer(chroma, np.uint8).reshape(2, half_h, half_w))
+    y = 1.164 * (luma - 16.0)
+    return np.stack((y + 2.017 * u, y - 0.392 * u - 0.813 * v, y + 1.596 * v), 2)
+
+
+def _read(most_width: int | None, colour: bool):
+    def small(image: np.ndarray, width: int, height: int) -> bytes:
+        if image.shape[:2] != (height, width):
+            rows, columns = area_weights(image.shape[0], height), area_weights(image.shape[1], width)
+            image = np.einsum("ij,jk...,lk->il...", rows, image, columns, optimize=True)
+        return np.clip(np.rint(image), 0, 255).astype(np.uint8).tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                width, height = r["width"], r["height"]
+                size = len(MARK) + frame_bytes(width, height)
+                to_w = min(most_width or width, width)
+                to_h = max(1, round(to_w * height / width)) if to_w < width else height
+                rows = []
+                with Ranges(r["path"]) as file:
+                    for k in range(r["first"], r["last"]):
+                        at = min(r["frame_count"] - 1, round(k * r["fps"] / r["rate"]))
+                        raw = file.at(r["header_bytes"] + at * size, size if colour else len(MARK) + width * height)
+                        if raw[: len(MARK)] != MARK or len(raw) < len(MARK) + width * height:
+                            raise ValueError(f"{r['path']}: no whole frame {at}")
+                        luma = np.frombuffer(raw, np.uint8, width * height, len(MARK)).reshape(height, width)
+                        row = [r["path"], k, k / r["rate"], to_w, to_h, small(luma, to_w, to_h)]
+                        rows.append(row + [small(_colour(luma, raw[len(MARK) + width * height :]), to_w, to_h)] if colour else row)
+                        if len(rows) * to_w * to_h > 1 << 23:
+                            yield _batch(rows, colour)
+                            rows = []
+                if rows:
+                    yield _batch(rows, colour)
+
+    return run
+
+
+def _batch(rows: list[list], colour: bool) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()][: 6 + colour]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["path", "sample", "t", "width", "height", "luma", "bgr"][: 6 + colour])
+
+
+def sampled_frames(clips: DataFrame, fps: float, most_width: int | None = None, colour: bool = False) -> DataFrame:
+    """clips as ``probe`` has them to frames at ``fps`` or the clip's own rate if that is lower: SCHEMA, with ``bgr`` if ``colour``. Frames are
+    scaled to ``most_width`` columns at most, by means over areas. What isn't whole raw video fails the query."""
+    whole = (F.col("container") == "y4m") & F.col("valid") & ((F.col("length") - F.col("header_bytes")) % (len(MARK) + _frame_bytes(F.col("width"), F.col("height"))) == 0)
+    said = F.concat(F.col("path"), F.lit(" isn't a clip of whole raw frames"))
+    kept = clips.withColumn("length", F.when(F.coalesce(whole, F.lit(False)), F.col("length")).otherwise(F.raise_error(said).cast("long"))).where("length > 0")
+    rate = F.least(F.lit(float(fps)), F.col("fps"))
+    samples = F.greatest(F.lit(1), F.ceil(F.floor(F.col("frame_count") * rate * 1000) / F.floor(F.col("fps") * 1000)))
+    ranges = kept.select("path", "width", "height", "fps", "frame_count", "header_bytes", rate.alias("rate"), samples.alias("samples"))
+    ranges = ranges.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("samples") - 1, F.lit(RANGE).cast("long")))).withColumn("last", F.least(F.col("first") + RANGE, "samples"))
+    return ranges.repartition("path", "first").mapInArrow(_read(most_width, colour), _COLOUR if colour else SCHEMA)
+
+
+def read_frames(spark: SparkSession, paths: list[str], fps: float, most_width: int | None = None, colour: bool = False) -> DataFrame:
+    """``sampled_frames`` of these files."""
+    files = spark.read.format("binaryFile").load(paths).select("path", "length")
+    return sampled_frames(probed_clips(files), fps, most_width, colour)
