@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import align, chat_quotes, decontaminate, html_text, jaccard_join, license_scan, packing, quality, quality_rules, secret_scan, spelling, toxicity
+from tidemark.llm import align, chat_quotes, decontaminate, html_text, jaccard_join, license_scan, minhash_join, packing, quality, quality_rules, secret_scan, spelling, toxicity
 from tidemark.llm.shared import fold_of, table
 
 #: The tokenizer file that packing uses unless told otherwise.
@@ -75,6 +75,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_tokens(table(spark, sf_dir, "documents"), _vocabulary(SIDE_A), _vocabulary(SIDE_B))
 
@@ -84,7 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_classifier, op2_decontamination, op3_secret_scan, op4_chat_quotes, op5_packing, op6_license_scan, op7_html_text,
         op8_toxicity, op9_quality_rules, op10_jaccard_join, op11_spelling_variants,
-        op13_token_alignment,
+        op12_minhash_dedup, op13_token_alignment,
     )
 }
 
@@ -118,4 +122,14 @@ path AS (SELECT word, form AS root FROM forms UNION ALL SELECT p.word, f.form FR
 ends AS (SELECT word, root FROM path WHERE root NOT IN (SELECT word FROM forms))
 SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, forms.form, forms.form_n, coalesce(root, v.word) AS root
 FROM v LEFT JOIN best USING (word) LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)""",
+    "op12_minhash_dedup": r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k : k + least(len(w), 3) - 1], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 3, 0) + 2)) AS x(k) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM both_ JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= 85 * (x.n + y.n - i)),
+edges AS (FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT DISTINCT a, a AS b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+root AS (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id, coalesce(c, doc_id) = doc_id AS kept FROM d LEFT JOIN n USING (doc_id) LEFT JOIN root USING (doc_id)""",
 }
