@@ -1,19 +1,22 @@
 """Operator 12: near duplicates by an inverted join of MinHash signature coordinates.
 
 Method. A document's signature has COORDINATES minima of its shingles' hashes; two documents agree at each with a probability of their
-Jaccard similarity. Each document is posted under its coordinate-value pairs, and pairs of documents that agree at MATCHES or more are
-candidates. They are counted with prefix and skip merging: every document's lists are ordered by their exact lengths, the MATCHES - 1 longest
-are skipped, and only the others, the prefix, are merged, as candidates must meet in one of them. The skipped lists are never
-read: each posting carries four bits of every coordinate, and the number of equal ones, which is never below the number of
-agreements, is counted there. A document with fewer than MATCHES lists of two or more has no candidates and leaves before anything is merged.
+Jaccard similarity. Documents are posted under coordinate-value pairs, and pairs of documents that agree at MATCHES or more are
+candidates. They are counted with prefix and skip merging. COORDINATES - POSTED coordinates are skipped for all: what agrees at MATCHES agrees at
+LEAST_SHARED or more of the others. Of these a document's lists are ordered by their exact lengths; the LEAST_SHARED - 1 longest are skipped
+too, and only the rest, the prefix, is merged, as candidates must meet in one of those. Skipped lists are never read: each posting carries some
+bits of every coordinate, and the number of equal ones, which is never below the number of agreements, is counted there. A
+document with fewer than LEAST_SHARED lists of two or more has no candidates and leaves before anything is merged.
 Candidates are verified on their whole shingle sets.
 
 A pair of similarity 0.85 agrees at 54 of 64 coordinates on average and at fewer than MATCHES = 38 with a probability of 1.5e-7; a more similar pair
 still less often. Only that can lose a link.
 
 Groups. All pairs of a group are never made. Equal sets are linked through one of them, which alone is posted. Of each list and size class
-the first document is the pivot: documents are first paired with pivots, then, across the components which that gives, with what else they
-meet. Pairs within a component add nothing to it. The lists of frequent pairs are dealt over salted parts, as are a pivot's pairs.
+the document whose lists are longest in sum is the pivot: edits give a text rare lists, so it is the one that most others are edits of. Documents are
+first paired with pivots, then, across the components which that gives, with what else they meet, as far as an exact bound lets them:
+where the parities of two sets' hash counts differ, one shingle at least is in one set only. Pairs within a component add nothing to
+it. The lists of frequent pairs are dealt over salted parts, as are a pivot's pairs.
 
 Cases. Null or wordless texts have no shingles and are alone. One or two words are one shingle, the whole sequence; sets of five shingles or
 fewer link with equal ones only. A null id takes no part in links; its rows have a null component and count, and are kept. Rows that repeat an id are one
@@ -22,6 +25,7 @@ document with several sets that the id links; the largest is counted. Columns bu
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +40,11 @@ from tidemark.llm.textops import SPACED_LOWER, Words, mix, ngrams, sequence_hash
 SHINGLE = 3
 #: 100 * intersection >= 85 * union, as a fraction of small whole numbers.
 NUMERATOR, DENOMINATOR = 17, 20
-#: Coordinates of a signature (bits of a long), those in which candidates agree, and the bits of each that a posting carries.
-COORDINATES, MATCHES, CARRIED = 64, 38, 4
+#: Coordinates of a signature (bits of a long), those in which candidates agree, and those that are posted.
+COORDINATES, MATCHES, POSTED = 64, 38, 40
+LEAST_SHARED = MATCHES - (COORDINATES - POSTED)
+#: What a posting carries: bits of each coordinate, and 64-bit words of the parities of the set's hashes.
+CARRIED, PARITIES = 2, 4
 #: The least set that can link with a different one.
 LEAST_SET = -(-NUMERATOR // (DENOMINATOR - NUMERATOR))
 PART_BYTES = 1 << 18
@@ -77,8 +84,9 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-_SETS = f"doc long, n int, h1 long, h2 long, signature array<int>, {', '.join(f'c{j} long' for j in range(CARRIED))}"
-_CARRIED = [f"c{j}" for j in range(CARRIED)]
+_AGREE, _PARITY = [f"c{j}" for j in range(CARRIED)], [f"p{j}" for j in range(PARITIES)]
+_CARRIED = _AGREE + _PARITY
+_SETS = f"doc long, n int, h1 long, h2 long, signature array<int>, {', '.join(f'{c} long' for c in _CARRIED)}"
 _KEY = ["doc", "n", "h1", "h2"]
 
 
@@ -92,9 +100,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             large, signed = n >= LEAST_SET, np.zeros((len(sets), COORDINATES), np.uint32)
             if large.any():
                 signed[large] = signatures([x for x in sets if len(x) >= LEAST_SET])
-            carried = {c: np.packbits((signed >> np.uint32(j)).astype(np.uint8) & 1, axis=1, bitorder="little").view("<i8").ravel() for j, c in enumerate(_CARRIED)}
-            at = np.concatenate(([0], np.cumsum(large * COORDINATES))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(signed[large].ravel().view(np.int32)))
+            carried = {c: np.packbits((signed >> np.uint32(j)).astype(np.uint8) & 1, axis=1, bitorder="little").view("<i8").ravel() for j, c in enumerate(_AGREE)}
+            parity = np.stack([np.bincount((x % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1 for x in sets]).astype(np.uint8)
+            carried |= {c: np.packbits(parity[:, 64 * j : 64 * j + 64], axis=1).view("<i8").ravel() for j, c in enumerate(_PARITY)}
+            at = np.concatenate(([0], np.cumsum(large * POSTED))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(signed[large, :POSTED].ravel().view(np.int32)))
             yield pa.record_batch({"doc": ids.slice(lo, len(sets)), "n": n, "h1": h1.view(np.int64), "h2": h2.view(np.int64), "signature": lists, **carried})
 
 
@@ -123,13 +133,14 @@ def _size_class(n: Column) -> Column:
 
 
 def _candidates(one: str, other: str) -> Column:
-    """The length filter, and MATCHES or more equal coordinates as far as the carried bits tell."""
+    """The length filter, MATCHES or more equal coordinates as far as the carried bits tell, and parities that differ in no more places
+    than the sizes allow shingles to be in one set only."""
     a, b = F.col(f"{one}.n").cast("long"), F.col(f"{other}.n").cast("long")
-    differ = None
-    for c in _CARRIED:
-        x = F.col(f"{one}.{c}").bitwiseXOR(F.col(f"{other}.{c}"))
-        differ = x if differ is None else differ.bitwiseOR(x)
-    return (F.least(a, b) * DENOMINATOR >= F.greatest(a, b) * NUMERATOR) & (F.bit_count(differ) <= COORDINATES - MATCHES)
+    apart = lambda c: F.col(f"{one}.{c}").bitwiseXOR(F.col(f"{other}.{c}"))
+    differ = functools.reduce(Column.bitwiseOR, map(apart, _AGREE))
+    single = sum((F.bit_count(apart(c)) for c in _PARITY), F.lit(0))
+    fits = single * (DENOMINATOR + NUMERATOR) <= (a + b) * (DENOMINATOR - NUMERATOR)
+    return (F.least(a, b) * DENOMINATOR >= F.greatest(a, b) * NUMERATOR) & (F.bit_count(differ) <= COORDINATES - MATCHES) & fits
 
 
 def _parts(rows: Column, each: int) -> Column:
@@ -158,27 +169,30 @@ class MinHashJoin:
         copies = copies.join(repeated, ["n", "h1", "h2", "part"]).where("doc <> a").select("a", F.col("doc").alias("b"))
         first = groups.where(F.col("n") >= LEAST_SET).select(F.col("a").alias("doc"), "n", "h1", "h2")
         sets = self.signed.join(first, _KEY, "left_semi")
-        return self.scratch.keep(copies, "copies"), sets.dropDuplicates(_KEY) if self.repeated else sets
+        sets = sets.dropDuplicates(_KEY) if self.repeated else sets
+        return self.scratch.keep(copies, "copies"), sets.withColumn("id", F.xxhash64(*_KEY) if self.repeated else F.col("doc"))
 
     def _prefixes(self, sets: DataFrame) -> DataFrame:
-        """(token, length of its list, document, its size, class and carried bits) for lists that are merged: all but the MATCHES - 1 longest."""
-        posted = sets.select(*_KEY, F.posexplode("signature").alias("k", "value"))
-        posted = posted.select(*_KEY, F.col("k").cast("long").bitwiseOR(F.call_function("shiftleft", F.col("value").cast("long"), F.lit(8))).alias("token"))
+        """(token, document, its weight, size, class and carried bits) for lists that are merged: all but the LEAST_SHARED - 1 longest."""
+        posted = sets.select("id", F.posexplode("signature").alias("k", "value"))
+        posted = posted.select("id", F.col("k").cast("long").bitwiseOR(F.call_function("shiftleft", F.col("value").cast("long"), F.lit(8))).alias("token"))
         lengths = posted.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
-        lists = posted.join(lengths, "token").groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct("length", "token"))).alias("lists"))  # 64 at most
-        prefix = lists.where(F.size("lists") >= MATCHES).select(*_KEY, F.explode(F.slice("lists", F.lit(1), F.size("lists") - (MATCHES - 1))).alias("l"))
-        return prefix.select(*_KEY, "l.*").join(sets.select(*_KEY, *_CARRIED), _KEY).select("token", "length", "doc", "n", _size_class(F.col("n")).alias("size"), *_CARRIED)
+        lists = posted.join(lengths, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("length", "token"))).alias("lists"), F.sum("length").alias("weight"))  # POSTED at most
+        prefix = lists.where(F.size("lists") >= LEAST_SHARED).select("id", "weight", F.explode(F.slice("lists", F.lit(1), F.size("lists") - (LEAST_SHARED - 1))["token"]).alias("token"))
+        facts = sets.select("id", "doc", "n", _size_class(F.col("n")).alias("size"), *_CARRIED)
+        return prefix.join(facts, "id").drop("id")
 
     def _with_pivots(self, posts: DataFrame) -> DataFrame:
         """Candidates (a, b) of a pivot and a document of its list."""
         near = F.explode(F.array(*(F.col("size") + k for k in (-1, 0, 1)))).alias("size")
-        pivots = posts.groupBy("token", "size").agg(F.min(F.struct("doc", "n", *_CARRIED)).alias("p")).select("token", near, "p.*")
+        most = F.max(F.struct("weight", (-F.col("doc")).alias("minus"), "n", *_CARRIED))
+        pivots = posts.groupBy("token", "size").agg(most.alias("p")).select("token", near, (-F.col("p.minus")).alias("doc"), "p.n", *(f"p.{c}" for c in _CARRIED))
         met = posts.alias("x").join(pivots.alias("p"), ["token", "size"]).where((F.col("x.doc") != F.col("p.doc")) & _candidates("x", "p"))
         return met.select(F.least("x.doc", "p.doc").alias("a"), F.greatest("x.doc", "p.doc").alias("b")).distinct()
 
     def _across(self, posts: DataFrame, component: DataFrame) -> DataFrame:
         """Candidates (a, b) of different components."""
-        placed = posts.join(self._hint(component)(component), posts["doc"] == component["node"], "left").select(*posts.columns, F.coalesce("component", "doc").alias("c"))
+        placed = posts.join(self._hint(component)(component), posts["doc"] == component["node"], "left").select("token", "doc", "n", "size", *_CARRIED, F.coalesce("component", "doc").alias("c"))
         placed = self.scratch.keep(placed, "placed")
         lists = placed.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("now")).where("c0 < c1")
         open_ = self.scratch.keep(placed.join(lists.select("token", _parts(F.col("now"), LIST_PART).alias("parts")), "token"), "open")
@@ -216,7 +230,7 @@ class MinHashJoin:
         self.scratch.drop(posts, pairs)
         if not rest.isEmpty():
             more = self._links(rest)
-            component = self.scratch.keep(connected_components(links.union(copies).union(more), self.scratch), "component")
+            component = self.scratch.keep(connected_components(component.toDF("a", "b").union(more), self.scratch), "component")
         self.scratch.drop(links, copies, rest)
         return component
 
