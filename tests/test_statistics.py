@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as C
 from tidemark.functions.arrays import before
-from tidemark.operators import boxes, journal, report, statistics, timeline
+from tidemark.operators import boxes, journal, report, rules, statistics, timeline
 
 
 def series(seed, clips=25):
@@ -147,5 +147,42 @@ def test_probability_from_samples(spark):
     nan = float("nan")
     rows = [(0, [0.7, 0.5, 0.9], [0.1, 0.2, 0.9, 0.3], True), (1, [nan, nan], [0.1, 0.1], True), (2, [0.9], [0.1], False), (3, [], [0.1], True), (4, [0.9], [0.1], None)]
     df = spark.createDataFrame(rows, "k int, h array<double>, i array<double>, ok boolean")
-    got = [r.p for r in df.select("k", report.good_probability_of_samples(F.col("h"), F.col("i"), F.col("ok"), 0.6, 0.5).alias("p")).orderBy("k").collect()]
+    got = [r.p for r in df.select("k", report.good_probability_of_samples(F.col("h"), F.col("i"), F.col("ok"), rules.DEFAULT_RULES).alias("p")).orderBy("k").collect()]
     assert got == [pytest.approx(1 / 3), 0, 0, 0, 0]
+
+
+def test_probability_follows_the_rules(spark):
+    rule = lambda signal, op, t, severity="reject": (0, "r", signal, op, t, False, severity)
+    h, i = "hand.visibility_fraction", "idle.fraction"
+    rng = np.random.default_rng(4)
+    hand, idle = rng.random(300).round(2).tolist() + [float("nan")], rng.random(320).round(2).tolist()
+    df = spark.createDataFrame([(hand, idle, True), (hand, idle, None), ([], idle, True), (None, idle, True)], "h array<double>, i array<double>, ok boolean")
+    tests = {">=": np.greater_equal, ">": np.greater, "<=": np.less_equal, "<": np.less}
+    for own in ([rule(h, ">=", 0.5)], [rule(h, ">", 0.5), rule(h, "<", 0.9), rule(i, "<=", 0.25)], [rule(h, "<", 0.5, "warn"), rule(i, "==", 0.5), rule("camera.blur_fraction", "<=", 0.1)], []):
+        met = np.ones(301, bool)
+        for _, _, signal, op, t, _, severity in own:
+            if severity == "reject" and op in tests and signal in (h, i):
+                met &= tests[op](np.array({h: hand, i: idle}[signal][:301]), t)
+        got = [r.p for r in df.select(report.good_probability_of_samples(F.col("h"), F.col("i"), F.col("ok"), own).alias("p")).collect()]
+        assert got == [pytest.approx(met.mean()), 0, 0, 0]
+
+
+def test_repetition_rounds_its_least_number_of_samples(spark):
+    data = {1: [0.1, 0.5, 0.9, 0.5] * 10, 2: ([0.1, 0.5, 0.9, 0.5] * 10)[:39], 3: [0.0, 1.0, 0.0]}
+    score = lambda seconds: {r.clip: r.score for r in statistics.repetition(table(spark, data), "clip", "v", 2.0, 1.5, 8.0, seconds).collect()}
+    assert score(20.1)[1] > 0.9 and score(20.1)[2] == 0 and score(20.4)[1] == 0 and score(0.5)[3] == 0
+
+
+def test_bootstrap_by_hash_equals_a_loop(spark):
+    data = series(6) | {100: [None, 1.0], 101: [2.5]}
+    import hashlib
+
+    for statistic, of in (("mean", np.mean), ("p95", lambda a: np.quantile(a, 0.95))):
+        got = {r.clip: r for r in statistics.bootstrap_by_hash(table(spark, data), "clip", "v", 4.0, 2.0, 130, 5, statistic).collect()}
+        assert set(got) == {c for c, x in data.items() if any(v is not None for v in x)}
+        for clip, r in got.items():
+            x = np.array([v for v in data[clip] if v is not None])
+            size = max(1, min(8, max(1, len(x) // 4)))
+            draw = lambda k, b: int(hashlib.sha256(f"5|{clip}|{k}|{b}".encode()).hexdigest()[:8], 16) % (len(x) - size + 1)  # noqa: B023, E731
+            want = [of(np.concatenate([x[draw(k, b) : draw(k, b) + size] for b in range(-(-len(x) // size))])[: len(x)]) for k in range(130)]
+            assert np.allclose(r.samples, want) and np.allclose([r.point, r.low, r.high], [of(x), *np.quantile(want, [0.025, 0.975])])

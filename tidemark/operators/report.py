@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.rules import SAMPLED
+
 
 def evidence(candidates: DataFrame, keys: list[str], t: str = "t", score: str = "score") -> DataFrame:
     """First, worst (the earliest of equals) and last candidate of each key, each moment once: (keys, slot, t, score)."""
@@ -102,13 +104,42 @@ def good_probability(samples: DataFrame, clip: str, hand: str, idle: str, eligib
     return samples.groupBy(clip).agg(F.when(F.bool_and(eligible), share).otherwise(0.0).alias("probability"))
 
 
-def good_probability_of_samples(hand: Column, idle: Column, eligible: Column, least_hand: float, most_idle: float) -> Column:
-    """The same from two arrays of bootstrap samples of one clip, as far as both go; 0 without samples."""
+#: Operators whose rules a replicate must meet.
+_MEETS = {">=": lambda v, t: v >= t, ">": lambda v, t: v > t, "<=": lambda v, t: v <= t, "<": lambda v, t: v < t}
+
+
+def good_probability_of_samples(hand: Column, idle: Column, eligible: Column, rules) -> Column:
+    """Share of a clip's replicates, two arrays of bootstrap samples as far as both go, that meet all reject rules on the two sampled signals;
+    0 without samples or where the other rules fail. ``rules`` as in ``rules.DEFAULT_RULES``: several rules of one signal all hold, one with another
+    operator than these four asks nothing of a replicate. NaN meets none."""
+    own = [(SAMPLED.index(r[2]), _MEETS[r[3]], float(r[4])) for r in rules if r[6] == "reject" and r[2] in SAMPLED and r[3] in _MEETS]
     n = F.least(F.size(hand), F.size(idle))
-    meets = lambda h, i: F.when((h >= least_hand) & ~F.isnan(h) & (i <= most_idle) & ~F.isnan(i), 1.0).otherwise(0.0)
+
+    def meets(h: Column, i: Column) -> Column:
+        met = F.lit(True)
+        for which, compare, threshold in own:
+            met = met & compare((h, i)[which], F.lit(threshold)) & ~F.isnan((h, i)[which])
+        return F.when(met, 1.0).otherwise(0.0)
+
     pairs = F.zip_with(F.slice(hand, F.lit(1), n), F.slice(idle, F.lit(1), n), meets)
     share = F.aggregate(pairs, F.lit(0.0), lambda acc, x: acc + x) / n
-    return F.when(F.coalesce(eligible, F.lit(False)) & (n > 0), share).otherwise(0.0)
+    return F.coalesce(F.when(F.coalesce(eligible, F.lit(False)) & (n > 0), share), F.lit(0.0))
+
+
+def summary(items: DataFrame, results: DataFrame, item: str, corpus_hours: float, replicates: int, seed: int, confidence: float = 0.95) -> DataFrame:
+    """The report's one row: items(item, duration_seconds) of the manifest and results(item, verdict, duration_seconds, elapsed_seconds, probability) of
+    what was processed to captured and processed clips and hours, clips and hours by verdict, the interval of good hours, ``source_xrt``,
+    ``projected_hours`` and ``status``. Without results the interval is null."""
+    counted = totals(items, results, item)
+    by = rollup(results, []).groupBy().pivot("verdict", ["good", "bad", "uncertain", "error"]).agg(F.sum("clips").alias("clips"), F.sum("hours").alias("hours"))
+    by = by.select(*(F.coalesce(F.col(f"{v}_{c}"), F.lit(0)).alias(f"{v}_{c}") for v in ("good", "bad", "uncertain", "error") for c in ("clips", "hours")))
+    hours = good_hours(results.withColumn("_hours", F.col("duration_seconds") / 3600), item, "probability", "_hours", replicates, seed, confidence)
+    interval = hours.toDF("good_hours_low", "good_hours_high")
+    parts = counted
+    for part in (by, interval, throughput(results, corpus_hours)):  # one row each, of columns of its own
+        parts = parts.unionByName(part, allowMissingColumns=True)
+    one = parts.agg(*(F.max(c).alias(c) for c in parts.columns))
+    return one.withColumn("status", status(F.col("processed_clips"), F.col("processed_clips") == F.col("captured_clips")))
 
 
 def good_hours(items: DataFrame, item: str, probability: str, hours: str, replicates: int, seed: int, confidence: float = 0.95) -> DataFrame:

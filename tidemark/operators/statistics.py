@@ -6,10 +6,10 @@ import hashlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.arrays import before
 from tidemark.operators.timeline import longest_run
 
 
@@ -22,50 +22,38 @@ def block_length(n: Column, block_seconds: float, rate: float) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(int(round(block_seconds * rate))), F.greatest(F.lit(1), F.floor(n / 4)))).cast("long")
 
 
-def bootstrap_by_hash(samples: DataFrame, clip: str, value: str, block_seconds: float, rate: float, replicates: int, seed: int, statistic: str = "mean") -> DataFrame:
-    """Interval of the mean or the p95 by moving blocks whose starts are drawn from a hash: (clip, point, low, high).
+def bootstrap_by_hash(samples: DataFrame, clip: str, value: str, block_seconds: float, rate: float, replicates: int, seed: int, statistic: str = "mean", confidence: float = 0.95) -> DataFrame:
+    """Interval of the mean or the p95 by moving blocks whose starts are drawn from a hash: (clip, point, low, high, samples).
 
-    A clip's known values, in order, are one array in one row; its replicates are folded over in that row, so nothing is copied by
-    replicate and no draw is shuffled. For the mean a block's sum is a difference of two prefix sums; for the p95 a replicate's sample is
-    put together and sorted. A clip is as long as a recording: its array is a bounded number of samples.
+    A clip's known values, in order, are one array in one row; its replicates are worked out beside it in Arrow batches, CHUNK at a time, so nothing is
+    copied by replicate and no draw is shuffled. For the mean a block's sum is a difference of two prefix sums; the p95 is a selection from
+    the replicate's values. A clip is as long as a recording: its array is a bounded number of samples.
     """
     held = samples.where(F.col(value).isNotNull()).groupBy(clip).agg(F.array_sort(F.collect_list(F.struct("i", F.col(value).cast("double").alias("v")))).alias("held"))
-    values = held.select(clip, F.transform("held", lambda x: x["v"]).alias("x")).withColumn("n", F.size("x")).withColumn("l", block_length(F.col("n"), block_seconds, rate).cast("int"))
-    last = (F.ceil(F.col("n") / F.col("l")) - 1).cast("int")
-
-    def start(r: Column, b: Column) -> Column:
-        digest = F.sha2(F.concat_ws("|", F.lit(seed), F.col(clip), r, b), 256)
-        return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % (F.col("n") - F.col("l") + 1)).cast("int")
-
-    size = lambda b: F.least(F.col("l"), F.col("n") - b * F.col("l"))
-    draws, blocks = F.sequence(F.lit(0), F.lit(replicates - 1)), F.sequence(F.lit(0), last)
-    if statistic == "mean":
-        sums = before(F.concat("x", F.array(F.lit(0.0))), F.lit(0.0), lambda acc, v: acc + v)
-        values = values.withColumn("ps", sums)
-        block = lambda r, b: F.transform(F.array(start(r, b)), lambda s: F.get("ps", s + size(b)) - F.get("ps", s))[0]
-        one = lambda r: F.aggregate(F.transform(blocks, lambda b: block(r, b)), F.lit(0.0), lambda acc, v: acc + v) / F.col("n")
-        point = F.get("ps", F.col("n")) / F.col("n")
-    else:
-        sample = lambda r: F.flatten(F.transform(blocks, lambda b: F.slice("x", start(r, b) + 1, size(b))))
-        one = lambda r: _p95(sample(r))
-        point = _p95(F.col("x"))
-    drawn = values.select(clip, point.alias("point"), F.transform(draws, one).alias("m"))
-    return drawn.select(clip, "point", _quantile(F.col("m"), 0.025).alias("low"), _quantile(F.col("m"), 0.975).alias("high"))
-
-
-def _quantile(values: Column, p: float) -> Column:
-    """Of an array, between neighbours by linear interpolation."""
-
-    def of(s: Column) -> Column:
-        at = (F.size(s) - 1) * F.lit(p)
-        low, part = F.floor(at).cast("int"), at - F.floor(at)
-        return F.get(s, low) + part * (F.coalesce(F.get(s, low + 1), F.get(s, low)) - F.get(s, low))
-
-    return F.transform(F.array(F.array_sort(values)), of)[0]
-
+    size, tail = block_length(F.size("held"), block_seconds, rate), (1 - confidence) / 2
+
+    @F.arrow_udf("struct<point double, low double, high double, samples array<double>>")
+    def run(names: pa.Array, lengths: pa.Array, values: pa.Array) -> pa.Array:
+        out = []
+        for name, length, x in zip(names.to_pylist(), lengths.to_pylist(), values):
+            x = np.asarray(x.values)
+            n, blocks = len(x), -(-len(x) // length)
+            sums = np.concatenate(([0.0], np.cumsum(x)))
+            sizes = np.minimum(length, n - length * np.arange(blocks))
+            drawn = np.empty(replicates)
+            for at in range(0, replicates, CHUNK):
+                rows = range(at, min(at + CHUNK, replicates))
+                digests = b"".join(hashlib.sha256(f"{seed}|{name}|{r}|{b}".encode()).digest()[:4] for r in rows for b in range(blocks))
+                starts = np.frombuffer(digests, ">u4").astype(np.int64).reshape(len(rows), blocks) % (n - length + 1)
+                if statistic == "mean":
+                    drawn[at : at + len(rows)] = (sums[starts + sizes] - sums[starts]).sum(1) / n
+                else:
+                    drawn[at : at + len(rows)] = np.quantile(x[(starts[:, :, None] + np.arange(length)).reshape(len(rows), -1)[:, :n]], 0.95, axis=1)
+            low, high = np.quantile(drawn, [tail, 1 - tail])
+            out.append({"point": float(x.mean() if statistic == "mean" else np.quantile(x, 0.95)), "low": float(low), "high": float(high), "samples": drawn})
+        return pa.array(out, pa.struct([("point", pa.float64()), ("low", pa.float64()), ("high", pa.float64()), ("samples", pa.list_(pa.float64()))]))
 
-def _p95(values: Column) -> Column:
-    return _quantile(values, 0.95)
+    return held.select(clip, run(F.col(clip).cast("string"), size, F.transform("held", lambda x: x["v"])).alias("b")).select(clip, "b.*")
 
 
 #: What a clip's seed is combined with for each metric.
@@ -116,7 +104,7 @@ def repetition(samples: DataFrame, clip: str, value: str, rate: float, least_per
     steps = run.select(clip, F.transform("held", lambda x: x["v"]).alias("v")).select(clip, F.zip_with(F.slice("v", F.lit(2), F.greatest(F.size("v") - 1, F.lit(0))), F.slice("v", F.lit(1), F.greatest(F.size("v") - 1, F.lit(0))), lambda b, a: b - a).alias("d"))
     total = lambda a, f: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + f(x))
     n = F.size("d")
-    sized = steps.where((n > 0) & (n + 1 >= least_seconds * rate)).withColumn("m", total("d", lambda x: x) / n).withColumn("sd", F.sqrt(total("d", lambda x: (x - F.col("m")) * (x - F.col("m"))) / n))
+    sized = steps.where((n >= 3) & (n + 1 >= max(4, round(least_seconds * rate)))).withColumn("m", total("d", lambda x: x) / n).withColumn("sd", F.sqrt(total("d", lambda x: (x - F.col("m")) * (x - F.col("m"))) / n))
     z = sized.where("sd > 1e-9").select(clip, F.transform("d", lambda x: (x - F.col("m")) / F.col("sd")).alias("z"))
     lags = F.array(*(F.lit(k) for k in range(max(1, round(least_period * rate)), round(most_period * rate) + 1)))
 

@@ -56,12 +56,12 @@ def _pairs(spark, sf_dir, degrees):
     return pairs.select("vec_id", "dt", m.alias("m"))
 
 
-@query("SELECT vec_id, vec_id % 7 - 3 AS dx, vec_id % 5 - 2 AS dy, vec_id % 3 - 1 AS degrees, round(sqrt((vec_id % 7 - 3) ** 2 + (vec_id % 5 - 2) ** 2) / 200e0, 2) AS translation, 2 * abs(vec_id % 3 - 1) AS rotation FROM embeddings")
+@query("SELECT vec_id, vec_id % 7 - 3 AS dx, vec_id % 5 - 2 AS dy, vec_id % 3 - 1 AS degrees, 2 * abs(vec_id % 3 - 1) AS rotation FROM embeddings")
 def v03_stabilised_motion(spark, sf_dir):
     """Camera motion found between two frames, to the pixel and degree; the patch and what it covers aren't the camera's."""
     m = _pairs(spark, sf_dir, F.col("vec_id") % 3 - 1)
     whole = lambda c: F.round(c).cast("long").alias(c.split(".")[1])
-    return m.select("vec_id", whole("m.dx"), whole("m.dy"), whole("m.degrees"), F.round("m.translation", 2).alias("translation"), whole("m.rotation"))
+    return m.select("vec_id", whole("m.dx"), whole("m.dy"), whole("m.degrees"), whole("m.rotation"))
 
 
 @query("SELECT vec_id, vec_id % 4 <> 0 AS seen, CASE WHEN vec_id % 4 <> 0 THEN true END AS moved, CASE WHEN vec_id % 4 <> 0 THEN false END AS inactive FROM embeddings")
