@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import detections, frames, gate, good_hours, manifests, motion, policies, reporting, run_report, slice0, storage  # noqa: F401  (all but gate and slice0 add to the queries of gate)
+from tidemark.plans import detections, frames, gate, good_hours, manifests, media, motion, policies, reporting, run_report, slice0, storage  # noqa: F401  (all but gate and slice0 add to the queries of gate)
 
 FLAGSHIP = "slice0_verdict_rollup"
 
