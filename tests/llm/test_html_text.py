@@ -87,3 +87,59 @@ def test_random_pages_against_what_was_planted():
         cut = rnd.randint(0, len(around))
         html = f"<html><head><title>{title}</title><style>p{{}}</style></head><body>{''.join(around[:cut])}<article>{main}</article><div id='comments'><p>{sentence(40)}</p></div>{''.join(around[cut:])}<footer><p>{sentence(20)}</p></footer></body></html>"
         assert main_text(html) == "\n\n".join([title, *paragraphs])
+
+
+PARA = ("The body of the article has sentences like this one, with commas, and goes on for a while. " * 3).strip()
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<body><form id='aspnetForm' role='form'><input type=hidden><nav><a>Home</a></nav><div><h1>T</h1><p>{PARA}</p><p>{PARA}</p></div><label>Name</label></form></body>", ["T", PARA, PARA]),
+        (f"<body><form><article><h1>T</h1><p>{PARA}</p></article><div class=ad><p>{PARA}</p></div></form><form><p>Mail us.</p></form></body>", ["T", PARA]),
+        (f"<article><p>{PARA}</p><div class='ad-hoc-networks'><p>{PARA}</p></div><section id='widget-theory'><p>{PARA}</p><p>Short.</p></section><div class='tasting-menu'><p>{PARA}</p></div></article>", [PARA, PARA, PARA, "Short.", PARA]),
+        (f"<article><p>{PARA}</p><form><p>Write to us and win.</p><button>Send</button></form><div class='dinner-menu'><a>Soup</a><a>Fish</a></div><div class='cookie-consent-banner'><p>{PARA}</p></div><div class='my-ad-slot-300x250'><p>Buy.</p></div><p>{PARA}</p></article>", [PARA, PARA]),
+        (f"<article><p>{PARA}</p><div class='reader-comments-zone7'><p>{PARA}</p></div><div class='fb-comments-plugin'><p>{PARA}</p></div><div id='promo_box'><p>{PARA}</p></div></article>", [PARA]),
+        (f"<article><form><p>{PARA}</p><p>{PARA}</p></form><p>End.</p></article>", [PARA, PARA, "End."]),
+    ],
+)
+def test_forms_and_names_go_only_where_the_text_agrees(html, want):
+    assert main_text(html) == "\n\n".join(want)
+
+
+def test_ratios_smoothing_and_clusters_equal_a_plain_version():
+    import math
+
+    import numpy as np
+
+    from tidemark.llm.html_text import SHARE, SIGMA, content, parsed
+
+    rnd = random.Random(9)
+    for _ in range(40):
+        blocks = ["".join(rnd.choice(("<b>", "</b>", "<i>x</i>", "word ", "some more words ", "<a href=q>link</a> ")) for _ in range(rnd.randint(1, 30))) for _ in range(rnd.randint(1, 25))]
+        lines = parsed("<div>" + "".join(f"<p>{b}</p>" for b in blocks) + "</div>").lines
+        if not lines:
+            continue
+        ratios = [len(text) / tags for text, tags, _, _ in lines]
+        reach = int(3 * SIGMA)
+        weights = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-reach, reach + 1)]
+        smooth = [sum(w / sum(weights) * ratios[i + k] for k, w in zip(range(-reach, reach + 1), weights) if 0 <= i + k < len(ratios)) for i in range(len(ratios))]
+        threshold = SHARE * sum(smooth) / len(smooth)
+        good, own = content(np.array(ratios))
+        for i, r in enumerate(ratios):
+            if min(abs(r - threshold), abs(smooth[i] - threshold)) > 1e-9:
+                assert own[i] == (r >= threshold) and good[i] == (r >= threshold or smooth[i] >= threshold)
+
+
+def test_tags_of_a_line_are_counted():
+    from tidemark.llm.html_text import parsed
+
+    assert [(t, n) for t, n, _, _ in parsed("<div><p>one <b>two</b></p><p>three</p></div>").lines] == [("one two", 6), ("three", 3)]
+
+
+def test_time_is_near_the_length():
+    import time
+
+    began = time.time()
+    assert main_text("<span>" * 100_000 + "<p>a</p>" * 100_000).count("a") == 100_000
+    assert time.time() - began < 60

@@ -1,11 +1,12 @@
 """Operator 7: main text of web pages, from streaming parser events and text-to-tag ratios.
 
 Method. The standard library's parser streams a page's events; each block of text becomes a line, with its number of tags.
-Elements that never hold main text (menus, footers, sidebars, forms, scripts, styles; headers outside articles; hidden ones and some
+Elements that never hold main text (menus, footers, sidebars, scripts, styles; headers outside articles; hidden ones and some
 roles) are left out with all they hold. So are elements whose class or id is one of NAMES (adverts, reader comments, notices) or, but for
-paragraphs and headings, has a word of TELLING; not outermost article and main elements nor, on a page without these, elements with most of
-the page's text. Over the rest, the
-ratio of text to tags by line is smoothed with a Gaussian and a threshold clusters the lines into content and other.
+paragraphs and headings, consists of words of TELLING and of layout (PLAIN); not outermost article and main elements nor, on a page without
+these, elements with most of the page's text. A name with a word of TELLING and others (``tasting-menu``) says nothing by itself: such an
+element goes if most of its text is links or in lines under the threshold. A form goes unless it holds an article or main element or most of the text of
+its region. Over the rest, the ratio of text to tags by line is smoothed with a Gaussian and a threshold clusters the lines into content and other.
 
 The regions are all outermost article and main elements with content, or else the deepest element that holds nearly all of it.
 Within them, lines of a cluster and those beside one, however short, are returned, but for mostly linked lines under the
@@ -36,7 +37,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5"
     " h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-NEVER = frozenset("aside button canvas dialog footer form head iframe input label menu nav noscript object option script select style svg template textarea title".split())
+NEVER = frozenset("aside button canvas dialog footer head iframe input label menu nav noscript object option script select style svg template textarea title".split())
 CONTAINERS = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NAMES = frozenset(
@@ -48,6 +49,13 @@ TELLING = frozenset(
     "ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr masthead menu"
     " nav navbar navigation newsletter outbrain paywall popup promo promoted promotion sidebar sponsor sponsored subscribe subscription taboola toolbar widget".split()
 )
+#: Words of layout, which leave a name's meaning to its other words, and words that say it whatever else the name has.
+PLAIN = frozenset(
+    "area article articles bar block blog body bottom box btn button buttons card cards col column container content desktop details feed fixed form frame global grid group header heading"
+    " icon icons info inner item items label large layout left level line link links list main message mobile module notice outer overlay page panel part plugin policy post posts primary reader"
+    " readers right row secondary section share signup site slot small social stories sub sticky story text thread tile title top unit user users view wide wrap wrapper zone".split()
+)
+DECIDING = frozenset("comment comments disqus outbrain taboola".split())
 ROLES = frozenset("banner navigation complementary contentinfo search alert dialog menu form".split())
 
 SIGMA, SHARE, COVER, NEAR, LINKS = 1.5, 0.5, 0.85, 3, 3
@@ -56,12 +64,15 @@ SIGMA, SHARE, COVER, NEAR, LINKS = 1.5, 0.5, 0.85, 3, 3
 class _Element:
     """An open or closed element; what holds for all within it is inherited when it opens."""
 
-    __slots__ = ("tag", "left_out", "parent", "place", "depth", "outer", "in_header", "named", "linked", "heading")
+    __slots__ = ("tag", "left_out", "parent", "place", "depth", "outer", "in_header", "named", "linked", "heading", "block", "form", "holds")
 
-    def __init__(self, tag: str, parent: _Element | None, place: int, left_out: bool = False, named: bool = False):
+    def __init__(self, tag: str, parent: _Element | None, place: int, left_out: bool = False, named: str = ""):
         self.tag, self.parent, self.place, self.left_out, self.named = tag, parent, place, left_out, named
         self.depth = parent.depth + 1 if parent else 0
         self.outer = parent.outer if parent and parent.outer else self if tag in CONTAINERS else None  # the outermost article or main
+        self.block = self if tag in BLOCKS or not parent else parent.block  # the innermost block
+        self.form = self if tag == "form" else parent.form if parent else None
+        self.holds = False  # a form that an article or main element is in
         self.in_header = tag == "header" or bool(parent and parent.in_header)
         self.linked = tag == "a" or bool(parent and parent.linked)
         self.heading = tag in HEADINGS or bool(parent and parent.heading)
@@ -102,23 +113,39 @@ class Lines(HTMLParser):
         top = self.top
         in_article = top.outer is not None
         of_header = top.in_header and tag in BLOCKS and tag not in HEADINGS and tag not in ("div", "hgroup", "section")
-        left_out = top.left_out or tag in NEVER or tag == "header" and not in_article or of_header or self._hidden(attrs)
-        named = self._named(tag, attrs) and not (tag in CONTAINERS and not in_article)
+        left_out = top.left_out or tag in NEVER or tag == "header" and not in_article or of_header or self._hidden(tag, attrs)
+        named = "" if tag in CONTAINERS and not in_article else "form" if tag == "form" else self._named(tag, attrs)
+        if tag in CONTAINERS:
+            form = top.form
+            while form is not None and not form.holds:
+                form.holds, form = True, form.parent.form
         self.top = _Element(tag, top, len(self.elements), left_out, named)
         self.elements.append(self.top)
         self.open[tag] = self.open.get(tag, 0) + 1
 
     @staticmethod
-    def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
-        return any(name == "hidden" and not value or value and (name == "role" and value.lower() in ROLES or name == "aria-hidden" and value.lower() == "true") for name, value in attrs)
+    def _hidden(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        own = lambda role: role == "form" and tag == "form"
+        return any(name == "hidden" and not value or value and (name == "role" and value.lower() in ROLES and not own(value.lower()) or name == "aria-hidden" and value.lower() == "true") for name, value in attrs)
 
     @staticmethod
-    def _named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    def _named(tag: str, attrs: list[tuple[str, str | None]]) -> str:
+        """Whether a class or id says that the element isn't main text: "sure", "maybe" or ""."""
         if tag in ("html", "body"):
-            return False
+            return ""
         names = [x for name, value in attrs if value and name in ("class", "id") for x in value.lower().split()]
-        plain = tag == "p" or tag in HEADINGS
-        return any(x in NAMES or not plain and not TELLING.isdisjoint(re.split(r"[^a-z0-9]+", x)) for x in names)
+        if any(x in NAMES for x in names):
+            return "sure"
+        if tag == "p" or tag in HEADINGS:
+            return ""
+        said = ""
+        for name in names:
+            words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+            if not TELLING.isdisjoint(words):
+                if not DECIDING.isdisjoint(words) or all(w in TELLING or w in NAMES or w in PLAIN or any(c.isdigit() for c in w) for w in words):
+                    return "sure"
+                said = "maybe"
+        return said
 
     def _pop(self, upto: _Element) -> None:
         """Closes all that is open within ``upto``."""
@@ -129,16 +156,9 @@ class Lines(HTMLParser):
     def _close_open(self, tag: str) -> None:
         """A block ends an open paragraph; an item or cell ends the one before it."""
         ends = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th")}.get(tag, ())
-        at, last = self.top, None
-        while at is not self.root:
-            if at.tag == "p" or at.tag in ends:
-                last = at
-                break
-            if at.tag in BLOCKS:
-                break
-            at = at.parent
-        if last is not None:
-            self._pop(last.parent)
+        block = self.top.block
+        if block is not self.root and (block.tag == "p" or block.tag in ends):
+            self._pop(block.parent)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -194,12 +214,26 @@ def _within(page: Lines, which: list[bool]) -> list[bool]:
 
 
 def _without_named(page: Lines) -> list:
-    """Lines but those in elements left out by name."""
+    """Lines but those in elements left out by name, and in forms."""
     lines = page.lines
-    named = [e.named for e in page.elements]
-    if not any(x[2].outer for x in lines):
-        mass = _masses(page, lines, [True] * len(lines))
-        named = [n and 2 * m <= mass[0] for n, m in zip(named, mass)]
+    doubtful = {e.named for e in page.elements} - {""}
+    if not lines or not doubtful:
+        return lines
+    mass = _masses(page, lines, [True] * len(lines))
+    told = mass
+    if "maybe" in doubtful:
+        _, own = content(np.array([len(x[0]) for x in lines]) / np.array([x[1] for x in lines]))
+        told = _masses(page, lines, [bool(o) and 2 * x[3] < len(x[0]) for o, x in zip(own, lines)])
+    articles = any(x[2].outer for x in lines)
+    named = []
+    for e in page.elements:
+        if e.named == "form":
+            region = mass[e.outer.place] if e.outer else mass[0]
+            named.append(not e.holds and 2 * mass[e.place] <= region)
+        elif e.named == "maybe":
+            named.append(2 * told[e.place] < mass[e.place])
+        else:
+            named.append(e.named == "sure" and (articles or 2 * mass[e.place] <= mass[0]))
     out = _within(page, named)
     return [x for x in lines if not out[x[2].place]]
 
