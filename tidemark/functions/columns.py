@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -118,6 +120,74 @@ def public_ipv4(address: Column) -> Column:
     return F.when(n.isNotNull(), ~private)
 
 
+#: IPv6 networks that aren't public, and the parts of them that are (first address in full groups, bits of the network); single IPv4
+#: addresses that are public within a network that isn't.
+PRIVATE_NETWORKS_6 = (
+    ("0:0:0:0:0:0:0:0", 128), ("0:0:0:0:0:0:0:1", 128), ("64:ff9b:1:0:0:0:0:0", 48), ("100:0:0:0:0:0:0:0", 64), ("2001:0:0:0:0:0:0:0", 23), ("2001:db8:0:0:0:0:0:0", 32),
+    ("2002:0:0:0:0:0:0:0", 16), ("fc00:0:0:0:0:0:0:0", 7), ("fe80:0:0:0:0:0:0:0", 10),
+)
+PUBLIC_WITHIN_6 = (
+    ("2001:1:0:0:0:0:0:1", 128), ("2001:1:0:0:0:0:0:2", 128), ("2001:3:0:0:0:0:0:0", 32), ("2001:4:112:0:0:0:0:0", 48), ("2001:20:0:0:0:0:0:0", 28), ("2001:30:0:0:0:0:0:0", 28),
+)
+PUBLIC_WITHIN_4 = ("192.0.0.9", "192.0.0.10")
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+_DOTTED = r"^(.*:)(\d+\.\d+\.\d+\.\d+)\z"
+
+
+def ipv6_groups(address: Column) -> Column:
+    """The eight groups of an address as numbers, with one run of zeros left out and the last two as dotted numbers or not; null for anything else."""
+    none = F.array().cast("array<string>")
+    hex_ = lambda v: F.lower(F.hex(v.cast("long")))
+    start, tail = F.regexp_extract(address, _DOTTED, 1), ipv4_number(F.regexp_extract(address, _DOTTED, 2))
+    plain = F.when(start != "", _let(tail, lambda n: F.concat(start, hex_(F.floor(n / 65536)), F.lit(":"), hex_(n % 65536)))).otherwise(address)
+    cut = lambda t: F.when(t == "", none).otherwise(F.split(t, ":"))
+
+    def parts(text: Column) -> Column:
+        runs = F.size(F.split(text, "::")) - 1
+        return F.struct(cut(F.substring_index(text, "::", 1)).alias("left"), F.when(runs == 1, cut(F.substring_index(text, "::", -1))).otherwise(none).alias("right"), F.when(~text.contains(":::"), runs).alias("runs"))
+
+    def filled(p: Column) -> Column:
+        missing = F.lit(8) - F.size(p["left"]) - F.size(p["right"])
+        return F.when((p["runs"] == 1) & (missing > 0), F.concat(p["left"], F.array_repeat(F.lit("0"), F.greatest(missing, F.lit(0))), p["right"])).when((p["runs"] == 0) & (missing == 0), p["left"])
+
+    sound = lambda g: F.coalesce(F.forall(g, lambda x: x.rlike(r"^[0-9A-Fa-f]{1,4}\z")), F.lit(False))
+    return _let(_let(_let(plain, parts), filled), lambda g: F.when(sound(g), F.transform(g, lambda x: F.conv(x, 16, 10).cast("long"))))
+
+
+def _halves(groups: Column) -> Column:
+    """An address's upper and lower 64 bits."""
+    half = lambda first: F.aggregate(F.slice(groups, first, 4), F.lit(0).cast("long"), lambda acc, g: F.call_function("shiftleft", acc, F.lit(16)).bitwiseOR(g))
+    return F.struct(half(1).alias("upper"), half(5).alias("lower"))
+
+
+def _in_network_6(halves: Column, first: str, bits: int) -> Column:
+    number, mask = sum(int(g, 16) << (112 - 16 * k) for k, g in enumerate(first.split(":"))), ((1 << bits) - 1) << (128 - bits)
+    signed = lambda v: F.lit((v + (1 << 63)) % (1 << 64) - (1 << 63)).cast("long")
+    same = lambda c, v, m: c.bitwiseAND(signed(m)) == signed(v & m)
+    low = (1 << 64) - 1
+    return same(halves["upper"], number >> 64, mask >> 64) & same(halves["lower"], number & low, mask & low)
+
+
+def public_address(address: Column) -> Column:
+    """Whether an IPv4 or IPv6 address is a public one, an IPv4 address that is mapped into IPv6 by itself; null for anything else."""
+    four = lambda a: public_ipv4(a) | a.isin(*PUBLIC_WITHIN_4)
+    dotted = lambda n: F.concat_ws(".", *(F.floor(n / (1 << s)) % 256 for s in (24, 16, 8, 0)))
+
+    def six(h: Column) -> Column:
+        inside = lambda networks: functools.reduce(Column.__or__, (_in_network_6(h, n, b) for n, b in networks))
+        mapped = _in_network_6(h, "0:0:0:0:0:ffff:0:0", 96)
+        own = ~inside(PRIVATE_NETWORKS_6) | inside(PUBLIC_WITHIN_6)
+        return F.when(mapped, _let(dotted(h["lower"].bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))), four)).otherwise(own)
+
+    return F.coalesce(four(address), _let(ipv6_groups(address), lambda g: F.when(g.isNotNull(), _let(_halves(g), six))))
+
+
 def evidence_name(index: Column, reason: Column, t: Column) -> Column:
     """The file name of a piece of evidence: its place, its reason with safe characters only, its time."""
     return F.format_string("%02d-%s-%.3f.jpg", index, F.regexp_replace(reason, r"[^\p{L}\p{N}_-]", "-"), t)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +82,28 @@ def canonical_hash(fields: dict[str, Column]) -> Column:
     return F.sha2(F.concat(F.lit("{"), F.concat_ws(",", *pairs), F.lit("}")), 256)
 
 
+def canonical_json(text: Column) -> Column:
+    """A JSON document at any depth as compact JSON with the keys of every object sorted by code point and beyond ASCII escaped; of repeated keys the last
+    counts. Null for null and for what isn't JSON."""
+
+    @F.arrow_udf("string")
+    def run(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            try:
+                out.append(None if t is None else json.dumps(json.loads(t), sort_keys=True, separators=(",", ":")))
+            except (ValueError, RecursionError):
+                out.append(None)
+        return pa.array(out, pa.string())
+
+    return run(text)
+
+
+def document_hash(text: Column) -> Column:
+    """SHA-256 of a document's canonical form: equal for documents that differ in the order of keys and in white space only."""
+    return F.sha2(canonical_json(text), 256)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """One JSON document at ``path``, which must not exist; the commit of the write makes it visible as a whole."""
     report.coalesce(1).write.mode("errorifexists").json(path)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import evidence, images
+from tidemark.functions import columns as C
+from tidemark.operators import evidence, images, report
 from tidemark.plans.gate import query
 from tidemark.plans.reporting import _CAMERA, _camera
 from tidemark.plans.tables import read
@@ -107,3 +108,19 @@ def s09_results_read_back(spark, sf_dir):
     text = F.when(k % 7 == 0, F.substring(text, F.lit(1), F.length(text) - 5)).when(k % 7 != 5, text)
     out = parsed_results(read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("string").alias("item_id"), F.lit("").alias("key"), text.alias("text")))
     return out.select(F.col("item_id").cast("long").alias("o_orderkey"), "error", F.col("result.verdict").alias("verdict"), F.round("result.duration_seconds", 2).alias("duration_seconds"))
+
+
+@query("""SELECT o_orderkey, sha256('{"a":[' || o_custkey || ',{"x":null,"y":"' || o_orderstatus || '"}],"b":{"deep":{"k":' || o_orderkey || ',"z":true},"empty":{}}}') AS digest FROM orders""")
+def a27_nested_document_hash(spark, sf_dir):
+    """Of documents whose keys are in another order at every depth."""
+    text = F.format_string('{ "b": {"empty": {}, "deep": {"z": true, "k": %d}},\n"a": [%d, {"y": "%s", "x": null}]}', "o_orderkey", "o_custkey", "o_orderstatus")
+    return read(spark, sf_dir, "orders").select("o_orderkey", report.document_hash(text).alias("digest"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 10 WHEN 0 THEN false WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN false WHEN 4 THEN true WHEN 5 THEN false WHEN 6 THEN false WHEN 7 THEN true WHEN 8 THEN true END AS public FROM customer""")
+def f05_public_addresses(spark, sf_dir):
+    """Addresses of both versions, of networks that are public or not; of ten the last isn't an address."""
+    k = F.col("c_custkey")
+    forms = ("2001:db8::%x", "2606:4700::%x", "fe80::%x:1", "::ffff:10.0.%d.1", "::ffff:8.8.%d.1", "fd00:1:2:3:4:5:6:%x", "2002:%x::", "2001:4:112::%x", "9.9.%d.9", "1:2:3:%x")
+    address = F.get(F.array(*(F.format_string(f, k % 250) for f in forms)), (k % 10).cast("int"))
+    return read(spark, sf_dir, "customer").select("c_custkey", C.public_address(address).alias("public"))

@@ -6,10 +6,11 @@ A manifest is one document; many of them are a table of texts. Nothing is inferr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import OPERATORS, normalised_etag, normalised_key, safe_prefix, valid_id, valid_key
+from tidemark.operators.rules import rule_array
 
 #: Every setting by section, its type, its default and what must hold of it.
 SETTINGS = {
@@ -24,7 +25,8 @@ SETTINGS = {
         ("score_threshold", "double", "0.3", "{x} BETWEEN 0 AND 1"), ("nms_threshold", "double", "0.45", "{x} BETWEEN 0 AND 1"),
         ("tile_fallback", "boolean", "true", "true"), ("tile_overlap", "double", "0.15", "{x} >= 0 AND {x} < 0.5"),
         ("max_batch_size", "int", "32", "{x} BETWEEN 1 AND 128"), ("optimal_batch_size", "int", "16", "{x} BETWEEN 1 AND 128"),
-        ("batch_wait_ms", "double", "4", "{x} BETWEEN 0 AND 100"),
+        ("batch_wait_ms", "double", "4", "{x} BETWEEN 0 AND 100"), ("model_path", "string", "models/rtmdet-nano-hand.onnx", "true"),
+        ("cache_dir", "string", "models/tensorrt-cache", "true"), ("input_name", "string", "input", "true"),
     ),
     "camera": (
         ("black_mean_threshold", "double", "8", "{x} BETWEEN 0 AND 255"), ("entropy_threshold", "double", "1", "{x} BETWEEN 0 AND 8"),
@@ -60,6 +62,7 @@ SIGNALS = (
 )
 VERSION = "qc-job-v1"
 ITEM_KEYS = ("item_id", "key", "size_bytes", "etag", "duration_seconds", "metadata")
+RULE_KEYS = ("id", "signal", "operator", "threshold", "severity")
 JOB_KEYS = ("schema_version", "job_id", "source", "target", "rules", *SETTINGS)
 
 _ITEM = "struct<item_id:string,key:string,size_bytes:bigint,etag:string,duration_seconds:double,metadata:map<string,string>>"
@@ -87,13 +90,14 @@ def unknown_keys(text: Column) -> Column:
     below = lambda section, names: F.transform(names, lambda k: F.concat(F.lit(section), F.lit("."), k))
     found = [F.array_except(F.coalesce(F.json_object_keys(text), none), known(JOB_KEYS))]
     for section, fields in SETTINGS.items():
-        names = [f[0] for f in fields] + ["model_path", "cache_dir", "input_name"] * (section == "detector")
-        found.append(below(section, F.array_except(keys(f"$.{section}"), known(names))))
+        found.append(below(section, F.array_except(keys(f"$.{section}"), known([f[0] for f in fields]))))
     for section, names in (("source", ("bucket", "items")), ("target", ("bucket", "prefix"))):
         found.append(below(section, F.array_except(keys(f"$.{section}"), known(names))))
-    items = F.from_json(F.get_json_object(text, "$.source.items"), "array<string>")
-    in_items = F.flatten(F.transform(F.coalesce(items, none), lambda x: F.array_except(F.coalesce(F.json_object_keys(x), none), known(ITEM_KEYS))))
-    return F.array_sort(F.concat(*found, below("item", F.array_distinct(in_items))))
+    for one, path, names in (("item", "$.source.items", ITEM_KEYS), ("rule", "$.rules", RULE_KEYS)):
+        rows = F.coalesce(F.from_json(F.get_json_object(text, path), "array<string>"), none)
+        odd = F.flatten(F.transform(rows, lambda x: F.array_except(F.coalesce(F.json_object_keys(x), none), known(names))))  # noqa: B023
+        found.append(below(one, F.array_distinct(odd)))
+    return F.array_sort(F.concat(*found))
 
 
 def settings(jobs: DataFrame) -> DataFrame:
@@ -124,23 +128,30 @@ def item_checks(rows: DataFrame, *job: str) -> DataFrame:
         "etag_ok": of(F.length("etag") >= 1), "duration_ok": F.coalesce(F.col("duration_seconds") > 0, F.lit(True)),
     })
     for name, c in (("id_unique", "item_id"), ("key_unique", "key")):
-        keys = [*job, c]
-        often = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").select(*(F.col(k).alias(f"_{k}") for k in keys), F.lit(True).alias("_often"))
-        on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        checked = checked.join(often, on, "left").withColumn(name, F.col("_often").isNull()).drop("_often", *(f"_{k}" for k in keys))
+        checked = checked.withColumn(name, F.count("*").over(Window.partitionBy(*job, c)) == 1)
     names = ("id_ok", "key_ok", "size_ok", "etag_ok", "duration_ok", "id_unique", "key_unique")
     return checked.withColumn("valid", F.forall(F.array(*names), lambda x: x))
 
 
+def effective_rules(jobs: DataFrame, *keep: str) -> DataFrame:
+    """jobs(job, ...) to the rules that hold, one row each: ``keep``, ord, rule_id, signal, operator, threshold, is_bool, severity. A job without rules
+    has the default ones, one with an empty list has none. A threshold that is true or false, also as text, is a boolean."""
+    flag = lambda r: F.lower(r["threshold"]).isin("true", "false")
+    number = lambda r: F.when(flag(r), (F.lower(r["threshold"]) == "true").cast("double")).otherwise(r["threshold"].try_cast("double"))
+    own = F.transform("job.rules", lambda r, i: F.struct(i.alias("ord"), r["id"].alias("rule_id"), r["signal"].alias("signal"), r["operator"].alias("operator"), number(r).alias("threshold"), flag(r).alias("is_bool"), r["severity"].alias("severity")))
+    return jobs.select(*keep, F.explode(F.when(F.col("job.rules").isNull(), rule_array()).otherwise(own)).alias("r")).select(*keep, "r.*")
+
+
 def job_checks(jobs: DataFrame) -> DataFrame:
     """jobs(job, unknown_keys, ...) of ``settings`` with one boolean for each constraint on the document, and ``prefix`` normalised."""
     rules = F.coalesce(F.col("job.rules"), F.array().cast(f"array<{_RULE}>"))
     is_bool = lambda r: r["threshold"].isin("true", "false")
     rule_ok = lambda r: valid_id(r["id"]) & r["signal"].isin(*SIGNALS) & r["operator"].isin(*OPERATORS) & r["severity"].isin("reject", "warn") & (~is_bool(r) | (r["operator"] == "=="))
+    filled = lambda c: F.coalesce(F.length(c) >= 1, F.lit(False))
     prefix, ok = safe_prefix(F.coalesce(F.col("job.target.prefix"), F.lit("qc/")))
     return jobs.withColumns({
         "version_ok": F.coalesce(F.col("job.schema_version"), F.lit(VERSION)) == VERSION, "job_id_ok": F.coalesce(valid_id(F.col("job.job_id")), F.lit(False)),
-        "items_ok": F.coalesce(F.size("job.source.items") > 0, F.lit(False)), "prefix": prefix, "prefix_ok": ok,
+        "items_ok": F.coalesce(F.size("job.source.items") > 0, F.lit(False)), "buckets_ok": filled("job.source.bucket") & filled("job.target.bucket"), "prefix": prefix, "prefix_ok": ok,
         "rules_ok": F.coalesce(F.forall(rules, rule_ok), F.lit(False)) & (F.size(F.array_distinct(F.transform(rules, lambda r: r["id"]))) == F.size(rules)),
         "settings_ok": F.size("invalid_settings") == 0, "keys_ok": F.size("unknown_keys") == 0,
     })
