@@ -146,3 +146,20 @@ def test_letterbox_round_trip(spark, rows, columns):
     back = got.where("i is not null").select("i.planes", boxes.unscaled(box, F.col("i.ratio"), F.col("w"), F.col("h")).alias("b")).collect()
     assert len(back) == 1 and np.array_equal(np.frombuffer(back[0].planes, "<f4").reshape(planes.shape), planes)
     assert np.allclose([back[0].b[n] for n in ("x1", "y1", "x2", "y2")], [0.2 * columns, 0.1 * rows, 0.9 * columns, rows])
+
+
+def test_measures_of_bytes_equal_those_of_arrays(spark):
+    from tidemark.operators import pixels
+
+    rng = np.random.default_rng(2)
+    shapes = [(1, 1), (1, 7), (6, 1), (2, 2), (9, 13), (20, 31)]
+    grids = [(rng.integers(0, 256, h * w) // (1 + 80 * (k % 2))).tolist() for k, (h, w) in enumerate(shapes)]
+    rows = [(k, w, g, bytearray(g)) for k, (g, (_, w)) in enumerate(zip(grids, shapes))]
+    df = spark.createDataFrame(rows, "k int, w int, g array<int>, b binary")
+    box = lambda *v: F.struct(*(F.lit(x).alias(n) for x, n in zip(v, ("x1", "y1", "x2", "y2"))))
+    held = F.array(box(1, 0, 5, 3), box(0, 2, 2, 900), box(3, 3, 2, 2))
+    got = df.select(pixels.frame_quality(F.col("g"), F.col("w")).alias("a"), pixels.measured_quality(F.col("b"), F.col("w")).alias("b"), pixels.region_activity(F.col("g"), F.col("w"), held, 90).alias("c"), pixels.measured_activity(F.col("b"), F.col("w"), held, 90).alias("d"))
+    for r in got.collect():
+        assert np.allclose([float(v) for v in r.a], [float(v) for v in r.b]) and np.allclose(list(r.c), list(r.d))
+    odd = spark.createDataFrame([(bytearray(b"12345"), 2), (None, 2), (bytearray(b""), 1)], "b binary, w int")
+    assert all(r.a is None for r in odd.select(pixels.measured_quality(F.col("b"), F.col("w")).alias("a")).collect())

@@ -1,6 +1,7 @@
 """Measures of grey frames: an array of whole numbers 0-255, row by row, and the frame's width.
 
-All are expressions on a frame's own row, of any size: nothing is exploded or shuffled. ``frame_quality`` has the whole vector.
+All work on a frame's own row, of any size: nothing is exploded or shuffled. ``frame_quality`` and ``region_activity`` are expressions on arrays, for
+small grids; ``measured_quality`` and ``measured_activity`` are the same on bytes, in Arrow batches, for frames of full size.
 """
 
 from __future__ import annotations
@@ -105,6 +106,65 @@ def idle_state(has_hands: Column, activity: Column, hand: float = 0.01, workspac
     return F.when(has_hands, (activity["hand"] < hand) & (activity["workspace"] < workspace))
 
 
+_QUALITY = "struct<mean_luminance double, entropy double, laplacian_variance double, clipped_fraction double, blackish boolean, blurry boolean, exposure_bad boolean>"
+
+
+def quality_of(gray: np.ndarray, black_mean: float, least_entropy: float, blur: float, clipped: float, low: int, high: int) -> tuple:
+    """The values of ``frame_quality`` of one frame."""
+    mean = float(gray.mean())
+    share = np.bincount(gray.ravel(), minlength=256) / gray.size
+    share = share[share > 0]
+    entropy = float(-(share * np.log2(share)).sum())
+    v = gray.astype(np.int32)
+    mirrored = lambda n: (np.abs(np.arange(-1, n - 1)), (n - 1) - np.abs(n - 1 - np.arange(1, n + 1))) if n > 1 else (np.zeros(1, int),) * 2
+    (up, down), (left, right) = mirrored(v.shape[0]), mirrored(v.shape[1])
+    sharp = float((v[up] + v[down] + v[:, left] + v[:, right] - 4 * v).var())
+    cut = float(((gray <= low) | (gray >= high)).mean())
+    return mean, entropy, sharp, cut, mean <= black_mean or entropy <= least_entropy, sharp < blur, cut >= clipped
+
+
+def _gray(raw: pa.Scalar, width: int | None) -> np.ndarray | None:
+    if not raw.is_valid or not width or not len(data := raw.as_buffer()) or len(data) % width:
+        return None
+    return np.frombuffer(data, np.uint8).reshape(-1, width)
+
+
+def measured_quality(gray: Column, width: Column, black_mean: float = 8.0, least_entropy: float = 1.0, blur: float = 80.0, clipped: float = 0.6, low: int = 5, high: int = 250) -> Column:
+    """``frame_quality`` of whole frames, one byte a pixel, worked out on arrays in Arrow batches; null where a frame isn't whole."""
+    kinds = [pa.float64()] * 4 + [pa.bool_()] * 3
+    names = [x.split()[0] for x in _QUALITY[7:-1].split(", ")]
+
+    @F.arrow_udf(_QUALITY)
+    def run(frames: pa.Array, widths: pa.Array) -> pa.Array:
+        out = []
+        for raw, w in zip(frames, widths.to_pylist()):
+            frame = _gray(raw, w)
+            out.append(None if frame is None else dict(zip(names, quality_of(frame, black_mean, least_entropy, blur, clipped, low, high))))
+        return pa.array(out, pa.struct(list(zip(names, kinds))))
+
+    return run(gray, width)
+
+
+def measured_activity(residual: Column, width: Column, boxes: Column, delta: int = 12) -> Column:
+    """``region_activity`` of whole residual frames, one byte a pixel: struct(hand, workspace); null where a frame isn't whole."""
+
+    @F.arrow_udf("struct<hand double, workspace double>")
+    def run(frames: pa.Array, widths: pa.Array, held: pa.Array) -> pa.Array:
+        out = []
+        for raw, w, rows in zip(frames, widths.to_pylist(), held.to_pylist()):
+            frame = _gray(raw, w)
+            if frame is not None:
+                changed, mask = frame >= delta, np.zeros(frame.shape, bool)
+                for b in rows or []:
+                    mask[max(0, b["y1"]) : max(0, b["y2"]), max(0, b["x1"]) : max(0, b["x2"])] = True
+                inner = changed[int(frame.shape[0] * 0.1) :, int(w * 0.1) : int(w * 0.9)]
+                frame = {"hand": float(changed[mask].mean()) if mask.any() else 0.0, "workspace": float(inner.mean()) if inner.size else 0.0}
+            out.append(frame)
+        return pa.array(out, pa.struct([("hand", pa.float64()), ("workspace", pa.float64())]))
+
+    return run(residual, width, boxes)
+
+
 def gray_small(height: Column, width: Column, bgr: Column, most: int = 360):
     """A column: the frame (rows of blue, green, red bytes) as a grey array of at most ``most`` columns, by means over areas: struct(width, height, gray).
 

@@ -65,3 +65,33 @@ def s04_probed_clips(spark, sf_dir):
     length = F.length(F.format_string("YUV4MPEG2 W%d H%d F30000:1001 Ip C420\n", w, h)) + k % 9 * size + 3
     files = read(spark, sf_dir, "part").select(k.cast("string").alias("path"), length.alias("length"), head.alias("head"))
     return probed(files).select(F.col("path").cast("long").alias("p_partkey"), "width", "height", F.round("fps", 6).alias("fps"), "frame_count", F.round("duration_seconds", 6).alias("duration_seconds"), "valid")
+
+
+#: Frames of 360 by 16 pixels: a number of an embedding is a field of 45 by 2.
+_WIDE = "WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: least(255, greatest(0, floor((x::DOUBLE + 55e-2) * 231)))::INT) AS g FROM embeddings), p AS (SELECT vec_id, y, x, g, g[(y // 2) * 8 + x // 45 + 1] AS c FROM v, unnest(range(0, 16)) AS a(y), unnest(range(0, 360)) AS b(x))"
+
+
+def _wide(spark, sf_dir):
+    digits = F.transform("g", lambda v: F.lpad(F.hex(v), 2, "0"))
+    row = lambda y: F.concat(*(F.repeat(F.get("d", 8 * y + x), 45) for x in range(8)))
+    grid = _grey(spark, sf_dir).select("vec_id", digits.alias("d"))
+    return grid.select("vec_id", F.unhex(F.concat(*(F.repeat(row(y), 2) for y in range(8)))).alias("frame"))
+
+
+@query(_WIDE + """, l AS (SELECT vec_id, c, g[(CASE WHEN y = 0 THEN 1 ELSE y - 1 END // 2) * 8 + x // 45 + 1] + g[(CASE WHEN y = 15 THEN 14 ELSE y + 1 END // 2) * 8 + x // 45 + 1] + g[(y // 2) * 8 + CASE WHEN x = 0 THEN 1 ELSE x - 1 END // 45 + 1] + g[(y // 2) * 8 + CASE WHEN x = 359 THEN 358 ELSE x + 1 END // 45 + 1] - 4 * c AS l FROM p),
+h AS (SELECT vec_id, c, count(*) AS n FROM p GROUP BY 1, 2), e AS (SELECT vec_id, -sum(n / 5760e0 * log2(n / 5760e0)) AS entropy FROM h GROUP BY 1),
+m AS (SELECT vec_id, avg(c) AS mean, var_pop(l) AS lap, avg(CASE WHEN c <= 5 OR c >= 250 THEN 1e0 ELSE 0e0 END) AS clipped FROM l GROUP BY 1)
+SELECT vec_id, round(mean, 6) AS mean_luminance, round(entropy, 6) AS entropy, round(sqrt(lap), 6) AS laplacian_deviation, round(clipped, 6) AS clipped_fraction, mean <= 130 OR entropy <= 1 AS blackish, lap < 3000 AS blurry, clipped >= 1e-2 AS exposure_bad FROM m JOIN e USING (vec_id)""")
+def v02_a21_a22_a23_a24_frame_quality_360(spark, sf_dir):
+    q = pixels.measured_quality(F.col("frame"), F.lit(360), black_mean=130.0, blur=3000.0, clipped=0.01)
+    out = _wide(spark, sf_dir).select("vec_id", q.alias("q")).select("vec_id", "q.*").withColumn("laplacian_deviation", F.sqrt("laplacian_variance"))
+    return out.drop("laplacian_variance").withColumns({c: F.round(c, 6) for c in ("mean_luminance", "entropy", "laplacian_deviation", "clipped_fraction")})
+
+
+@query(_WIDE + """, k AS (SELECT vec_id, c >= 140 AS on_, (x >= vec_id % 100 AND x < vec_id % 100 + 77 AND y >= 3 AND y < 9) OR (x >= 0 AND x < vec_id % 3 AND y >= 11 AND y < 16) AS hand, y >= 1 AND x >= 36 AND x < 324 AS inner_ FROM p)
+SELECT vec_id, round(coalesce(avg(CASE WHEN on_ THEN 1e0 ELSE 0e0 END) FILTER (WHERE hand), 0e0), 6) AS hand, round(avg(CASE WHEN on_ THEN 1e0 ELSE 0e0 END) FILTER (WHERE inner_), 6) AS workspace FROM k GROUP BY vec_id""")
+def a25_region_activity_360(spark, sf_dir):
+    k = F.col("vec_id")
+    box = lambda *sides: F.struct(*((F.lit(v) if isinstance(v, int) else v).cast("int").alias(n) for v, n in zip(sides, ("x1", "y1", "x2", "y2"))))
+    a = pixels.measured_activity(F.col("frame"), F.lit(360), F.array(box(k % 100, 3, k % 100 + 77, 9), box(0, 11, k % 3, 16)), 140)
+    return _wide(spark, sf_dir).select("vec_id", a.alias("a")).select("vec_id", F.round("a.hand", 6).alias("hand"), F.round("a.workspace", 6).alias("workspace"))
