@@ -1,7 +1,7 @@
 """A training-corpus pipeline over ``documents``: quality, near duplicates, benchmark passages, secrets, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; what it returns is written as Parquet in the
-shared folder and read again. All stages but the last return the columns of ``documents``.
+shared folder and read again, and what it read is deleted then, so that two stages' outputs at most are there. All stages but the last return the columns of ``documents``.
 
 The pipeline is an application: it sets how many rows go to a Python worker at once (BATCH_ROWS), which the operators leave alone.
 
@@ -73,5 +73,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        before, docs = docs, scratch.keep(stage(spark, docs, sf_dir), name)
+        scratch.drop(before)  # the table of documents isn't the scratch's and stays
     return docs
