@@ -5,6 +5,8 @@ Nothing here shuffles. A frame's boxes are one array, as detectors give a bounde
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,11 +87,10 @@ def anchors(width: int, height: int, strides: tuple[int, ...] = (8, 16, 32)) ->
 
 def decoded(rows: Column, grid: list[tuple[int, int, int]], ratio: Column) -> Column:
     """A detector's encoded output rows (cx, cy, w, h, objectness, class scores ...) of each grid cell to boxes on the frame, with the best class and its
-    score; the first of equal classes. The grid is one constant array, so that no row is joined or shuffled."""
-    cells = F.split(F.lit(",".join(f"{x};{y};{s}" for x, y, s in grid)), ",")
+    score; the first of equal classes. The grid is one constant array of numbers, which the optimiser works out once, so that no row is joined or shuffled."""
+    cells = F.from_json(F.lit(json.dumps(grid)), "array<array<double>>")
 
-    def box(p: Column, cell: Column) -> Column:
-        at = F.transform(F.split(cell, ";"), lambda v: v.cast("double"))
+    def box(p: Column, at: Column) -> Column:
         cx, cy = (p[0] + at[0]) * at[2], (p[1] + at[1]) * at[2]
         w, h = F.exp(p[2]) * at[2], F.exp(p[3]) * at[2]
         scores = F.transform(F.slice(p, F.lit(6), F.size(p) - 5), lambda c: c * p[4])
