@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import OPERATORS, normalised_etag, normalised_key, safe_prefix, valid_id, valid_key
 from tidemark.operators.rules import rule_array
 
-#: Every setting by section, its type, its default and what must hold of it.
+#: Every setting by section, its type, its default (paths have none) and what must hold of it.
 SETTINGS = {
     "sampling": (
         ("hand_fps", "double", "2", "{x} > 0 AND {x} <= 30"), ("camera_fps", "double", "5", "{x} > 0 AND {x} <= 30"),
@@ -25,8 +25,8 @@ SETTINGS = {
         ("score_threshold", "double", "0.3", "{x} BETWEEN 0 AND 1"), ("nms_threshold", "double", "0.45", "{x} BETWEEN 0 AND 1"),
         ("tile_fallback", "boolean", "true", "true"), ("tile_overlap", "double", "0.15", "{x} >= 0 AND {x} < 0.5"),
         ("max_batch_size", "int", "32", "{x} BETWEEN 1 AND 128"), ("optimal_batch_size", "int", "16", "{x} BETWEEN 1 AND 128"),
-        ("batch_wait_ms", "double", "4", "{x} BETWEEN 0 AND 100"), ("model_path", "string", "models/rtmdet-nano-hand.onnx", "true"),
-        ("cache_dir", "string", "models/tensorrt-cache", "true"), ("input_name", "string", "input", "true"),
+        ("batch_wait_ms", "double", "4", "{x} BETWEEN 0 AND 100"), ("model_path", "string", None, "true"),
+        ("cache_dir", "string", None, "true"), ("input_name", "string", "input", "true"),
     ),
     "camera": (
         ("black_mean_threshold", "double", "8", "{x} BETWEEN 0 AND 255"), ("entropy_threshold", "double", "1", "{x} BETWEEN 0 AND 8"),
