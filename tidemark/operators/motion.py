@@ -299,11 +299,13 @@ def paired(frames: DataFrame, clip: str, period: float) -> DataFrame:
     """frames(clip, sample, t, width, gray, ...), samples numbered from 0, with the frame before: previous_gray, previous_width and ``dt``, the time
     between both, ``period`` at least. First frames have none.
 
-    A clip is cut into pieces of PIECE samples, whose last frame also begins the next, so a long clip is the work of many tasks.
+    A clip is cut into pieces of PIECE samples, whose last frame also begins the next, so a long clip is the work of many tasks. There are as many
+    partitions as the session shuffles into: a pair's work is far more than its bytes say, by which partitions would be joined.
     """
     piece = F.floor(F.col("sample") / PIECE)
     ends = (F.col("sample") + 1) % PIECE == 0
     dealt = frames.withColumn("_piece", F.explode(F.when(ends, F.array(piece, piece + 1)).otherwise(F.array(piece))))
+    dealt = dealt.repartition(int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions")), clip, "_piece")
     w = Window.partitionBy(clip, "_piece").orderBy("sample")
     step = F.greatest(F.col("t") - F.lag("t").over(w), F.lit(float(period)))
     out = dealt.withColumns({"previous_gray": F.lag("gray").over(w), "previous_width": F.lag("width").over(w), "dt": step})

@@ -48,7 +48,8 @@ def _pairs(spark, sf_dir, degrees):
     k = F.col("vec_id")
     planted = (k % 7 - 3, k % 5 - 2, degrees, k % 3 + 4)
     frames = F.arrow_udf(_drawn, "struct<before binary, after binary>")
-    drawn = read(spark, sf_dir, "embeddings").select("vec_id", frames("embedding", *(c.cast("double") for c in planted)).alias("f"))
+    vectors = read(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    drawn = vectors.select("vec_id", frames("embedding", *(c.cast("double") for c in planted)).alias("f"))
     frames = drawn.select("vec_id", F.posexplode(F.array("f.before", "f.after")).alias("sample", "gray"))
     frames = frames.withColumns({"t": F.col("sample") * STEP, "width": F.lit(WIDTH)})
     pairs = motion.paired(frames, "vec_id", STEP).where("previous_gray is not null")
