@@ -39,37 +39,49 @@ def rule_results(signals: DataFrame, rules, clip: str) -> DataFrame:
     entry = F.struct("signal", F.struct(F.col("value").cast("double").alias("value"), flag.alias("is_bool"), F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high")).alias("s"))
     held = signals.groupBy(clip).agg(F.map_from_entries(F.collect_list(entry)).alias("held"))
 
+    return held.select(clip, F.explode(outcomes(F.col("held"), rules)).alias("r")).select(clip, "r.*")
+
+
+def outcomes(held: Column, rules) -> Column:
+    """A clip's signals (a map to value, is_bool, low, high) by rules: an array of one result a rule. A signal that isn't there fails the query."""
+
     def result(r: Column) -> Column:
-        s = F.try_element_at("held", r["signal"])
+        s = F.try_element_at(held, r["signal"])
         value = F.coalesce(s["value"], F.raise_error(F.concat(F.lit("no signal "), r["signal"])).cast("double"))
         outcome = rule_outcome(value, s["is_bool"], r["operator"], r["threshold"], s["low"], s["high"])
         return F.struct(r["ord"].alias("ord"), r["rule_id"].alias("rule_id"), r["signal"].alias("signal"), r["severity"].alias("severity"), value.alias("value"), outcome.alias("outcome"))
 
-    return held.select(clip, F.explode(F.transform(rule_array(rules), result)).alias("r")).select(clip, "r.*")
+    return F.transform(rule_array(rules), result)
 
 
 #: Signals that the probability of a good clip draws from replicates, not from their points.
 SAMPLED = ("hand.visibility_fraction", "idle.fraction")
 
 
+def other_rejects(rules) -> list:
+    """Reject rules but those on sampled signals."""
+    return [r for r in rules if r[6] == "reject" and r[2] not in SAMPLED]
+
+
 def other_rejects_pass(signals: DataFrame, rules, clip: str) -> DataFrame:
     """(clip, eligible): whether all reject rules but those on sampled signals pass by their point values, intervals or not."""
-    own = [r for r in rules if r[6] == "reject" and r[2] not in SAMPLED]
     points = signals.withColumns({c: F.lit(None).cast("double") for c in ("low", "high")})
-    return rule_results(points, own, clip).groupBy(clip).agg(F.bool_and(F.col("outcome") == "pass").alias("eligible"))
+    return rule_results(points, other_rejects(rules), clip).groupBy(clip).agg(F.bool_and(F.col("outcome") == "pass").alias("eligible"))
+
+
+def verdict(results: Column) -> Column:
+    """Results of a clip's rules, an array in rule order, to struct(verdict, reasons): bad if a reject rule fails, uncertain if one is uncertain, else good.
+    Reasons are in rule order: all fails, and uncertain reject rules only where no reject rule fails."""
+    reject = lambda x, outcome: (x["severity"] == "reject") & (x["outcome"] == outcome)
+    failed, unsure = F.exists(results, lambda x: reject(x, "fail")), F.exists(results, lambda x: reject(x, "uncertain"))
+    named = F.filter(results, lambda x: (x["outcome"] == "fail") | (~failed & reject(x, "uncertain")))
+    return F.struct(F.when(failed, "bad").when(unsure, "uncertain").otherwise("good").alias("verdict"), F.array_join(F.transform(named, lambda x: x["rule_id"]), ",").alias("reasons"))
 
 
 def verdicts(results: DataFrame, clip: str) -> DataFrame:
-    """(clip, verdict, reasons): bad if a reject rule fails, uncertain if one is uncertain, else good. Reasons are in rule order: all
-    fails, and uncertain reject rules only where no reject rule fails."""
-    reject = F.col("severity") == "reject"
-    agg = results.groupBy(clip).agg(
-        F.bool_or(reject & (F.col("outcome") == "fail")).alias("failed"),
-        F.bool_or(reject & (F.col("outcome") == "uncertain")).alias("unsure"),
-        F.array_sort(F.collect_list(F.struct("ord", "rule_id", "severity", "outcome"))).alias("all"),
-    )
-    named = F.filter("all", lambda x: (x["outcome"] == "fail") | (~F.col("failed") & (x["outcome"] == "uncertain") & (x["severity"] == "reject")))
-    return agg.select(clip, F.when(F.col("failed"), "bad").when(F.col("unsure"), "uncertain").otherwise("good").alias("verdict"), F.array_join(F.transform(named, lambda x: x["rule_id"]), ",").alias("reasons"))
+    """(clip, verdict, reasons): ``verdict`` of rows, one for each clip and rule."""
+    held = results.groupBy(clip).agg(F.array_sort(F.collect_list(F.struct("ord", "rule_id", "severity", "outcome"))).alias("all"))
+    return held.select(clip, verdict(F.col("all")).alias("v")).select(clip, "v.*")
 
 
 def _at_least(value: Column, low: Column, high: Column, threshold: float) -> Column:

@@ -21,6 +21,13 @@ def signal_rows(clips: DataFrame, clip: str, values: dict[str, Column]) -> DataF
     return clips.select(clip, F.explode(rows).alias("x")).select(clip, "x.*")
 
 
+def signal_map(values: dict[str, Column], intervals: dict[str, tuple[Column, Column]]) -> Column:
+    """A clip's signals in its own row: a map to (value, is_bool, low, high), without an interval null."""
+    none = (F.lit(None), F.lit(None))
+    entries = ((n, *(x.cast("double").alias(k) for k, x in zip(("value", "low", "high"), (c, *intervals.get(n, none))))) for n, c in values.items())
+    return F.create_map(*(x for n, value, low, high in entries for x in (F.lit(n), F.struct(value, F.lit(n in BOOLEAN).alias("is_bool"), low, high))))
+
+
 def with_intervals(signals: DataFrame, intervals: DataFrame, clip: str) -> DataFrame:
     """signals(clip, signal, ...) with low and high of intervals(clip, signal, low, high), null where a signal has none."""
     return signals.join(intervals.select(clip, "signal", "low", "high"), [clip, "signal"], "left")

@@ -22,44 +22,83 @@ def block_length(n: Column, block_seconds: float, rate: float) -> Column:
     return F.greatest(F.lit(1), F.least(F.lit(int(round(block_seconds * rate))), F.greatest(F.lit(1), F.floor(n / 4)))).cast("long")
 
 
-def bootstrap_by_hash(samples: DataFrame, clip: str, value: str, block_seconds: float, rate: float, replicates: int, seed: int, statistic: str = "mean", confidence: float = 0.95) -> DataFrame:
-    """Interval of the mean or the p95 by moving blocks whose starts are drawn from a hash: (clip, point, low, high, samples).
+def dealt(clips: DataFrame, clip: str) -> DataFrame:
+    """Rows of one clip each over as many partitions as the session shuffles into: the work on a row is far more than its bytes say, by which partitions
+    would be joined. By a hash of the clip, as a shuffle by the clip itself would be left out where one came before, and that one's partitions joined."""
+    return clips.repartition(int(clips.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(clip))
+
+
+def in_order(value: Column, order: str = "i") -> Column:
+    """An aggregate: a group's known values in order, one array."""
+    pairs = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(F.col(order).alias("i"), value.cast("double").alias("v")))))
+    return F.transform(pairs, lambda x: x["v"])
+
+
+def hash_replicates(name: Column, held: Column, block_seconds: float, rate: float, replicates: int, seed: int, statistic: str = "mean", confidence: float = 0.95) -> Column:
+    """Values in order (an array) to struct(point, low, high, samples): the mean or the p95 by moving blocks whose starts are drawn from a hash of the
+    clip's name; null without values.
 
-    A clip's known values, in order, are one array in one row; its replicates are worked out beside it in Arrow batches, CHUNK at a time, so nothing is
-    copied by replicate and no draw is shuffled. For the mean a block's sum is a difference of two prefix sums; the p95 is a selection from
-    the replicate's values. A clip is as long as a recording: its array is a bounded number of samples.
+    Replicates are worked out in Arrow batches, CHUNK_VALUES values at a time, so nothing is copied by replicate and no draw is shuffled. For the mean a
+    block's sum is a difference of two prefix sums; the p95 is a selection from the replicate's values. A clip is as long as a recording: its
+    array is a bounded number of samples.
     """
-    held = samples.where(F.col(value).isNotNull()).groupBy(clip).agg(F.array_sort(F.collect_list(F.struct("i", F.col(value).cast("double").alias("v")))).alias("held"))
-    size, tail = block_length(F.size("held"), block_seconds, rate), (1 - confidence) / 2
+    tail = (1 - confidence) / 2
 
     @F.arrow_udf("struct<point double, low double, high double, samples array<double>>")
     def run(names: pa.Array, lengths: pa.Array, values: pa.Array) -> pa.Array:
-        out = []
-        for name, length, x in zip(names.to_pylist(), lengths.to_pylist(), values):
-            x = np.asarray(x.values)
-            n, blocks = len(x), -(-len(x) // length)
-            sums = np.concatenate(([0.0], np.cumsum(x)))
-            sizes = np.minimum(length, n - length * np.arange(blocks))
-            drawn = np.empty(replicates)
-            for at in range(0, replicates, CHUNK):
-                rows = range(at, min(at + CHUNK, replicates))
-                digests = b"".join(hashlib.sha256(f"{seed}|{name}|{r}|{b}".encode()).digest()[:4] for r in rows for b in range(blocks))
-                starts = np.frombuffer(digests, ">u4").astype(np.int64).reshape(len(rows), blocks) % (n - length + 1)
-                if statistic == "mean":
-                    drawn[at : at + len(rows)] = (sums[starts + sizes] - sums[starts]).sum(1) / n
-                else:
-                    drawn[at : at + len(rows)] = np.quantile(x[(starts[:, :, None] + np.arange(length)).reshape(len(rows), -1)[:, :n]], 0.95, axis=1)
-            low, high = np.quantile(drawn, [tail, 1 - tail])
-            out.append({"point": float(x.mean() if statistic == "mean" else np.quantile(x, 0.95)), "low": float(low), "high": float(high), "samples": drawn})
-        return pa.array(out, pa.struct([("point", pa.float64()), ("low", pa.float64()), ("high", pa.float64()), ("samples", pa.list_(pa.float64()))]))
+        known = [v.is_valid and len(v) > 0 for v in values]
+        bounds, drawn, at, ends = np.zeros((3, len(known))), np.empty((sum(known), replicates)), 0, {}
+        for k, (name, length, v) in enumerate(zip(names.to_pylist(), lengths.to_pylist(), values)):
+            if not known[k]:
+                continue
+            x = np.asarray(v.values)
+            blocks = -(-len(x) // length)
+            if blocks not in ends:  # what a draw's text ends in is the same for all clips of so many blocks
+                if len(ends) == MOST_ENDS:
+                    ends.clear()
+                ends[blocks] = [f"{r}|{b}".encode() for r in range(replicates) for b in range(blocks)] if replicates * blocks <= CHUNK_VALUES else None
+            drawn[at] = _replicates(f"{seed}|{name}|", x, length, replicates, statistic, ends[blocks])
+            bounds[0, k] = x.mean() if statistic == "mean" else np.quantile(x, 0.95)
+            bounds[1:, k] = np.quantile(drawn[at], [tail, 1 - tail])
+            at += 1
+        offsets = np.concatenate(([0], np.cumsum(known))) * replicates
+        parts = [pa.array(c) for c in bounds] + [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(drawn.ravel()))]
+        return pa.StructArray.from_arrays(parts, names=["point", "low", "high", "samples"], mask=pa.array([not k for k in known], pa.bool_()))
+
+    return run(name, block_length(F.size(held), block_seconds, rate), held)
+
+
+def _replicates(head: str, x: np.ndarray, length: int, replicates: int, statistic: str, ends: list[bytes] | None) -> np.ndarray:
+    """The statistic of each replicate. ``ends``: the draws' texts after ``head``, where they are few enough to be kept."""
+    n, blocks = len(x), -(-len(x) // length)
+    sums, sizes = np.concatenate(([0.0], np.cumsum(x))), np.minimum(length, n - length * np.arange(blocks))
+    copy, drawn = hashlib.sha256(head.encode()).copy, np.empty(replicates)
+    step = max(1, CHUNK_VALUES // n)
+    for first in range(0, replicates, step):
+        rows, digests = range(first, min(first + step, replicates)), []
+        for end in ends[rows.start * blocks : rows.stop * blocks] if ends else (f"{r}|{b}".encode() for r in rows for b in range(blocks)):
+            h = copy()
+            h.update(end)
+            digests.append(h.digest())
+        starts = np.frombuffer(b"".join(digests), ">u4")[::8].astype(np.int64).reshape(len(rows), blocks) % (n - length + 1)
+        if statistic == "mean":
+            drawn[rows.start : rows.stop] = (sums[starts + sizes] - sums[starts]).sum(1) / n
+        else:
+            drawn[rows.start : rows.stop] = np.quantile(x[(starts[:, :, None] + np.arange(length)).reshape(len(rows), -1)[:, :n]], 0.95, axis=1)
+    return drawn
 
-    return held.select(clip, run(F.col(clip).cast("string"), size, F.transform("held", lambda x: x["v"])).alias("b")).select(clip, "b.*")
+
+def bootstrap_by_hash(samples: DataFrame, clip: str, value: str, block_seconds: float, rate: float, replicates: int, seed: int, statistic: str = "mean", confidence: float = 0.95) -> DataFrame:
+    """``hash_replicates`` of a clip's known values, in order: (clip, point, low, high, samples); clips without any are left out."""
+    held = dealt(samples.where(F.col(value).isNotNull()).groupBy(clip).agg(in_order(F.col(value)).alias("held")), clip)
+    b = hash_replicates(F.col(clip).cast("string"), F.col("held"), block_seconds, rate, replicates, seed, statistic, confidence)
+    return held.select(clip, b.alias("b")).select(clip, "b.*")
 
 
 #: What a clip's seed is combined with for each metric.
 SALTS = {"hand": 0, "idle": 0xA71A5, "speed": 0x5EED5}
-#: Replicates that are held as samples at once.
-CHUNK = 64
+#: Replicates that are held as samples at once; values that draws by hash hold at once; numbers of blocks whose draws' texts are kept.
+CHUNK, CHUNK_VALUES, MOST_ENDS = 64, 1 << 17, 16
 
 
 def clip_seed(job: str, clip: str) -> int:

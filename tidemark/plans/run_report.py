@@ -37,18 +37,20 @@ r AS (SELECT o.user_id, duration, duration / (2 + o.user_id % 3) AS elapsed, CAS
 def _results(spark, sf_dir):
     """(user_id, verdict, reasons, duration_seconds, elapsed_seconds, probability): bootstraps, signals with intervals, rules, probability."""
     seen = F.col("event_type") != "error"
-    s = _clips(spark, sf_dir).withColumns({"hand": seen.cast("double"), "idle": F.when(seen, (F.col("event_type") == "purchase").cast("double"))})
-    boot = lambda c, seed: statistics.bootstrap_by_hash(s, "user_id", c, 2.0, RATE, 1000, seed)
-    clips = s.groupBy("user_id").agg((F.count("*") / RATE).alias("duration_seconds"), F.percentile(F.col("value") / 100, F.lit(0.95)).alias("speed"))
-    named = lambda df, n: df.select("user_id", F.struct("point", "low", "high", "samples").alias(n))
-    wide = clips.join(named(boot("hand", 21), "h"), "user_id", "left").join(named(boot("idle", 22), "i"), "user_id", "left")
-    own = signals.signal_rows(wide, "user_id", {HAND: F.coalesce("h.point", F.lit(0.0)), IDLE: F.coalesce("i.point", F.lit(0.0)), SPEED: F.col("speed")})
-    bounds = F.explode(F.array(*(F.struct(F.lit(n).alias("signal"), F.col(f"{c}.low").alias("low"), F.col(f"{c}.high").alias("high")) for n, c in ((HAND, "h"), (IDLE, "i")))))
-    held = signals.with_intervals(own, wide.select("user_id", bounds.alias("b")).select("user_id", "b.*"), "user_id")
-    found = rules.verdicts(rules.rule_results(held, RULES, "user_id"), "user_id")
-    ready = wide.join(rules.other_rejects_pass(own, RULES, "user_id"), "user_id").join(found, "user_id")
-    probability = report.good_probability_of_samples(F.col("h.samples"), F.col("i.samples"), F.col("eligible"), RULES)
-    return ready.select("user_id", "verdict", "reasons", "duration_seconds", (F.col("duration_seconds") / (2 + F.col("user_id") % 3)).alias("elapsed_seconds"), probability.alias("probability"))
+    idle = F.when(seen, (F.col("event_type") == "purchase").cast("double"))
+    held = _clips(spark, sf_dir).groupBy("user_id").agg(
+        (F.count("*") / RATE).alias("duration_seconds"), F.percentile(F.col("value") / 100, F.lit(0.95)).alias("speed"),
+        statistics.in_order(seen.cast("double")).alias("hands"), statistics.in_order(idle).alias("idles"),
+    )
+    boot = lambda c, seed: statistics.hash_replicates(F.col("user_id").cast("string"), F.col(c), 2.0, RATE, 1000, seed)
+    wide = statistics.dealt(held, "user_id").withColumns({"h": boot("hands", 21), "i": boot("idles", 22)})
+    values = {HAND: F.coalesce("h.point", F.lit(0.0)), IDLE: F.coalesce("i.point", F.lit(0.0)), SPEED: F.col("speed")}
+    intervals = {n: (F.col(f"{c}.low"), F.col(f"{c}.high")) for n, c in ((HAND, "h"), (IDLE, "i"))}
+    found = rules.verdict(rules.outcomes(signals.signal_map(values, intervals), RULES))
+    eligible = F.forall(rules.outcomes(signals.signal_map(values, {}), rules.other_rejects(RULES)), lambda r: r["outcome"] == "pass")
+    probability = report.good_probability_of_samples(F.col("h.samples"), F.col("i.samples"), eligible, RULES)
+    elapsed = F.col("duration_seconds") / (2 + F.col("user_id") % 3)
+    return wide.select("user_id", found.alias("v"), "duration_seconds", elapsed.alias("elapsed_seconds"), probability.alias("probability")).select("user_id", "v.*", "duration_seconds", "elapsed_seconds", "probability")
 
 
 @query(_RESULTS + " SELECT user_id, verdict, round(duration, 6) AS duration_seconds, round(probability, 6) AS probability FROM r")
