@@ -155,26 +155,47 @@ def summary(items: DataFrame, results: DataFrame, item: str, corpus_hours: float
     """The report's one row: items(item, duration_seconds) of the manifest and results(item, verdict, duration_seconds, elapsed_seconds, probability) of
     what was processed to captured and processed clips and hours, clips and hours by verdict, the interval of good hours, ``source_xrt``,
     ``projected_hours`` and ``status``. Without results the interval is null."""
-    counted = totals(items, results, item)
-    by = rollup(results, []).groupBy().pivot("verdict", ["good", "bad", "uncertain", "error"]).agg(F.sum("clips").alias("clips"), F.sum("hours").alias("hours"))
-    by = by.select(*(F.coalesce(F.col(f"{v}_{c}"), F.lit(0)).alias(f"{v}_{c}") for v in ("good", "bad", "uncertain", "error") for c in ("clips", "hours")))
-    hours = good_hours(results.withColumn("_hours", F.col("duration_seconds") / 3600), item, "probability", "_hours", replicates, seed, confidence)
-    interval = hours.toDF("good_hours_low", "good_hours_high")
-    parts = counted
-    for part in (by, interval, throughput(results, corpus_hours)):  # one row each, of columns of its own
-        parts = parts.unionByName(part, allowMissingColumns=True)
-    one = parts.agg(*(F.max(c).alias(c) for c in parts.columns))
+    own = results.select(F.col(item), F.lit(1).cast("long").alias("p"), F.when(F.col("verdict").isin("good", "bad", "uncertain"), F.col("verdict")).otherwise("error").alias("verdict"), "duration_seconds", "elapsed_seconds", "probability")
+    given = F.nullif("duration_seconds", F.lit(0.0))
+    planned = items.groupBy(F.col(item).alias("_item")).agg(F.count("*").alias("c"), F.sum(given).alias("given"), F.count_if(given.isNull()).alias("open"))
+    both = planned.join(own, F.col("_item") == F.col(item), "full_outer")
+    # results are worked out once: a row's counts go with number -1, its draws with the replicates' numbers
+    numbers = F.when(F.col("p").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(-1), F.lit(replicates - 1)))
+    rows = both.select("*", F.explode(numbers).alias("r"))
+    counts, zero, none = F.col("r") < 0, F.lit(0.0), F.lit(0).cast("long")
+    total = lambda value, name: F.sum(F.when(counts, value)).alias(name)
+    captured = F.coalesce("given", zero) + F.col("open") * F.coalesce("duration_seconds", zero)
+    parts = [total(F.col("c"), "captured_clips"), total(F.when(F.col("c") > 0, captured), "captured_hours"), total(F.col("p"), "processed_clips"), total(F.when(F.col("p") > 0, F.coalesce("duration_seconds", zero)), "processed_hours")]
+    for v in ("good", "bad", "uncertain", "error"):
+        parts += [total((F.col("verdict") == v).cast("long"), f"{v}_clips"), total(F.when(F.col("verdict") == v, F.col("duration_seconds")), f"{v}_hours")]
+    parts += [total(F.col("duration_seconds"), "d"), total(F.col("elapsed_seconds"), "e")]
+    drawn = F.when(_draw(item, seed) < F.coalesce("probability", zero), F.col("duration_seconds") / 3600).otherwise(0.0)
+    by = rows.groupBy("r").agg(*parts, F.sum(F.when(~counts, drawn)).alias("h"))
+    tail = (1.0 - confidence) / 2.0
+    sums = [c for c in by.columns if c not in ("r", "h")]
+    interval = (F.percentile("h", F.lit(q)).alias(n) for q, n in ((tail, "good_hours_low"), (1.0 - tail, "good_hours_high")))
+    one = by.agg(*(F.max(c).alias(c) for c in sums), *interval)
+    xrt = F.coalesce(F.try_divide("d", F.when(F.col("e") > 0, F.col("e"))), zero)
+    one = one.select(
+        *(F.coalesce(F.col(c) / 3600, zero).alias(c) if c.endswith("hours") else F.coalesce(c, none).alias(c) for c in sums if c not in ("d", "e")),
+        "good_hours_low", "good_hours_high", xrt.alias("source_xrt"), F.try_divide(F.lit(float(corpus_hours)), F.nullif(xrt, zero)).alias("projected_hours"),
+    )
     return one.withColumn("status", status(F.col("processed_clips"), F.col("processed_clips") == F.col("captured_clips")))
 
 
+def _draw(item: str, seed: int) -> Column:
+    """A number from 0 to 1 by the hash of an item and of the replicate ``r``."""
+    digits = F.substring(F.sha2(F.concat_ws("|", F.lit(seed), F.col(item), F.col("r")), 256), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") / float(1 << 32)
+
+
 def good_hours(items: DataFrame, item: str, probability: str, hours: str, replicates: int, seed: int, confidence: float = 0.95) -> DataFrame:
     """Interval of the hours that are good: in each replicate an item counts with its probability, by a draw from its hash.
 
     Draws are summed by replicate before the shuffle, so only ``replicates`` rows leave a task.
     """
-    draw = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(seed), F.col(item), F.col("r")), 256), 1, 8), 16, 10).cast("long") / float(1 << 32)
     drawn = items.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("r"))
-    counted = F.when(draw < F.coalesce(F.col(probability), F.lit(0.0)), F.col(hours)).otherwise(0.0)
+    counted = F.when(_draw(item, seed) < F.coalesce(F.col(probability), F.lit(0.0)), F.col(hours)).otherwise(0.0)
     totals = drawn.groupBy("r").agg(F.sum(counted).alias("h"))
     tail = (1.0 - confidence) / 2.0
     return totals.agg(F.percentile("h", F.lit(tail)).alias("low"), F.percentile("h", F.lit(1.0 - tail)).alias("high"))
