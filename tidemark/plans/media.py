@@ -8,7 +8,7 @@ from tidemark.functions import columns as C
 from tidemark.operators import evidence, images, report
 from tidemark.plans.gate import query
 from tidemark.plans.reporting import _CAMERA, _camera
-from tidemark.plans.tables import read
+from tidemark.plans.tables import read, spread
 from tidemark.sources import objects
 from tidemark.sources.media import probed_clips
 from tidemark.sources.results import parsed_results
@@ -39,7 +39,8 @@ def s04_iso_index(spark, sf_dir):
     movie = _box("moov", _box("mvhd", zeros(12), _be(250), _be(1000), zeros(80)), track("soun", k * 0, k * 0, F.lit(48000), F.lit(9), F.lit(1024)), track("vide", F.col("p_size") * 16, F.col("p_size") * 9, F.lit(30000), n, F.lit(1001)))
     head = F.concat(_box("ftyp", F.lit(b"isom".hex()), zeros(4)), movie)
     cut = F.when(k % 5 == 0, F.substring(head, F.lit(1), F.length(head) - 40)).otherwise(head)
-    clips = probed_clips(read(spark, sf_dir, "part").select("p_partkey", F.unhex(cut).alias("head")), "head")
+    parts = spread(read(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    clips = probed_clips(parts.select("p_partkey", F.unhex(cut).alias("head")), "head")
     return clips.select("p_partkey", "width", "height", "frame_count", F.round("duration_seconds", 6).alias("duration_seconds"), "valid")
 
 
@@ -71,7 +72,8 @@ def v05_detector_input(spark, sf_dir):
     """A frame of one colour for each part: the mean of its first plane says how much of the input it fills."""
     w, h = F.col("p_size") + 1, F.col("p_size") % 7 + 2
     pixel = F.lpad(F.hex(F.col("p_partkey") % 256), 2, "0")
-    frames = read(spark, sf_dir, "part").select("p_partkey", w.alias("w"), h.alias("h"), F.unhex(F.repeat(F.concat(pixel, F.lit("0000")), (w * h).cast("int"))).alias("bgr"))
+    parts = spread(read(spark, sf_dir, "part").select("p_partkey", "p_size"), "p_partkey")
+    frames = parts.select("p_partkey", w.alias("w"), h.alias("h"), F.unhex(F.repeat(F.concat(pixel, F.lit("0000")), (w * h).cast("int"))).alias("bgr"))
     planes = frames.withColumn("i", images.detector_input(F.col("bgr"), F.col("h"), F.col("w"), 24, 32))
 
     @F.arrow_udf("double")
