@@ -3,13 +3,15 @@ that moves besides, so SQL knows what must be found."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemark.operators import motion
 from tidemark.plans.gate import query
-from tidemark.plans.tables import read
+from tidemark.plans.tables import read, spread
 
 WIDTH, HEIGHT, STEP = 160, 120, 0.5
 #: Where the patch is on the first frame.
@@ -44,11 +46,18 @@ def _drawn(waves: pa.Array, dx: pa.Array, dy: pa.Array, degrees: pa.Array, besid
     return pa.array(out, pa.struct([("before", pa.binary()), ("after", pa.binary())]))
 
 
+def _drawn_by_few(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    """Of a batch of narrow rows a few are drawn at a time: 10,000 pairs of frames at once are 400 MB and more on the way."""
+    for columns in batches:
+        for first in range(0, len(columns[0]), motion.PAIRS):
+            yield _drawn(*(c.slice(first, motion.PAIRS) for c in columns))
+
+
 def _pairs(spark, sf_dir, degrees):
     k = F.col("vec_id")
     planted = (k % 7 - 3, k % 5 - 2, degrees, k % 3 + 4)
-    frames = F.arrow_udf(_drawn, "struct<before binary, after binary>")
-    vectors = read(spark, sf_dir, "embeddings").repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    frames = F.arrow_udf(_drawn_by_few, "struct<before binary, after binary>")
+    vectors = spread(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id")
     drawn = vectors.select("vec_id", frames("embedding", *(c.cast("double") for c in planted)).alias("f"))
     frames = drawn.select("vec_id", F.posexplode(F.array("f.before", "f.after")).alias("sample", "gray"))
     frames = frames.withColumns({"t": F.col("sample") * STEP, "width": F.lit(WIDTH)})
