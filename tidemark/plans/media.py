@@ -56,8 +56,8 @@ def v09_rendered_evidence(spark, sf_dir):
     box = F.array(F.struct(*(F.lit(v).alias(n) for n, v in (("x1", 20.0), ("y1", 10.0), ("x2", 60.0), ("y2", 30.0), ("score", 0.5)))))
     candidates = found.select("user_id", "reason", F.col("t.event_id").alias("seq"), F.col("t.t").alias("t"), "score", box.alias("boxes"))
     pixel = F.lpad(F.hex(F.col("event_id") % 0xFFFFFF), 6, "0")
-    frames = camera.select("user_id", F.col("event_id").alias("seq"), F.lit(40).alias("height"), F.lit(80).alias("width"), F.unhex(F.repeat(pixel, 40 * 80)).alias("bgr"))
-    out = images.rendered_evidence(candidates, frames, "user_id", most_width=40)
+    frames = camera.select("user_id", F.col("event_id").alias("seq"), F.lit(40).alias("height"), F.lit(80).alias("width"), pixel.alias("pixel"))
+    out = images.rendered_evidence(candidates, frames, "user_id", most_width=40, bgr=F.unhex(F.repeat("pixel", 40 * 80)))
     digits = F.hex("image")
     frame = F.instr(digits, "FFC0")  # the tables before it have no such bytes
     whole = digits.startswith("FFD8FFE0") & digits.endswith("FFD9") & (F.sha2("image", 256) == F.col("sha256")) & (F.octet_length("image") == F.col("size_bytes"))
