@@ -91,6 +91,58 @@ def test_signatures_agree_as_often_as_sets_do(share):
     assert share < 0.85 or min(agreed) >= MATCHES
 
 
+def around(rnd, words, n, edits):
+    """n texts of random edits of one."""
+    for _ in range(n):
+        mine = list(words)
+        for at in rnd.sample(range(len(mine)), rnd.randint(*edits)):
+            mine[at] = f"x{rnd.random()}"
+        yield mine
+
+
+def test_texts_around_a_hub_do_not_meet_each_other(spark, monkeypatch):
+    """Half the texts are linked with the first one, half are not; pairs to be verified grow with the texts, not with their square."""
+    made = []
+    verify = minhash_join.MinHashJoin._links
+    monkeypatch.setattr(minhash_join.MinHashJoin, "_links", lambda self, pairs: made.append(pairs.count()) or verify(self, pairs))
+    rnd = random.Random(3)
+    words = [f"w{i}" for i in range(200)]
+    near, far = around(rnd, words, 150, (0, 4)), around(rnd, words, 150, (7, 12))
+    rows = [(i, " ".join(w)) for i, w in enumerate([words, *near, *far])]
+    chain = rows[-1][1].split()
+    for k in range(5):  # edits of a far text, each linked with the one before
+        chain[7 * k] = f"y{k}"
+        rows.append((1000 - k, " ".join(chain)))
+    got, _ = result(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert got == brute(rows)
+    assert len({c for _, c, _ in got.values()}) > 100 and sum(made) < 4 * len(rows)
+
+
+@pytest.mark.parametrize("part", (4_000, 2))
+def test_links_by_differences_from_a_hub(spark, monkeypatch, part):
+    monkeypatch.setattr(minhash_join, "LIST_PART", part)
+    rnd, hub = random.Random(part), set(range(200))
+    other = [set(rnd.sample(range(200), 22)) | set(range(1000 + 30 * k, 1022 + 30 * k)) for k in range(4)]  # differences that several share
+    sets = []
+    for i in range(160):
+        mine = set(hub)
+        for x in rnd.sample(sorted(rnd.choice(other)), rnd.randint(20, 44)) if rnd.random() < 0.7 else ():
+            mine ^= {x}
+        mine ^= set(rnd.sample(range(200), rnd.choice((2, 4, 14)))) | {5000 + 50 * i + k for k in range(rnd.choice((0, 3, 14)))}
+        sets.append(mine)
+    link = lambda x, y: 100 * len(x & y) >= 85 * len(x | y)
+    far = [not link(x, hub) for x in sets]
+    rows = [(0, len(hub), i, len(x), far[i], sorted(x ^ hub)) for i, x in enumerate(sets)]
+    first = far.index(False)
+    expected = {(i, k) for k in range(160) for i in range(k) if (far[i] or far[k]) and link(sets[i], sets[k])}
+    assert any(far[i] != far[k] for i, k in expected) and any(far[i] and far[k] for i, k in expected) and sum(far) > 40
+    circles = spark.createDataFrame(rows, "hub long, hub_n int, doc long, n int, far boolean, apart array<long>")
+    component = spark.createDataFrame([(i, first) for i in range(first + 1, 160) if not far[i]], "node long, component long")
+    join = minhash_join.MinHashJoin(spark.createDataFrame([], "doc_id long, text string"))
+    got = join._within(circles, component).collect()
+    assert {tuple(sorted((r.a, r.b))) for r in got} == expected and len(got) == len(expected)
+
+
 def test_very_long_text_and_empty_table(spark):
     long = " ".join(f"t{i % 9973}" for i in range(200_000))
     got, _ = result(spark.createDataFrame([(4, long), (3, long + " end"), (5, None)], "doc_id long, text string"))

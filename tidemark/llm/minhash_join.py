@@ -18,6 +18,12 @@ first paired with pivots, then, across the components which that gives, with wha
 where the parities of two sets' hash counts differ, one shingle at least is in one set only. Pairs within a component add nothing to
 it. The lists of frequent pairs are dealt over salted parts, as are a pivot's pairs.
 
+Texts that are near a pivot of very many, but not near enough, would meet each other and all that is linked with it. Such a hub's candidates
+meet by what sets them apart from it instead. For d shingles that one of two sets x, y and the hub h don't share,
+|x ^ y| = |d(x)| + |d(y)| - 2 |d(x) & d(y)|, so a link between two that aren't both linked with the hub needs a common part of both
+differences, of a size that follows from theirs. Rare-first prefixes of the differences find it: independent edits have rare shingles first and don't
+meet. Both this and the bound are exact. In a list, and at a shingle of differences, only what is outside the largest component (or hub) meets the rest.
+
 Cases. Null or wordless texts have no shingles and are alone. One or two words are one shingle, the whole sequence; sets of five shingles or
 fewer link with equal ones only. A null id takes no part in links; its rows have a null component and count, and are kept. Rows that repeat an id are one
 document with several sets that the id links; the largest is counted. Columns but doc_id and text are ignored, whatever their names.
@@ -45,11 +51,15 @@ COORDINATES, MATCHES, POSTED = 64, 38, 40
 LEAST_SHARED = MATCHES - (COORDINATES - POSTED)
 #: What a posting carries: bits of each coordinate, and 64-bit words of the parities of the set's hashes.
 CARRIED, PARITIES = 2, 4
+#: Sets x, y link where _SUM * |x ^ y| <= _GAP * (|x| + |y|).
+_SUM, _GAP = DENOMINATOR + NUMERATOR, DENOMINATOR - NUMERATOR
 #: The least set that can link with a different one.
 LEAST_SET = -(-NUMERATOR // (DENOMINATOR - NUMERATOR))
 PART_BYTES = 1 << 18
 #: Postings of a list, and pairs of a pivot, that one salted part is to hold; parts of groups of equal sets.
 LIST_PART, PIVOT_PART, COPY_PARTS = 4_000, 1_000, 16
+#: Candidates from which a pivot is a hub, and how many times the shingles that a link may have in one set only its candidates' differences may hold.
+HUB, WIDE = 32, 3
 #: Ids (8 bytes each) up to which the documents to verify are picked by a broadcast; beyond it by a shuffle join.
 BROADCAST_IDS = 250_000
 
@@ -111,20 +121,22 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, sets in shingle_sets(batch.column("text")):
-            own = [batch.column(c).slice(lo, len(sets)) for c in ("a", "b", "part")]
-            yield pa.RecordBatch.from_arrays([*own, pa.array([x.tobytes() for x in sets], pa.binary())], names=["a", "b", "part", "shingles"])
+            own = [batch.column(c).slice(lo, len(sets)) for c in ("a", "b", "hub", "part")]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([x.tobytes() for x in sets], pa.binary())], names=["a", "b", "hub", "part", "shingles"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        good = []
-        for x, y in zip(batch.column("x"), batch.column("y")):
+        sizes, linked, apart = [], [], []
+        for x, y, hub in zip(batch.column("x"), batch.column("y"), batch.column("hub").to_pylist()):
             x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-            both = len(x) + len(y)
-            common = both - len(np.unique(np.concatenate((x, y))))
-            good.append(common > 0 and common * DENOMINATOR >= NUMERATOR * (both - common))
-        good = pa.array(good, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(good) for c in "ab"], names=["a", "b"])
+            both, single = len(x) + len(y), np.setxor1d(x, y, assume_unique=True)
+            sizes.append((len(x), len(y)))
+            linked.append(both > 0 and len(single) * _SUM <= both * _GAP)
+            apart.append(single.view(np.int64) if hub and len(single) * _SUM <= both * _GAP * WIDE else None)
+        na, nb = (pa.array([n[k] for n in sizes], pa.int32()) for k in (0, 1))
+        out = pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "na": na, "nb": nb, "linked": pa.array(linked, pa.bool_()), "apart": pa.array(apart, pa.list_(pa.int64()))})
+        yield out.filter(pa.array([one or other is not None for one, other in zip(linked, apart)], pa.bool_()))
 
 
 def _size_class(n: Column) -> Column:
@@ -132,15 +144,14 @@ def _size_class(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / float(np.log(DENOMINATOR / NUMERATOR) * 1.0000001)).cast("int")
 
 
-def _candidates(one: str, other: str) -> Column:
+def _candidates(one: str, other: str, wide: int = 1) -> Column:
     """The length filter, MATCHES or more equal coordinates as far as the carried bits tell, and parities that differ in no more places
-    than the sizes allow shingles to be in one set only."""
+    than the sizes allow shingles to be in one set only (``wide`` times as many)."""
     a, b = F.col(f"{one}.n").cast("long"), F.col(f"{other}.n").cast("long")
     apart = lambda c: F.col(f"{one}.{c}").bitwiseXOR(F.col(f"{other}.{c}"))
     differ = functools.reduce(Column.bitwiseOR, map(apart, _AGREE))
     single = sum((F.bit_count(apart(c)) for c in _PARITY), F.lit(0))
-    fits = single * (DENOMINATOR + NUMERATOR) <= (a + b) * (DENOMINATOR - NUMERATOR)
-    return (F.least(a, b) * DENOMINATOR >= F.greatest(a, b) * NUMERATOR) & (F.bit_count(differ) <= COORDINATES - MATCHES) & fits
+    return (F.least(a, b) * DENOMINATOR >= F.greatest(a, b) * NUMERATOR) & (F.bit_count(differ) <= COORDINATES - MATCHES) & (single * _SUM <= (a + b) * (_GAP * wide))
 
 
 def _parts(rows: Column, each: int) -> Column:
@@ -183,39 +194,90 @@ class MinHashJoin:
         return prefix.join(facts, "id").drop("id")
 
     def _with_pivots(self, posts: DataFrame) -> DataFrame:
-        """Candidates (a, b) of a pivot and a document of its list."""
+        """(a, b, hub) of a pivot and a candidate of its lists; hub if a is the one with most candidates, near and WIDE, of b's pivots, HUB at least."""
         near = F.explode(F.array(*(F.col("size") + k for k in (-1, 0, 1)))).alias("size")
         most = F.max(F.struct("weight", (-F.col("doc")).alias("minus"), "n", *_CARRIED))
         pivots = posts.groupBy("token", "size").agg(most.alias("p")).select("token", near, (-F.col("p.minus")).alias("doc"), "p.n", *(f"p.{c}" for c in _CARRIED))
-        met = posts.alias("x").join(pivots.alias("p"), ["token", "size"]).where((F.col("x.doc") != F.col("p.doc")) & _candidates("x", "p"))
-        return met.select(F.least("x.doc", "p.doc").alias("a"), F.greatest("x.doc", "p.doc").alias("b")).distinct()
-
-    def _across(self, posts: DataFrame, component: DataFrame) -> DataFrame:
-        """Candidates (a, b) of different components."""
-        placed = posts.join(self._hint(component)(component), posts["doc"] == component["node"], "left").select("token", "doc", "n", "size", *_CARRIED, F.coalesce("component", "doc").alias("c"))
-        placed = self.scratch.keep(placed, "placed")
-        lists = placed.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count("*").alias("now")).where("c0 < c1")
-        open_ = self.scratch.keep(placed.join(lists.select("token", _parts(F.col("now"), LIST_PART).alias("parts")), "token"), "open")
-        self.scratch.drop(placed)
-        one = open_.select("*", F.pmod(F.xxhash64("doc"), "parts").cast("int").alias("part"), F.explode(F.array(F.col("size"), F.col("size") + 1)).alias("near")).drop("size").withColumnRenamed("near", "size")
-        each = open_.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        once = (F.col("x.c") != F.col("y.c")) & ((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.doc") < F.col("y.doc"))))
+        met = posts.alias("x").join(pivots.alias("p"), ["token", "size"]).where((F.col("x.doc") != F.col("p.doc")) & _candidates("x", "p", WIDE))
+        met = met.select(F.col("p.doc").alias("a"), F.col("x.doc").alias("b"), _candidates("x", "p").alias("near"))
+        met = self.scratch.keep(met.groupBy("a", "b").agg(F.max("near").alias("near")), "met")
+        held = met.join(met.groupBy("a").agg(F.count("*").alias("rows")).where(F.col("rows") >= HUB), "a")
+        if self.repeated:  # an id of several sets has no one difference
+            several = self.signed.groupBy("doc").count().where("count > 1")
+            held = held.join(several, F.col("a") == several["doc"], "left_anti").join(several, F.col("b") == several["doc"], "left_anti")
+        held = held.groupBy("b").agg(F.max(F.struct("rows", (-F.col("a")).alias("minus"))).alias("h")).select((-F.col("h.minus")).alias("a"), "b", F.lit(True).alias("hub"))
+        return met.join(held, ["a", "b"], "left").where("near or hub").select("a", "b", F.coalesce("hub", F.lit(False)).alias("hub"))
+
+    def _open(self, rows: DataFrame, key: list[str], group: str, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Of lists (``key``) with several groups: the rows outside the largest, each in one part, and all rows in each part; both with the
+        largest as ``most``. And the kept table that both read."""
+        lists = rows.groupBy(*key, group).agg(F.count("*").alias("k")).groupBy(*key).agg(F.max_by(group, "k").alias("most"), (F.sum("k") - F.max("k")).alias("others"))
+        lists = lists.where("others > 0").select(*key, "most", _parts(F.col("others"), LIST_PART).alias("parts"))
+        open_ = self.scratch.keep(rows.join(lists, key), name)
+        one = open_.where(F.col(group) != F.col("most")).withColumn("part", F.pmod(F.xxhash64("doc"), "parts").cast("int"))
+        return one, open_.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), open_
+
+    def _across(self, posts: DataFrame, component: DataFrame, circles: DataFrame) -> DataFrame:
+        """Candidates (a, b) of different components, but for those of one hub."""
+        of = component.toDF("node", "component").join(circles.select(F.col("doc").alias("node"), "hub"), "node", "full")
+        of = self.scratch.keep(of, "of")
+        group = F.struct(F.col("hub").isNull().alias("alone"), F.coalesce("hub", "c").alias("id")).alias("g")
+        placed = posts.join(self._hint(of)(of), posts["doc"] == of["node"], "left").select("token", "doc", "n", "size", *_CARRIED, F.coalesce("component", "doc").alias("c"), "hub")
+        placed = self.scratch.keep(placed.select("*", group).drop("hub"), "placed")
+        one, each, open_ = self._open(placed, ["token"], "g", "open")
+        self.scratch.drop(placed, of)
+        one = one.withColumn("size", F.explode(F.array(*(F.col("size") + k for k in (-1, 0, 1)))))
+        once = (F.col("x.c") != F.col("y.c")) & (F.col("x.g") != F.col("y.g")) & ((F.col("y.g") == F.col("y.most")) | (F.col("x.doc") < F.col("y.doc")))
         met = one.alias("x").join(each.alias("y"), ["token", "size", "part"]).where(once & _candidates("x", "y"))
         out = self.scratch.keep(met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct(), "across")
         self.scratch.drop(open_)
         return out
 
+    def _within(self, circles: DataFrame, component: DataFrame) -> DataFrame:
+        """Links (a, b) of different components among the candidates of one hub, by their differences from it. At least one of the two is far, not
+        linked with the hub. With a far one, a set shares ``least`` shingles of its difference or more, and a far one shares with any all but
+        as many as a link may have in one set only. Where two meet, what is left of both must suffice."""
+        placed = circles.join(self._hint(component)(component), circles["doc"] == component["node"], "left")
+        placed = placed.select("hub", "hub_n", "doc", "n", "far", "apart", F.size("apart").alias("d"), F.coalesce("component", "doc").alias("c"))
+        both = placed.groupBy("hub").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("hub")
+        placed = self.scratch.keep(placed.join(both, "hub"), "circles")
+        items = placed.select("hub", "doc", F.explode("apart").alias("item"))
+        often = items.groupBy("hub", "item").agg(F.count("*").alias("rows")).where("rows > 1")
+        shared = items.join(often, ["hub", "item"]).groupBy("hub", "doc").agg(F.sort_array(F.collect_list(F.struct("rows", "item"))).alias("shared"))
+        least = F.floor((F.col("d") * _SUM + (F.col("hub_n") - F.col("n")) * _GAP) / F.lit(2 * _SUM)) + 1
+        alone = F.col("d") - F.size("shared")  # come first, and meet nothing
+        short = (F.col("d") - least + 1 - alone).cast("int")
+        long = F.least(F.col("d"), F.floor(F.col("n") * _GAP / F.lit(NUMERATOR)) + 1).cast("int") - alone
+        posts = placed.drop("apart").join(shared, ["hub", "doc"]).withColumn("short", short).withColumn("long", F.greatest(F.lit(0), "short", F.when(F.col("far"), long)))
+        posts = posts.select("hub", "doc", "c", "n", "d", "far", "short", F.size("shared").alias("k"), F.posexplode(F.slice("shared", F.lit(1), F.col("long"))).alias("at", "item"))
+        posts = self.scratch.keep(posts.select("hub", "doc", "c", "n", "d", "far", (F.col("at") < F.col("short")).alias("short"), (F.col("k") - F.col("at")).alias("left"), "item.item"), "differences")
+        one, each, open_ = self._open(posts, ["hub", "item"], "c", "open")
+        x, y = one.alias("x"), each.alias("y")
+        once = (F.col("x.c") != F.col("y.c")) & ((F.col("y.c") == F.col("y.most")) | (F.col("x.doc") < F.col("y.doc")))
+        prefixes = ~F.col("x.far") | ~F.col("y.far") | (F.col("x.short") & F.col("y.short"))
+        sum_ = F.col("x.n") + F.col("y.n")
+        common = 2 * F.least("x.left", "y.left")  # twice what is common at most if nothing before the item is, as at the first one that is
+        met = x.join(y, ["hub", "item", "part"]).where(once & prefixes & ((F.col("x.d") + F.col("y.d") - common) * _SUM <= sum_ * _GAP))
+        met = self.scratch.keep(met.select("hub", F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct(), "met")
+        x, y = (placed.select("hub", F.col("doc").alias(c), *(F.col(k).alias(k + c) for k in ("n", "d", "apart"))) for c in "ab")
+        single = F.col("da") + F.col("db") - 2 * F.size(F.array_intersect("aparta", "apartb"))
+        links = self.scratch.keep(met.join(x, ["hub", "a"]).join(y, ["hub", "b"]).where(single * _SUM <= (F.col("na") + F.col("nb")) * _GAP).select("a", "b"), "within")
+        self.scratch.drop(placed, posts, open_, met)
+        return links
+
     def _links(self, pairs: DataFrame) -> DataFrame:
-        """pairs(a, b), a kept table, to those that are links. A document's set goes once to each part of its pairs."""
+        """pairs(a, b, hub), a kept table, to (a, b, na, nb, linked, apart) of those that are links, and of those with a hub that aren't far too different, whose
+        difference ``apart`` holds. A document's set goes once to each part of its pairs."""
         parts = pairs.groupBy("a").agg(_parts(F.count("*"), PIVOT_PART).alias("parts"))
-        dealt = pairs.join(parts, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"))
-        firsts = parts.select("a", F.lit(None).cast("long").alias("b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        hint, shape = self._hint(pairs), "a long, b long, part int, shingles binary"
-        sets = lambda rows, on: self.docs.join(hint(rows), self.docs["doc_id"] == rows[on]).select("a", "b", "part", "text").mapInArrow(_sets, shape)
+        dealt = pairs.join(parts, "a").select("a", "b", "hub", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"))
+        firsts = parts.select("a", F.lit(None).cast("long").alias("b"), F.lit(False).alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        hint, shape = self._hint(pairs), "a long, b long, hub boolean, part int, shingles binary"
+        sets = lambda rows, on: self.docs.join(hint(rows), self.docs["doc_id"] == rows[on]).select("a", "b", "hub", "part", "text").mapInArrow(_sets, shape)
         once = (lambda df: df.distinct()) if self.repeated else (lambda df: df)
         x = once(sets(firsts, "a").select("a", "part", F.col("shingles").alias("x")))
-        y = once(sets(dealt, "b").select("a", "b", "part", F.col("shingles").alias("y")))
-        return self.scratch.keep(x.join(y, ["a", "part"]).select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long").distinct(), "links")
+        y = once(sets(dealt, "b").select("a", "b", "hub", "part", F.col("shingles").alias("y")))
+        shape = "a long, b long, na int, nb int, linked boolean, apart array<long>"
+        return self.scratch.keep(x.join(y, ["a", "part"]).select("a", "b", "hub", "x", "y").mapInArrow(_verify, shape), "links")
 
     def components(self) -> DataFrame:
         """component(node, component) of the documents that are linked with a smaller id; keeps ``signed``."""
@@ -225,12 +287,16 @@ class MinHashJoin:
         posts = self.scratch.keep(self._prefixes(sets), "prefixes")
         pairs = self.scratch.keep(self._with_pivots(posts), "pivots")
         links = self._links(pairs)
-        component = self.scratch.keep(connected_components(links.union(copies), self.scratch), "component")
-        rest = self.scratch.keep(self._across(posts, component).join(pairs, ["a", "b"], "left_anti"), "rest")
+        component = self.scratch.keep(connected_components(links.where("linked").select("a", "b").union(copies), self.scratch), "component")
+        circles = links.where("apart is not null").select(F.col("a").alias("hub"), F.col("na").alias("hub_n"), F.col("b").alias("doc"), F.col("nb").alias("n"), (~F.col("linked")).alias("far"), "apart")
+        done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        rest = self.scratch.keep(self._across(posts, component, circles).join(done, ["a", "b"], "left_anti").withColumn("hub", F.lit(False)), "rest")
         self.scratch.drop(posts, pairs)
-        if not rest.isEmpty():
-            more = self._links(rest)
-            component = self.scratch.keep(connected_components(component.toDF("a", "b").union(more), self.scratch), "component")
+        more = [] if circles.where("far").isEmpty() else [self._within(circles, component)]
+        more += [] if rest.isEmpty() else [self._links(rest).select("a", "b")]
+        if more:
+            edges = functools.reduce(DataFrame.union, more, component.toDF("a", "b"))
+            component = self.scratch.keep(connected_components(edges, self.scratch), "component")
         self.scratch.drop(links, copies, rest)
         return component
 
