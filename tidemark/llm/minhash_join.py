@@ -240,7 +240,8 @@ class MinHashJoin:
         placed = circles.join(self._hint(component)(component), circles["doc"] == component["node"], "left")
         placed = placed.select("hub", "hub_n", "doc", "n", "far", "apart", F.size("apart").alias("d"), F.coalesce("component", "doc").alias("c"))
         both = placed.groupBy("hub").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("hub")
-        placed = self.scratch.keep(placed.join(both, "hub"), "circles")
+        both = self.scratch.keep(both, "hubs")
+        placed = self.scratch.keep(placed.join(self._hint(both)(both), "hub"), "circles")
         items = placed.select("hub", "doc", F.explode("apart").alias("item"))
         often = items.groupBy("hub", "item").agg(F.count("*").alias("rows")).where("rows > 1")
         shared = items.join(often, ["hub", "item"]).groupBy("hub", "doc").agg(F.sort_array(F.collect_list(F.struct("rows", "item"))).alias("shared"))
@@ -262,7 +263,7 @@ class MinHashJoin:
         x, y = (placed.select("hub", F.col("doc").alias(c), *(F.col(k).alias(k + c) for k in ("n", "d", "apart"))) for c in "ab")
         single = F.col("da") + F.col("db") - 2 * F.size(F.array_intersect("aparta", "apartb"))
         links = self.scratch.keep(met.join(x, ["hub", "a"]).join(y, ["hub", "b"]).where(single * _SUM <= (F.col("na") + F.col("nb")) * _GAP).select("a", "b"), "within")
-        self.scratch.drop(placed, posts, open_, met)
+        self.scratch.drop(both, placed, posts, open_, met)
         return links
 
     def _links(self, pairs: DataFrame) -> DataFrame:
