@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
 Every round only takes minima by key, which Spark combines before the shuffle, and joins on them: a node with very many
-edges is never gathered into one row or task. The number of rounds grows with the logarithm of the largest component.
+edges is never gathered into one row or task. The number of rounds grows with the logarithm of the largest component. A round has no more
+rows than twice the edges, so that their number decides in how many files it is kept.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import Scratch
+from tidemark.llm.shared import Scratch, in_few_files
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:
@@ -33,7 +34,7 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             .union(low.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        large = scratch.keep(large, "large")
+        large = scratch.keep(in_few_files(large, before[0]), "large")
         scratch.drop(now)
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
@@ -42,7 +43,7 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             .union(low.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        now = scratch.keep(small, "small")
+        now = scratch.keep(in_few_files(small, before[0]), "small")
         scratch.drop(large)
         after = _state(now)
         if after == before:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.shared import Scratch, shuffle_partitions, small_batches
+from tidemark.llm.shared import Scratch, in_few_files, shuffle_partitions, small_batches
 from tidemark.llm.textops import SPACED_LOWER, Words, mix, ngrams, sequence_hash, signed, utf8_parts
 
 SHINGLE = 5
@@ -43,7 +43,7 @@ LEAST_BITS, MOST_BITS, BYTES_A_COUNTER, BLOCKS, COUNT_TASKS = 16, 24, 768, 256,
 #: a power of two bits, WIDE_BITS or more for each shingle, which is looked at once a pair.
 SIGNATURE_WORDS = 8
 WIDE_FROM, WIDE_BITS = 256, 2
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
 #: Prefix shingles that one bucket is planned to hold.
 BUCKET_SHINGLES = 1_500_000
 #: Estimated frequency from which a shingle's postings are dealt over many buckets, and the equal sets that a task remembers.
@@ -332,7 +332,8 @@ class JaccardJoin:
         y = self.with_id.withColumnRenamed("doc_id", "b").join(hint(rest), "b").select("a", "b", "text")
         shape = "a long, b long, shingles binary"
         ready = x.mapInArrow(_sets, shape).select(F.col("b").alias("a"), F.col("shingles").alias("x")).join(y.mapInArrow(_sets, shape).withColumnRenamed("shingles", "y"), "a")
-        links = self.scratch.keep(ready.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long").distinct(), "links")
+        links = ready.select("a", "b", "x", "y").mapInArrow(_verify, "a long, b long").distinct()
+        links = self.scratch.keep(in_few_files(links, rest.count()), "links")
         self.scratch.drop(near, rest)
         return links
 
@@ -358,7 +359,8 @@ class JaccardJoin:
         self.facts = self.scratch.keep(facts.select("doc", "f.n", *(F.when(once, F.col(f"f.{c}")).alias(c) for c in ("sig", "wide")), once.alias("once")), "facts")
         # The smallest id among those whose prefix was emitted goes on for its set.
         sets = rows.where("n > 0").groupBy("n", "h1", "h2").agg(F.min(F.struct("again", "doc")).alias("m"), F.count("*").alias("copies")).where("copies > 1").select("n", "h1", "h2", F.col("m.doc").alias("a"))
-        sets = self.scratch.keep(sets, "sets")
+        self.rows = rows.count()
+        sets = self.scratch.keep(in_few_files(sets, self.rows), "sets")
         copies = rows.select("doc", "n", "h1", "h2").join(self._hint(sets)(sets), ["n", "h1", "h2"]).where("doc <> a").select("a", F.col("doc").alias("b"))
         copies = self.scratch.keep(copies, "copies")
         several = self.facts.where("not once").select(F.col("doc").alias("b"))
@@ -402,7 +404,7 @@ class JaccardJoin:
         """component(node, component) with links(a, b) added."""
         up = lambda c: links.join(component.toDF(c, f"c_{c}"), c, "left").select(F.col("a"), F.col("b"), F.coalesce(f"c_{c}", c).alias(f"to_{c}"))
         joined = up("a").join(up("b").select("a", "b", "to_b"), ["a", "b"]).select(F.col("to_a").alias("a"), F.col("to_b").alias("b"))
-        merged = self.scratch.keep(connected_components(joined, self.scratch), "merged")
+        merged = self.scratch.keep(in_few_files(connected_components(joined, self.scratch), self.rows), "merged")
         self.scratch.drop(links)
         if merged.isEmpty():
             return component
@@ -426,14 +428,15 @@ class JaccardJoin:
         self.scratch.drop(self.met)
         posts = self.scratch.keep(self._able(every), "able")
         self.scratch.drop(every)
-        star = self.scratch.keep(self._star(posts), "star")
+        star = self.scratch.keep(in_few_files(self._star(posts), posts.count()), "star")
         most = star.groupBy("b").agg(F.max(F.struct("lists", (-F.col("a")).alias("a"))).alias("m"))
-        first = self.scratch.keep(most.select((-F.col("m.a")).alias("a"), "b"), "first")  # one pair a document
+        first = self.scratch.keep(in_few_files(most.select((-F.col("m.a")).alias("a"), "b"), self.rows), "first")  # one pair a document
         links = self._checked(first)
-        component = self.scratch.keep(connected_components(links.union(copies), self.scratch), "component")
+        component = self.scratch.keep(in_few_files(connected_components(links.union(copies), self.scratch), self.rows), "component")
         self.scratch.drop(links, copies)
         second = self._across(star.select("a", "b").join(first, ["a", "b"], "left_anti"), component)
-        second = self.scratch.keep(second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "second")
+        second = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        second = self.scratch.keep(in_few_files(second, star.count()), "second")
         if not second.isEmpty():
             component = self._merged(self._checked(second), component)
         open_ = self.scratch.keep(self._open(posts, component), "open")

@@ -65,6 +65,16 @@ class Scratch:
         self._kept = [(df, p) for df, p in self._kept if not any(df is t for t in tables)]
 
 
+#: Rows of a small table's file, and the tasks a core that write such a table at least.
+FILE_ROWS, FILE_TASKS = 250_000, 2
+
+
+def in_few_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of about ``rows`` narrow rows, in fewer partitions for ``Scratch.keep``: where each file's permissions are set by a process of its
+    own (Hadoop's local file system), small tables in as many files as the shuffle has partitions start very many, each of the executor's size until it runs."""
+    return df.coalesce(max(FILE_TASKS * df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
