@@ -9,6 +9,9 @@ the shorter word's first or last half whole; so a band is joined together with t
 
 Counting. Tasks count words in a dictionary of bounded size and send partial counts; no key holds more rows than there are tasks and flushes.
 
+Joins. Every joined table grows with the vocabulary, and the size of its files, which a plan goes by even after an explode, is a small part of its size
+in memory. All joins are merged, so that none is gathered on the driver to be broadcast.
+
 Cases. A null text has no words; a null id counts as the empty text where runs are hashed. Repeated rows count each. Empty tables give no
 rows. Other columns are ignored. Runs of any length are words.
 """
@@ -108,7 +111,7 @@ def near_pairs(vocabulary: DataFrame) -> DataFrame:
     a = coded.select("*", F.explode(_keys(length)).alias("key"))
     b = coded.select("*", F.explode(F.concat(_keys(length), _keys(length - 1))).alias("key"))
     named = lambda df, s: df.select("key.*", *(F.col(c).alias(f"{c}_{s}") for c in coded.columns))
-    met = named(a, "a").join(named(b, "b"), ["shorter", "side", "half", "k", "band"])
+    met = named(a, "a").join(named(b, "b").hint("merge"), ["shorter", "side", "half", "k", "band"])
     flipped = F.bit_count(F.col("mask_a").bitwiseXOR(F.col("mask_b")))
     half = F.floor(F.col("shorter") / 2).cast("int")
     first_side = (F.col("side") == 0) | (F.substring("word_a", F.lit(1), half) != F.substring("word_b", F.lit(1), half))
@@ -123,7 +126,7 @@ def _roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
     now = scratch.keep(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         on = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        step = scratch.keep(now.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
+        step = scratch.keep(now.join(on.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         scratch.drop(now)
         now = step
         if now.where("moved").isEmpty():
@@ -144,6 +147,6 @@ def spelling_groups(docs: DataFrame) -> DataFrame:
     scratch.drop(pairs)
     roots = _roots(near.where("form is not null"), scratch)
     return (
-        vocabulary.join(near, "word", "left").join(roots, "word", "left")
+        vocabulary.join(near.hint("merge"), "word", "left").join(roots.hint("merge"), "word", "left")
         .select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form", "form_n", F.coalesce("root", "word").alias("root"))
     )
