@@ -18,24 +18,26 @@ WIDTH, HEIGHT, STEP = 160, 120, 0.5
 PATCH = (48, 30, 112, 86)
 
 
-def _picture(waves: np.ndarray, z: np.ndarray) -> np.ndarray:
+def _picture(waves: np.ndarray, turn: complex, shift: complex) -> np.ndarray:
+    """The picture at turn * z + shift for a frame's places z. A wave of a row's and a column's part is two products of theirs, so all waves are one product of matrices."""
     k = np.arange(len(waves))
     across, along = 0.12 + 0.09 * (k % 8), 0.11 * (k // 8) - 0.38
     waves = waves / max(float(np.sqrt((waves**2).sum())), 1e-9)
-    x, y = z.real.astype(np.float32), z.imag.astype(np.float32)
-    value = sum(np.float32(a) * np.sin(np.float32(u) * x + np.float32(v) * y + np.float32(n * n % 7)) for n, (a, u, v) in enumerate(zip(waves, across, along)))
+    x = np.outer(across * turn.real + along * turn.imag, np.arange(WIDTH)).astype(np.float32)
+    y = (np.outer(np.arange(HEIGHT), along * turn.real - across * turn.imag) + (across * shift.real + along * shift.imag + k * k % 7)).astype(np.float32)
+    waves = waves.astype(np.float32)
+    value = np.hstack((waves * np.sin(y), waves * np.cos(y))) @ np.vstack((np.cos(x), np.sin(x)))
     return np.clip(np.rint(128 + 55 * value), 0, 255).astype(np.uint8)
 
 
 def _drawn(waves: pa.Array, dx: pa.Array, dy: pa.Array, degrees: pa.Array, besides: pa.Array) -> pa.Array:
-    y, x = np.mgrid[:HEIGHT, :WIDTH]
-    z, out = x + 1j * y, []
+    out = []
     for e, right, down, turn, more in zip(waves.to_pylist(), dx.to_pylist(), dy.to_pylist(), degrees.to_pylist(), besides.to_pylist()):
-        e = np.array(e, float)
-        before = _picture(e, z)
-        after = _picture(e, (z - complex(right, down)) * np.exp(-1j * np.radians(turn)))
+        e, back = np.array(e, float), complex(np.exp(-1j * np.radians(turn)))
+        before = _picture(e, 1 + 0j, 0j)
+        after = _picture(e, back, -complex(right, down) * back)
         left, top, end, bottom = PATCH
-        patch = _picture(e[::-1], z * 0.5)[top:bottom, left:end]
+        patch = _picture(e[::-1], 0.5 + 0j, 0j)[top:bottom, left:end]
         before[top:bottom, left:end] = patch
         # the camera takes the patch along, by its middle, and it moves by ``more`` to the right
         middle = complex((left + end) / 2, (top + bottom) / 2)
