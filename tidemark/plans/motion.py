@@ -63,15 +63,17 @@ def _pairs(spark, sf_dir, degrees):
     drawn = vectors.select("vec_id", frames("embedding", *(c.cast("double") for c in planted)).alias("f"))
     frames = drawn.select("vec_id", F.posexplode(F.array("f.before", "f.after")).alias("sample", "gray"))
     frames = frames.withColumns({"t": F.col("sample") * STEP, "width": F.lit(WIDTH)})
-    pairs = motion.paired(frames, "vec_id", STEP).where("previous_gray is not null")
-    m = motion.stabilised_motion(F.col("previous_gray"), F.col("previous_width"), F.col("gray"), F.col("width"), F.col("dt"))
-    return pairs.select("vec_id", "dt", m.alias("m"))
+    return motion.paired(frames, "vec_id", STEP).where("previous_gray is not null")
+
+
+#: A pair's frames, their widths and the time between them, as the operators take them.
+PAIR = ("previous_gray", "previous_width", "gray", "width", "dt")
 
 
 @query("SELECT vec_id, vec_id % 7 - 3 AS dx, vec_id % 5 - 2 AS dy, vec_id % 3 - 1 AS degrees, 2 * abs(vec_id % 3 - 1) AS rotation FROM embeddings")
 def v03_stabilised_motion(spark, sf_dir):
     """Camera motion found between two frames, to the pixel and degree; the patch and what it covers aren't the camera's."""
-    m = _pairs(spark, sf_dir, F.col("vec_id") % 3 - 1)
+    m = _pairs(spark, sf_dir, F.col("vec_id") % 3 - 1).select("vec_id", motion.camera_motion(*map(F.col, PAIR)).alias("m"))
     whole = lambda c: F.round(c).cast("long").alias(c.split(".")[1])
     return m.select("vec_id", whole("m.dx"), whole("m.dy"), whole("m.degrees"), whole("m.rotation"))
 
@@ -84,6 +86,6 @@ def v04_hand_speed(spark, sf_dir):
     k = F.col("vec_id")
     sides = zip(("x1", "y1", "x2", "y2"), (left + 15 + k % 7 - 3, top + 12 + k % 5 - 2, right - 9 + k % 7 - 3, bottom - 12 + k % 5 - 2))
     held = F.when(k % 4 != 0, F.array(F.struct(*(c.cast("double").alias(n) for n, c in sides))))
-    seen = _pairs(spark, sf_dir, F.lit(0)).withColumn("o", motion.idle_observation(F.col("m"), held, F.lit(HEIGHT), F.lit(WIDTH), F.col("dt"), expansion=0.0))
+    seen = _pairs(spark, sf_dir, F.lit(0)).select("vec_id", motion.hand_activity(*map(F.col, PAIR), held, F.lit(HEIGHT), F.lit(WIDTH), expansion=0.0).alias("o"))
     pixels = F.col("o.speed") * STEP * float(np.hypot(WIDTH, HEIGHT))
     return seen.select("vec_id", F.col("o.inactive").isNotNull().alias("seen"), (pixels >= k % 3 + 3.5).alias("moved"), F.col("o.inactive").alias("inactive"))
